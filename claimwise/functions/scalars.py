@@ -197,7 +197,7 @@ def sha256_hex(c) -> Column:
 def iso_date(c) -> Column:
     """yyyy-MM-dd text -> DATE, anything else NULL."""
     c = as_col(c).cast("string")
-    return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(c, F.lit("yyyy-MM-dd")))
+    return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(c, "yyyy-MM-dd"))
 
 
 def out_of_tolerance(ratio) -> Column:

@@ -132,7 +132,7 @@ class StartDate:
         end, days = cols.get(self.end_col.lower()), cols.get(self.day_col.lower())
         if end is None or days is None:
             return df.withColumn(self.out, F.lit(""))
-        end_d = F.try_to_date(F.col(end).cast("string"), F.lit("yyyy-MM-dd"))
+        end_d = F.try_to_date(F.col(end).cast("string"), "yyyy-MM-dd")
         n = F.coalesce(strict_int(days), F.lit(0))
         start = F.when(n > 0, F.date_sub(end_d, n - 1)).otherwise(end_d)
         return df.withColumn(self.out, F.coalesce(F.date_format(start, "yyyy-MM-dd"), F.lit("")))
@@ -264,7 +264,7 @@ def consolidate(sources: list[CatalogueSource]) -> DataFrame:
 
 
 def _yyyymmdd(c):
-    return F.try_to_date(c, F.lit("yyyyMMdd"))
+    return F.try_to_date(c, "yyyyMMdd")
 
 
 @dataclass(frozen=True)
@@ -337,7 +337,7 @@ class DrugCatalogue:
             return joined.select(*out_cols)
 
         pk = java_trim(empty_if_null(PACKAGES)).try_cast("double")
-        when_d = F.try_to_date(empty_if_null(PRESCRIPTION_DATE), F.lit("yyyy-MM-dd"))
+        when_d = F.try_to_date(empty_if_null(PRESCRIPTION_DATE), "yyyy-MM-dd")
 
         def gate(v):
             start, end, rng = F.col("_c__start"), F.col("_c__end"), F.coalesce(F.col("_c__range"), F.lit(False))
