@@ -78,30 +78,21 @@ def daily_distinct_per_quarter(df: DataFrame, year, date, *key_parts) -> DataFra
 # --- WIN4 / WIN3 / SCL15: padding, ratios, tolerance ----------------------------------
 
 def quarter_calendar(spark, lower_year: int, upper_year: int, slices: list[str] | None = None) -> DataFrame:
-    """Every (slice, year, quarter) of the closed year range (parameter-sized)."""
-    years = (spark.range(lower_year, upper_year + 1).select(F.col("id").cast("int").alias("year"))
-             .crossJoin(spark.range(1, 5).select(F.col("id").cast("int").alias("quarter"))))
+    """Every (slice, year, quarter) of the closed year range (parameter-sized, no join)."""
+    n = (upper_year - lower_year + 1) * 4
+    cal = spark.range(n).select(
+        (F.floor(F.col("id") / 4) + lower_year).cast("int").alias("year"),
+        (F.col("id") % 4 + 1).cast("int").alias("quarter"))
     if slices is None:
-        return years
-    labels = spark.createDataFrame([(s,) for s in slices], "slice string")
-    return F.broadcast(labels).crossJoin(years)
+        return cal
+    return cal.select(F.explode(F.array(*[F.lit(s) for s in slices])).alias("slice"), "year", "quarter")
 
 
 def pad_to_years(counts: DataFrame, lower_year: int, upper_year: int) -> DataFrame:
-    """Left join a slice's counts onto the whole-year calendar, zero for gaps.
-
-    Counts outside the year range are dropped (the calendar is the frame)."""
-    spark = counts.sparkSession
-    has_slice = "slice" in counts.columns
-    keys = ["slice", "year", "quarter"] if has_slice else ["year", "quarter"]
-    if has_slice:
-        # slice labels are few; collect-free: derive them with a distinct on the small count frame
-        slices = counts.select("slice").distinct()
-        cal = F.broadcast(quarter_calendar(spark, lower_year, upper_year)).crossJoin(slices)
-    else:
-        cal = quarter_calendar(spark, lower_year, upper_year)
-    return (cal.join(counts, keys, "left")
-            .select(*keys, F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("cnt")))
+    """Left join one slice's counts onto the whole-year calendar, zero for gaps."""
+    cal = quarter_calendar(counts.sparkSession, lower_year, upper_year)
+    return (cal.join(counts, ["year", "quarter"], "left")
+            .select("year", "quarter", F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("cnt")))
 
 
 def year_on_year(padded: DataFrame, lower_year: int | None = None) -> DataFrame:
@@ -155,6 +146,13 @@ def reference_quarter(counts: DataFrame, lower_year: int | None = None,
         .filter(F.col("year").isNotNull())
 
 
+def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a frame that has at most one row (broadcast equi join
+    on a constant key; the broadcast side is bounded to one row by construction)."""
+    return (df.withColumn("_one", F.lit(1))
+            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+
+
 # --- AGG6 / JON7 / JON8 / WIN6: regional ratio ------------------------------------------
 
 def region_lookup_filter(lookup: DataFrame) -> DataFrame:
@@ -184,7 +182,7 @@ def regional_ratio(cases: DataFrame, lookup: DataFrame, ref: DataFrame,
         F.countDistinct(F.when(F.col("_y") == F.col("_ry"), F.col("_id"))).alias("cnt"),
         F.countDistinct(F.when(F.col("_y") == F.col("_ry") - 1, F.col("_id"))).alias("prev_cnt"))
     lk = region_lookup_filter(lookup).select("kv", "kv_name")
-    out = (lk.join(per_region, "kv", "left").crossJoin(r)
+    out = (with_one_row(lk.join(per_region, "kv", "left"), r)
            .select("kv", "kv_name",
                    F.col("_ry").alias("year"), F.col("_rq").alias("quarter"),
                    F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"),

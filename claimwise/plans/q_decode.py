@@ -1 +1,97 @@
-"""placeholder"""
+"""Registered id-decode queries (AGG7, JON9-11, WIN1-2, AGG16, SCL3, SCL19)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from claimwise.operators import decode as D
+from claimwise.plans import standins as S
+from claimwise.plans.registry import register
+
+INSURERS = ["1", "2", "3", "4"]
+
+
+def id_rows(spark, d):
+    """PID_AKTUELL stand-in from orders: one id row per order, cards and numbers shared."""
+    o = S.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.when(k % 97 == 0, F.lit("")).otherwise(F.substring("o_orderpriority", 1, 1)).alias("h2ik"),
+        F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("E"), (k % 2000).cast("string"))).alias("egk_nr"),
+        F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("K"), (k % 3000).cast("string"))).alias("kv_nummer"),
+        F.when(k % 89 == 0, F.lit("")).otherwise((F.col("o_custkey") + 10000).cast("string")).alias("pid"),
+        F.to_date("o_orderdate").alias("seen"), k.alias("row_id"))
+
+
+def membership(spark, d):
+    """MENSCH_AKTUELL stand-in: validity end per (insurer, card, person)."""
+    ids = id_rows(spark, d)
+    o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"), "o_totalprice")
+    j = ids.join(o, "row_id").filter(F.col("row_id") % 7 != 0)
+    return (j.groupBy("h2ik", "egk_nr", F.col("pid").alias("k_mensch_id"))
+            .agg(F.max(F.date_add("seen", (F.col("o_totalprice").cast("int") % 400))).alias("max_gueltig_bis")))
+
+
+_SQL_IDS = """
+ids AS (
+  SELECT CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE substr(o_orderpriority, 1, 1) END AS h2ik,
+    CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'E' || CAST(o_orderkey % 2000 AS VARCHAR) END AS egk_nr,
+    CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'K' || CAST(o_orderkey % 3000 AS VARCHAR) END AS kv_nummer,
+    CASE WHEN o_orderkey % 89 = 0 THEN '' ELSE CAST(o_custkey + 10000 AS VARCHAR) END AS pid,
+    CAST(o_orderdate AS DATE) AS seen, o_orderkey AS row_id, o_totalprice
+  FROM orders),
+ma AS (
+  SELECT h2ik, egk_nr, pid AS k_mensch_id,
+    max(seen + CAST(CAST(trunc(o_totalprice) AS BIGINT) % 400 AS INTEGER)) AS max_gueltig_bis
+  FROM ids WHERE row_id % 7 <> 0 GROUP BY 1, 2, 3),
+dup AS (
+  SELECT egk_nr FROM ids WHERE h2ik IN ('1', '2', '3', '4') AND egk_nr <> '' GROUP BY 1 HAVING count(*) > 1),
+ds AS (
+  SELECT d.h2ik, d.egk_nr, d.pid, ma.max_gueltig_bis
+  FROM (SELECT pid, egk_nr, h2ik FROM ids WHERE egk_nr IN (SELECT egk_nr FROM dup) AND h2ik IN ('1', '2', '3', '4')) d
+  LEFT JOIN ma ON d.h2ik = ma.h2ik AND d.egk_nr = ma.egk_nr AND d.pid = ma.k_mensch_id),
+ranked AS (
+  SELECT pid FROM ds QUALIFY rank() OVER (PARTITION BY egk_nr ORDER BY max_gueltig_bis ASC NULLS FIRST) = 1),
+unwanted AS (
+  SELECT DISTINCT CASE WHEN length(pid) BETWEEN 5 AND 9 THEN lpad(pid, 10, '0') END AS pid FROM ranked),
+s0 AS (
+  SELECT h2ik, egk_nr, kv_nummer, CASE WHEN length(pid) < 10 THEN lpad(pid, 10, '0') ELSE pid END AS pid, seen, row_id
+  FROM ids WHERE h2ik <> '' AND pid <> ''),
+s0b AS (
+  SELECT * FROM s0 WHERE NOT EXISTS (SELECT 1 FROM unwanted u WHERE u.pid = s0.pid)),
+s1 AS (SELECT * FROM s0b QUALIFY row_number() OVER (PARTITION BY pid ORDER BY seen, row_id) = 1),
+s2 AS (SELECT * FROM s1 WHERE egk_nr = ''
+       UNION ALL SELECT * FROM (SELECT * FROM s1 WHERE egk_nr <> ''
+                                QUALIFY row_number() OVER (PARTITION BY egk_nr ORDER BY seen, row_id) = 1)),
+s3 AS (SELECT * FROM s2 WHERE kv_nummer = ''
+       UNION ALL SELECT * FROM (SELECT * FROM s2 WHERE kv_nummer <> ''
+                                QUALIFY row_number() OVER (PARTITION BY kv_nummer ORDER BY seen, row_id) = 1))
+"""
+
+
+def _unwanted(spark, d):
+    return D.outdated_card_holders(id_rows(spark, d), membership(spark, d), INSURERS)
+
+
+@register("duplicate_cards_rank", ["AGG7", "JON9", "JON10", "WIN1", "SCL3", "SET3"],
+          "WITH " + _SQL_IDS + "SELECT pid FROM unwanted WHERE pid IS NOT NULL")
+def duplicate_cards_rank(spark, d):
+    return _unwanted(spark, d)
+
+
+@register("decode_clean", ["WIN2", "JON11", "SCL19", "SCL2"],
+          "WITH " + _SQL_IDS + """SELECT h2ik, egk_nr, CASE WHEN egk_nr = '' THEN kv_nummer ELSE '' END AS kv_nummer, pid
+          FROM s3""")
+def decode_clean(spark, d):
+    return D.clean_ids(id_rows(spark, d), _unwanted(spark, d), ["seen", "row_id"])
+
+
+@register("decode_loss", ["AGG16"], "WITH " + _SQL_IDS + """
+SELECT n_input, n_valid, n_input - n_valid AS n_duplicates,
+  CASE WHEN n_valid > 0 THEN (n_input - n_valid) / CAST(n_valid AS DOUBLE) END AS loss,
+  (CASE WHEN n_valid > 0 THEN (n_input - n_valid) / CAST(n_valid AS DOUBLE) END) > 0.05 AS warn
+FROM (SELECT (SELECT count(*) FROM s0b) AS n_input, (SELECT count(*) FROM s3) AS n_valid) x""")
+def decode_loss(spark, d):
+    ids, unwanted = id_rows(spark, d), _unwanted(spark, d)
+    mapping = D.clean_ids(ids, unwanted, ["seen", "row_id"])
+    return D.loss_ratio(D.decode_input(ids, unwanted), mapping)
