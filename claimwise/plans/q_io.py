@@ -1 +1,100 @@
-"""placeholder"""
+"""Registered I/O and data-quality queries (SRC4, SNK1-3, SET2, DOC1-3, DOC5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from claimwise.operators import quality as Q
+from claimwise.plans import standins as S
+from claimwise.plans.q_decode import _SQL_IDS, _unwanted, id_rows
+from claimwise.operators import decode as D
+from claimwise.plans.registry import register
+from claimwise.session import scratch_path
+from claimwise.sources import readers as R
+from claimwise.sources import sinks as W
+
+
+def _orders_export(spark, d):
+    o = S.table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderpriority",
+                    F.to_date("o_orderdate").cast("string").alias("o_orderdate"),
+                    F.year("o_orderdate").alias("bezugsjahr"))
+
+
+@register("slices_roundtrip", ["SNK1", "SNK2", "SRC4", "SNK3", "DOC5"], """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority,
+  strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS bezugsjahr FROM orders""")
+def slices_roundtrip(spark, d):
+    root = scratch_path(spark, "cache")
+    path = W.slice_path(root, "ACC_ADB", "dataset1", "orders")
+    W.write_slices(_orders_export(spark, d), path, "bezugsjahr", fmt="csv", encoding="iso-8859-1")
+    back = R.read_slices(spark, path, encoding="iso-8859-1")
+    return back.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", "o_orderdate",
+                       F.col("bezugsjahr").cast("int").alias("bezugsjahr"))
+
+
+def _separation(spark):
+    # separation configuration: dataset -> insurers
+    return spark.createDataFrame(
+        [("urgent", "1-URGENT"), ("urgent", "2-HIGH"), ("routine", "3-MEDIUM"), ("routine", "5-LOW")],
+        "dataset string, h2ik string")
+
+
+@register("dataset_split", ["DOC3"], """
+SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'urgent' ELSE 'routine' END AS dataset,
+  CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority AS h2ik
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')""")
+def dataset_split(spark, d):
+    rows = _orders_export(spark, d).withColumnRenamed("o_orderpriority", "h2ik")
+    split = Q.separate_datasets(rows, _separation(spark))
+    path = scratch_path(spark, "separated")
+    W.write_slices(split, path, "dataset", fmt="csv")
+    back = R.read_slices(spark, path)
+    return back.select("dataset", F.col("o_orderkey").cast("long").alias("o_orderkey"), "h2ik")
+
+
+@register("merge_slices", ["SET2", "SNK3", "D7"], """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+def merge_slices(spark, d):
+    o = _orders_export(spark, d)
+    root = scratch_path(spark, "merge")
+    a = o.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    b = o.filter(F.col("o_orderpriority") == "2-HIGH").select("o_orderpriority", "o_orderkey")
+    W.write_slices(a, f"{root}/a", fmt="parquet")
+    W.write_slices(b, f"{root}/b", fmt="parquet")
+    frames = [spark.read.parquet(f"{root}/a"), spark.read.parquet(f"{root}/b")]
+    merged = W.merge_slices(frames, allow_missing=True)
+    return merged.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", "o_orderdate")
+
+
+# Cleaning rules (fixed configuration values): the ANY rule keeps letters, digits,
+# whitespace, ();,./\ umlauts, sharp s, section sign, euro sign, [ ] _ -.
+ANY_EXCLUDE = r"[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§€\[\]_-]"
+DIGITS_ONLY = r"[^0-9]"
+
+
+@register("clean_rules", ["DOC1"], r"""
+SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§€\[\]_-]', '', 'g') AS text,
+  regexp_replace(regexp_replace(source, '[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§€\[\]_-]', '', 'g'), '[^0-9]', '', 'g') AS source,
+  regexp_replace(lang, '[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§€\[\]_-]', '', 'g') AS lang
+FROM documents""")
+def clean_rules(spark, d):
+    docs = S.table(spark, d, "documents").select("doc_id", "text", "source", "lang")
+    rules = [Q.CleanRule("TYPE", ANY_EXCLUDE, type="ANY"),
+             Q.CleanRule("NAME", DIGITS_ONLY, column="SOURCE"),
+             Q.CleanRule("TYPE", r"[^0-9Ee.+-]", type="FLOAT")]   # no float column: no effect
+    return Q.apply_clean_rules(docs, rules)
+
+
+@register("id_mapping", ["DOC2", "JON4"], "WITH " + _SQL_IDS + """,
+mp AS (SELECT egk_nr, pid FROM s3 WHERE egk_nr <> '')
+SELECT ids.row_id, ids.egk_nr, COALESCE(mp.pid, '') AS pid
+FROM ids LEFT JOIN mp ON mp.egk_nr = ids.egk_nr""")
+def id_mapping(spark, d):
+    ids = id_rows(spark, d)
+    decoded = D.clean_ids(ids, _unwanted(spark, d), ["seen", "row_id"])
+    egk2pid = decoded.filter(F.col("egk_nr") != "").select("egk_nr", "pid")
+    target = ids.select("row_id", "egk_nr")
+    return Q.map_ids(target, egk2pid, "egk_nr", "pid")

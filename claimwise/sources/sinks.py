@@ -29,7 +29,8 @@ def slice_path(root: str, db: str, dataset: str, table: str) -> str:
 
 
 def write_slices(df: DataFrame, path: str, slice_col: str | None = None,
-                 fmt: str = "csv", compression: str = "gzip", mode: str = "overwrite") -> None:
+                 fmt: str = "csv", compression: str = "gzip", mode: str = "overwrite",
+                 encoding: str = "UTF-8") -> None:
     """One directory per slice value; empty slices produce no files.
 
     ``fmt='csv'`` writes raw ``;`` text with a header (gzip); ``'parquet'`` keeps types."""
@@ -37,7 +38,7 @@ def write_slices(df: DataFrame, path: str, slice_col: str | None = None,
     if slice_col:
         w = w.partitionBy(slice_col)
     if fmt == "csv":
-        w.options(**RAW_CSV).option("compression", compression).csv(path)
+        w.options(**RAW_CSV).option("compression", compression).option("encoding", encoding).csv(path)
     else:
         w.option("compression", "zstd" if compression == "gzip" else compression).parquet(path)
 
