@@ -18,12 +18,16 @@ def read_slices(spark: SparkSession, path: str, sep: str = SLICE_SEP,
                 encoding: str = "UTF-8") -> DataFrame:
     """Headered ``;`` CSV slices (gz decompressed by file extension), all columns strings.
 
-    Empty fields stay empty strings, blanks are kept."""
-    return (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-            .option("inferSchema", False).option("emptyValue", "").option("nullValue", None)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("quote", "\u0000")
-            .csv(path))
+    Empty fields are empty strings (the export layer has no NULL), blanks are kept.
+    Partition columns of a sliced layout (``slice=<year>``) are discovered by Spark."""
+    df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+          .option("inferSchema", False)
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .option("quote", "\u0000")
+          .csv(path))
+    return df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name)
+                       if f.dataType.simpleString() == "string" else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def read_delimited_strict(spark: SparkSession, path: str, columns: list[str],
