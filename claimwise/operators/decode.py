@@ -67,15 +67,17 @@ def outdated_card_holders(ids: DataFrame, membership: DataFrame, insurers: list[
             .filter(F.col("pid").isNotNull()).distinct())
 
 
-def _first_per(df: DataFrame, key: str, order: Column) -> DataFrame:
-    """First row (by ``order``) per non-empty ``key``; rows with an empty key all pass."""
-    cols = df.columns
-    empty = df.filter(empty_if_null(key) == "")
-    rest = df.filter(empty_if_null(key) != "")
-    firsts = (rest.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in cols if c != key]), order).alias("_r"))
-              .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols if c != key])
-              .select(*cols))
-    return firsts.unionByName(empty)
+def _first_per(df: DataFrame, key: str, order: Column, unique: str) -> DataFrame:
+    """First row (by ``order``) per non-empty ``key``; rows with an empty key all pass.
+
+    One aggregation: a row with an empty key is grouped under its own ``unique``
+    value (a column that is already unique), so it forms a group of one; the
+    flag in the grouping key keeps the two kinds of group values apart."""
+    empty = empty_if_null(key) == ""
+    group = F.when(empty, F.col(unique).cast("string")).otherwise(F.col(key).cast("string"))
+    firsts = (df.groupBy(group.alias("_g"), empty.alias("_ge"))
+              .agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), order).alias("_r")))
+    return firsts.select("_r.*")
 
 
 def clean_ids(ids: DataFrame, unwanted: DataFrame | None, order_cols: list[str],
@@ -92,9 +94,9 @@ def clean_ids(ids: DataFrame, unwanted: DataFrame | None, order_cols: list[str],
                     order.alias("_order")))
     if unwanted is not None:
         base = base.join(unwanted.select(F.col(unwanted.columns[0]).alias("pid")), "pid", "left_anti")
-    p1 = _first_per(base.withColumn("_pid_key", F.col("pid")), "_pid_key", F.col("_order")).drop("_pid_key")
-    p2 = _first_per(p1, "egk_nr", F.col("_order"))
-    p3 = _first_per(p2, "kv_nummer", F.col("_order"))
+    p1 = _first_per(base, "pid", F.col("_order"), "pid")        # pid is never empty here
+    p2 = _first_per(p1, "egk_nr", F.col("_order"), "pid")       # pid is unique from here on
+    p3 = _first_per(p2, "kv_nummer", F.col("_order"), "pid")
     return p3.select("h2ik", "egk_nr", card_wins("egk_nr", "kv_nummer").alias("kv_nummer"), "pid")
 
 

@@ -73,16 +73,26 @@ def pattern_join(facts: DataFrame, patterns: DataFrame, code: str = "icd_code",
 def sliding_scores(facts: DataFrame, start_year: int, end_year: int, as_of: str,
                    pid: str = "pid", source: str = "source_table", year: str = "year",
                    quarter: str = "quarter", cls: str = "disease_class", weight: str = "cci_weight",
-                   insurer: str = "h2ik") -> DataFrame:
-    """Score per (source, pid, window start) — see the module doc."""
+                   insurer: str = "h2ik", insurers: list[str] | None = None) -> DataFrame:
+    """Score per (source, pid, window start) — see the module doc.
+
+    ``insurers`` is the configured insurer list of the score sources: facts of other
+    insurers are dropped, and the insurer is carried as its position in the sorted
+    list, so every aggregation works on integers (hash aggregation; ``min`` over text
+    would force sort-based aggregation).  Without the list the text is carried."""
     now_year = _dt.date.fromisoformat(as_of).year
     first_start = start_year * 4
     last_start = end_year * 4 + 3
     cap = now_year * 4 + 3
     q = quarter_index(year, quarter)
+    ins = F.col(insurer)
+    if insurers is not None:
+        codes = F.array(*[F.lit(v) for v in sorted(set(insurers))])
+        facts = facts.filter(ins.isin(list(insurers)))
+        ins = F.array_position(codes, ins).cast("int")
     reduced = (facts.select(F.col(source).alias("source_table"), F.col(pid).alias("pid"), q.alias("_q"),
                             F.col(cls).alias("_cls"), F.col(weight).cast("int").alias("_w"),
-                            F.col(insurer).alias("_ins"))
+                            ins.alias("_ins"))
                .filter((F.col("_q") >= first_start) & (F.col("_q") <= F.least(F.lit(last_start + 3), F.lit(cap))))
                .groupBy("source_table", "pid", "_q", "_cls")
                .agg(F.max("_w").alias("_w"), F.min("_ins").alias("_ins")))
@@ -95,6 +105,8 @@ def sliding_scores(facts: DataFrame, start_year: int, end_year: int, as_of: str,
     scores = per_class.groupBy("source_table", "pid", "_start").agg(
         F.sum("_w").cast("int").alias("weight"), F.min("_ins").alias("h2ik"))
     end = F.least(F.col("_start") + 3, F.lit(cap))
+    if insurers is not None:
+        scores = scores.withColumn("h2ik", F.element_at(codes, F.col("h2ik")))
     return scores.select(
         "source_table", "pid",
         quarter_begin_text(year_of_index(F.col("_start")), quarter_of_index(F.col("_start"))).alias("window_start"),

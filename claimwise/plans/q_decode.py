@@ -11,24 +11,25 @@ from claimwise.plans.registry import register
 INSURERS = ["1", "2", "3", "4"]
 
 
-def id_rows(spark, d):
-    """PID_AKTUELL stand-in from orders: one id row per order, cards and numbers shared."""
-    o = S.table(spark, d, "orders")
-    k = F.col("o_orderkey")
-    return o.select(
+def _id_columns(k):
+    return [
         F.when(k % 97 == 0, F.lit("")).otherwise(F.substring("o_orderpriority", 1, 1)).alias("h2ik"),
         F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("E"), (k % 2000).cast("string"))).alias("egk_nr"),
         F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("K"), (k % 3000).cast("string"))).alias("kv_nummer"),
         F.when(k % 89 == 0, F.lit("")).otherwise((F.col("o_custkey") + 10000).cast("string")).alias("pid"),
-        F.to_date("o_orderdate").alias("seen"), k.alias("row_id"))
+        F.to_date("o_orderdate").alias("seen"), k.alias("row_id")]
+
+
+def id_rows(spark, d):
+    """PID_AKTUELL stand-in from orders: one id row per order, cards and numbers shared."""
+    return S.table(spark, d, "orders").select(*_id_columns(F.col("o_orderkey")))
 
 
 def membership(spark, d):
-    """MENSCH_AKTUELL stand-in: validity end per (insurer, card, person)."""
-    ids = id_rows(spark, d)
-    o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"), "o_totalprice")
-    j = ids.join(o, "row_id").filter(F.col("row_id") % 7 != 0)
-    return (j.groupBy("h2ik", "egk_nr", F.col("pid").alias("k_mensch_id"))
+    """MENSCH_AKTUELL stand-in: validity end per (insurer, card, person), same scan of orders."""
+    o = S.table(spark, d, "orders").filter(F.col("o_orderkey") % 7 != 0)
+    rows = o.select(*_id_columns(F.col("o_orderkey")), "o_totalprice")
+    return (rows.groupBy("h2ik", "egk_nr", F.col("pid").alias("k_mensch_id"))
             .agg(F.max(F.date_add("seen", (F.col("o_totalprice").cast("int") % 400))).alias("max_gueltig_bis")))
 
 

@@ -18,6 +18,10 @@ PATTERNS = [
 ]
 
 
+# Configured insurers of the score sources.
+INSURERS = ["0", "1", "2"]
+
+
 def patterns(spark):
     return spark.createDataFrame(PATTERNS, "icd_code string, disease_class string, cci_weight int")
 
@@ -79,4 +83,4 @@ SELECT source_table, pid, {_qtext('st', True)} AS window_start, {_qtext(f'least(
   weight, h2ik FROM sc""")
 def score_sliding(spark, d):
     matched = SC.pattern_join(diagnosis_facts(spark, d), patterns(spark))
-    return SC.sliding_scores(matched, _Y0, _Y1, S.AS_OF)
+    return SC.sliding_scores(matched, _Y0, _Y1, S.AS_OF, insurers=INSURERS)
