@@ -187,6 +187,16 @@ def regional_ratio(cases: DataFrame, lookup: DataFrame, ref: DataFrame,
                    F.col("_ry").alias("year"), F.col("_rq").alias("quarter"),
                    F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"),
                    F.coalesce("prev_cnt", F.lit(0)).cast("long").alias("prev_cnt")))
-    return out.withColumn(
+    out = out.withColumn(
         "ratio", F.when(F.col("prev_cnt") > 0, F.col("cnt") / F.col("prev_cnt").cast("double"))
         .otherwise(F.lit(0.0)))
+    return out.orderBy("kv")   # report order; the frame has one row per region
+
+
+# --- JON13: report lookup -----------------------------------------------------------------
+
+def report_for_dataset(report: DataFrame, db: str, dataset: str, insurer_col: str = "insurance") -> DataFrame:
+    """Rows of a pre-computed report whose insurer name contains the database or the
+    dataset name (case-insensitive)."""
+    name = F.lower(F.col(insurer_col))
+    return report.filter(name.contains(db.lower()) | name.contains(dataset.lower()))

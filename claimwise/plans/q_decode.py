@@ -96,3 +96,18 @@ def decode_loss(spark, d):
     ids, unwanted = id_rows(spark, d), _unwanted(spark, d)
     mapping = D.clean_ids(ids, unwanted, ["seen", "row_id"])
     return D.loss_ratio(D.decode_input(ids, unwanted), mapping)
+
+
+@register("decode_file_roundtrip", ["SNK4", "SRC3"],
+          "WITH " + _SQL_IDS + """SELECT h2ik, egk_nr, CASE WHEN egk_nr = '' THEN kv_nummer ELSE '' END AS kv_nummer, pid
+          FROM s3""")
+def decode_file_roundtrip(spark, d):
+    """Decode file written as ``;`` text with a header, read back with the strict
+    field-count reader (lines with another field count are dropped)."""
+    from claimwise.session import scratch_path
+    from claimwise.sources.readers import read_delimited_strict
+    from claimwise.sources.sinks import write_decode_file
+
+    path = scratch_path(spark, "decoding")
+    write_decode_file(D.clean_ids(id_rows(spark, d), _unwanted(spark, d), ["seen", "row_id"]), path)
+    return read_delimited_strict(spark, path, ["h2ik", "egk_nr", "kv_nummer", "pid"])

@@ -73,7 +73,7 @@ def _drug(spark, d, with_pack=False, with_name=False):
     return E.run_chain(prescriptions(spark, d), [step], AM_EVO)
 
 
-def _drug_sql(select: str, with_pack=False, with_name=False) -> str:
+def _drug_sql(select: str, with_pack=False, with_name=False, rx_extra: str = "", rx_where: str = "") -> str:
     extra_main = ""
     extra_cat = ""
     if with_pack:
@@ -106,8 +106,8 @@ cat AS (
 rx AS (
   SELECT l_orderkey, l_linenumber,
     CASE WHEN l_linenumber = 7 THEN CAST(l_partkey AS VARCHAR) ELSE lpad(CAST(l_partkey AS VARCHAR), 8, '0') END AS pzn,
-    l_quantity AS pk, CAST(l_shipdate AS DATE) AS d
-  FROM lineitem),
+    l_quantity AS pk, CAST(l_shipdate AS DATE) AS d {rx_extra}
+  FROM lineitem {rx_where}),
 j AS (SELECT * FROM rx LEFT JOIN cat ON cat.k = rx.pzn)
 SELECT {select} FROM j"""
 
@@ -258,3 +258,49 @@ def lookup_append(spark, d):
     out = E.run_chain(rows, [E.LookupColumns(mapping, ("vertrags_id", "efn_id"))], ARZT_FALL)
     return out.select("o_orderkey", F.col("vertrags_id").alias("o_orderstatus"),
                       F.col("efn_id").alias("o_orderpriority"), "value1", "value2")
+
+
+_REGION_CASE = """CASE WHEN length(bs_nr) < 2 THEN '' ELSE (CASE
+    WHEN sub = 1 THEN '01' WHEN sub = 2 THEN '02' WHEN sub = 3 THEN '03'
+    WHEN sub BETWEEN 6 AND 17 THEN '17' WHEN sub BETWEEN 18 AND 20 THEN '20'
+    WHEN sub IN (21, 24, 25, 27, 28, 31, 37, 38) THEN '38' WHEN sub BETWEEN 39 AND 46 THEN '46'
+    WHEN sub BETWEEN 47 AND 51 THEN '51' WHEN sub BETWEEN 52 AND 62 THEN '52'
+    WHEN sub BETWEEN 63 AND 71 THEN '71' WHEN sub = 72 THEN '72' WHEN sub = 73 THEN '73'
+    WHEN sub = 78 THEN '78' WHEN sub IN (79, 80, 81, 83) THEN '83' WHEN sub IN (85, 86, 87, 88) THEN '88'
+    WHEN sub IN (89, 90, 91, 93) THEN '93' WHEN sub IN (94, 95, 96, 98) THEN '98' ELSE '' END) END"""
+
+_RX_EXTRA = """, CASE WHEN l_suppkey < 5 THEN CAST(l_suppkey AS VARCHAR) ELSE CAST(l_suppkey * 1013 AS VARCHAR) END AS bs_nr,
+    TRY_CAST(substr(CASE WHEN l_suppkey < 5 THEN CAST(l_suppkey AS VARCHAR) ELSE CAST(l_suppkey * 1013 AS VARCHAR) END, 1, 2)
+             AS INTEGER) AS sub,
+    CASE l_suppkey % 5 WHEN 0 THEN '26' || CAST(l_suppkey AS VARCHAR) WHEN 1 THEN '30' || CAST(l_suppkey AS VARCHAR)
+       WHEN 2 THEN '' WHEN 3 THEN NULL ELSE '11' || CAST(l_suppkey AS VARCHAR) END AS ik"""
+
+
+@register("export_chain", ["ENR1", "ENR10", "FLT18", "FLT8", "FLT11", "FLT12", "SRC1", "SRC2", "SCL18"], _drug_sql(
+    "'101575519' AS h2ik, l_orderkey, l_linenumber, pzn, " + _REGION_CASE + " AS kv, "
+    "CASE WHEN ik IS NULL OR ik = '' THEN '' WHEN substr(ik, 1, 2) IN ('26', '30') THEN substr(ik, 1, 2) "
+    "ELSE '00' END AS apo_typ, " + _DDD_SQL,
+    rx_extra=_RX_EXTRA,
+    rx_where="WHERE year(l_shipdate) BETWEEN 1996 AND 2000 "
+             "AND NOT regexp_full_match(CASE WHEN l_linenumber = 7 THEN CAST(l_partkey AS VARCHAR) "
+             "ELSE lpad(CAST(l_partkey AS VARCHAR), 8, '0') END, '0000[0-9]{2}')"))
+def export_chain(spark, d):
+    """The export of one view: year slice, configured row filter, then the ordered
+    enrichment chain (steps for other tables and invalid steps leave the frame as it is)."""
+    from claimwise.operators import rowfilters as RF
+    from claimwise.operators.extract import ExtractSpec, YearSlice, extract
+
+    rx = prescriptions(spark, d).withColumn("bezugsjahr", F.year(F.col("verordnungsdatum").cast("date")))
+    view = extract(rx, ExtractSpec(year_slice=YearSlice("bezugsjahr", 1996, 2000)))
+    view = RF.apply_filters(view, [RF.RowFilter("pzn", RF.RegexStrategy("0000[0-9]{2}"), "EXCLUDE")], AM_EVO)
+    steps = [
+        E.StaticColumn("h2ik", "101575519", first=True, table="am_evo"),
+        E.FixMissingDates(),                       # targets outpatient cases: skipped here
+        E.Noop("unknown mode"),
+        E.RegionFromPractice(),
+        E.PharmacyType(table="am_evo"),
+        E.DrugCatalogue((_main_source(spark, d), _supplement(spark, d))),
+        E.PseudoHash(),                            # targets the master table: skipped here
+    ]
+    out = E.run_chain(view, steps, AM_EVO)
+    return out.select("h2ik", "l_orderkey", "l_linenumber", "pzn", "kv", "apo_typ", E.DDD)

@@ -123,7 +123,7 @@ def reference_quarter(spark, d):
     return stats.reference_quarter(_slices(spark, d)["outpatient"], Y0, Y1)
 
 
-@register("regional_ratio", ["AGG6", "JON7", "JON8", "WIN6", "FLT17", "D3", "D16"], f"""
+@register("regional_ratio", ["AGG6", "JON7", "JON8", "WIN6", "FLT17", "SRT1", "D3", "D16"], f"""
 WITH ref AS ({_REF_SQL}),
 cases AS (
   SELECT o.o_orderkey AS id, CAST(year(o.o_orderdate) AS INTEGER) AS y, CAST(quarter(o.o_orderdate) AS INTEGER) AS q,
@@ -155,3 +155,36 @@ def regional_ratio(spark, d):
     return stats.regional_ratio(cases, S.region_lookup(spark, d), ref,
                                 year="bezugsjahr", quarter="behandl_quartal", case_id="efn_id",
                                 region="kv", contract_col="vertrags_id")
+
+
+_REPORT_SQL = """
+SELECT 'Kasse ' || lower(c_mktsegment) AS insurance, 'S' || CAST(c_nationkey % 3 AS VARCHAR) AS setup,
+  CAST(2000 + c_nationkey % 3 AS VARCHAR) AS grouper_year, CAST(2001 + c_nationkey % 3 AS VARCHAR) AS benefit_year,
+  CAST(2002 + c_nationkey % 3 AS VARCHAR) AS reporting_year, CAST(1 + count(*) % 4 AS VARCHAR) AS quarter,
+  CAST(count(*) AS VARCHAR) AS configuration
+FROM customer GROUP BY c_mktsegment, c_nationkey % 3"""
+
+
+@register("morbidity_report_lookup", ["SRC9", "JON13"],
+          "SELECT * FROM (" + _REPORT_SQL + ") r WHERE contains(lower(insurance), 'building') "
+          "OR contains(lower(insurance), 'acc_adb')")
+def morbidity_report_lookup(spark, d):
+    """Report file (written from customer by Spark), read back, rows of the insurer whose
+    name contains the database or the dataset name."""
+    from claimwise.session import scratch_path
+    from claimwise.sources.readers import read_morbidity_report
+    from claimwise.sources.sinks import write_slices
+
+    c = S.table(spark, d, "customer")
+    m = F.col("c_nationkey") % 3
+    report = (c.groupBy(F.col("c_mktsegment"), m.alias("_m")).agg(F.count("*").alias("_n"))
+              .select(F.concat(F.lit("Kasse "), F.lower("c_mktsegment")).alias("insurance"),
+                      F.concat(F.lit("S"), F.col("_m").cast("string")).alias("setup"),
+                      (F.col("_m") + 2000).cast("string").alias("grouper_year"),
+                      (F.col("_m") + 2001).cast("string").alias("benefit_year"),
+                      (F.col("_m") + 2002).cast("string").alias("reporting_year"),
+                      (F.col("_n") % 4 + 1).cast("string").alias("quarter"),
+                      F.col("_n").cast("string").alias("configuration")))
+    path = scratch_path(spark, "morbi")
+    write_slices(report, path, fmt="csv")
+    return stats.report_for_dataset(read_morbidity_report(spark, path), "ACC_ADB", "Building")
