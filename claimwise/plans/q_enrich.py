@@ -16,7 +16,7 @@ VERS_STAMM = FrameMeta("ACC_ADB", "AVK_ADB_T_VERS_STAMM")
 
 def prescriptions(spark, d):
     """AM_EVO stand-in (export layer: strings)."""
-    li = S.table(spark, d, "lineitem")
+    li = S.table(spark, d, "lineitem", spread_rows=True)
     return li.select(
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_linenumber") == 7, F.col("l_partkey").cast("string"))

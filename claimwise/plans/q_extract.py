@@ -187,7 +187,7 @@ def filter_employee_anti(spark, d):
 SELECT doc_id, regexp_replace(translate(COALESCE(text, ''), ';"', '_'),
                               '^[\x00-\x20]+|[\x00-\x20]+\z', '', 'g') AS text FROM documents""")
 def clean_values(spark, d):
-    return S.table(spark, d, "documents").select("doc_id", clean_value("text").alias("text"))
+    return S.table(spark, d, "documents", spread_rows=True).select("doc_id", clean_value("text").alias("text"))
 
 
 @register("rename_lower", ["PRJ5"], "SELECT n_nationkey, n_name, n_regionkey FROM nation")

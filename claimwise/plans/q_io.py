@@ -81,7 +81,7 @@ SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§
   regexp_replace(lang, '[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§€\[\]_-]', '', 'g') AS lang
 FROM documents""")
 def clean_rules(spark, d):
-    docs = S.table(spark, d, "documents").select("doc_id", "text", "source", "lang")
+    docs = S.table(spark, d, "documents", spread_rows=True).select("doc_id", "text", "source", "lang")
     rules = [Q.CleanRule("TYPE", ANY_EXCLUDE, type="ANY"),
              Q.CleanRule("NAME", DIGITS_ONLY, column="SOURCE"),
              Q.CleanRule("TYPE", r"[^0-9Ee.+-]", type="FLOAT")]   # no float column: no effect

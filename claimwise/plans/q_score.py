@@ -28,7 +28,7 @@ def patterns(spark):
 
 def diagnosis_facts(spark, d):
     """Diagnosis facts from lineitem: person = supplier, code from flags, line and part."""
-    li = S.table(spark, d, "lineitem")
+    li = S.table(spark, d, "lineitem", spread_rows=True)
     ship = F.to_date("l_shipdate")
     return li.select(
         S.pid_of("l_suppkey").alias("pid"),

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import pad_zeros
+from claimwise.session import spread
 
 # Configured year range of the statistics (covers the whole driver data).
 STAT_YEARS = (1995, 2001)
@@ -27,8 +28,11 @@ STAT_YEARS = (1995, 2001)
 AS_OF = "2001-06-30"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table.  ``spread_rows`` spreads a narrow input over all cores; used where
+    heavy per-row work (text regexes, explodes, lookups) precedes the first shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def pid_of(custkey) -> F.Column:

@@ -69,3 +69,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition of an input that has fewer partitions than the
+    session's default parallelism (e.g. one file with one row group), so that the
+    per-row work before the first shuffle uses all cores.  Inputs with many splits
+    (the normal case on a cluster) are returned unchanged: no extra shuffle.
+    Catalyst still pushes filters and column pruning below the repartition."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
