@@ -41,10 +41,14 @@ def person_base(base: DataFrame, pid="pid", dob="geburtsdatum", dod="sterbedatum
                 gender="geschlecht") -> DataFrame:
     """min birth date, min death date (ISO dates only), min gender character."""
     g = F.substring(empty_if_null(gender), 1, 1)
-    return base.groupBy(F.col(pid).alias("pid")).agg(
+    # characters below '9' are ASCII, so the minimum is taken on the character code
+    # (an integer keeps the aggregation hash-based) and turned back into text
+    code = F.when((g != "") & (g < GENDER_CEILING), F.ascii(g))
+    agg = base.groupBy(F.col(pid).alias("pid")).agg(
         F.min(iso_date(dob)).alias("_dob"),
         F.min(iso_date(dod)).alias("_dod"),
-        F.min(F.when((g != "") & (g < GENDER_CEILING), g)).alias("_gender"))
+        F.min(code).alias("_gcode"))
+    return agg.select("pid", "_dob", "_dod", F.when(F.col("_gcode").isNotNull(), F.chr("_gcode")).alias("_gender"))
 
 
 def person_kgs(region: DataFrame, pid="pid", kgs="kgs") -> DataFrame:

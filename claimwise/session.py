@@ -40,17 +40,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared file system folder and is only
     read.  Only when it is unset (local tests) a scratch folder is created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the SQL conf is visible
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="claimwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -77,7 +82,9 @@ def spread(df: DataFrame) -> DataFrame:
     per-row work before the first shuffle uses all cores.  Inputs with many splits
     (the normal case on a cluster) are returned unchanged: no extra shuffle.
     Catalyst still pushes filters and column pruning below the repartition."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if narrow else df
