@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwise.operators.lookup import lookup_side
+from claimwise.operators.lookup import bounded_broadcast, lookup_side
 
 OPERATORS = ("=", "<", ">", "like")
 KINDS = ("NUMERIC", "STRING", "COLUMN")
@@ -131,7 +131,7 @@ def apply_value_frame(df: DataFrame, w: Where) -> DataFrame:
         one = F.broadcast(vals.agg(agg.alias("_b")))
         cond = (c < F.col("_b")) if w.op == "<" else (c > F.col("_b"))
         return df.join(one, cond, "left_semi")
-    return df.join(lookup_side(vals.distinct()), F.like(c, F.col("_v")), "left_semi")
+    return df.join(bounded_broadcast(vals.distinct(), what="LIKE value list"), F.like(c, F.col("_v")), "left_semi")
 
 
 def apply_where(df: DataFrame, conditions) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Default bound for broadcasting a lookup (rows).  Beyond it the join is a
 # shuffle join (AQE may still switch it to broadcast after measuring it).
 MAX_BROADCAST_ROWS = 2_000_000
+# Bound for the broadcast side of a non-equi join (every row of the big side is
+# tested against every row of this side).
+MAX_NONEQUI_ROWS = 100_000
 
 
 def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -33,3 +36,12 @@ def require_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> None
     dup = unique_keys(df, keys).limit(1).collect()
     if dup:
         raise ValueError(f"{what}: duplicate key {dup[0].asDict()}")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_NONEQUI_ROWS, what: str = "list") -> DataFrame:
+    """Broadcast side of a non-equi join (LIKE, ranges).  Such joins can only run as a
+    broadcast nested loop, so an unbounded side is refused instead of turning into an
+    all-pairs product."""
+    if not is_bounded(df, max_rows):
+        raise ValueError(f"{what} has more than {max_rows} rows; a non-equi join needs a bounded side")
+    return F.broadcast(df)

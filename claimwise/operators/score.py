@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import (quarter_begin_text, quarter_end_text, quarter_index,
                                          quarter_of_index, year_of_index)
-from claimwise.operators.lookup import lookup_side
+from claimwise.operators.lookup import bounded_broadcast, lookup_side
 
 WILDCARDS = r"[_%\\]"
 
@@ -59,7 +59,8 @@ def pattern_join(facts: DataFrame, patterns: DataFrame, code: str = "icd_code",
                            (F.col("_pp.p") == F.col("pattern")) & (F.col("_pp.n") == F.col("_len")))
         parts.append(eq.drop("_pp", "_len"))
     if wild.limit(1).count():
-        parts.append(facts.join(lookup_side(wild), F.like(F.col(code), F.concat(F.col("pattern"), F.lit("%")))))
+        pats = bounded_broadcast(wild, what="wildcard pattern list")
+        parts.append(facts.join(pats, F.like(F.col(code), F.concat(F.col("pattern"), F.lit("%")))))
     if not parts:
         return facts.select("*", F.lit(None).cast("string").alias("pattern"),
                             F.lit(None).cast("string").alias("disease_class"),
