@@ -37,7 +37,7 @@ def main() -> None:
     from claimwise.plans.registry import load_all
     from claimwise.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="claimwise-bench")
     reg = load_all()
     times: dict[str, float] = {}

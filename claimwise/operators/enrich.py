@@ -18,7 +18,7 @@ from claimwise.functions.scalars import (clean_package_name, empty_if_null, is_c
                                          java_trim, main_region, pad_zeros, pharmacy_type,
                                          quarter_begin_text, quarter_end_text, sha256_hex,
                                          strict_int)
-from claimwise.operators.lookup import lookup_side, require_unique
+from claimwise.operators.lookup import MAX_BROADCAST_ROWS, lookup_side, require_unique
 from claimwise.operators.rowfilters import FrameMeta, targets
 
 # Fixed values that define results: catalogue column labels.
@@ -195,13 +195,16 @@ class LookupColumns:
         values = [c for c in self.mapping.columns if c not in self.keys]
         if not set(self.keys) <= set(df.columns):
             return df.select("*", *[F.lit("").alias(v) for v in values])
-        if self.check_unique:
-            require_unique(self.mapping, list(self.keys), "lookup mapping")
         m = self.mapping.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(self.keys)],
                                 *[F.col(v).alias(f"_v_{v}") for v in values])
+        if self.check_unique:
+            n = require_unique(self.mapping, list(self.keys), "lookup mapping")
+            side = F.broadcast(m) if n <= MAX_BROADCAST_ROWS else m
+        else:
+            side = lookup_side(m)
         cond = reduce(lambda a, b: a & b,
                       [empty_if_null(k) == F.col(f"_k{i}") for i, k in enumerate(self.keys)])
-        joined = df.join(lookup_side(m), cond, "left")
+        joined = df.join(side, cond, "left")
         return joined.select(*[F.col(c) for c in df.columns],
                              *[F.coalesce(F.col(f"_v_{v}"), F.lit("")).alias(v) for v in values])
 

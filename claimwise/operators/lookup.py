@@ -31,11 +31,14 @@ def unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
-def require_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> None:
-    """Reject a lookup with duplicate keys before it can multiply rows of a join."""
-    dup = unique_keys(df, keys).limit(1).collect()
-    if dup:
-        raise ValueError(f"{what}: duplicate key {dup[0].asDict()}")
+def require_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> int:
+    """Reject a lookup with duplicate keys before it can multiply rows of a join.
+
+    Returns the number of rows (one job answers both questions)."""
+    r = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
+    if r["m"] is not None and r["m"] > 1:
+        raise ValueError(f"{what}: duplicate keys")
+    return int(r["n"] or 0)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_NONEQUI_ROWS, what: str = "list") -> DataFrame:

@@ -27,40 +27,40 @@ from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import (quarter_begin_text, quarter_end_text, quarter_index,
                                          quarter_of_index, year_of_index)
-from claimwise.operators.lookup import bounded_broadcast, lookup_side
+from claimwise.operators.lookup import MAX_BROADCAST_ROWS, MAX_NONEQUI_ROWS
 
 WILDCARDS = r"[_%\\]"
 
 
-def split_patterns(patterns: DataFrame, col: str = "icd_code"):
-    """(prefix patterns, wildcard patterns)."""
-    has_wild = F.col(col).rlike(WILDCARDS)
-    return patterns.filter(~has_wild), patterns.filter(has_wild)
-
-
 def pattern_join(facts: DataFrame, patterns: DataFrame, code: str = "icd_code",
                  pattern: str = "icd_code") -> DataFrame:
     """All (fact, pattern) pairs with ``fact.code LIKE pattern || '%'``.
 
     Output: fact columns + ``pattern``, ``disease_class``, ``cci_weight``."""
     pats = patterns.select(F.col(pattern).alias("pattern"), "disease_class", "cci_weight")
-    prefix, wild = split_patterns(pats, "pattern")
-    prefix = prefix.withColumn("_len", F.length("pattern"))
-    # The distinct prefix lengths are a handful of integers (bounded by the longest
-    # pattern); reading them on the driver is metadata, not data.
-    lengths = sorted({r[0] for r in prefix.select("_len").distinct().collect()})
+    is_wild = F.col("pattern").rlike(WILDCARDS)
+    # One small job over the pattern list: prefix lengths (a handful of integers,
+    # bounded by the longest pattern) and the size of both kinds.
+    meta = pats.agg(
+        F.collect_set(F.when(~is_wild, F.length("pattern"))).alias("lengths"),
+        F.count(F.when(~is_wild, 1)).alias("n_prefix"),
+        F.count(F.when(is_wild, 1)).alias("n_wild")).first()
+    lengths = sorted(meta["lengths"])
+    prefix = pats.filter(~is_wild).withColumn("_len", F.length("pattern"))
     parts = []
     if lengths:
         pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.substring(F.col(code), 1, n).alias("p"))
                                     for n in lengths]))
         exploded = (facts.withColumn("_pp", pairs)
                     .filter(F.length(F.col(code)) >= F.col("_pp.n")))
-        eq = exploded.join(lookup_side(prefix),
-                           (F.col("_pp.p") == F.col("pattern")) & (F.col("_pp.n") == F.col("_len")))
+        side = F.broadcast(prefix) if meta["n_prefix"] <= MAX_BROADCAST_ROWS else prefix
+        eq = exploded.join(side, (F.col("_pp.p") == F.col("pattern")) & (F.col("_pp.n") == F.col("_len")))
         parts.append(eq.drop("_pp", "_len"))
-    if wild.limit(1).count():
-        pats = bounded_broadcast(wild, what="wildcard pattern list")
-        parts.append(facts.join(pats, F.like(F.col(code), F.concat(F.col("pattern"), F.lit("%")))))
+    if meta["n_wild"]:
+        if meta["n_wild"] > MAX_NONEQUI_ROWS:
+            raise ValueError("wildcard pattern list is too large for a LIKE join")
+        wild = F.broadcast(pats.filter(is_wild))
+        parts.append(facts.join(wild, F.like(F.col(code), F.concat(F.col("pattern"), F.lit("%")))))
     if not parts:
         return facts.select("*", F.lit(None).cast("string").alias("pattern"),
                             F.lit(None).cast("string").alias("disease_class"),
