@@ -142,7 +142,13 @@ def fingerprint_append(spark, d):
         "c_custkey", S.pid_of("c_custkey").alias("pid"), "c_name",
         F.lit("stale").alias("pid_hash"))
     step = E.FingerprintColumn(_fingerprints(spark, d))
-    return E.run_chain(master, [step], FrameMeta("ACC_ADB", "AVK_ADB_T_VERS_STAMM"))
+    updated = E.run_chain(master, [step], FrameMeta("ACC_ADB", "AVK_ADB_T_VERS_STAMM"))
+    # the updated master table is written as a new version next to the old one
+    from claimwise.session import scratch_path
+    from claimwise.sources.sinks import write_new_version
+
+    path = write_new_version(updated, scratch_path(spark, "vers_stamm"), "1")
+    return spark.read.parquet(path)
 
 
 @register("distinct_union_sentinel", ["SET1", "SET3"], "WITH " + _SQL_ROWS + """

@@ -84,3 +84,26 @@ SELECT source_table, pid, {_qtext('st', True)} AS window_start, {_qtext(f'least(
 def score_sliding(spark, d):
     matched = SC.pattern_join(diagnosis_facts(spark, d), patterns(spark))
     return SC.sliding_scores(matched, _Y0, _Y1, S.AS_OF, insurers=INSURERS)
+
+
+@register("score_files", ["SNK6", "WIN5"], "WITH " + _FACTS_SQL + f""",
+red AS (
+  SELECT source_table, pid, year * 4 + quarter - 1 AS qi, disease_class, max(cci_weight) AS w, min(h2ik) AS ins
+  FROM m WHERE year * 4 + quarter - 1 BETWEEN {_FIRST} AND least({_LAST + 3}, {_CAP}) GROUP BY ALL),
+win AS (SELECT CAST(s AS BIGINT) AS st FROM range({_FIRST}, {_LAST + 1}) t(s)),
+x AS (SELECT red.*, win.st FROM red JOIN win ON red.qi BETWEEN win.st AND least(win.st + 3, {_CAP})),
+pc AS (SELECT source_table, pid, st, disease_class, max(w) AS w, min(ins) AS ins FROM x GROUP BY ALL),
+sc AS (SELECT source_table, pid, st, CAST(sum(w) AS INTEGER) AS weight, min(ins) AS h2ik FROM pc GROUP BY ALL)
+SELECT source_table, pid, {_qtext('st', True)} AS window_start, {_qtext(f'least(st + 3, {_CAP})', False)} AS window_end,
+  weight, h2ik FROM sc""")
+def score_files(spark, d):
+    """Score rows written as files partitioned by source table and window start, then
+    read back (the partition columns come back from the directory names)."""
+    from claimwise.session import scratch_path
+    from claimwise.sources.sinks import write_scores
+
+    path = scratch_path(spark, "cci")
+    write_scores(score_sliding(spark, d), path)
+    back = spark.read.parquet(path)
+    return back.select("source_table", "pid", F.col("window_start").cast("string").alias("window_start"),
+                       "window_end", "weight", "h2ik")
