@@ -91,7 +91,8 @@ def quarter_calendar(spark, lower_year: int, upper_year: int, slices: list[str]
 def pad_to_years(counts: DataFrame, lower_year: int, upper_year: int) -> DataFrame:
     """Left join one slice's counts onto the whole-year calendar, zero for gaps."""
     cal = quarter_calendar(counts.sparkSession, lower_year, upper_year)
-    return (cal.join(counts, ["year", "quarter"], "left")
+    bounded = counts.filter(F.col("year").between(lower_year, upper_year) & F.col("quarter").between(1, 4))
+    return (cal.join(F.broadcast(bounded), ["year", "quarter"], "left")
             .select("year", "quarter", F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("cnt")))
 
 
@@ -116,10 +117,15 @@ def overview(slices: dict[str, DataFrame], lower_year: int, upper_year: int) ->
     """Long overview over several slices (slice, year, quarter, cnt, ratio, out_of_tolerance)."""
     labelled = [df.select(F.lit(name).alias("slice"), "year", "quarter", "cnt")
                 for name, df in slices.items()]
-    counts = reduce(DataFrame.unionByName, labelled)
+    # Only the configured years and real quarters count (the reference's statistics
+    # queries are restricted to the configured years).  Each slice then has at most
+    # one row per calendar quarter, so the counts are bounded by the calendar size
+    # and are broadcast into the calendar join (no shuffle of either side).
+    counts = reduce(DataFrame.unionByName, labelled).filter(
+        F.col("year").between(lower_year, upper_year) & F.col("quarter").between(1, 4))
     spark = counts.sparkSession
     cal = quarter_calendar(spark, lower_year, upper_year, list(slices))
-    padded = (cal.join(counts, ["slice", "year", "quarter"], "left")
+    padded = (cal.join(F.broadcast(counts), ["slice", "year", "quarter"], "left")
               .select("slice", "year", "quarter",
                       F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("cnt")))
     return year_on_year(padded)
