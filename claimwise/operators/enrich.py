@@ -266,6 +266,12 @@ def consolidate(sources: list[CatalogueSource]) -> DataFrame:
     return merged.select(*cols)
 
 
+def supplement_only_keys(sources: list[CatalogueSource]) -> DataFrame:
+    """Keys defined by a later source but not by the main source (no validity range)."""
+    cons = consolidate(sources)
+    return cons.filter(~F.col("_in0")).select(F.col("_key").alias("key"))
+
+
 def _yyyymmdd(c):
     return F.try_to_date(c, "yyyyMMdd")
 

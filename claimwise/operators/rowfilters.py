@@ -117,3 +117,14 @@ def employee_ids(person_ids: DataFrame, pid="pid", card_staff="egk_nr_ma",
 def certain_diagnoses(df: DataFrame, certainty="diagnosesicherheit", contract="vertrags_id") -> DataFrame:
     """Confirmed diagnoses ('G') of the collective contract ('KV'), case-insensitive."""
     return df.filter((F.upper(F.col(certainty)) == "G") & (F.upper(F.col(contract)) == "KV"))
+
+
+def data_family(df: DataFrame, insurers: list[str] | None = None, flag: str | None = None,
+                insurer_col: str = "h2ik") -> DataFrame:
+    """Rows of one data family: by insurer id (``h2ik IN (...)``) or by a flag
+    column (``flag_<name> = 1``)."""
+    if (insurers is None) == (flag is None):
+        raise ValueError("give exactly one of insurers or flag")
+    if insurers is not None:
+        return df.filter(F.col(insurer_col).isin(list(insurers)))
+    return df.filter(F.col(f"flag_{flag}").cast("int") == 1)

@@ -194,3 +194,8 @@ def test_pseudo_hash(spark):
 def test_noop(spark):
     df = spark.createDataFrame([("a",)], "x string")
     assert E.run_chain(df, [E.Noop("bad config")]).columns == ["x"]
+
+
+def test_supplement_only_keys(spark, without_name):
+    keys = E.supplement_only_keys(list(without_name.sources))
+    assert rows(keys) == [("00000004",)]

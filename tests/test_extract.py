@@ -106,3 +106,11 @@ def test_certain_diagnoses(spark):
     df = spark.createDataFrame([("G", "KV"), ("g", "kv"), ("V", "KV"), ("G", "kv ")], "s string, v string")
     out = RF.certain_diagnoses(df, "s", "v")
     assert rows(out) == [("G", "KV"), ("g", "kv")]
+
+
+def test_data_family(spark):
+    df = spark.createDataFrame([("1", 1), ("2", 0), ("3", 1)], "h2ik string, flag_x int")
+    assert rows(RF.data_family(df, insurers=["1", "2"]), "h2ik") == [("1",), ("2",)]
+    assert rows(RF.data_family(df, flag="x"), "h2ik") == [("1",), ("3",)]
+    with pytest.raises(ValueError):
+        RF.data_family(df)

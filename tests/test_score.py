@@ -71,3 +71,9 @@ def test_pattern_join_equals_brute_force(spark):
     got = rows(SC.pattern_join(f, p), "id", "pattern")
     want = sorted((i, x) for i, c in enumerate(codes) for x in pats if like(c, x))
     assert got == want
+
+
+def test_window_score(spark):
+    df = spark.createDataFrame([("p", "a", 1), ("p", "a", 3), ("p", "b", 2), ("q", "a", 1)],
+                               "pid string, disease_class string, cci_weight int")
+    assert rows(SC.window_score(df)) == [("p", 5), ("q", 1)]
