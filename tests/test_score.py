@@ -77,3 +77,8 @@ def test_window_score(spark):
     df = spark.createDataFrame([("p", "a", 1), ("p", "a", 3), ("p", "b", 2), ("q", "a", 1)],
                                "pid string, disease_class string, cci_weight int")
     assert rows(SC.window_score(df)) == [("p", 5), ("q", 1)]
+
+
+def test_pattern_join_long_wildcard_list_path(spark, monkeypatch):
+    monkeypatch.setattr(SC, "INLINE_WILDCARDS", 0)
+    test_pattern_join_equals_brute_force(spark)
