@@ -27,10 +27,12 @@ def id_rows(spark, d):
 
 def membership(spark, d):
     """MENSCH_AKTUELL stand-in: validity end per (insurer, card, person), same scan of orders."""
-    o = S.table(spark, d, "orders").filter(F.col("o_orderkey") % 7 != 0)
+    o = S.table(spark, d, "orders")
     rows = o.select(*_id_columns(F.col("o_orderkey")), "o_totalprice")
+    # every seventh order carries no validity end (NULL), like a person without membership
+    valid_to = F.when(F.col("row_id") % 7 != 0, F.date_add("seen", (F.col("o_totalprice").cast("int") % 400)))
     return (rows.groupBy("h2ik", "egk_nr", F.col("pid").alias("k_mensch_id"))
-            .agg(F.max(F.date_add("seen", (F.col("o_totalprice").cast("int") % 400))).alias("max_gueltig_bis")))
+            .agg(F.max(valid_to).alias("max_gueltig_bis")))
 
 
 _SQL_IDS = """
@@ -43,8 +45,9 @@ ids AS (
   FROM orders),
 ma AS (
   SELECT h2ik, egk_nr, pid AS k_mensch_id,
-    max(seen + CAST(CAST(trunc(o_totalprice) AS BIGINT) % 400 AS INTEGER)) AS max_gueltig_bis
-  FROM ids WHERE row_id % 7 <> 0 GROUP BY 1, 2, 3),
+    max(CASE WHEN row_id % 7 <> 0 THEN seen + CAST(CAST(trunc(o_totalprice) AS BIGINT) % 400 AS INTEGER) END)
+      AS max_gueltig_bis
+  FROM ids GROUP BY 1, 2, 3),
 dup AS (
   SELECT egk_nr FROM ids WHERE h2ik IN ('1', '2', '3', '4') AND egk_nr <> '' GROUP BY 1 HAVING count(*) > 1),
 ds AS (
