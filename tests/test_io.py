@@ -71,3 +71,17 @@ def test_separate_datasets(spark):
     sep = spark.createDataFrame([("A", "1"), ("B", "2")], "dataset string, h2ik string")
     df = spark.createDataFrame([("1", 10), ("2", 20), ("3", 30)], "h2ik string, v int")
     assert rows(Q.separate_datasets(df, sep), "dataset", "v") == [("A", 10), ("B", 20)]
+
+
+def test_session_helpers(spark):
+    from claimwise.session import cut_lineage, ensure_checkpoint_dir, spread
+
+    assert ensure_checkpoint_dir(spark)
+    df = spark.range(100).coalesce(1)
+    spread_df = spread(df)
+    assert spread_df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r[0] for r in spread_df.collect()) == list(range(100))
+    wide = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
+    assert spread(wide) is wide
+    cut = cut_lineage(spark.range(10).filter("id % 2 = 0"))
+    assert cut.count() == 5
