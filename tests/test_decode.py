@@ -77,3 +77,15 @@ def test_loss_ratio(spark):
     r = D.loss_ratio(a, b).first()
     assert (r["n_input"], r["n_valid"], r["n_duplicates"], r["warn"]) == (21, 20, 1, False)
     assert abs(r["loss"] - 0.05) < 1e-12
+
+
+def test_first_ranked_with_hot_key(spark):
+    data = [("hot", i % 5, i) for i in range(60)] + [("cold", 3, 100), ("cold", 2, 101), ("cold", 2, 102),
+                                                     ("nul", None, 200), ("nul", 1, 201)]
+    df = spark.createDataFrame(data, "k string, v int, id int")
+    plain = D.first_ranked(df, "k", "v", hot_rows=10 ** 9)
+    salted = D.first_ranked(df, "k", "v", hot_rows=10)
+    want = sorted([("hot", 0, i) for i in range(0, 60, 5)] + [("cold", 2, 101), ("cold", 2, 102), ("nul", None, 200)],
+                  key=str)
+    assert sorted((tuple(r) for r in plain.collect()), key=str) == want
+    assert sorted((tuple(r) for r in salted.collect()), key=str) == want
