@@ -8,7 +8,7 @@ Lookups are joins: broadcast when their row count is proven small
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -300,7 +300,6 @@ class DrugCatalogue:
     def catalogue(self) -> DataFrame:
         cons = consolidate(list(self.sources))
         labels = [c for c in cons.columns if not c.startswith("_")]
-        main = self.sources[0]
         has_adm = F.lit(False)
         has_ret = F.lit(False)
         for i, s in enumerate(self.sources):
@@ -319,7 +318,6 @@ class DrugCatalogue:
             name = F.col(NAME)
             out = out.withColumn(IS_CLASSIFIED, is_classified(name)).withColumn(
                 NAME, F.when(name.isNull(), F.lit("")).otherwise(clean_package_name(name)))
-        del main
         return out
 
     def data_labels(self) -> list[str]:
@@ -393,5 +391,5 @@ class FingerprintColumn:
 __all__ = [
     "run_chain", "Noop", "StaticColumn", "PharmacyType", "RegionFromPractice", "StartDate",
     "FixMissingDates", "PseudoHash", "LookupColumns", "CatalogueSource", "consolidate",
-    "DrugCatalogue", "FingerprintColumn", "field",
+    "DrugCatalogue", "FingerprintColumn", "supplement_only_keys",
 ]
