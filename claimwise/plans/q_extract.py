@@ -123,7 +123,7 @@ def extract_join_left(spark, d):
     return extract(S.table(spark, d, "customer"), spec)
 
 
-_PART_META = RF.FrameMeta("ACC_WIDO", "AVK_PART")
+_PART_META = RF.FrameMeta("ACC_CATALOGUE", "AVK_PART")
 
 
 @register("filter_regex_include", ["FLT11", "FLT12"],
