@@ -23,7 +23,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimwise.functions.scalars import as_col, concat_key, is_contract, out_of_tolerance
+from claimwise.functions.scalars import (as_col, concat_key, is_contract, out_of_tolerance, quarter_index,
+                                         quarter_of_index, year_of_index)
 
 
 # --- AGG1 / AGG3: distinct cases per (year, quarter) ------------------------------------
@@ -147,9 +148,10 @@ def reference_quarter(counts: DataFrame, lower_year: int | None = None,
         c = c.filter(F.col("year") >= lower_year)
     if upper_year is not None:
         c = c.filter(F.col("year") <= upper_year)
-    latest = c.agg(F.max(F.struct("year", "quarter")).alias("_m"))
-    return latest.select(F.col("_m.year").alias("year"), F.col("_m.quarter").alias("quarter")) \
-        .filter(F.col("year").isNotNull())
+    # latest quarter as the maximum of the integer quarter index (hash aggregation)
+    latest = c.agg(F.max(quarter_index("year", "quarter")).alias("_m"))
+    return (latest.filter(F.col("_m").isNotNull())
+            .select(year_of_index(F.col("_m")).alias("year"), quarter_of_index(F.col("_m")).alias("quarter")))
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
