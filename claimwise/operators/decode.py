@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import card_wins, empty_if_null, pad_pid_5_to_9, pad_zeros
-from claimwise.operators.lookup import HOT_KEY_ROWS, skew_safe_join
+from claimwise.operators.lookup import skew_safe_join
 
 PID_WIDTH = 10
 LOSS_WARN = 0.05
@@ -35,18 +35,19 @@ def duplicate_cards(ids: DataFrame, insurers: list[str] | None = None,
     return f.groupBy(F.col(card).alias("card")).count().filter(F.col("count") > 1).select("card")
 
 
-def first_ranked(df: DataFrame, key: str, order: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def first_ranked(df: DataFrame, key: str, order: str, salts: int = 8) -> DataFrame:
     """Rows with rank 1 of ``order`` within ``key`` (ties kept; NULL sorts first).
 
     Aggregate-then-join instead of a window: the per-key minimum is computed with
     partial aggregation, and the join back splits hot keys (``skew_safe_join``)."""
     stats = df.groupBy(key).agg(
         F.max(F.col(order).isNull().cast("int")).alias("_has_null"),
-        F.min(order).alias("_min"),
-        F.count("*").alias("_n"))
-    j = skew_safe_join(df, stats, [key], "_n", hot_rows=hot_rows)
+        F.min(order).alias("_min"))
+    # every key is salted: the per-key side (one row per key) grows by the salt
+    # factor only, and no pass is needed to find the hot keys
+    j = skew_safe_join(df, stats, [key], hot_rows=None, salts=salts)
     keep = F.when(F.col("_has_null") == 1, F.col(order).isNull()).otherwise(F.col(order) == F.col("_min"))
-    return j.filter(keep).drop("_has_null", "_min", "_n")
+    return j.filter(keep).drop("_has_null", "_min")
 
 
 def outdated_card_holders(ids: DataFrame, membership: DataFrame, insurers: list[str] | None = None,

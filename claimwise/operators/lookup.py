@@ -55,19 +55,28 @@ HOT_KEY_ROWS = 1_000_000
 SALTS = 32
 
 
-def skew_safe_join(big: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
-                   how: str = "inner", hot_rows: int = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join a large frame to a frame with one row per key that carries the key's row
-    count (``count_col``), splitting hot keys over ``salts`` partitions.
-
-    Rows of a hot key get a salt from a hash of their content (deterministic, so a
-    recomputed task after an executor loss salts identically); the per-key row of a
-    hot key is replicated once per salt.  The hot keys are broadcast: each has more
-    than ``hot_rows`` rows, so there are at most ``rows / hot_rows`` of them."""
-    hot = per_key.filter(F.col(count_col) > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
-    salted = big.join(F.broadcast(hot), keys, "left")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
-    salted = salted.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("long")).drop("_hot")
-    reps = F.when(F.col(count_col) > hot_rows, F.lit(salts)).otherwise(F.lit(1)).cast("long")
+def skew_safe_join(big: DataFrame, per_key: DataFrame, keys: list[str], count_col: str | None = None,
+                   how: str = "inner", hot_rows: int | None = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
+    """Join a large frame to a frame with one row per key, splitting hot keys over
+    ``salts`` partitions.
+
+    Rows of the big side get a salt from a hash of their content (deterministic, so
+    a recomputed task after an executor loss salts identically); the per-key row is
+    replicated once per salt.
+
+    * ``hot_rows`` given (and ``count_col`` holding the key's row count): only keys
+      with more than ``hot_rows`` rows are salted.  The hot keys are broadcast: each
+      has more than ``hot_rows`` rows, so there are at most ``rows / hot_rows``.
+    * ``hot_rows=None``: every key is salted (no detection pass; the per-key side
+      grows by the factor ``salts``) — for a per-key side that is small anyway."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("long")
+    if hot_rows is None:
+        salted = big.withColumn("_salt", salt)
+        reps = F.lit(salts).cast("long")
+    else:
+        hot = per_key.filter(F.col(count_col) > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
+        salted = big.join(F.broadcast(hot), keys, "left")
+        salted = salted.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0).cast("long"))).drop("_hot")
+        reps = F.when(F.col(count_col) > hot_rows, F.lit(salts)).otherwise(F.lit(1)).cast("long")
     replicated = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), reps - 1)))
     return salted.join(replicated, list(keys) + ["_salt"], how).drop("_salt")
