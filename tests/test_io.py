@@ -85,3 +85,14 @@ def test_session_helpers(spark):
     assert spread(wide) is wide
     cut = cut_lineage(spark.range(10).filter("id % 2 = 0"))
     assert cut.count() == 5
+
+
+def test_score_pattern_file(spark, tmp_path):
+    from claimwise.operators.score import pattern_join
+
+    p = tmp_path / "cci.csv"
+    p.write_text("icd_code;disease_class;cci_weight\nI21;mi;1\n\nC7_;tumor;6\n")
+    pats = R.read_score_patterns(spark, str(p))
+    assert rows(pats) == [("C7_", "tumor", 6), ("I21", "mi", 1)]
+    facts = spark.createDataFrame([("I214",), ("C781",), ("C7",), ("X",)], "icd_code string")
+    assert rows(pattern_join(facts, pats), "icd_code", "pattern") == [("C781", "C7_"), ("I214", "I21")]

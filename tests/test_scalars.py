@@ -98,3 +98,8 @@ def test_iso_date(spark):
     assert one(spark, S.iso_date("v"), "2010-2-3") is None
     assert one(spark, S.iso_date("v"), "2010-02-30") is None
     assert one(spark, F.col("v"), "x") == "x"
+
+
+def test_year_list(spark):
+    df = spark.createDataFrame([(2015, 2018)], "a int, b int")
+    assert df.select(S.year_list("a", "b")).first()[0] == [2015, 2016, 2017, 2018]
