@@ -199,3 +199,19 @@ def test_noop(spark):
 def test_supplement_only_keys(spark, without_name):
     keys = E.supplement_only_keys(list(without_name.sources))
     assert rows(keys) == [("00000004",)]
+
+
+def test_drug_catalogue_refuses_existing_label(spark, without_name):
+    rx = prescriptions(spark, [("00000001", "2010-04-01")]).withColumn("ddd", F.lit("x"))
+    with pytest.raises(ValueError):
+        E.run_chain(rx, [without_name], AM_EVO)
+
+
+def test_fingerprint_column_replaces_and_fills(spark):
+    master = spark.createDataFrame([("p1", "old"), ("p2", "old")], "pid string, pid_hash string")
+    fps = spark.createDataFrame([("p1", "abc")], "pid string, fingerprint string")
+    out = E.run_chain(master, [E.FingerprintColumn(fps)], FrameMeta("ACC_ADB", "AVK_ADB_T_VERS_STAMM"))
+    assert out.columns == ["pid", "pid_hash"]
+    assert rows(out) == [("p1", "abc"), ("p2", "")]
+    other = E.run_chain(master, [E.FingerprintColumn(fps)], FrameMeta("ACC_ADB", "AVK_ADB_T_KH_FALL"))
+    assert rows(other) == [("p1", "old"), ("p2", "old")]
