@@ -22,7 +22,7 @@ def _id_columns(k):
 
 def id_rows(spark, d):
     """PID_AKTUELL stand-in from orders: one id row per order, cards and numbers shared."""
-    return S.table(spark, d, "orders").select(*_id_columns(F.col("o_orderkey")))
+    return S.table(spark, d, "orders", spread_rows=True).select(*_id_columns(F.col("o_orderkey")))
 
 
 def membership(spark, d):
