@@ -6,14 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwise.llm import bpe, quality_rules, sharding
-from claimwise.llm.common import read
+from claimwise.llm import bpe, htmltext, langid, quality_rules, sharding
+from claimwise.llm.common import crc_remainder, read
 
 
 def op5_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_contiguous(read(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op7_segment_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_remainder(F.col("doc_id"), 3) == 1)
+    model = langid.fit(docs.filter(~F.col("held_out")), F.col("lang"), F.col("text"), F.col("doc_id"), public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "language.*")
+
+
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select("doc_id", "quality.*")
@@ -23,7 +29,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op5_minimax_shards, op8_quality_cascade, op9_byte_bpe)}
+def op10_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op5_minimax_shards, op7_segment_language, op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
 
 #: DuckDB forms of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
