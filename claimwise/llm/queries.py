@@ -6,10 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwise.llm import bpe, htmltext, langid, quality_rules, sharding
+from claimwise.llm import bpe, ctph, htmltext, langid, quality_rules, sharding, subword
 from claimwise.llm.common import crc_remainder, read
 
 
+def op2_context_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
+def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(crc_remainder(F.col("doc_id"), 3) != 1)
+    scored = subword.score(docs, subword.fit(docs, labels, "doc_id", "text", "quality"))
+    return scored.select("doc_id", (crc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "quality.*")
+
+
 def op5_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_contiguous(read(spark, sf_dir, "documents"), n_shards=24)
 
@@ -35,7 +46,7 @@ def op10_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op5_minimax_shards, op7_segment_language, op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
+    op2_context_fingerprints, op4_subword_quality, op5_minimax_shards, op7_segment_language, op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
 
 #: DuckDB forms of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
