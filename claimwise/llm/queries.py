@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwise.llm import bpe, ctph, htmltext, langid, quality_rules, sharding, subword
+from claimwise.llm import bpe, ctph, htmltext, langid, mixing, quality_rules, sharding, subword
 from claimwise.llm.common import crc_remainder, read
 
 
@@ -25,6 +25,10 @@ def op5_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_contiguous(read(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op6_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).drop("source")
+
+
 def op7_segment_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_remainder(F.col("doc_id"), 3) == 1)
     model = langid.fit(docs.filter(~F.col("held_out")), F.col("lang"), F.col("text"), F.col("doc_id"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -46,7 +50,8 @@ def op10_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_context_fingerprints, op4_subword_quality, op5_minimax_shards, op7_segment_language, op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
+    op2_context_fingerprints, op4_subword_quality, op5_minimax_shards, op6_block_mix, op7_segment_language,
+    op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
 
 #: DuckDB forms of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
