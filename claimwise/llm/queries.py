@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwise.llm import bpe, ctph, htmltext, langid, mixing, quality_rules, sharding, subword
+from claimwise.llm import bpe, ctph, htmltext, langid, minhash, mixing, quality_rules, sharding, subword
 from claimwise.llm.common import crc_remainder, read
 
 
+def op1_bayes_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op2_context_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctph.compare_with_edits(read(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_context_fingerprints, op4_subword_quality, op5_minimax_shards, op6_block_mix, op7_segment_language,
+    op1_bayes_near_dedup, op2_context_fingerprints, op4_subword_quality, op5_minimax_shards, op6_block_mix, op7_segment_language,
     op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
 
 #: DuckDB forms of the queries that SQL can express.
