@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwise.llm import bpe, ctph, htmltext, langid, minhash, mixing, quality_rules, sharding, subword
+from claimwise.llm import bpe, ctph, htmltext, langid, lbl, minhash, mixing, quality_rules, sharding, subword
 from claimwise.llm.common import crc_remainder, read
 
 
@@ -18,6 +18,10 @@ def op2_context_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctph.compare_with_edits(read(spark, sf_dir, "documents"))
 
 
+def op3_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score(read(spark, sf_dir, "documents"), crc_remainder(F.col("doc_id"), 7) != 2)
+
+
 def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").filter(crc_remainder(F.col("doc_id"), 3) != 1)
@@ -54,8 +58,8 @@ def op10_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bayes_near_dedup, op2_context_fingerprints, op4_subword_quality, op5_minimax_shards, op6_block_mix, op7_segment_language,
-    op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
+    op1_bayes_near_dedup, op2_context_fingerprints, op3_log_bilinear, op4_subword_quality, op5_minimax_shards, op6_block_mix,
+    op7_segment_language, op8_quality_cascade, op9_byte_bpe, op10_tree_text)}
 
 #: DuckDB forms of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
