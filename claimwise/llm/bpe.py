@@ -15,7 +15,6 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,27 +134,20 @@ def decode(df: DataFrame, vocabulary: str, pattern: str, ids_col: str = "ids") -
     return df.withColumn("decoded", run(F.col(ids_col)))
 
 
-def digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit integers) and
+def digests(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", into: str = "coded") -> DataFrame:
+    """``docs`` with one added struct column ``into``: ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit integers) and
     ``decoded_sha256`` (the decoded bytes).
 
     Encodes and decodes in one pass over Arrow batches, so that the ids are not moved.  Null text: as empty (no
     tokens, digests of nothing).  Repeated rows give repeated results; an empty table an empty result."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(vocabulary, pattern)
-        for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(1)]
-            counts, coded, decoded = [], [], []
-            for ids in c.encode_batch(texts):
-                counts.append(len(ids))
-                coded.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(c.decode_bytes(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for texts in batches:
+            out = [(len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(c.decode_bytes(ids)).hexdigest())
+                   for ids in c.encode_batch([t if isinstance(t, str) else "" for t in texts])]
+            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     short_batches(docs.sparkSession)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.withColumn(into, run(F.col(f"`{text_col}`")))

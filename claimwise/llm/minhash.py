@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimwise.llm.common import WordHashes, mixed, short_batches, stored, words_of
@@ -269,3 +269,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one of the smallest id.
+
+    Rows of one id are copies: one of them stays.  Rows without an id go.  See ``near_duplicates`` for the other cases."""
+    kept = near_duplicates(docs, id_col, text_col, k, percent).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    whole = docs.select(F.col(f"`{id_col}`").cast("long").alias("kept_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    first = F.row_number().over(Window.partitionBy("kept_id").orderBy(F.xxhash64(F.col(f"row.`{text_col}`"))))
+    whole = whole.join(kept, "kept_id", "left_semi").withColumn("copy", first).filter("copy = 1")
+    return whole.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

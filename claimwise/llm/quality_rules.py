@@ -131,5 +131,6 @@ def judge(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None = No
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     df = measured(docs, text_col).withColumn("base_failed", base)
     df = df.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade))
-    return df.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "quality"],
-                     F.struct(*counts, "base_failed", "kept").alias("quality"))
+    # the generator keeps filters on the verdict above it: pushed down, they would repeat the whole measurement in every term
+    verdict = F.explode(F.array(F.struct(*counts, "base_failed", "kept")))
+    return df.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "quality"], verdict.alias("quality"))
