@@ -125,7 +125,9 @@ def _takes(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights
         return pd.Series(permuted(slot.to_numpy() % n, n, key))
 
     runs = drawn.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {SLOT_RUN}"))))
-    runs = runs.repartition("shard", "source_no", "run").select(
+    # slots by the million are made from few small rows: the rows are dealt to as many tasks beforehand
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(slots.sum()) // 1_000_000 + 1)
+    runs = runs.repartition(tasks, "shard", "source_no", "run").select(
         "shard", "source_no", "blocks", (F.col("first") + F.col("run") * SLOT_RUN).alias("from"),
         F.least(F.lit(SLOT_RUN).cast("long"), F.col("n") - F.col("run") * SLOT_RUN).alias("n"))
     filled = runs.select("shard", "source_no", "blocks", F.explode(F.expr("sequence(`from`, `from` + n - 1)")).alias("slot"))
@@ -151,7 +153,8 @@ def _cut(placed: DataFrame, times: DataFrame, block: int) -> DataFrame:
     pieces = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
     low = F.greatest(F.col("start"), F.col("block") * block) - F.col("start")
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.col("start")
-    return (pieces.withColumns({"low": low, "high": high}).join(times, ["source_no", "block"], "left")
+    # a planner that sees the few rows that slots are made from would take their table for small and broadcast it
+    return (pieces.withColumns({"low": low, "high": high}).join(times.hint("merge"), ["source_no", "block"], "left")
             .withColumn("times", F.coalesce("times", F.lit(0).cast("long"))))
 
 

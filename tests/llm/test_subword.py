@@ -1,0 +1,58 @@
+import numpy as np
+from conftest_llm import HARD
+from pyspark.sql import functions as F
+
+from claimwise.llm import subword
+from claimwise.llm.common import WordHashes, crc_remainder
+
+
+def learned(spark, docs, sample):
+    labels = spark.createDataFrame([(int(i), int(q)) for i, q in zip(sample["doc_id"], sample["quality"], strict=True) if q == q], "doc_id long, quality int")
+    return subword.fit(docs, labels.filter(crc_remainder(F.col("doc_id"), 3) != 1), "doc_id", "text", "quality")
+
+
+def test_held_out_labels(spark, make, sample):
+    import pandas as pd
+
+    base = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    labels = spark.read.parquet(f"{base}/labels.parquet")
+    model = subword.fit(docs, labels.filter(crc_remainder(F.col("doc_id"), 3) != 1), "doc_id", "text", "quality")
+    got = subword.score(docs.select("doc_id", "text"), model).join(labels.filter(crc_remainder(F.col("doc_id"), 3) == 1), "doc_id").select("quality.score", "quality.predicted", labels["quality"].alias("true")).toPandas()
+    good, bad = got[got["true"] == 1]["score"].to_numpy(), got[got["true"] == 0]["score"].to_numpy()
+    assert (good[:, None] > bad[None]).mean() > 0.97
+    assert (got["predicted"] == got["true"]).mean() > 0.95 and isinstance(got, pd.DataFrame)
+
+
+def test_hard_rows_have_scores(spark, make, sample):
+    model = learned(spark, make(list(zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True))), sample)
+    out = subword.score(make(HARD), model)
+    got = out.collect()
+    assert len(got) == len(HARD) and all(0 <= r.quality.score <= 1 and r.quality.predicted == int(r.quality.score >= 0.5) for r in got)
+    by_id = {r.doc_id: r.quality.score for r in got}
+    assert by_id[1] == by_id[2] == by_id[3]  # without words: the classes' prior
+    assert subword.score(make([]), model).count() == 0
+
+
+def test_without_labels_the_score_is_one_half(spark, make):
+    model = subword.fit(make([(1, "a b")]), spark.createDataFrame([(1, None)], "doc_id long, quality int"), "doc_id", "text", "quality")
+    assert [r.quality.score for r in subword.score(make([(1, "a b"), (2, None)]), model).collect()] == [0.5, 0.5]
+
+
+def test_one_class_only(spark, make):
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    model = subword.fit(make([(1, "a b"), (2, "c d")]), labels, "doc_id", "text", "quality")
+    assert all(r.quality.predicted == 1 for r in subword.score(make([(1, "a b"), (2, None)]), model).collect())
+
+
+def test_folded_layer_equals_the_softmax():
+    m = subword.Model()
+    rng = np.random.default_rng(0)
+    m.layer = rng.normal(size=m.layer.shape).astype(np.float32)
+    words, chars = subword.features("some words words and more, some more", WordHashes())
+    w, c, bias = m.folded()
+    (wi, ws), (ci, cs) = subword.shares(words, subword.WORD_BUCKETS), subword.shares(chars, subword.CHAR_BUCKETS)
+    ids, weights = np.concatenate((wi, ci + subword.WORD_BUCKETS)), np.concatenate((ws, cs))
+    z = weights @ m.vectors[ids] @ m.layer + m.bias
+    assert abs((z[1] - z[0]) - (bias + w[words].mean() + c[chars].mean())) < 1e-4
+    assert subword.SAME in words  # a repeated word
