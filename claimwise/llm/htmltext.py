@@ -58,7 +58,7 @@ SCORED = set("p pre td blockquote dd li".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "up", "parts", "points", "chars", "linked", "odd", "holds", "paragraphs")
+    __slots__ = ("tag", "attrs", "up", "parts", "points", "chars", "linked", "odd", "holds", "titled", "paragraphs")
 
     def __init__(self, tag: str, attrs: str, up: Node | None):
         self.tag, self.attrs, self.up = tag, attrs, up
@@ -66,6 +66,7 @@ class Node:
         self.points = self.chars = self.linked = 0.0
         self.odd = False
         self.holds = tag in ("article", "main")  # it or one of its parts is the article by its tag
+        self.titled = tag in ("h1", "h2", "h3")
         self.paragraphs = int(tag == "p")
 
 
@@ -126,7 +127,7 @@ def parse(html: str) -> list[Node]:
 
 def _is_odd(node: Node, inside: bool, most: int) -> bool:
     """Whether an element is no part of an article; ``inside``: it stands in an <article> or <main>; ``most``: half of the page's paragraphs."""
-    if node.tag == "header" and inside:  # an article's own header holds its title
+    if node.tag == "header" and inside and node.titled:  # an article's own header holds its title
         return False
     if node.tag in DROPPED or node.tag == "header":
         return not node.holds
@@ -149,6 +150,7 @@ def _measure(nodes: list[Node]) -> list[Node]:
     """Marks the odd parts and sums text and link lengths without them; the other elements in page order."""
     for node in reversed(nodes[1:]):  # parts before what holds them
         node.up.holds |= node.holds
+        node.up.titled |= node.titled
         node.up.paragraphs += node.paragraphs
     order, stack, most = [], [(nodes[0], False)], nodes[0].paragraphs // 2
     while stack:

@@ -29,7 +29,9 @@ from claimwise.llm.common import short_batches, stored, words_of
 #: Words that are classes of their own (the end among them), suffix classes, and words whose counts workers hold.
 WORDS, SUFFIXES, HEAD = 800, 64, 50_000
 SIZE, PLACES = 16, 2
-NOISE, BATCH, RATE = 32, 2048, 0.15
+NOISE, BATCH, RATE = 32, 4096, 0.15
+#: Distinct words that a counting task holds before it passes its counts on.
+HELD = 800_000
 #: The end token; no word is empty.
 END = ""
 
@@ -39,6 +41,12 @@ def suffix_class(word: bytes) -> int:
     return WORDS + xxhash.xxh32_intdigest(word[-3:]) % SUFFIXES
 
 
+def tokens_of(text: str | None) -> list[bytes]:
+    out = words_of(text)
+    out.append(b"")
+    return out
+
+
 def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, c): occurrences of each token in all texts, ends included as ``END``."""
 
@@ -50,9 +58,8 @@ def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
         found: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
-                found.update(words_of(text.as_py()))
-                found[b""] += 1
-            if len(found) > 400_000:
+                found.update(tokens_of(text.as_py()))
+            if len(found) > HELD:
                 yield out(found)
                 found = Counter()
         if found:
@@ -105,7 +112,18 @@ class Lookup(dict):
 def read_vocabulary(counts: DataFrame) -> Vocabulary:
     """The vocabulary from the table of counts: ``HEAD`` rows and one per suffix class come to the driver."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    # the least count of the head, from a histogram of bounded size: exact for small counts, 1 % wide above
+    octave = F.floor(F.log2("c"))
+    coarse = F.when(F.col("c") < 4096, F.col("c")).otherwise((F.floor(F.col("c") / F.pow(F.lit(2.0), octave - 6)) * F.pow(F.lit(2.0), octave - 6)).cast("long"))
+    least, words_above = 1, 0
+    for r in sorted(counts.groupBy(coarse.alias("c")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["c"]):
+        words_above += r["n"]
+        if words_above > HEAD:
+            break
+        least = r["c"]
+    else:
+        least = 1
+    head = sorted(counts.filter(F.col("c") >= least).collect() if words_above else [], key=lambda r: (-r["c"], r["word"]))
 
     @F.pandas_udf("int")
     def kind(words: pd.Series) -> pd.Series:
@@ -206,7 +224,7 @@ def train(docs: DataFrame, text_col: str, vocabulary: Vocabulary) -> np.ndarray:
         trainer = Trainer(p, v, 5)
         end = int(v.class_of[lookup[b""]])
         for batch in batches:
-            texts = [[*words_of(t.as_py()), b""] for t in batch.column(0)]
+            texts = [tokens_of(t.as_py()) for t in batch.column(0)]
             ends = np.cumsum([len(t) for t in texts])
             classes = v.class_of[np.fromiter(map(lookup.__getitem__, chain.from_iterable(texts)), np.int64)]
             contexts = contexts_of(classes, ends, end)
@@ -281,9 +299,8 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         v, m = shared.value
         lookup, scorer = v.lookup(), Scorer(v, m)
         end = int(v.class_of[lookup[b""]])
-        rare_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64()), ("k", pa.int32())]))
         for batch in batches:
-            texts = [[*words_of(t.as_py()), b""] for t in batch.column(2)]
+            texts = [tokens_of(t.as_py()) for t in batch.column(2)]
             ends = np.cumsum([len(t) for t in texts])
             if not len(ends):
                 continue
@@ -293,13 +310,19 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
             known = ~rare if len(v.words) else np.zeros(len(codes), bool)
             starts = ends - np.array([len(t) for t in texts])
             base = np.where(rare, 0.0, v.base[codes])
-            lists = []
+            words, numbers, offsets = [], [], [0]
             for t, a, b in zip(texts, starts, ends, strict=True):
                 found = Counter(compress(t, rare[a:b]))
-                lists.append([(w.decode("utf-8", "replace"), n, int(lookup[w] - HEAD)) for w, n in found.items()])
+                words += found
+                numbers += found.values()
+                offsets.append(len(words))
+            kinds = np.fromiter(map(lookup.__getitem__, words), np.int64, len(words)) - HEAD
+            flat = pa.StructArray.from_arrays([pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(numbers, pa.int64()),
+                                               pa.array(kinds.astype(np.int32))], ["word", "n", "k"])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ends - starts, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                 pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(logs, starts)), pa.array(lists, rare_type)],
+                 pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(logs, starts)), lists],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,n:long,k:int>>"

@@ -68,7 +68,7 @@ def minimax_cuts(groups: DataFrame, knots: np.ndarray, largest: int, n: int) ->
     ``groups`` has one row per group with ``end_bytes``, the running total at its end; ``knots`` are
     some of these borders, ascending, the last being the total."""
     total = int(knots[-1])
-    low = max(largest, -(-total // n))
+    low, step = max(largest, -(-total // n)), total
     while True:
         high = _least(knots, low, n)
         if high == low:
@@ -80,7 +80,8 @@ def minimax_cuts(groups: DataFrame, knots: np.ndarray, largest: int, n: int) ->
                 spans[-1][1] = max(spans[-1][1], upper)
             else:
                 spans.append([lower, upper])
-        step = max(1, sum(b - a for a, b in spans) // KNOTS)
+        # parts of the spans: as many as the driver may hold, and finer in every round
+        step = max(1, min(step // 2, sum(b - a for a, b in spans) // KNOTS))
         inside = F.lit(False)
         for a, b in spans:
             inside = inside | F.col("end_bytes").between(a, b)
@@ -88,9 +89,8 @@ def minimax_cuts(groups: DataFrame, knots: np.ndarray, largest: int, n: int) ->
                  .groupBy((F.col("end_bytes") / F.lit(step)).cast("long").alias("part"))
                  .agg(F.max("end_bytes").alias("last"), F.count("*").alias("n"))
                  .select("last", "n").toPandas())
-        before = len(knots)
         knots = np.unique(np.concatenate([knots, found["last"].to_numpy(np.int64)]))
-        if int(found["n"].max()) == 1 or len(knots) == before:
+        if int(found["n"].max()) == 1:
             # every border that a fill between the bounds can use is known
             best = _least(knots, low, n)
             return best, _cuts(knots, best, n)

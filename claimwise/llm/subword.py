@@ -135,7 +135,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text_col
     """``docs`` with one added struct column ``into``: ``score`` (0 to 1, higher: label 1 likelier) and ``predicted``
     (1 from 0.5 on, else 0).
 
-    Null, empty and blank texts have no features: they get the classes' prior.  Texts are read whole; a row's result depends on
+    Null and empty texts have no features: they get the classes' prior; blank ones have n-grams of their blanks only.  Texts are read whole; a row's result depends on
     its text alone, so repeated rows agree; an empty table gives an empty result; other columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number a bucket
 
