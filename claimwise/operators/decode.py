@@ -16,11 +16,10 @@ running the passes on the survivors of the previous pass means.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import card_wins, empty_if_null, pad_pid_5_to_9, pad_zeros
-from claimwise.operators.lookup import skew_safe_join
 
 PID_WIDTH = 10
 LOSS_WARN = 0.05
@@ -35,19 +34,13 @@ def duplicate_cards(ids: DataFrame, insurers: list[str] | None = None,
     return f.groupBy(F.col(card).alias("card")).count().filter(F.col("count") > 1).select("card")
 
 
-def first_ranked(df: DataFrame, key: str, order: str, salts: int = 8) -> DataFrame:
+def first_ranked(df: DataFrame, key: str, order: str) -> DataFrame:
     """Rows with rank 1 of ``order`` within ``key`` (ties kept; NULL sorts first).
 
-    Aggregate-then-join instead of a window: the per-key minimum is computed with
-    partial aggregation, and the join back splits hot keys (``skew_safe_join``)."""
-    stats = df.groupBy(key).agg(
-        F.max(F.col(order).isNull().cast("int")).alias("_has_null"),
-        F.min(order).alias("_min"))
-    # every key is salted: the per-key side (one row per key) grows by the salt
-    # factor only, and no pass is needed to find the hot keys
-    j = skew_safe_join(df, stats, [key], hot_rows=None, salts=salts)
-    keep = F.when(F.col("_has_null") == 1, F.col(order).isNull()).otherwise(F.col(order) == F.col("_min"))
-    return j.filter(keep).drop("_has_null", "_min")
+    Spark limits the window's groups on the mappers, before the exchange, so a hot key sends
+    only its candidates for the first rank."""
+    w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_first())
+    return df.withColumn("_rank", F.rank().over(w)).filter("_rank = 1").drop("_rank")
 
 
 def outdated_card_holders(ids: DataFrame, membership: DataFrame, insurers: list[str] | None = None,
@@ -65,7 +58,8 @@ def outdated_card_holders(ids: DataFrame, membership: DataFrame, insurers: list[
                           F.col("k_mensch_id").alias("_mp"), F.col(valid_to).alias(valid_to))
     ds = d.join(m, (F.col(h2ik) == F.col("_mh")) & (F.col(card) == F.col("_mc")) &
                 (F.col(pid) == F.col("_mp")), "left").select(h2ik, card, pid, valid_to)
-    ranked = first_ranked(ds, card, valid_to)
+    # equal rows are the normal case: distinct before the rank, so that ties do not carry them all
+    ranked = first_ranked(ds.select(card, pid, valid_to).distinct(), card, valid_to)
     return (ranked.select(pad_pid_5_to_9(F.col(pid)).alias("pid"))
             .filter(F.col("pid").isNotNull()).distinct())
 

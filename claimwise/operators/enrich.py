@@ -3,7 +3,7 @@
 A chain is ``functools.reduce`` over steps; every step decides once per frame
 (from ``FrameMeta`` and the frame's columns) whether it applies, never per row.
 Lookups are joins: broadcast when their row count is proven small
-(``lookup_side``), shuffle joins otherwise (AQE splits skewed keys).
+by the planner's statistics, shuffle joins otherwise (AQE splits skewed keys).
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from claimwise.functions.scalars import (clean_package_name, empty_if_null, is_c
                                          java_trim, main_region, pad_zeros, pharmacy_type,
                                          quarter_begin_text, quarter_end_text, sha256_hex,
                                          strict_int)
-from claimwise.operators.lookup import MAX_BROADCAST_ROWS, lookup_side, require_unique
+from claimwise.operators.lookup import require_unique
 from claimwise.operators.rowfilters import FrameMeta, targets
+from claimwise.session import scratch_path
 
 # Fixed values that define results: catalogue column labels.
 ADMISSION = "MARKTZUGANG"
@@ -198,13 +199,14 @@ class LookupColumns:
         m = self.mapping.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(self.keys)],
                                 *[F.col(v).alias(f"_v_{v}") for v in values])
         if self.check_unique:
-            n = require_unique(self.mapping, list(self.keys), "lookup mapping")
-            side = F.broadcast(m) if n <= MAX_BROADCAST_ROWS else m
-        else:
-            side = lookup_side(m)
+            # the mapping may be a long plan: written once, it is checked and joined from there
+            path = scratch_path(df.sparkSession, "mapping")
+            m.write.parquet(path)
+            m = df.sparkSession.read.schema(m.schema).parquet(path)
+            require_unique(m, [f"_k{i}" for i in range(len(self.keys))], "lookup mapping")
         cond = reduce(lambda a, b: a & b,
                       [empty_if_null(k) == F.col(f"_k{i}") for i, k in enumerate(self.keys)])
-        joined = df.join(side, cond, "left")
+        joined = df.join(m, cond, "left")
         return joined.select(*[F.col(c) for c in df.columns],
                              *[F.coalesce(F.col(f"_v_{v}"), F.lit("")).alias(v) for v in values])
 
@@ -231,9 +233,8 @@ class CatalogueSource:
 
 def _last_wins(src: CatalogueSource) -> DataFrame:
     f = src.frame.withColumn(src.key, pad_zeros(F.col(src.key), PZN_WIDTH))
-    if "_line" not in f.columns:
-        return f.select(F.col(src.key).alias("_key"), *[F.col(c) for c in src.labels])
-    order = F.struct(*[c for c in ("_file", "_line") if c in f.columns])
+    # without line numbers the largest row of a key is kept: a key never has two
+    order = F.struct(*[c for c in ("_file", "_line") if c in f.columns] or list(src.labels) or [src.key])
     best = F.max_by(F.struct(*[F.col(c) for c in src.labels]), order)
     return (f.groupBy(F.col(src.key).alias("_key")).agg(best.alias("_r"))
             .select("_key", *[F.col(f"_r.{c}").alias(c) for c in src.labels]))
@@ -295,7 +296,6 @@ class DrugCatalogue:
     key_column: str = "pzn"
     db: str | None = None
     table: str | None = "am_evo"
-    max_broadcast_rows: int = 2_000_000
 
     def catalogue(self) -> DataFrame:
         cons = consolidate(list(self.sources))
@@ -336,7 +336,7 @@ class DrugCatalogue:
         keep = ["_key", "_range", "_start", "_end"] + appended + (
             [PACK_SIZE] if self._pack_size_is_meta() else [])
         cat = cat.select(*[F.col(c).alias(f"_c_{c}") for c in keep])
-        joined = df.join(lookup_side(cat, self.max_broadcast_rows),
+        joined = df.join(cat,
                          empty_if_null(self.key_column) == F.col("_c__key"), "left")
         out_cols = [F.col(c) for c in df.columns]
         if PACKAGES not in df.columns:

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwise.operators.lookup import bounded_broadcast, lookup_side
+from claimwise.operators.lookup import like_matches
 
 OPERATORS = ("=", "<", ">", "like")
 KINDS = ("NUMERIC", "STRING", "COLUMN")
@@ -52,6 +53,7 @@ class YearSlice:
     end: int | None = None
     previous: int | None = None
     as_of: str | None = None
+    date_column: str | None = None  # stored date of the slice year: bounds on it reach the scan
 
     def bounds(self) -> tuple[int, int]:
         if self.previous is not None:
@@ -66,6 +68,8 @@ class JoinSpec:
     on: tuple[str, ...]
     how: str = "inner"
     columns: tuple[str, ...] | None = None  # None = all columns of the joined frame
+    exclude: tuple[str, ...] = ()
+    where: tuple[Where, ...] = ()           # conditions on the joined frame, before the join
 
     def __post_init__(self):
         if self.how not in ("inner", "left"):
@@ -86,10 +90,23 @@ def _operand(v, kind: str) -> Column:
     if kind == "COLUMN":
         return F.col(v)
     if kind == "NUMERIC":
-        return F.lit(v).cast("double") if isinstance(v, str) else F.lit(v)
+        return _number(v)
     return F.lit(str(v))
 
 
+def _number(v) -> Column:
+    """A numeric literal without loss of digits: whole numbers as integers, others as decimals."""
+    try:
+        d = Decimal(str(v).strip())
+    except InvalidOperation:
+        return F.lit(None).cast("double")
+    if not d.is_finite():
+        return F.lit(float(d))
+    if d == d.to_integral_value() and abs(d) < 2**63:
+        return F.lit(int(d)).cast("long")
+    return F.lit(v) if isinstance(v, float) else F.lit(d)
+
+
 def _compare(c: Column, op: str, operand: Column) -> Column:
     if op == "=":
         return c == operand
@@ -106,8 +123,7 @@ def or_group(w: Where) -> Column:
     An empty list matches no row (``isin([])`` is false)."""
     c = F.col(w.column)
     if w.op == "=" and w.kind != "COLUMN":
-        lits = [v if w.kind == "NUMERIC" else str(v) for v in w.values]
-        return c.isin(lits)
+        return c.isin([_operand(v, w.kind) for v in w.values])
     preds = [_compare(c, w.op, _operand(v, w.kind)) for v in w.values]
     return reduce(or_, preds) if preds else F.lit(False)
 
@@ -115,23 +131,28 @@ def or_group(w: Where) -> Column:
 def apply_value_frame(df: DataFrame, w: Where) -> DataFrame:
     """Condition whose values come from a frame (FLT7).
 
-    ``=``   left-semi join on the value (broadcast when the list is bounded)
+    ``=``   left-semi join on the value
     ``<``   ``c < max(values)`` (one-row aggregate, broadcast)
     ``>``   ``c > min(values)``
-    ``like`` left-semi join with a LIKE condition against the bounded value list
-    """
+    ``like`` left-semi join with the column's distinct values that match a pattern
+
+    Numeric values are compared in the column's own type (integers as decimals of 38 digits)."""
     vals = w.value_frame.select(F.col(w.value_frame.columns[0]).alias("_v"))
-    if w.kind == "NUMERIC":
-        vals = vals.select(F.col("_v").cast("double").alias("_v"))
     c = F.col(w.column)
+    if w.kind == "NUMERIC":
+        kind = df.schema[w.column].dataType.simpleString()
+        exact = "decimal(38,6)" if kind in ("tinyint", "smallint", "int", "bigint") else kind if kind.startswith("decimal") else "double"
+        vals = vals.select(F.col("_v").cast("string").try_cast(exact).alias("_v")).filter("_v IS NOT NULL")
+        c = c.cast(exact)
     if w.op == "=":
-        return df.join(lookup_side(vals.distinct()), c == F.col("_v"), "left_semi")
+        return df.join(vals.distinct(), c == F.col("_v"), "left_semi")
     if w.op in ("<", ">"):
         agg = F.max("_v") if w.op == "<" else F.min("_v")
         one = F.broadcast(vals.agg(agg.alias("_b")))
         cond = (c < F.col("_b")) if w.op == "<" else (c > F.col("_b"))
         return df.join(one, cond, "left_semi")
-    return df.join(bounded_broadcast(vals.distinct(), what="LIKE value list"), F.like(c, F.col("_v")), "left_semi")
+    matched = like_matches(df.select(w.column), vals).select(F.col("value").alias("_m")).distinct()
+    return df.join(matched, c == F.col("_m"), "left_semi")
 
 
 def apply_where(df: DataFrame, conditions) -> DataFrame:
@@ -146,6 +167,9 @@ def slice_filter(df: DataFrame, ys: YearSlice | None) -> DataFrame:
     if ys is None or ys.column not in df.columns:
         return df
     lo, hi = ys.bounds()
+    if ys.date_column and ys.date_column in df.columns:
+        d = F.col(ys.date_column)
+        df = df.filter((d >= F.lit(_dt.date(lo, 1, 1))) & (d < F.lit(_dt.date(hi + 1, 1, 1))))
     return df.filter(F.col(ys.column).between(lo, hi))
 
 
@@ -159,11 +183,16 @@ def project(df: DataFrame, columns=None, exclude=()) -> DataFrame:
 
 
 def join_views(df: DataFrame, joins) -> DataFrame:
-    """Equi joins on shared column names; the join key is kept once."""
-    for j in joins:
-        right = j.frame
+    """Equi joins on shared column names; the join key is kept once.
+
+    The joined frame's conditions come first, then its column list and excludes.  A joined column whose name is
+    taken gets the join's number: ``name_1`` from the first join."""
+    for n, j in enumerate(joins, 1):
+        right = project(apply_where(j.frame, j.where), None, tuple(c for c in j.exclude if c not in j.on))
         if j.columns:
             right = right.select(*dict.fromkeys(list(j.on) + list(j.columns)))
+        taken = set(df.columns) - set(j.on)
+        right = right.toDF(*[f"{c}_{n}" if c in taken else c for c in right.columns])
         df = df.join(right, list(j.on), j.how)
     return df
 

@@ -5,14 +5,15 @@ Canonical text per person::
     dob _ dod _ gender _ min_kgs _ max_kgs _ icd tokens _ pzn tokens
 
 with defaults 1900-01-01 / 2999-12-31 / 0 / 00000 / 00000 / 0000 / 00000000.
-Code tokens are ordered by (year, code); a code that occurs n > 1 times in
-the same year is written ``code*n`` (run-length form).  The fingerprint is the
-SHA-256 hex of the text.
+Codes are ordered by (year, code), duplicates kept; the year orders but is not
+written, so equal lists from other years are equal.  The fingerprint is the SHA-256
+hex of the text.
 
 Scale: codes are first counted per (pid, year, code) — a partial aggregation,
 so a person with a huge number of rows is reduced on the mappers — and the
 per-person list is then bounded by the number of distinct (year, code) pairs
-(code vocabulary x years), never by the number of rows.  The four per-person
+(code vocabulary x years); only the text itself grows with a person's rows (a placeholder id
+that holds very many rows has a text as long as its rows).  The four per-person
 frames are joined 1:1 on pid from the base persons (only base persons get a
 fingerprint).
 """
@@ -60,14 +61,13 @@ def person_kgs(region: DataFrame, pid="pid", kgs="kgs") -> DataFrame:
 
 
 def person_codes(facts: DataFrame, out: str, pid="pid", year="bezugsjahr", code="code") -> DataFrame:
-    """Run-length code tokens per person, ordered by (year, code), joined with '_'."""
+    """Codes per person, ordered by (year, code), duplicates kept, joined with '_'."""
     counted = facts.groupBy(F.col(pid).alias("pid"), F.col(year).cast("int").alias("_y"),
                             F.col(code).cast("string").alias("_c")).agg(F.count("*").alias("_n"))
-    tok = F.when(F.col("_n") == 1, F.col("_c")).otherwise(
-        F.concat(F.col("_c"), F.lit("*"), F.col("_n").cast("string")))
-    per = counted.groupBy("pid").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_y"), F.col("_c"), tok.alias("_t")))).alias("_l"))
-    return per.select("pid", F.array_join(F.transform("_l", lambda s: s["_t"]), "_").alias(out))
+    # the n copies are written out per token after the aggregation by count
+    per = counted.groupBy("pid").agg(F.sort_array(F.collect_list(F.struct("_y", "_c", F.col("_n").cast("int").alias("_n")))).alias("_l"))
+    tokens = F.transform("_l", lambda s: F.array_join(F.array_repeat(s["_c"], s["_n"]), "_"))
+    return per.select("pid", F.array_join(tokens, "_").alias(out))
 
 
 def canonical_text(base: DataFrame, region: DataFrame, icd: DataFrame, pzn: DataFrame) -> DataFrame:

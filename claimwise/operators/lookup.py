@@ -1,29 +1,15 @@
-"""Join-side helpers: broadcast only behind a bounded size check."""
+"""Join helpers: key checks and LIKE as an equi join.
+
+No helper forces a broadcast: statistics and adaptive execution pick the strategy."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for broadcasting a lookup (rows).  Beyond it the join is a
-# shuffle join (AQE may still switch it to broadcast after measuring it).
-MAX_BROADCAST_ROWS = 2_000_000
-# Bound for the broadcast side of a non-equi join (every row of the big side is
-# tested against every row of this side).
-MAX_NONEQUI_ROWS = 100_000
-
-
-def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops reading as soon as n + 1 rows were seen, so the
-    check costs at most one pass over a small lookup."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the row bound holds, otherwise the plain frame."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+# characters with a meaning in a LIKE pattern
+HEAD = r"^[^_%\\]*"
+TAIL = r"[^_%\\]*$"
 
 
 def unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,42 +27,24 @@ def require_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> int:
     return int(r["n"] or 0)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_NONEQUI_ROWS, what: str = "list") -> DataFrame:
-    """Broadcast side of a non-equi join (LIKE, ranges).  Such joins can only run as a
-    broadcast nested loop, so an unbounded side is refused instead of turning into an
-    all-pairs product."""
-    if not is_bounded(df, max_rows):
-        raise ValueError(f"{what} has more than {max_rows} rows; a non-equi join needs a bounded side")
-    return F.broadcast(df)
-
-
-# Keys with more rows than this are salted when joined back to per-key rows.
-HOT_KEY_ROWS = 1_000_000
-SALTS = 32
-
-
-def skew_safe_join(big: DataFrame, per_key: DataFrame, keys: list[str], count_col: str | None = None,
-                   how: str = "inner", hot_rows: int | None = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join a large frame to a frame with one row per key, splitting hot keys over
-    ``salts`` partitions.
-
-    Rows of the big side get a salt from a hash of their content (deterministic, so
-    a recomputed task after an executor loss salts identically); the per-key row is
-    replicated once per salt.
-
-    * ``hot_rows`` given (and ``count_col`` holding the key's row count): only keys
-      with more than ``hot_rows`` rows are salted.  The hot keys are broadcast: each
-      has more than ``hot_rows`` rows, so there are at most ``rows / hot_rows``.
-    * ``hot_rows=None``: every key is salted (no detection pass; the per-key side
-      grows by the factor ``salts``) — for a per-key side that is small anyway."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("long")
-    if hot_rows is None:
-        salted = big.withColumn("_salt", salt)
-        reps = F.lit(salts).cast("long")
-    else:
-        hot = per_key.filter(F.col(count_col) > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
-        salted = big.join(F.broadcast(hot), keys, "left")
-        salted = salted.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0).cast("long"))).drop("_hot")
-        reps = F.when(F.col(count_col) > hot_rows, F.lit(salts)).otherwise(F.lit(1)).cast("long")
-    replicated = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), reps - 1)))
-    return salted.join(replicated, list(keys) + ["_salt"], how).drop("_salt")
+def like_matches(values: DataFrame, patterns: DataFrame) -> DataFrame:
+    """All pairs (value, pattern) of two one-column frames with ``value LIKE pattern``, each once.
+
+    Every pattern has an anchor: its literal text before the first wildcard or, if that is empty, after the
+    last one.  The distinct values are joined on their prefixes and suffixes of the anchors' lengths (a few
+    integers, at most twice the longest pattern); LIKE itself is the residual condition.  Patterns without any
+    literal end meet all distinct values.  Nulls match nothing."""
+    p = patterns.select(F.col(patterns.columns[0]).cast("string").alias("pattern")).filter("pattern IS NOT NULL").distinct()
+    head = F.regexp_extract("pattern", HEAD, 0)
+    tail = F.when(F.instr("pattern", "\\") > 0, F.lit("")).otherwise(F.regexp_extract("pattern", TAIL, 0))
+    p = p.select("pattern", F.when((head != "") | (tail == ""), F.lit("head")).otherwise(F.lit("tail")).alias("side"),
+                 F.when(head != "", head).otherwise(tail).alias("anchor"))
+    kinds = p.select("side", F.length("anchor").alias("n")).distinct().collect()
+    v = values.select(F.col(values.columns[0]).cast("string").alias("value")).filter("value IS NOT NULL").distinct()
+    ends = [F.when(F.length("value") >= k["n"], F.struct(
+        F.lit(k["side"]).alias("side"),
+        (F.substring(F.col("value"), 1, k["n"]) if k["side"] == "head" else F.right(F.col("value"), F.lit(k["n"]))).alias("anchor")))
+        for k in sorted(kinds, key=lambda k: (k["side"], k["n"]))]
+    ends = F.array(*ends) if ends else F.array().cast("array<struct<side:string,anchor:string>>")
+    v = v.select("value", F.explode(F.array_compact(ends)).alias("end")).select("value", "end.side", "end.anchor")
+    return v.join(p, ["side", "anchor"]).filter(F.like(F.col("value"), F.col("pattern"))).select("value", "pattern")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimwise.operators.enrich import LookupColumns
-from claimwise.operators.lookup import lookup_side
 from claimwise.operators.rowfilters import FrameMeta
 
 # Warehouse type tags -> Spark type names (simpleString prefixes).
@@ -55,7 +54,7 @@ def separate_datasets(df: DataFrame, separation: DataFrame, h2ik: str = "h2ik")
     """Add ``dataset`` by insurer (``separation``: dataset, h2ik); rows of other insurers
     are dropped.  Write with ``partitionBy('dataset')`` to get one directory per set."""
     sep = separation.select("dataset", F.col("h2ik").alias("_sep_h2ik"))
-    return df.join(lookup_side(sep), F.col(h2ik) == F.col("_sep_h2ik")).drop("_sep_h2ik")
+    return df.join(sep, F.col(h2ik) == F.col("_sep_h2ik")).drop("_sep_h2ik")
 
 
 def map_ids(df: DataFrame, mapping: DataFrame, source_key: str, target_key: str) -> DataFrame:

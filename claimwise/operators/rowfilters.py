@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import full_match, pad_pid_10
-from claimwise.operators.lookup import lookup_side
 
 
 @dataclass(frozen=True)
@@ -92,7 +91,7 @@ def apply_filter(df: DataFrame, f: RowFilter, meta: FrameMeta = FrameMeta()) ->
         vals = f.strategy.values
         vals = vals.select(F.col(vals.columns[0]).cast("string").alias("_member")).distinct()
         how = "left_semi" if f.mode == "INCLUDE" else "left_anti"
-        return df.join(lookup_side(vals), c == F.col("_member"), how)
+        return df.join(vals, c == F.col("_member"), how)
     p = f.strategy.predicate(c)
     return df.filter(p if f.mode == "INCLUDE" else ~p)
 

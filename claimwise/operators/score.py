@@ -1,10 +1,8 @@
 """Comorbidity score: LIKE-pattern join and four-quarter sliding windows.
 
 Pattern join (``code LIKE pattern || '%'``)
-    Patterns without wildcards are prefixes: every fact code is exploded into its
-    prefixes of the pattern lengths that exist (a handful), and joined on equality
-    with the pattern table (broadcast when bounded).  Patterns with ``_`` / ``%`` go
-    through a LIKE join against the (bounded, broadcast) remainder.  A code may
+    The distinct codes are joined to the patterns on the literal text before the first wildcard, with LIKE
+    as the residual; the facts join the matches on the code.  One path for any number of patterns.  A code may
     match several patterns; all matches are kept.
 
 Sliding windows
@@ -27,11 +25,7 @@ from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import (quarter_begin_text, quarter_end_text, quarter_index,
                                          quarter_of_index, year_of_index)
-from claimwise.operators.lookup import MAX_BROADCAST_ROWS, MAX_NONEQUI_ROWS
-
-WILDCARDS = r"[_%\\]"
-# Wildcard patterns up to this count are evaluated inline (literal LIKE expressions).
-INLINE_WILDCARDS = 256
+from claimwise.operators.lookup import like_matches
 
 
 def pattern_join(facts: DataFrame, patterns: DataFrame, code: str = "icd_code",
@@ -40,62 +34,14 @@ def pattern_join(facts: DataFrame, patterns: DataFrame, code: str = "icd_code",
 
     Output: fact columns + ``pattern``, ``disease_class``, ``cci_weight``.
 
-    One pass over the facts: each fact is exploded into candidates — its prefixes
-    of the existing prefix-pattern lengths, plus (when the wildcard list is short)
-    the wildcard patterns it matches, evaluated as literal LIKE expressions — and
-    the prefix candidates are resolved by one broadcast equi join.  A long wildcard
-    list (> ``INLINE_WILDCARDS``) takes a separate LIKE join instead."""
+    The patterns are matched against the distinct codes (a vocabulary) by an equi join on the
+    patterns' literal heads (``lookup.like_matches``); the facts then join the result on the code."""
     pats = patterns.select(F.col(pattern).alias("pattern"), "disease_class", "cci_weight")
-    is_wild = F.col("pattern").rlike(WILDCARDS)
-    # One small job over the pattern list: prefix lengths (a handful of integers,
-    # bounded by the longest pattern) and the size of both kinds.
-    meta = pats.agg(
-        F.collect_set(F.when(~is_wild, F.length("pattern"))).alias("lengths"),
-        F.count(F.when(~is_wild, 1)).alias("n_prefix"),
-        F.count(F.when(is_wild, 1)).alias("n_wild")).first()
-    lengths = sorted(meta["lengths"])
-    n_wild = meta["n_wild"]
-    if n_wild > MAX_NONEQUI_ROWS:
-        raise ValueError("wildcard pattern list is too large for a LIKE join")
-    inline = 0 < n_wild <= INLINE_WILDCARDS
-    # the short wildcard list is configuration (<= INLINE_WILDCARDS rows)
-    wild_rows = pats.filter(is_wild).collect() if inline else []
-
-    cand = "struct<n:int,p:string,pattern:string,disease_class:string,cci_weight:int>"
-    items = [F.struct(F.lit(n).alias("n"), F.substring(F.col(code), 1, n).alias("p"),
-                      F.lit(None).cast("string").alias("pattern"), F.lit(None).cast("string").alias("disease_class"),
-                      F.lit(None).cast("int").alias("cci_weight")) for n in lengths]
-    items += [F.when(F.like(F.col(code), F.lit(w["pattern"] + "%")),
-                     F.struct(F.lit(None).cast("int").alias("n"), F.lit(None).cast("string").alias("p"),
-                              F.lit(w["pattern"]).alias("pattern"), F.lit(w["disease_class"]).alias("disease_class"),
-                              F.lit(w["cci_weight"]).cast("int").alias("cci_weight")))
-              for w in wild_rows]
-    parts = []
-    if items:
-        # non-matching wildcard entries are NULL; they are dropped after the explode
-        exploded = (facts.withColumn("_c", F.explode(F.array(*items).cast(f"array<{cand}>")))
-                    .filter(F.col("_c").isNotNull())
-                    .filter(F.col("_c.n").isNull() | (F.length(F.col(code)) >= F.col("_c.n"))))
-        prefix = pats.filter(~is_wild).select(F.col("pattern").alias("_pp"), F.length("pattern").alias("_pl"),
-                                              F.col("disease_class").alias("_pc"), F.col("cci_weight").alias("_pw"))
-        side = F.broadcast(prefix) if meta["n_prefix"] <= MAX_BROADCAST_ROWS else prefix
-        j = exploded.join(side, (F.col("_c.p") == F.col("_pp")) & (F.col("_c.n") == F.col("_pl")), "left")
-        j = j.filter(F.col("_c.pattern").isNotNull() | F.col("_pp").isNotNull())
-        parts.append(j.select(*[F.col(c) for c in facts.columns],
-                              F.coalesce(F.col("_pp"), F.col("_c.pattern")).alias("pattern"),
-                              F.coalesce(F.col("_pc"), F.col("_c.disease_class")).alias("disease_class"),
-                              F.coalesce(F.col("_pw"), F.col("_c.cci_weight")).alias("cci_weight")))
-    if n_wild and not inline:
-        wild = F.broadcast(pats.filter(is_wild))
-        parts.append(facts.join(wild, F.like(F.col(code), F.concat(F.col("pattern"), F.lit("%")))))
-    if not parts:
-        return facts.select("*", F.lit(None).cast("string").alias("pattern"),
-                            F.lit(None).cast("string").alias("disease_class"),
-                            F.lit(None).cast("int").alias("cci_weight")).filter(F.lit(False))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    like = F.concat(F.col("pattern"), F.lit("%"))
+    matched = like_matches(facts.select(code), pats.select(like.alias("pattern")))
+    matched = (matched.select(F.col("value").alias("_code"), F.col("pattern").alias("_like"))
+               .join(pats, F.col("_like") == like).drop("_like"))
+    return facts.join(matched, F.col(code) == F.col("_code")).drop("_code")
 
 
 def sliding_scores(facts: DataFrame, start_year: int, end_year: int, as_of: str,

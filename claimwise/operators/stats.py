@@ -171,24 +171,29 @@ def region_lookup_filter(lookup: DataFrame) -> DataFrame:
 
 def regional_ratio(cases: DataFrame, lookup: DataFrame, ref: DataFrame,
                    year="year", quarter="quarter", case_id="case_id", region="kv",
-                   contract_col="contract", contract: str = "KV") -> DataFrame:
+                   contract_col="contract", contract: str = "KV",
+                   regions: DataFrame | None = None, region_key: str | None = None) -> DataFrame:
     """Per region: distinct cases in the reference quarter and in the same quarter a
     year before; ratio = ref / prev when prev > 0 else 0.0.
 
     The two quarters are literals taken from the one-row ``ref`` frame (broadcast,
-    bounded to one row), so the scan is a filter and the pairing of rows becomes a
-    conditional distinct count per region.  Every region of the filtered lookup
-    appears, with zero counts when it has no cases."""
+    bounded to one row), so the scan is a filter and the pairing of rows becomes one
+    distinct and a conditional count per region.  With ``regions`` (``region_key``, ``region``)
+    the cases get their region only after that filter.  Every region of the filtered
+    lookup appears, with zero counts when it has no cases."""
     y, q = as_col(year).cast("int"), as_col(quarter).cast("int")
     r = F.broadcast(ref.select(F.col("year").alias("_ry"), F.col("quarter").alias("_rq")))
+    place = as_col(region if regions is None else region_key)
     scoped = (cases.filter(is_contract(contract_col, contract))
-              .select(y.alias("_y"), q.alias("_q"), as_col(region).alias("kv"),
-                      as_col(case_id).alias("_id"))
+              .select(y.alias("_y"), q.alias("_q"), place.alias("kv"), as_col(case_id).alias("_id"))
               .join(r, (F.col("_q") == F.col("_rq")) &
                     ((F.col("_y") == F.col("_ry")) | (F.col("_y") == F.col("_ry") - 1))))
-    per_region = scoped.groupBy("kv").agg(
-        F.countDistinct(F.when(F.col("_y") == F.col("_ry"), F.col("_id"))).alias("cnt"),
-        F.countDistinct(F.when(F.col("_y") == F.col("_ry") - 1, F.col("_id"))).alias("prev_cnt"))
+    if regions is not None:
+        of = regions.select(as_col(region_key).alias("_rk"), as_col(region).alias("_region"))
+        scoped = scoped.join(of, F.col("kv") == F.col("_rk")).drop("kv", "_rk").withColumnRenamed("_region", "kv")
+    once = scoped.select("kv", "_id", (F.col("_y") == F.col("_ry")).alias("_now")).distinct()
+    per_region = once.filter("_id IS NOT NULL").groupBy("kv").agg(
+        F.count(F.when(F.col("_now"), 1)).alias("cnt"), F.count(F.when(~F.col("_now"), 1)).alias("prev_cnt"))
     lk = region_lookup_filter(lookup).select("kv", "kv_name")
     out = (with_one_row(lk.join(per_region, "kv", "left"), r)
            .select("kv", "kv_name",

@@ -16,23 +16,35 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from claimwise.functions.scalars import clean_value
 from claimwise.operators import decode as D
 from claimwise.operators import fingerprint as FP
 from claimwise.operators import score as SC
 from claimwise.operators import stats as ST
 from claimwise.operators.enrich import FingerprintColumn, run_chain
-from claimwise.operators.extract import ExtractSpec, extract
+from claimwise.operators.extract import ExtractSpec, extract, lower_columns
 from claimwise.operators.rowfilters import FrameMeta, apply_filters, certain_diagnoses
 from claimwise.sources import sinks as W
 
 
+def clean_frame(df: DataFrame) -> DataFrame:
+    """Lower-case column names; every string value cleaned (``clean_value``: no NULL, separator or quote)."""
+    df = lower_columns(df)
+    return df.select(*[clean_value(f.name).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def export(view: DataFrame, spec: ExtractSpec, meta: FrameMeta, filters=(), steps=(),
            root: str | None = None, dataset: str = "default", slice_col: str | None = None,
            fmt: str = "csv") -> DataFrame:
     """Export one view; when ``root`` is given, write it in the slice layout
-    ``<root>/<db short>/<dataset>/<table>/<slice_col>=<year>/``."""
-    df = run_chain(apply_filters(extract(view, spec), list(filters), meta), list(steps), meta)
+    ``<root>/<db short>/<dataset>/<table>/<slice_col>=<year>/``.
+
+    Column names are lowered and string values cleaned before the filters and steps see them."""
+    df = clean_frame(extract(view, spec))
+    df = run_chain(apply_filters(df, list(filters), meta), list(steps), meta)
     if root:
         W.write_slices(df, W.slice_path(root, meta.db, dataset, meta.table), slice_col, fmt=fmt)
     return df

@@ -75,12 +75,13 @@ def _orders_with_year(spark, d):
     return S.table(spark, d, "orders").withColumn("bezugsjahr", F.year("o_orderdate"))
 
 
+
 @register("extract_year_slices", ["FLT8"], """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS bezugsjahr, o_totalprice FROM orders
 WHERE year(o_orderdate) BETWEEN 1996 AND 1998""")
 def extract_year_slices(spark, d):
     spec = ExtractSpec(columns=("o_orderkey", "bezugsjahr", "o_totalprice"),
-                       year_slice=YearSlice("bezugsjahr", 1996, 1998))
+                       year_slice=YearSlice("bezugsjahr", 1996, 1998, date_column="o_orderdate"))
     return extract(_orders_with_year(spark, d), spec)
 
 
@@ -89,7 +90,7 @@ SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS bezugsjahr, o_totalpric
 WHERE year(o_orderdate) BETWEEN 1998 AND 2001""")
 def extract_dynamic_years(spark, d):
     spec = ExtractSpec(columns=("o_orderkey", "bezugsjahr", "o_totalprice"),
-                       year_slice=YearSlice("bezugsjahr", previous=3, as_of=S.AS_OF))
+                       year_slice=YearSlice("bezugsjahr", previous=3, as_of=S.AS_OF, date_column="o_orderdate"))
     return extract(_orders_with_year(spark, d), spec)
 
 
@@ -112,17 +113,80 @@ def extract_join_inner(spark, d):
 
 @register("extract_join_left", ["JON2", "D9"], """
 SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice FROM customer c
-LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 2001) o
-  ON o.o_custkey = c.c_custkey""")
+LEFT JOIN orders o ON o.o_custkey = c.c_custkey""")
 def extract_join_left(spark, d):
-    o = (S.table(spark, d, "orders")
-         .filter((F.col("o_orderpriority") == "1-URGENT") & (F.year("o_orderdate") == 2001))
-         .withColumnRenamed("o_custkey", "c_custkey"))
+    o = S.table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
     spec = ExtractSpec(columns=("c_custkey", "c_name", "o_orderkey", "o_totalprice"),
                        joins=(JoinSpec(o, ("c_custkey",), "left"),))
     return extract(S.table(spark, d, "customer"), spec)
 
 
+@register("extract_join_where", ["JON1", "JON2", "FLT2"], """
+SELECT o.o_custkey, o.o_orderkey, o.o_totalprice, c.c_name, c.c_nationkey, c.o_orderkey AS o_orderkey_1
+FROM orders o LEFT JOIN (
+  SELECT c_custkey, c_name, c_nationkey, CAST(c_custkey AS BIGINT) + 1 AS o_orderkey FROM customer
+  WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 100.5) c ON c.c_custkey = o.o_custkey""")
+def extract_join_where(spark, d):
+    """Conditions and excluded columns on the joined frame; a shared column name is numbered."""
+    cust = (S.table(spark, d, "customer").withColumn("o_orderkey", F.col("c_custkey") + 1)
+            .withColumnRenamed("c_custkey", "o_custkey"))
+    join = JoinSpec(cust, ("o_custkey",), "left", exclude=("c_mktsegment", "c_acctbal"),
+                    where=(Where("c_mktsegment", ("BUILDING",)), Where("c_acctbal", ("100.5",), ">", "NUMERIC")))
+    spec = ExtractSpec(exclude=("o_orderstatus", "o_orderdate", "o_orderpriority"), joins=(join,))
+    return extract(S.table(spark, d, "orders"), spec)
+
+
+@register("extract_like_values_from_file", ["FLT7", "SRC7"], """
+SELECT p_partkey, p_name FROM part p WHERE EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT '%' || substr(c_name, -2) AS v FROM customer
+                 UNION ALL SELECT 'a%'  UNION ALL SELECT '_o%r' UNION ALL SELECT p_name FROM part WHERE p_size < 3) x
+  WHERE p.p_name LIKE x.v)""")
+def extract_like_values_from_file(spark, d):
+    """Patterns from a file, thousands of them, in one equi join on their literal ends."""
+    path = scratch_path(spark, "patterns")
+    ends = S.table(spark, d, "customer").select(F.concat(F.lit("%"), F.right("c_name", F.lit(2))).alias("value")).distinct()
+    names = S.table(spark, d, "part").filter("p_size < 3").select(F.col("p_name").alias("value"))
+    fixed = spark.createDataFrame([("a%",), ("_o%r",)], "value string")
+    ends.unionByName(names).unionByName(fixed).write.text(path)
+    spec = ExtractSpec(columns=("p_partkey", "p_name"),
+                       where=(Where("p_name", op="like", value_frame=read_value_list(spark, path)),))
+    return extract(S.table(spark, d, "part"), spec)
+
+
+_BIG = "(CAST(o_orderkey AS BIGINT) + 9007199254740992)"
+
+
+@register("extract_numeric_values", ["FLT2", "FLT7"], f"""
+SELECT {_BIG} AS big_key, o_custkey FROM orders
+WHERE {_BIG} IN (SELECT CAST(l_orderkey AS BIGINT) + 9007199254740992 FROM lineitem WHERE l_quantity > 45)
+  AND {_BIG} > 9007199254740995 AND {_BIG} < (SELECT max(CAST(o_orderkey AS BIGINT)) + 9007199254740991 FROM orders)""")
+def extract_numeric_values(spark, d):
+    """16-digit ids, past the digits of a double: values from a file by =, inline by >, from a file by <."""
+    big = F.lit(9007199254740992).cast("long")
+    orders = S.table(spark, d, "orders").select((F.col("o_orderkey") + big).alias("big_key"), "o_custkey")
+    path, top = scratch_path(spark, "values"), scratch_path(spark, "values")
+    (S.table(spark, d, "lineitem").filter("l_quantity > 45").select((F.col("l_orderkey") + big).cast("string").alias("value"))
+     .write.text(path))
+    orders.agg((F.max("big_key") - 1).cast("string").alias("value")).write.text(top)
+    spec = ExtractSpec(where=(Where("big_key", op="=", kind="NUMERIC", value_frame=read_value_list(spark, path)),
+                              Where("big_key", ("9007199254740995",), ">", "NUMERIC"),
+                              Where("big_key", op="<", kind="NUMERIC", value_frame=read_value_list(spark, top))))
+    return extract(orders, spec)
+
+
+@register("data_family_insurer", ["FLT15"],
+          "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
+def data_family_insurer(spark, d):
+    rows = S.table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    return RF.data_family(rows, insurers=["1-URGENT", "5-LOW"], insurer_col="o_orderpriority")
+
+
+@register("data_family_flag", ["FLT15"], "SELECT o_orderkey, 1 AS flag_open FROM orders WHERE o_orderstatus = 'O'")
+def data_family_flag(spark, d):
+    rows = S.table(spark, d, "orders").select("o_orderkey", (F.col("o_orderstatus") == "O").cast("int").alias("flag_open"))
+    return RF.data_family(rows, flag="open")
+
+
 _PART_META = RF.FrameMeta("ACC_CATALOGUE", "AVK_PART")
 
 
@@ -187,7 +251,7 @@ def filter_employee_anti(spark, d):
 SELECT doc_id, regexp_replace(translate(COALESCE(text, ''), ';"', '_'),
                               '^[\x00-\x20]+|[\x00-\x20]+\z', '', 'g') AS text FROM documents""")
 def clean_values(spark, d):
-    return S.table(spark, d, "documents", spread_rows=True).select("doc_id", clean_value("text").alias("text"))
+    return S.table(spark, d, "documents").select("doc_id", clean_value("text").alias("text"))
 
 
 @register("rename_lower", ["PRJ5"], "SELECT n_nationkey, n_name, n_regionkey FROM nation")

@@ -33,6 +33,28 @@ def slices_roundtrip(spark, d):
                        F.col("bezugsjahr").cast("int").alias("bezugsjahr"))
 
 
+@register("export_file", ["SNK1", "SCL1", "PRJ5", "SRC4"], r"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+  replace(replace(regexp_replace(translate(COALESCE(text, '') || ' "q" ; ' || COALESCE(lang, ''), ';"', '_'),
+    '^[\x00-\x20]+|[\x00-\x20]+\z', '', 'g'), chr(13), ' '), chr(10), ' ') AS text, source
+FROM documents""")
+def export_file(spark, d):
+    """Dirty values (separator, quotes, line breaks, upper-case names) exported to files, whose lines are then
+    split at the separator alone."""
+    from claimwise.operators.extract import ExtractSpec
+    from claimwise.operators.rowfilters import FrameMeta
+    from claimwise.plans.commands import export
+
+    docs = S.table(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("DOC_ID"),
+        F.concat(F.coalesce("text", F.lit("")), F.lit(' "q" ; '), F.coalesce("lang", F.lit(""))).alias("Text"), "source")
+    root = scratch_path(spark, "export")
+    export(docs, ExtractSpec(), FrameMeta("ACC_DOCS", "documents"), root=root)
+    lines = spark.read.option("lineSep", "\n").text(W.slice_path(root, "ACC_DOCS", "default", "documents"))
+    parts = F.split("value", ";", -1)
+    return lines.filter("value != 'doc_id;text;source'").select(*[parts[i].alias(n) for i, n in enumerate(("doc_id", "text", "source"))])
+
+
 def _separation(spark):
     # separation configuration: dataset -> insurers
     return spark.createDataFrame(
@@ -56,12 +78,12 @@ def dataset_split(spark, d):
 @register("merge_slices", ["SET2", "SNK3", "D7"], """
 SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority,
   CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate
-FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+FROM orders""")
 def merge_slices(spark, d):
     o = _orders_export(spark, d)
     root = scratch_path(spark, "merge")
     a = o.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    b = o.filter(F.col("o_orderpriority") == "2-HIGH").select("o_orderpriority", "o_orderkey")
+    b = o.filter(F.col("o_orderpriority") != "1-URGENT").select("o_orderpriority", "o_orderkey")
     W.write_slices(a, f"{root}/a", fmt="parquet")
     W.write_slices(b, f"{root}/b", fmt="parquet")
     frames = [spark.read.parquet(f"{root}/a"), spark.read.parquet(f"{root}/b")]
@@ -81,7 +103,7 @@ SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§
   regexp_replace(lang, '[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§€\[\]_-]', '', 'g') AS lang
 FROM documents""")
 def clean_rules(spark, d):
-    docs = S.table(spark, d, "documents", spread_rows=True).select("doc_id", "text", "source", "lang")
+    docs = S.table(spark, d, "documents").select("doc_id", "text", "source", "lang")
     rules = [Q.CleanRule("TYPE", ANY_EXCLUDE, type="ANY"),
              Q.CleanRule("NAME", DIGITS_ONLY, column="SOURCE"),
              Q.CleanRule("TYPE", r"[^0-9Ee.+-]", type="FLOAT")]   # no float column: no effect

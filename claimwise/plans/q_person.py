@@ -55,7 +55,7 @@ def diagnosis_rows(spark, d):
 
 
 def drug_rows(spark, d):
-    li = S.table(spark, d, "lineitem", spread_rows=True)
+    li = S.table(spark, d, "lineitem")
     o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return li.join(o, "l_orderkey").select(
         S.pid_of("o_custkey").alias("pid"), F.year("l_shipdate").alias("bezugsjahr"),
@@ -105,13 +105,9 @@ kg AS (
     max(CASE WHEN kgs > '000000' THEN kgs END) AS max_kgs
   FROM region GROUP BY pid),
 icd AS (
-  SELECT pid, string_agg(tok, '_' ORDER BY y, c) AS icds FROM (
-    SELECT pid, y, c, CASE WHEN count(*) = 1 THEN c ELSE c || '*' || CAST(count(*) AS VARCHAR) END AS tok
-    FROM diag GROUP BY pid, y, c) t GROUP BY pid),
+  SELECT pid, string_agg(c, '_' ORDER BY y, c) AS icds FROM diag GROUP BY pid),
 pzn AS (
-  SELECT pid, string_agg(tok, '_' ORDER BY y, c) AS pzns FROM (
-    SELECT pid, y, c, CASE WHEN count(*) = 1 THEN c ELSE c || '*' || CAST(count(*) AS VARCHAR) END AS tok
-    FROM drug GROUP BY pid, y, c) t GROUP BY pid),
+  SELECT pid, string_agg(c, '_' ORDER BY y, c) AS pzns FROM drug GROUP BY pid),
 fp AS (
   SELECT pb.pid, sha256(concat_ws('_', COALESCE(CAST(dob AS VARCHAR), '1900-01-01'), COALESCE(CAST(dod AS VARCHAR), '2999-12-31'),
     COALESCE(gender, '0'), COALESCE(min_kgs, '00000'), COALESCE(max_kgs, '00000'), COALESCE(icds, '0000'),
@@ -166,6 +162,6 @@ SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS pid,
   CAST(year(o_orderdate) AS VARCHAR) || '-0' || CAST(quarter(o_orderdate) AS VARCHAR) || '-01' AS first_quarter
 FROM orders WHERE year(o_orderdate) >= 2000""")
 def distinct_persons_from_year(spark, d):
-    o = S.table(spark, d, "orders").filter(F.year("o_orderdate") >= 2000)
+    o = S.table(spark, d, "orders").filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("date"))
     return o.select(S.pid_of("o_custkey").alias("pid"),
                     coarse_quarter_date(F.to_date("o_orderdate")).alias("first_quarter")).distinct()

@@ -28,7 +28,7 @@ def patterns(spark):
 
 def diagnosis_facts(spark, d):
     """Diagnosis facts from lineitem: person = supplier, code from flags, line and part."""
-    li = S.table(spark, d, "lineitem", spread_rows=True)
+    li = S.table(spark, d, "lineitem")
     ship = F.to_date("l_shipdate")
     return li.select(
         S.pid_of("l_suppkey").alias("pid"),
@@ -60,6 +60,23 @@ def score_pattern_join(spark, d):
     return SC.pattern_join(diagnosis_facts(spark, d), patterns(spark))
 
 
+@register("score_patterns_from_file", ["SRC8", "JON6"], "WITH " + _FACTS_SQL.replace(f"JOIN {_PATS_SQL}", """JOIN (
+  SELECT 'N%' || CAST(p_size AS VARCHAR) AS pattern, 'c' || CAST(p_size % 7 AS VARCHAR) AS disease_class,
+    CAST(p_size % 5 + 1 AS INTEGER) AS cci_weight FROM part WHERE p_type = 'PROMO' GROUP BY p_size) p""") + "SELECT * FROM m")
+def score_patterns_from_file(spark, d):
+    """Patterns written as a file (derived from part) and read back."""
+    from claimwise.session import scratch_path
+    from claimwise.sources.readers import read_score_patterns
+
+    path = scratch_path(spark, "patterns")
+    size = F.col("p_size")
+    (S.table(spark, d, "part").filter("p_type = 'PROMO'").select("p_size").distinct()
+     .select(F.concat(F.lit("N%"), size.cast("string")).alias("icd_code"), F.concat(F.lit("c"), (size % 7).cast("string")).alias("disease_class"),
+             (size % 5 + 1).alias("cci_weight"))
+     .write.option("header", True).option("sep", ";").csv(path))
+    return SC.pattern_join(diagnosis_facts(spark, d), read_score_patterns(spark, path))
+
+
 _Y0, _Y1 = YEARS
 _FIRST, _LAST = _Y0 * 4, _Y1 * 4 + 3
 _CAP = int(S.AS_OF[:4]) * 4 + 3

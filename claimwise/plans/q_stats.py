@@ -151,10 +151,10 @@ WHERE lk.km6_id <> '' AND (lk.hinweis IS NULL OR lk.hinweis LIKE '%ab%')
 def regional_ratio(spark, d):
     slices = _slices(spark, d)
     ref = stats.reference_quarter(slices["outpatient"], Y0, Y1)
-    cases = S.cases_with_region(spark, d)
-    return stats.regional_ratio(cases, S.region_lookup(spark, d), ref,
+    return stats.regional_ratio(S.outpatient_cases(spark, d), S.region_lookup(spark, d), ref,
                                 year="bezugsjahr", quarter="behandl_quartal", case_id="efn_id",
-                                region="kv", contract_col="vertrags_id")
+                                region="kv", contract_col="vertrags_id",
+                                regions=S.person_regions(spark, d), region_key="o_custkey")
 
 
 _REPORT_SQL = """

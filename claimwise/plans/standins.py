@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import pad_zeros
-from claimwise.session import spread
 
 # Configured year range of the statistics (covers the whole driver data).
 STAT_YEARS = (1995, 2001)
@@ -28,11 +27,9 @@ STAT_YEARS = (1995, 2001)
 AS_OF = "2001-06-30"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table.  ``spread_rows`` spreads a narrow input over all cores; used where
-    heavy per-row work (text regexes, explodes, lookups) precedes the first shuffle."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def pid_of(custkey) -> F.Column:
@@ -55,12 +52,11 @@ def outpatient_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cases_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outpatient cases with the person's region (join to customer on the person key)."""
-    c = table(spark, sf_dir, "customer").select(
+def person_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region of each person (o_custkey, kv)."""
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
         F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("kv"))
-    return outpatient_cases(spark, sf_dir).join(c, "o_custkey")
 
 
 def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

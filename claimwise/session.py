@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -38,7 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is only
-    read.  Only when it is unset (local tests) a scratch folder is created.
+    read.  When it is unset, a scratch folder is created on a local master; on any other
+    master that is an error, since executors do not share their local folders.
     """
     try:
         sc = spark.sparkContext
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="claimwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
@@ -64,27 +67,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Survives executor loss (the data lives in the shared folder, not on the
-    executor), unlike a local checkpoint.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition of an input that has fewer partitions than the
-    session's default parallelism (e.g. one file with one row group), so that the
-    per-row work before the first shuffle uses all cores.  Inputs with many splits
-    (the normal case on a cluster) are returned unchanged: no extra shuffle.
-    Catalyst still pushes filters and column pruning below the repartition."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target) if narrow else df

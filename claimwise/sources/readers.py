@@ -19,9 +19,11 @@ def read_slices(spark: SparkSession, path: str, sep: str = SLICE_SEP,
     """Headered ``;`` CSV slices (gz decompressed by file extension), all columns strings.
 
     Empty fields are empty strings (the export layer has no NULL), blanks are kept.
+    All files must have the columns of the first one in the same order: another header is
+    refused (merge such slices by name, read one by one, with ``sinks.merge_slices``).
     Partition columns of a sliced layout (``slice=<year>``) are discovered by Spark."""
     df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-          .option("inferSchema", False)
+          .option("inferSchema", False).option("enforceSchema", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("quote", "\u0000")
           .csv(path))
@@ -39,8 +41,7 @@ def read_delimited_strict(spark: SparkSession, path: str, columns: list[str],
     pruning (the CSV reader's DROPMALFORMED does not)."""
     lines = spark.read.text(path).filter(F.col("value") != "")
     if header:
-        first = lines.limit(1)
-        lines = lines.join(F.broadcast(first), "value", "left_anti")
+        lines = lines.filter(F.col("value") != sep.join(columns))
     parts = F.split(F.col("value"), _regex_quote(sep), -1)
     return (lines.select(parts.alias("_p")).filter(F.size("_p") == len(columns))
             .select(*[F.col("_p").getItem(i).alias(c) for i, c in enumerate(columns)]))

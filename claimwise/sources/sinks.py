@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_SEP = ";"
+# gz files cannot be split on read
+FILE_ROWS = 2_000_000
 
 # CSV options so that values are written raw: empty string stays empty, no
 # quoting, outer blanks kept.
+# The writer quotes a value that holds the separator, a quote or a line break; ``file_values`` leaves none.
 RAW_CSV = {
     "sep": SLICE_SEP, "header": "true", "emptyValue": "", "nullValue": "",
     "quote": "\u0000", "escape": "\u0000",
@@ -18,6 +21,14 @@ RAW_CSV = {
 }
 
 
+def file_values(df: DataFrame) -> DataFrame:
+    """String values as they may stand in a ``;`` file: ``;`` becomes ``_``, quotes and NUL go, line breaks
+    become blanks."""
+    clean = {f.name: F.translate(F.translate(F.col(f"`{f.name}`"), ';"\u0000', "_"), "\r\n", "  ")
+             for f in df.schema.fields if f.dataType.simpleString() == "string"}
+    return df.withColumns(clean) if clean else df
+
+
 def db_short_name(db: str) -> str:
     """Text after the first '_' of a database name (whole name when there is none)."""
     return db.split("_", 1)[1] if "_" in db else db
@@ -34,7 +45,12 @@ def write_slices(df: DataFrame, path: str, slice_col: str | None = None,
     """One directory per slice value; empty slices produce no files.
 
     ``fmt='csv'`` writes raw ``;`` text with a header (gzip); ``'parquet'`` keeps types."""
-    w = df.write.mode(mode)
+    if fmt == "csv":
+        df = file_values(df)
+    if slice_col:
+        # rows of a slice meet in few tasks (a large slice in several): few files per directory
+        df = df.hint("rebalance", slice_col)
+    w = df.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS)
     if slice_col:
         w = w.partitionBy(slice_col)
     if fmt == "csv":
@@ -60,7 +76,7 @@ def merge_slices(frames: list[DataFrame], allow_missing: bool = False) -> DataFr
 
 def write_decode_file(df: DataFrame, path: str) -> None:
     """Decode mapping ``h2ik;egk_nr;kv_nummer;pid`` as one ``;`` CSV directory."""
-    df.select("h2ik", "egk_nr", "kv_nummer", "pid").write.mode("overwrite").options(**RAW_CSV).csv(path)
+    file_values(df.select("h2ik", "egk_nr", "kv_nummer", "pid")).write.mode("overwrite").options(**RAW_CSV).csv(path)
 
 
 def write_new_version(df: DataFrame, base: str, version: str, slice_col: str | None = None) -> str:
@@ -73,7 +89,8 @@ def write_new_version(df: DataFrame, base: str, version: str, slice_col: str | N
 
 def write_scores(df: DataFrame, path: str) -> None:
     """Score rows partitioned by source table and window start."""
-    df.write.mode("overwrite").partitionBy("source_table", "window_start").parquet(path)
+    (df.hint("rebalance", "source_table", "window_start").write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS)
+     .partitionBy("source_table", "window_start").parquet(path))
 
 
 def with_slice(df: DataFrame, year_col: str, name: str = "slice") -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql.types import StructType
 from claimwise.operators.enrich import run_chain
 from claimwise.operators.extract import ExtractSpec, extract
 from claimwise.operators.rowfilters import FrameMeta, apply_filters
-from claimwise.session import scratch_path
 
 
 def export_stream(spark: SparkSession, source_path: str, schema: StructType, spec: ExtractSpec,
@@ -29,15 +28,18 @@ def export_stream(spark: SparkSession, source_path: str, schema: StructType, spe
 
 def start_export_stream(spark: SparkSession, source_path: str, schema: StructType, spec: ExtractSpec,
                         sink_path: str, filters=(), steps=(), meta: FrameMeta = FrameMeta(),
-                        slice_col: str | None = None, checkpoint: str | None = None,
+                        slice_col: str | None = None, *, checkpoint: str,
                         available_now: bool = True) -> StreamingQuery:
     """Start the export stream into a parquet sink (partitioned by ``slice_col``).
 
+    ``checkpoint`` is a shared folder of this stream alone: a restart with it goes on where the
+    last run stopped.
+
     ``available_now`` processes what is there and stops (batch-like catch-up);
     otherwise the query keeps running with the default trigger."""
     df = export_stream(spark, source_path, schema, spec, filters, steps, meta)
     w = (df.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "export-stream"))
+         .option("checkpointLocation", checkpoint)
          .outputMode("append"))
     if slice_col:
         w = w.partitionBy(slice_col)

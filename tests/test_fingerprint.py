@@ -46,7 +46,7 @@ def test_canonical_text_and_hash(spark):
     want = model()
     got = {r["pid"]: r["text"] for r in FP.canonical_text(*frames(spark)).collect()}
     assert got == {k: v[0] for k, v in want.items()}
-    assert got["p1"] == "1949-12-31_2999-12-31_1_01001_09999_A0*2_C2_B1_00000002"
+    assert got["p1"] == "1949-12-31_2999-12-31_1_01001_09999_A0_A0_C2_B1_00000002"
     fps = {r["pid"]: r["fingerprint"] for r in FP.fingerprints(*frames(spark)).collect()}
     assert fps == {k: v[1] for k, v in want.items()}
 
