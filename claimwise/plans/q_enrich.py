@@ -304,3 +304,57 @@ def export_chain(spark, d):
     ]
     out = E.run_chain(view, steps, AM_EVO)
     return out.select("h2ik", "l_orderkey", "l_linenumber", "pzn", "kv", "apo_typ", E.DDD)
+
+
+@register("catalogue_by_index_file", ["SRC5", "ENR2", "JON5"], """
+SELECT l.l_orderkey, l.l_linenumber, lpad(CAST(l.l_partkey AS VARCHAR), 8, '0') AS pzn,
+  COALESCE(CASE WHEN p.p_partkey % 5 = 0 THEN p.p_type ELSE p.p_brand END, '') AS "WARENZ"
+FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND p.p_partkey % 7 <> 0""")
+def catalogue_by_index_file(spark, d):
+    """A headerless catalogue file whose keys repeat (the last line of a key wins), read by position and appended."""
+    from claimwise.plans.config import step_of
+    from claimwise.session import scratch_path
+
+    part = S.table(spark, d, "part").filter("p_partkey % 7 <> 0")
+    first = part.select(F.lit(0).alias("no"), "p_partkey", F.concat_ws(";", F.lit("x"), "p_partkey", "p_brand").alias("value"))
+    again = part.filter("p_partkey % 5 = 0").select(F.lit(1).alias("no"), "p_partkey", F.concat_ws(";", F.lit("y"), "p_partkey", "p_type").alias("value"))
+    path = scratch_path(spark, "catalogue")
+    # a catalogue is one file with an order of lines
+    first.unionByName(again).repartition(1).sortWithinPartitions("no", "p_partkey").select("value").write.text(path)
+    step = step_of(spark, {"mode": "DDD", "targetTable": "am_evo", "keyColumn": "pzn", "sources": [
+        {"file": path, "keyColumnIndex": 1, "columns": [{"index": 2, "column": "WARENZ"}]}]})
+    rx = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("pzn"))
+    return E.run_chain(rx, [step], FrameMeta("ACC_ADB", "AVK_ADB_T_AM_EVO"))
+
+
+@register("export_from_config", ["ENR1", "ENR10", "SRC6", "FLT5", "FLT8", "JON2"], """
+SELECT 'D1' AS dataset, o.o_orderkey, CAST(o.o_custkey AS VARCHAR) AS o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS bezugsjahr, c.c_name,
+  COALESCE(CASE WHEN m.c_custkey % 3 <> 0 THEN m.c_mktsegment END, '') AS segment
+FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = o.o_custkey
+LEFT JOIN customer m ON m.c_custkey = o.o_custkey
+WHERE year(o.o_orderdate) BETWEEN 1996 AND 1998 AND o.o_orderstatus IN ('F', 'O')""")
+def export_from_config(spark, d):
+    """A whole export from one configuration text: slice, conditions, join, static column, mapping file, and steps without
+    effect (unknown mode, catalogue without sources)."""
+    import json
+
+    from claimwise.plans.config import export_from_config as run
+    from claimwise.session import scratch_path
+
+    path = scratch_path(spark, "mapping")
+    customer = S.table(spark, d, "customer")
+    (customer.filter("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+     .write.option("header", True).option("sep", ";").csv(path))
+    frames = {
+        "ORDERS": S.table(spark, d, "orders").withColumn("bezugsjahr", F.year("o_orderdate")).withColumn("o_custkey", F.col("o_custkey").cast("string")),
+        "CUSTOMER": customer.withColumn("o_custkey", F.col("c_custkey").cast("string"))}
+    conf = {
+        "db": "ACC_ADB", "datasetName": "d1", "yearSlice": {"column": "bezugsjahr", "startYear": 1996, "endYear": 1998, "dateColumn": "o_orderdate"},
+        "where": [{"column": "o_orderstatus", "operator": "EQUAL", "columnType": "STRING", "values": ["F", "O"]}],
+        "views": [{"name": "ORDERS", "columns": ["o_orderkey", "o_custkey", "bezugsjahr", "c_name"], "joins": [
+            {"name": "CUSTOMER", "joinType": "LEFT", "onColumns": ["o_custkey"], "excludeColumns": ["c_custkey"],
+             "where": [{"column": "c_acctbal", "operator": "GREATER", "columnType": "NUMERIC", "values": ["0"]}]}]}],
+        "transformers": [{"mode": "STATIC", "valueName": "dataset", "value": "D1", "order": "FIRST", "targetTable": "ORDERS"},
+                         {"mode": "DYNAMIC", "file": path, "keyColumns": ["o_custkey"]}, {"mode": "SOMETHING"}, {"mode": "DDD", "keyColumn": "pzn"}]}
+    out = run(spark, json.dumps(conf), frames)["ORDERS"]
+    return out.withColumn("c_name", F.when(F.col("c_name") != "", F.col("c_name")))

@@ -26,7 +26,7 @@ def test_export_writes_slices_and_merge_reads_them_back(spark):
 
 def test_stats_command(spark):
     slices = q_stats._slices(spark, SF0001)
-    res = C.stats(slices, 1995, 2001, "outpatient", S.cases_with_region(spark, SF0001), S.region_lookup(spark, SF0001),
+    res = C.stats(slices, 1995, 2001, "outpatient", S.outpatient_cases(spark, SF0001).join(S.person_regions(spark, SF0001), "o_custkey"), S.region_lookup(spark, SF0001),
                   year="bezugsjahr", quarter="behandl_quartal", case_id="efn_id", region="kv",
                   contract_col="vertrags_id")
     assert res.overview.count() == 5 * 7 * 4

@@ -114,3 +114,39 @@ def test_data_family(spark):
     assert rows(RF.data_family(df, flag="x"), "h2ik") == [("1",), ("3",)]
     with pytest.raises(ValueError):
         RF.data_family(df)
+
+
+def test_joins_with_shared_names_conditions_and_excludes(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    right = spark.createDataFrame([(1, "x", 5, "s"), (1, "y", 9, "s"), (2, "z", 1, "s")], "id int, name string, n int, secret string")
+    spec = ExtractSpec(joins=(JoinSpec(right, ("id",), "left", exclude=("secret",), where=(Where("n", (4,), ">", "NUMERIC"),)),))
+    out = extract(left, spec)
+    assert out.columns == ["id", "name", "name_1", "n"]
+    assert rows(out.na.fill({"name_1": "", "n": 0})) == [(1, "a", "x", 5), (1, "a", "y", 9), (2, "b", "", 0)]
+
+
+def test_numeric_operands_keep_their_digits(spark):
+    df = spark.createDataFrame([(9007199254740992,), (9007199254740993,)], "k long")
+    for value in ("9007199254740993", 9007199254740993):
+        assert rows(extract(df, ExtractSpec(where=(Where("k", (value,), "=", "NUMERIC"),)))) == [(9007199254740993,)]
+        assert rows(extract(df, ExtractSpec(where=(Where("k", (value,), "<", "NUMERIC"),)))) == [(9007199254740992,)]
+    values = spark.createDataFrame([("9007199254740993",), ("no number",)], "v string")
+    assert rows(extract(df, ExtractSpec(where=(Where("k", op="=", kind="NUMERIC", value_frame=values),)))) == [(9007199254740993,)]
+    assert rows(extract(df, ExtractSpec(where=(Where("k", ("5.5",), ">", "NUMERIC"),)))) == [(9007199254740992,), (9007199254740993,)]
+
+
+def test_like_patterns_of_any_number_take_one_equi_join(spark, capsys):
+    from claimwise.operators.lookup import like_matches
+
+    words = ["abc", "abd", "xyz", "a_c", "a%c", "", None, "bca", "zzabc"]
+    patterns = ["a%", "%c", "_b_", "%b%", "abc", "", "a\\_c", "a\\%%", "%", None]
+    values, pats = spark.createDataFrame([(w,) for w in words], "v string"), spark.createDataFrame([(p,) for p in patterns], "p string")
+    values.createOrReplaceTempView("like_v")
+    pats.createOrReplaceTempView("like_p")
+    expected = spark.sql("SELECT DISTINCT v, p FROM like_v, like_p WHERE v LIKE p")
+    assert rows(like_matches(values, pats)) == rows(expected)
+    many = spark.range(150_000).selectExpr("concat('p', id, '%x') AS p")
+    got = like_matches(spark.createDataFrame([("p77_x",), ("p1234x",), ("q",)], "v string"), many)
+    assert rows(got) == sorted([("p1234x", "p1%x"), ("p1234x", "p1234%x"), ("p1234x", "p123%x"), ("p1234x", "p12%x"), ("p77_x", "p77%x"), ("p77_x", "p7%x")])
+    got.explain()
+    assert "NestedLoop" not in capsys.readouterr().out

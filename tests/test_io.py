@@ -88,3 +88,33 @@ def test_score_pattern_file(spark, tmp_path):
     assert rows(pats) == [("C7_", "tumor", 6), ("I21", "mi", 1)]
     facts = spark.createDataFrame([("I214",), ("C781",), ("C7",), ("X",)], "icd_code string")
     assert rows(pattern_join(facts, pats), "icd_code", "pattern") == [("C781", "C7_"), ("I214", "I21")]
+
+
+def test_export_bytes(spark, tmp_path):
+    """Dirty values and names, on the bytes of the files."""
+    import gzip
+
+    from claimwise.operators.extract import ExtractSpec
+    from claimwise.operators.rowfilters import FrameMeta
+    from claimwise.plans.commands import export
+
+    df = spark.createDataFrame([('a;b"c', " x\ty\r\nz ", None), ("\u0000q", "", "Z")], "ID string, Text string, Third string")
+    export(df, ExtractSpec(), FrameMeta("ACC_DB", "t"), root=str(tmp_path))
+    files = sorted((tmp_path / "DB" / "default" / "t").glob("*.gz"))
+    lines = sorted(x for f in files for x in gzip.open(f).read().split(b"\n") if x and x != b"id;text;third")
+    assert lines == [b"a_bc;x\ty  z;", b"q;;Z"]
+
+
+def test_slices_with_another_header_are_refused(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.csv").write_text("pid;name\n1;x\n")
+    (tmp_path / "b.csv").write_text("name;pid\ny;2\n")
+    with pytest.raises(Exception, match="header|schema"):
+        R.read_slices(spark, str(tmp_path)).collect()
+
+
+def test_few_files_per_slice(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 16).selectExpr("id", "id % 3 AS year")
+    W.write_slices(df, str(tmp_path / "s"), "year", fmt="csv")
+    assert all(len(list(p.glob("*.gz"))) <= 2 for p in (tmp_path / "s").glob("year=*"))

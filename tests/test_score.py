@@ -79,6 +79,11 @@ def test_window_score(spark):
     assert rows(SC.window_score(df)) == [("p", 5), ("q", 1)]
 
 
-def test_pattern_join_long_wildcard_list_path(spark, monkeypatch):
-    monkeypatch.setattr(SC, "INLINE_WILDCARDS", 0)
-    test_pattern_join_equals_brute_force(spark)
+def test_many_wildcard_patterns_take_the_same_path(spark, capsys):
+    facts_ = spark.createDataFrame([("A12",), ("A92",), (None,)], "icd_code string")
+    pats = spark.range(300).selectExpr("concat('A', id, '_') AS icd_code", "'c' AS disease_class", "1 AS cci_weight")
+    got = SC.pattern_join(facts_, pats)
+    assert rows(got, "icd_code", "pattern") == [("A12", "A1_"), ("A92", "A9_")]
+    got.explain()
+    assert "NestedLoop" not in capsys.readouterr().out
+

@@ -22,7 +22,7 @@ def test_stream_equals_batch(spark):
              E.PharmacyType(table="am_evo")]
     out = scratch_path(spark, "stream-out")
     q = start_export_stream(spark, src, spark.read.parquet(src).schema, spec, out, filters, steps, AM_EVO,
-                            slice_col="bezugsjahr")
+                            slice_col="bezugsjahr", checkpoint=scratch_path(spark, "stream-checkpoint"))
     q.awaitTermination(300)
     got = spark.read.parquet(out)
     batch = E.run_chain(RF.apply_filters(extract(spark.read.parquet(src), spec), filters, AM_EVO), steps, AM_EVO)
