@@ -63,3 +63,24 @@ def map_ids(df: DataFrame, mapping: DataFrame, source_key: str, target_key: str)
     m = mapping.select(F.col(mapping.columns[0]).cast("string").alias(source_key),
                        F.col(mapping.columns[1]).cast("string").alias(target_key))
     return LookupColumns(m, (source_key,))(df, FrameMeta())
+
+
+def malformed_counts(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """How many values of each column are neither empty nor of its kind: (column, kind, n_values, n_malformed).
+
+    ``kinds``: column -> ``int`` (digits with a sign, 32 bits, no blanks), ``float`` or ``date`` (yyyy-MM-dd).  One pass over
+    the rows, a partial aggregate per column."""
+    aggs = []
+    for i, (column, kind) in enumerate(kinds.items()):
+        c = F.coalesce(F.col(column).cast("string"), F.lit(""))
+        if kind == "int":
+            good = c.rlike(r"\A[+-]?[0-9]+\z") & c.try_cast("int").isNotNull()
+        elif kind == "float":
+            good = c.try_cast("double").isNotNull()
+        else:
+            good = c.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & F.try_to_date(c, "yyyy-MM-dd").isNotNull()
+        filled = c != ""
+        aggs += [F.count(F.when(filled, 1)).alias(f"v{i}"), F.count(F.when(filled & ~good, 1)).alias(f"m{i}")]
+    rows = F.array(*[F.struct(F.lit(column).alias("column"), F.lit(kind).alias("kind"), F.col(f"v{i}").alias("n_values"),
+                              F.col(f"m{i}").alias("n_malformed")) for i, (column, kind) in enumerate(kinds.items())])
+    return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")

@@ -125,7 +125,7 @@ _DDD_SQL = ("CASE WHEN COALESCE(ddd, '') = '' THEN NULL ELSE "
             + _gate("CAST(ddd AS BIGINT) / CAST(1000 AS DOUBLE) * pk") + ' END AS "DDD"')
 
 
-@register("drug_doses", ["ENR2", "JON5", "AGG13", "AGG14", "SCL7", "SCL9", "SRC5"], _drug_sql(
+@register("drug_doses", ["ENR2", "JON5", "AGG13", "AGG14", "SCL7", "SCL9"], _drug_sql(
     "l_orderkey, l_linenumber, pzn, " + _DDD_SQL
     + ", COALESCE(appform, '') AS \"APPFORM\", COALESCE(gen, '') AS \"GENERIKENN\""))
 def drug_doses(spark, d):
@@ -240,7 +240,7 @@ def pid_hash(spark, d):
     return E.run_chain(base, [E.PseudoHash()], VERS_STAMM)
 
 
-@register("lookup_append", ["ENR5", "JON4", "SRC6", "D12"], """
+@register("lookup_append", ["ENR5", "JON4", "D12"], """
 WITH m AS (
   SELECT o_orderstatus AS k1, o_orderpriority AS k2, CAST(count(*) AS VARCHAR) AS value1,
          CAST(min(o_orderkey) AS VARCHAR) AS value2
@@ -276,7 +276,7 @@ _RX_EXTRA = """, CASE WHEN l_suppkey < 5 THEN CAST(l_suppkey AS VARCHAR) ELSE CA
        WHEN 2 THEN '' WHEN 3 THEN NULL ELSE '11' || CAST(l_suppkey AS VARCHAR) END AS ik"""
 
 
-@register("export_chain", ["ENR1", "ENR10", "FLT18", "FLT8", "FLT11", "FLT12", "SRC1", "SRC2", "SCL18"], _drug_sql(
+@register("export_chain", ["ENR1", "FLT18", "FLT8", "FLT11", "FLT12", "SRC1", "SRC2", "SCL18"], _drug_sql(
     "'101575519' AS h2ik, l_orderkey, l_linenumber, pzn, " + _REGION_CASE + " AS kv, "
     "CASE WHEN ik IS NULL OR ik = '' THEN '' WHEN substr(ik, 1, 2) IN ('26', '30') THEN substr(ik, 1, 2) "
     "ELSE '00' END AS apo_typ, " + _DDD_SQL,

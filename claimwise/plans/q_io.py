@@ -21,7 +21,7 @@ def _orders_export(spark, d):
                     F.year("o_orderdate").alias("bezugsjahr"))
 
 
-@register("slices_roundtrip", ["SNK1", "SNK2", "SRC4", "SNK3", "DOC5"], """
+@register("slices_roundtrip", ["SNK1", "SNK2", "SRC4", "SNK3"], """
 SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority,
   strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS bezugsjahr FROM orders""")
 def slices_roundtrip(spark, d):
@@ -120,3 +120,33 @@ def id_mapping(spark, d):
     egk2pid = decoded.filter(F.col("egk_nr") != "").select("egk_nr", "pid")
     target = ids.select("row_id", "egk_nr")
     return Q.map_ids(target, egk2pid, "egk_nr", "pid")
+
+
+@register("malformed_counts", ["D13", "DOC1"], """
+WITH t AS (
+  SELECT CASE WHEN l_linenumber = 3 THEN ' 5 ' WHEN l_linenumber = 4 THEN '' ELSE CAST(l_partkey AS VARCHAR) END AS packages,
+    CASE WHEN l_returnflag = 'R' THEN strftime(l_shipdate, '%d.%m.%Y') ELSE strftime(l_shipdate, '%Y-%m-%d') END AS day,
+    CASE WHEN l_quantity > 40 THEN 'n/a' ELSE CAST(l_quantity AS VARCHAR) END AS amount FROM lineitem)
+SELECT 'packages' AS "column", 'int' AS kind, count(*) FILTER (packages <> '') AS n_values,
+  count(*) FILTER (packages <> '' AND NOT regexp_full_match(packages, '[+-]?[0-9]+')) AS n_malformed FROM t
+UNION ALL SELECT 'day', 'date', count(*) FILTER (day <> ''), count(*) FILTER (NOT regexp_full_match(day, '[0-9]{4}-[0-9]{2}-[0-9]{2}')) FROM t
+UNION ALL SELECT 'amount', 'float', count(*) FILTER (amount <> ''), count(*) FILTER (amount = 'n/a') FROM t""")
+def malformed_counts(spark, d):
+    li = S.table(spark, d, "lineitem").select(
+        F.when(F.col("l_linenumber") == 3, " 5 ").when(F.col("l_linenumber") == 4, "").otherwise(F.col("l_partkey").cast("string")).alias("packages"),
+        F.when(F.col("l_returnflag") == "R", F.date_format("l_shipdate", "dd.MM.yyyy")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("day"),
+        F.when(F.col("l_quantity") > 40, "n/a").otherwise(F.col("l_quantity").cast("string")).alias("amount"))
+    return Q.malformed_counts(li, {"packages": "int", "day": "date", "amount": "float"})
+
+
+@register("code_page_roundtrip", ["DOC5"], """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || ' – „' || p_brand || '“ ' || CAST(p_size AS VARCHAR) || ' € äöüß' AS label FROM part""")
+def code_page_roundtrip(spark, d):
+    """Characters that windows-1252 has at 0x80 to 0x9F, written and read in that code page."""
+    size = F.col("p_size").cast("string")
+    part = S.table(spark, d, "part").select(
+        F.col("p_partkey").cast("string").alias("p_partkey"),
+        F.concat("p_name", F.lit(" – „"), "p_brand", F.lit("“ "), size, F.lit(" € äöüß")).alias("label"))
+    path = scratch_path(spark, "cp1252")
+    W.write_slices(part, path, fmt="csv", encoding="windows-1252")
+    return R.read_slices(spark, path, encoding="windows-1252")

@@ -55,7 +55,7 @@ m AS (SELECT f.*, p.pattern, p.disease_class, p.cci_weight FROM facts f JOIN {_P
 """
 
 
-@register("score_pattern_join", ["JON6", "SRC8"], "WITH " + _FACTS_SQL + "SELECT * FROM m")
+@register("score_pattern_join", ["JON6"], "WITH " + _FACTS_SQL + "SELECT * FROM m")
 def score_pattern_join(spark, d):
     return SC.pattern_join(diagnosis_facts(spark, d), patterns(spark))
 

@@ -59,7 +59,7 @@ def overview_hospital(spark, d):
     return _slices(spark, d)["hospital"]
 
 
-@register("overview_cases_contract", ["AGG3", "FLT15", "D8"], _COUNTS_SQL["outpatient"])
+@register("overview_cases_contract", ["AGG3", "D8"], _COUNTS_SQL["outpatient"])
 def overview_cases_contract(spark, d):
     return _slices(spark, d)["outpatient"]
 
@@ -99,7 +99,7 @@ r AS (
 """
 
 
-@register("overview_ratio", ["WIN3", "WIN4", "SCL15", "SCL17"],
+@register("overview_ratio", ["WIN3", "WIN4", "SCL15"],
           _OVERVIEW_SQL + "SELECT slice, year, quarter, cnt, ratio, "
                           "(pos > 4 AND (ratio > 1.5 OR ratio < 0.5)) AS out_of_tolerance FROM r")
 def overview_ratio(spark, d):
@@ -188,3 +188,18 @@ def morbidity_report_lookup(spark, d):
     path = scratch_path(spark, "morbi")
     write_slices(report, path, fmt="csv")
     return stats.report_for_dataset(read_morbidity_report(spark, path), "ACC_ADB", "Building")
+
+
+@register("cases_per_listed_year", ["SCL17", "AGG1"], f"""
+SELECT CAST(y AS INTEGER) AS year, h2ik, CAST(COALESCE(n, 0) AS BIGINT) AS cnt
+FROM (SELECT y, h2ik FROM range({Y0}, {Y1 + 1}) t(y), (SELECT DISTINCT o_orderpriority AS h2ik FROM orders)) k
+LEFT JOIN (SELECT year(o_orderdate) AS oy, o_orderpriority AS op, count(DISTINCT o_orderkey) AS n FROM orders GROUP BY ALL) c
+  ON c.oy = k.y AND c.op = k.h2ik""")
+def cases_per_listed_year(spark, d):
+    """Cases of every insurer in every configured year, years without cases as 0."""
+    from claimwise.functions.scalars import year_list
+
+    cases = S.outpatient_cases(spark, d)
+    counts = cases.groupBy(F.col("bezugsjahr").alias("year"), "h2ik").agg(F.count_distinct("efn_id").alias("cnt"))
+    listed = cases.select("h2ik").distinct().withColumn("year", F.explode(year_list(F.lit(Y0), F.lit(Y1))))
+    return listed.join(counts, ["year", "h2ik"], "left").select("year", "h2ik", F.coalesce("cnt", F.lit(0)).alias("cnt"))

@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 from claimwise.functions.scalars import pad_zeros
 
 SLICE_SEP = ";"
+# charsets that Spark's text sources know without further ado
+PLAIN_CHARSETS = {"utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32"}
+
+
+def allow_charset(spark: SparkSession, encoding: str) -> None:
+    """Let the session read and write a code page of the JVM (windows-1252) beside the plain charsets."""
+    if encoding.lower() not in PLAIN_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
 def read_slices(spark: SparkSession, path: str, sep: str = SLICE_SEP,
@@ -22,6 +30,7 @@ def read_slices(spark: SparkSession, path: str, sep: str = SLICE_SEP,
     All files must have the columns of the first one in the same order: another header is
     refused (merge such slices by name, read one by one, with ``sinks.merge_slices``).
     Partition columns of a sliced layout (``slice=<year>``) are discovered by Spark."""
+    allow_charset(spark, encoding)
     df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
           .option("inferSchema", False).option("enforceSchema", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

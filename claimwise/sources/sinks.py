@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimwise.sources.readers import allow_charset
+
 SLICE_SEP = ";"
 # gz files cannot be split on read
 FILE_ROWS = 2_000_000
@@ -46,6 +48,7 @@ def write_slices(df: DataFrame, path: str, slice_col: str | None = None,
 
     ``fmt='csv'`` writes raw ``;`` text with a header (gzip); ``'parquet'`` keeps types."""
     if fmt == "csv":
+        allow_charset(df.sparkSession, encoding)
         df = file_values(df)
     if slice_col:
         # rows of a slice meet in few tasks (a large slice in several): few files per directory
