@@ -9,7 +9,7 @@ split over tokens get the same character span in each.  Decoding turns ids back
 from __future__ import annotations
 
 import hashlib
-import itertools
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,8 +24,10 @@ from claimwise.llm.common import short_batches
 #: Texts of these characters only are split here; their classes are the same in all Unicode versions that the
 #: libraries carry.  Any other text is split by the tokenizers library itself.
 STEADY = regex.compile("[\x00-՗‐-‧‰-⁞€ぁ-ゖァ-ヺ一-龥가-힣]*")
-#: Pieces that a worker remembers, and the longest it remembers.
-PIECES, PIECE_CHARS = 1_000_000, 40
+#: Pieces that a task remembers, and the longest it remembers.
+PIECES, PIECE_CHARS = 500_000, 40
+#: Characters of the texts that are split at once.
+GROUP_CHARS = 1_000_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -39,6 +41,7 @@ class Codec:
     """Encoder and decoder of one vocabulary file of the tokenizers library."""
 
     def __init__(self, vocabulary: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
@@ -49,33 +52,39 @@ class Codec:
         self.bytes = [bytes(to_byte[c] for c in n) if all(c in to_byte for c in n) else n.encode() for n in names]
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        self.known: dict[str, bytes] = {}  # piece -> its ids, 32 bits each
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _group(self, texts: list[str]) -> Iterator[np.ndarray]:
+        split = [self.split(t) if STEADY.fullmatch(t) else None for t in texts]
+        wanted: set[str] = set().union(*[p for p in split if p])
+        new = list(wanted.difference(self.known))
+        if len(self.known) + len(new) > PIECES:  # what is in use now is remembered on
+            self.known = {p: self.known[p] for p in wanted if p in self.known}
+        late = dict(zip(new, self._encoded(new), strict=True))
+        self.known.update((p, ids) for p, ids in late.items() if len(p) <= PIECE_CHARS)
+        late = {p: ids for p, ids in late.items() if len(p) > PIECE_CHARS}
+        for text, pieces in zip(texts, split, strict=True):
+            if pieces is None:
+                ids = self._encoded([text])
+            elif late:
+                ids = [late[p] if p in late else self.known[p] for p in pieces]
+            else:
+                ids = map(self.known.__getitem__, pieces)
+            yield np.frombuffer(b"".join(ids), np.uint32)
 
     def encode_batch(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text.  Holds the pieces of one text at a time."""
+        """Ids of each text, in groups of about ``GROUP_CHARS`` characters."""
+        group, chars = [], 0
         for text in texts:
-            if not text:
-                yield np.empty(0, np.uint32)
-                continue
-            if not STEADY.fullmatch(text):
-                yield np.array(self._whole(text), np.uint32)
-                continue
-            pieces = self.split(text)
-            known = self.known
-            if len(known) > PIECES:
-                known.clear()
-            new = [p for p in set(pieces) if p not in known]
-            late = {}
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                (known if len(p) <= PIECE_CHARS else late)[p] = tuple(e.ids)
-            if late:
-                ids = itertools.chain.from_iterable(late[p] if p in late else known[p] for p in pieces)
-            else:
-                ids = itertools.chain.from_iterable(map(known.__getitem__, pieces))
-            yield np.fromiter(ids, np.uint32)
+            group.append(text)
+            chars += len(text)
+            if chars >= GROUP_CHARS:
+                yield from self._group(group)
+                group, chars = [], 0
+        yield from self._group(group)
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and one past the last character of each token; a split character counts to every token that holds a part of it."""
@@ -93,11 +102,17 @@ class Codec:
 
 
 @lru_cache(maxsize=4)
-def codec(vocabulary: str, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
+def _loaded(vocabulary: str, pattern: str) -> Codec:
     return Codec(vocabulary, pattern)
 
 
+def codec(vocabulary: str, pattern: str) -> Codec:
+    """The worker process's codec of a vocabulary, loaded once; what it remembers of texts is forgotten."""
+    c = _loaded(vocabulary, pattern)
+    c.known = {}
+    return c
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", offsets: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array<long>) and, if asked for, ``starts`` and ``ends`` (array<int>, characters).
 
