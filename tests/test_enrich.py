@@ -215,3 +215,24 @@ def test_fingerprint_column_replaces_and_fills(spark):
     assert rows(out) == [("p1", "abc"), ("p2", "")]
     other = E.run_chain(master, [E.FingerprintColumn(fps)], FrameMeta("ACC_ADB", "AVK_ADB_T_KH_FALL"))
     assert rows(other) == [("p1", "old"), ("p2", "old")]
+
+
+def test_repeated_catalogue_keys_do_not_multiply_rows(spark):
+    frame = spark.createDataFrame([("1", "a"), ("01", "b"), ("2", "c")], "key string, WARENZ string")
+    step = E.DrugCatalogue((E.CatalogueSource(frame, ("WARENZ",)),), "pzn", table="am_evo")
+    df = spark.createDataFrame([("00000001",), ("00000002",), ("00000003",)], "pzn string")
+    out = step(df, FrameMeta("ACC_ADB", "AVK_ADB_T_AM_EVO"))
+    assert rows(out, "pzn", "WARENZ") == [("00000001", "b"), ("00000002", "c"), ("00000003", "")]
+
+
+def test_lookup_computes_its_mapping_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    mapping = spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string").mapInArrow(counted, "k string, v string")
+    out = E.LookupColumns(mapping, ("k",))(spark.createDataFrame([("a",), ("c",)], "k string"), FrameMeta())
+    assert rows(out) == [("a", "1"), ("c", "")] and calls.value == 2

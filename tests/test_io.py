@@ -118,3 +118,28 @@ def test_few_files_per_slice(spark, tmp_path):
     df = spark.range(0, 1000, 1, 16).selectExpr("id", "id % 3 AS year")
     W.write_slices(df, str(tmp_path / "s"), "year", fmt="csv")
     assert all(len(list(p.glob("*.gz"))) <= 2 for p in (tmp_path / "s").glob("year=*"))
+
+
+def test_unset_shared_folder_is_an_error_off_a_local_master():
+    import pytest
+
+    from claimwise.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *args):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+        def getConf(self):  # noqa: N802
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
