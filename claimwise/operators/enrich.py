@@ -18,9 +18,7 @@ from claimwise.functions.scalars import (clean_package_name, empty_if_null, is_c
                                          java_trim, main_region, pad_zeros, pharmacy_type,
                                          quarter_begin_text, quarter_end_text, sha256_hex,
                                          strict_int)
-from claimwise.operators.lookup import require_unique
 from claimwise.operators.rowfilters import FrameMeta, targets
-from claimwise.session import scratch_path
 
 # Fixed values that define results: catalogue column labels.
 ADMISSION = "MARKTZUGANG"
@@ -181,8 +179,8 @@ class PseudoHash:
 @dataclass(frozen=True)
 class LookupColumns:
     """Append value columns from a mapping keyed by several columns; "" on a miss
-    or when a key column is missing from the frame.  Duplicate mapping keys are
-    rejected up front so the join cannot multiply rows."""
+    or when a key column is missing from the frame.  Duplicate mapping keys never
+    multiply rows: they fail the job that computes the values."""
 
     mapping: DataFrame
     keys: tuple[str, ...]
@@ -199,11 +197,12 @@ class LookupColumns:
         m = self.mapping.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(self.keys)],
                                 *[F.col(v).alias(f"_v_{v}") for v in values])
         if self.check_unique:
-            # the mapping may be a long plan: written once, it is checked and joined from there
-            path = scratch_path(df.sparkSession, "mapping")
-            m.write.parquet(path)
-            m = df.sparkSession.read.schema(m.schema).parquet(path)
-            require_unique(m, [f"_k{i}" for i in range(len(self.keys))], "lookup mapping")
+            # one row per key, checked in the plan itself: the mapping is computed once, with the join
+            only = m.groupBy(*[f"_k{i}" for i in range(len(self.keys))]).agg(
+                F.count("*").alias("_n"), *[F.first(f"_v_{v}").alias(f"_v_{v}") for v in values])
+            twice = F.raise_error(F.lit("lookup mapping: duplicate keys"))
+            m = only.select(*[f"_k{i}" for i in range(len(self.keys))],
+                            *[F.when(F.col("_n") == 1, F.col(f"_v_{v}")).otherwise(twice).alias(f"_v_{v}") for v in values])
         cond = reduce(lambda a, b: a & b,
                       [empty_if_null(k) == F.col(f"_k{i}") for i, k in enumerate(self.keys)])
         joined = df.join(m, cond, "left")

@@ -1,6 +1,6 @@
-"""Join helpers: key checks and LIKE as an equi join.
+"""Join helper: LIKE as an equi join.
 
-No helper forces a broadcast: statistics and adaptive execution pick the strategy."""
+It forces no broadcast: statistics and adaptive execution pick the strategy."""
 
 from __future__ import annotations
 
@@ -12,21 +12,6 @@ HEAD = r"^[^_%\\]*"
 TAIL = r"[^_%\\]*$"
 
 
-def unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Frame of keys that occur more than once (empty when the keys are unique)."""
-    return df.groupBy(*keys).count().filter(F.col("count") > 1)
-
-
-def require_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> int:
-    """Reject a lookup with duplicate keys before it can multiply rows of a join.
-
-    Returns the number of rows (one job answers both questions)."""
-    r = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
-    if r["m"] is not None and r["m"] > 1:
-        raise ValueError(f"{what}: duplicate keys")
-    return int(r["n"] or 0)
-
-
 def like_matches(values: DataFrame, patterns: DataFrame) -> DataFrame:
     """All pairs (value, pattern) of two one-column frames with ``value LIKE pattern``, each once.
 

@@ -165,8 +165,8 @@ def test_lookup_columns(spark):
 def test_lookup_rejects_duplicate_keys(spark):
     mapping = spark.createDataFrame([("1", "a"), ("1", "b")], "k string, v string")
     df = spark.createDataFrame([("1",)], "k string")
-    with pytest.raises(ValueError):
-        E.run_chain(df, [E.LookupColumns(mapping, ("k",))])
+    with pytest.raises(Exception, match="duplicate keys"):
+        E.run_chain(df, [E.LookupColumns(mapping, ("k",))]).collect()
 
 
 def test_static_column(spark):
