@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from conftest_llm import HARD
+from llm_fixtures import HARD, make  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

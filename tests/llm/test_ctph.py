@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from conftest_llm import HARD
+from llm_fixtures import HARD, make, sample  # noqa: F401
 from pyspark.sql import functions as F
 
 from claimwise.llm import ctph

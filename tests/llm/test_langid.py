@@ -1,7 +1,7 @@
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest_llm import HARD
+from llm_fixtures import HARD, make  # noqa: F401
 from pyspark.sql import functions as F
 
 from claimwise.llm import langid

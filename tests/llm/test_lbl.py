@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest_llm import HARD
+from llm_fixtures import HARD, make, sample  # noqa: F401
 from pyspark.sql import functions as F
 
 from claimwise.llm import lbl

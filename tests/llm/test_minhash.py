@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest_llm import HARD
+from llm_fixtures import HARD, make  # noqa: F401
 
 from claimwise.llm import minhash
 from claimwise.llm.components import components

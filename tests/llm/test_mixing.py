@@ -2,7 +2,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest_llm import HARD
+from llm_fixtures import HARD, make  # noqa: F401
 from hypothesis import given
 from hypothesis import strategies as st
 

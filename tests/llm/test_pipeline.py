@@ -3,7 +3,7 @@ import hashlib
 import corpus_pipeline as pipeline
 import pandas as pd
 import public_tokenizers as P
-from conftest_llm import HARD
+from llm_fixtures import HARD, make  # noqa: F401
 from test_minhash import groups
 from test_quality_rules import brute
 

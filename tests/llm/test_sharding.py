@@ -3,7 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from conftest_llm import HARD
+from llm_fixtures import HARD, make  # noqa: F401
 
 from claimwise.llm import sharding
 
