@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -31,8 +33,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies on the driver, if it lies there on them too (a local master,
+    a shared installation).  Elsewhere it is installed or shipped with ``--py-files`` as usual."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known and root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Let Arrow batches hold at most ``rows`` rows (only ever lowers the session's setting)."""
+    importable(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
@@ -52,7 +65,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered up to a bound."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 300_000):
         super().__init__()
         self.most = most
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwise.llm.common import LETTERS, mixed, short_batches
+from claimwise.llm.common import LETTERS, mixed, short_batches, stored
 
 #: Expected number of training documents per language, the bound of the labelled sample.
 SAMPLE_DOCS = 1500
@@ -29,6 +29,8 @@ ROUNDS = 3
 SAMPLE_WORDS = 60_000
 #: Letter runs longer than this are cut, each part a word of its own (no letter is left out).
 WORD_CHARS = 40
+#: Words whose log probabilities a task remembers.
+KNOWN_WORDS = 200_000
 MARK = "▁"
 UNKNOWN = 1e-7
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -161,29 +163,47 @@ class Model:
     def __init__(self, pieces: list[str], langs: list[str], prob: np.ndarray, prior: np.ndarray):
         self.pieces, self.langs, self.prob, self.prior = pieces, langs, prob, prior
 
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "table"}
-
-    def scores(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Language and posterior of each text; ('und', 0.0) without a letter or without languages."""
-        if not hasattr(self, "table"):
-            self.table, self.known = Pieces(self.pieces), {}
-        if len(self.known) > 1_000_000:
-            self.known = {}
-        per_text = [split_words(t) for t in texts]
-        new = list({w for words in per_text for w in words}.difference(self.known)) if self.langs else []
-        if new:
-            self.known.update(zip(new, self.table.forward(new, self.prob), strict=True))
-        out = []
-        for words in per_text:
-            if not words or not self.langs:
-                out.append(("und", 0.0))
-                continue
-            total = self.prior + np.sum([self.known[w] for w in words], axis=0)
-            share = np.exp(total - total.max())
-            best = int(np.argmax(total))  # ties: the first language in order
-            out.append((self.langs[best], float(share[best] / share.sum())))
-        return out
+
+class Scorer:
+    """Scores texts of one task; remembers the log probabilities of up to ``KNOWN_WORDS`` words."""
+
+    def __init__(self, model: Model):
+        self.model, self.table = model, Pieces(model.pieces)
+        self.number: dict[str, int] = {}
+        self.logs = np.empty((KNOWN_WORDS, len(model.langs)))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Row numbers of the words in ``logs``; new words are scored together, in blocks."""
+        if len(self.number) + len(words) > KNOWN_WORDS:
+            self.number.clear()
+        new = list(set(words).difference(self.number))
+        for at in range(0, len(new), 20_000):
+            part, n = new[at:at + 20_000], len(self.number)
+            self.logs[n:n + len(part)] = self.table.forward(part, self.model.prob)
+            self.number.update(zip(part, range(n, n + len(part)), strict=True))
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
+        """Language and posterior; ('und', 0.0) without a letter or without languages."""
+        words = split_words(text)
+        if not words or not self.model.langs:
+            return "und", 0.0
+        total = self.model.prior.copy()
+        for at in range(0, len(words), KNOWN_WORDS // 4):
+            total += self.logs[self._numbers(words[at:at + KNOWN_WORDS // 4])].sum(axis=0)
+        share = np.exp(total - total.max())
+        best = int(np.argmax(total))  # ties: the first language in order
+        return self.model.langs[best], float(share[best] / share.sum())
+
+    def warm(self, texts: list[str | None]) -> None:
+        """Scores the words of many texts at once, as long as they can be remembered."""
+        words: set[str] = set()
+        for t in texts:
+            words.update(split_words(t))
+            if len(words) > KNOWN_WORDS // 4:
+                break
+        if self.model.langs and len(words) <= KNOWN_WORDS // 2:
+            self._numbers(list(words))
 
 
 def fit(docs: DataFrame, lang: Column, text: Column, key: Column, vocabulary: str) -> Model:
@@ -206,7 +226,8 @@ def fit(docs: DataFrame, lang: Column, text: Column, key: Column, vocabulary: st
 
     short_batches(docs.sparkSession)
     words = (rows.filter(chance < rate).select("lang", "text").mapInPandas(count, "lang string, word string, n long")
-             .groupBy("lang", "word").agg(F.sum("n").alias("n")).cache())
+             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    words = stored(words, "lang-words")
     table = Pieces(pieces)
     columns = []
     for name in langs:
@@ -220,7 +241,6 @@ def fit(docs: DataFrame, lang: Column, text: Column, key: Column, vocabulary: st
             prob[table.n] = UNKNOWN
         prob[table.n] = UNKNOWN
         columns.append(prob[:, 0])
-    words.unpersist()
     total = sum(counts.values())
     return Model(pieces, langs, np.stack(columns, 1), np.log([counts[x] / total for x in langs]))
 
@@ -235,8 +255,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", into: str = "
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shared.value)
         for texts in batches:
-            yield pd.DataFrame(shared.value.scores([t if isinstance(t, str) else None for t in texts]), columns=["lang_pred", "score"])
+            whole = [t if isinstance(t, str) else None for t in texts]
+            scorer.warm(whole)
+            yield pd.DataFrame([scorer(t) for t in whole], columns=["lang_pred", "score"])
 
     short_batches(docs.sparkSession)
     return docs.withColumn(into, run(F.col(f"`{text_col}`")))
