@@ -31,7 +31,7 @@ WORDS, SUFFIXES, HEAD = 800, 64, 50_000
 SIZE, PLACES = 16, 2
 NOISE, BATCH, RATE = 32, 4096, 0.15
 #: Distinct words that a counting task holds before it passes its counts on.
-HELD = 800_000
+HELD = 600_000
 #: The end token; no word is empty.
 END = ""
 
@@ -99,7 +99,7 @@ class Lookup(dict):
 
     def __init__(self, head: dict[bytes, int]):
         super().__init__(head)
-        self.head, self.most = head, len(head) + 500_000
+        self.head, self.most = head, len(head) + 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
@@ -115,15 +115,14 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
     # the least count of the head, from a histogram of bounded size: exact for small counts, 1 % wide above
     octave = F.floor(F.log2("c"))
     coarse = F.when(F.col("c") < 4096, F.col("c")).otherwise((F.floor(F.col("c") / F.pow(F.lit(2.0), octave - 6)) * F.pow(F.lit(2.0), octave - 6)).cast("long"))
-    least, words_above = 1, 0
+    least, above = None, 0  # None: more words than the head holds share the largest count
     for r in sorted(counts.groupBy(coarse.alias("c")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["c"]):
-        words_above += r["n"]
-        if words_above > HEAD:
+        above += r["n"]
+        if above > HEAD:
             break
         least = r["c"]
-    else:
-        least = 1
-    head = sorted(counts.filter(F.col("c") >= least).collect() if words_above else [], key=lambda r: (-r["c"], r["word"]))
+    rows = [] if least is None else counts.filter(F.col("c") >= least).collect()
+    head = sorted(rows, key=lambda r: (-r["c"], r["word"]))
 
     @F.pandas_udf("int")
     def kind(words: pd.Series) -> pd.Series:

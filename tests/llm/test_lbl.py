@@ -111,6 +111,15 @@ def test_contexts_stop_at_text_borders():
     assert got.tolist() == [[9, 9], [1, 9], [2, 1], [9, 9], [3, 9]]
 
 
+def test_head_stays_within_its_bound(make, monkeypatch):
+    monkeypatch.setattr(lbl, "HEAD", 3)
+    table = lbl.token_counts(make([(1, "a a a b b c d"), (2, "a b e")]), "text")
+    assert lbl.read_vocabulary(table).words == ["a", "b", ""] and lbl.read_vocabulary(table).distinct == 6
+    monkeypatch.setattr(lbl, "HEAD", 2)
+    even = lbl.token_counts(make([(1, "a b c")]), "text")
+    assert lbl.read_vocabulary(even).words == []
+
+
 def test_no_training_rows_and_empty_table(make):
     got = lbl.score(make([(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert [(r.held_out, r.n_known, r.train_tokens, r.base_score) for r in got] == [(True, 0, 0, 0.0)] * 2
