@@ -30,7 +30,7 @@ SAMPLE_WORDS = 60_000
 #: Letter runs longer than this are cut, each part a word of its own (no letter is left out).
 WORD_CHARS = 40
 #: Words whose log probabilities a task remembers.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 450_000
 MARK = "▁"
 UNKNOWN = 1e-7
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -98,10 +98,10 @@ class Pieces:
             out[hit] = self.slots[i][hit]
         return out
 
-    def edges(self, words: list[str]) -> Iterator[tuple[np.ndarray, int, list[list[tuple[int, np.ndarray, np.ndarray]]]]]:
-        """Groups of words of one length: their positions, the length with the mark, and for each end the
-        pieces that end there as (length, words' rows, piece numbers)."""
-        sizes = np.array([len(w) for w in words])
+    def edges(self, words: list[str], pad: int = 1) -> Iterator[tuple[np.ndarray, int, list[list[tuple[int, np.ndarray, np.ndarray]]]]]:
+        """Groups of words of one length, rounded up to ``pad``: their positions, the length with the mark, and for each
+        end the pieces that end there as (length, words' rows, piece numbers)."""
+        sizes = -(-np.array([len(w) for w in words], np.int64) // pad) * pad
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             width = int(size) + 1
@@ -128,13 +128,14 @@ class Pieces:
     def forward(self, words: list[str], prob: np.ndarray) -> np.ndarray:
         """log probability of each word (rows) under each language (columns); prob: pieces + 1 by languages."""
         out = np.empty((len(words), prob.shape[1]))
-        for rows, width, ends in self.edges(words):
+        last = np.array([len(w) + 1 for w in words], np.int64)
+        for rows, width, ends in self.edges(words, 5):  # fewer, larger arrays; what follows a word's end is not read
             alpha = np.zeros((width + 1, len(rows), prob.shape[1]))
             alpha[0] = 1.0
             for end, found in enumerate(ends, 1):
                 for length, hit, ids in found:
                     alpha[end, hit] += alpha[end - length, hit] * prob[ids]
-            out[rows] = np.log(alpha[width])
+            out[rows] = np.log(alpha[last[rows], np.arange(len(rows))])
         return out
 
     def expected(self, words: list[str], weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
@@ -183,9 +184,8 @@ class Scorer:
             self.number.update(zip(part, range(n, n + len(part)), strict=True))
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        """Language and posterior; ('und', 0.0) without a letter or without languages."""
-        words = split_words(text)
+    def __call__(self, words: list[str]) -> tuple[str, float]:
+        """Language and posterior of a text's words; ('und', 0.0) without a letter or without languages."""
         if not words or not self.model.langs:
             return "und", 0.0
         total = self.model.prior.copy()
@@ -195,15 +195,19 @@ class Scorer:
         best = int(np.argmax(total))  # ties: the first language in order
         return self.model.langs[best], float(share[best] / share.sum())
 
-    def warm(self, texts: list[str | None]) -> None:
-        """Scores the words of many texts at once, as long as they can be remembered."""
-        words: set[str] = set()
+    def many(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
+        """Scores of a batch; its new words are scored at once, as long as the batch and they can be remembered."""
+        split, held, words = [], 0, set()
         for t in texts:
-            words.update(split_words(t))
-            if len(words) > KNOWN_WORDS // 4:
+            if held > KNOWN_WORDS or len(words) > KNOWN_WORDS // 4:
                 break
+            split.append(split_words(t))
+            held += len(split[-1])
+            words.update(split[-1])
         if self.model.langs and len(words) <= KNOWN_WORDS // 2:
             self._numbers(list(words))
+        for k, t in enumerate(texts):
+            yield self(split[k] if k < len(split) else split_words(t))
 
 
 def fit(docs: DataFrame, lang: Column, text: Column, key: Column, vocabulary: str) -> Model:
@@ -257,9 +261,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", into: str = "
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for texts in batches:
-            whole = [t if isinstance(t, str) else None for t in texts]
-            scorer.warm(whole)
-            yield pd.DataFrame([scorer(t) for t in whole], columns=["lang_pred", "score"])
+            yield pd.DataFrame(list(scorer.many([t if isinstance(t, str) else None for t in texts])), columns=["lang_pred", "score"])
 
     short_batches(docs.sparkSession)
     return docs.withColumn(into, run(F.col(f"`{text_col}`")))
