@@ -1,13 +1,15 @@
 """Log-bilinear language model, trained by noise-contrastive estimation in numpy.
 
 Tokens: words (runs without ASCII white space, A-Z lower-cased) and one end per text.  The model predicts a class from the two
-before it: the most frequent words are classes of their own, every other word belongs to one of ``SUFFIXES`` classes by its last bytes.  A
-class's score is the product of its vector with the context's (each place's vector weighted by the place), plus a bias; the softmax
-over all classes is computed for every context, so probabilities are normalised.  Inside a suffix class a word has the
+before it: the ``HEAD`` most frequent words, as far as they occur ``LEAST`` times, and always the first ``WORDS`` are classes of their own; every other word
+belongs to a suffix class by its last bytes (so these classes hold what a new text shows of words not seen before); the number of suffix classes rises with the root of the number of distinct words.  Classes stand in groups of about equal
+frequency, as many as the root of their number.  A class has the probability of its group in the context times its own inside
+the group, each a softmax over products of vectors with the context's (each place's vector weighted by the place), plus a bias; both
+sums are computed in full, so probabilities are normalised.  Inside a suffix class a word has the
 probability (count + 1) over the class's tokens, words and one for the unseen.
 
-Training covers all training texts: each task runs stochastic gradient descent over its part from the same start, with noise words shared in a
-batch so that the work is matrix products, and the tasks' parameters are averaged by tokens.  Counts of all words are a
+Training covers all training texts: each task runs stochastic gradient descent over its part from the same start, with noise groups shared in a
+batch so that the work is matrix products and noise words drawn inside each token's group, and the tasks' parameters are averaged by tokens.  Counts of all words are a
 table; only the most frequent ``HEAD`` words are held by the workers, the rare words of each text meet the table in a join.
 """
 
@@ -26,19 +28,24 @@ from pyspark.sql import functions as F
 
 from claimwise.llm.common import short_batches, stored, words_of
 
-#: Words that are classes of their own (the end among them), suffix classes, and words whose counts workers hold.
+#: Least numbers of own words (the end among them) and of suffix classes, and most words that workers hold.
 WORDS, SUFFIXES, HEAD = 800, 64, 50_000
+#: Occurrences from which a word's own vectors can be learned.
+LEAST = 5
 SIZE, PLACES = 16, 2
-NOISE, BATCH, RATE = 32, 4096, 0.15
+#: Noise groups of a batch, noise words of a token inside its group.
+NOISE, INSIDE, BATCH, RATE = 32, 2, 4096, 0.15
+#: Columns of the matrix of parameters.
+COLUMNS = SIZE + 3
 #: Distinct words that a counting task holds before it passes its counts on.
 HELD = 600_000
 #: The end token; no word is empty.
 END = ""
 
 
-def suffix_class(word: bytes) -> int:
-    """Class number of a word that is not one of the most frequent: after those, by its last three bytes."""
-    return WORDS + xxhash.xxh32_intdigest(word[-3:]) % SUFFIXES
+def suffix_class(word: bytes, own: int = WORDS, suffixes: int = SUFFIXES) -> int:
+    """Class number of a word without a class of its own: after the ``own`` ones, by its last three bytes."""
+    return own + xxhash.xxh32_intdigest(word[-3:]) % suffixes
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -69,49 +76,61 @@ def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 class Vocabulary:
-    """Codes of tokens: the ``HEAD`` most frequent by rank (the first ``WORDS`` are classes), others ``HEAD`` + suffix class."""
+    """Codes of tokens: those held by rank (the first ``own`` are classes), others after them by suffix class.
 
-    def __init__(self, words: list[str], counts: list[int], total: int, distinct: int, class_tokens: np.ndarray, class_words: np.ndarray):
+    ``class_tokens``, ``class_words``: tokens and distinct words of each suffix class."""
+
+    def __init__(self, words: list[str], counts: list[int], total: int, distinct: int, class_tokens: np.ndarray, class_words: np.ndarray, own: int = WORDS):
         self.words, self.counts, self.total, self.distinct = words, np.array(counts, np.float64), total, distinct
-        classes = WORDS + SUFFIXES
-        own = min(WORDS, len(words))
-        self.class_of = np.empty(HEAD + SUFFIXES, np.int64)
-        self.class_of[:own] = np.arange(own)
-        self.class_of[own:len(words)] = [suffix_class(w.encode()) for w in words[own:]]
-        self.class_of[HEAD:] = WORDS + np.arange(SUFFIXES)
+        self.own, self.suffixes, self.held = own, len(class_tokens), len(words)
+        classes = own + self.suffixes
+        mine = min(own, self.held)
+        self.class_of = np.empty(self.held + self.suffixes, np.int64)
+        self.class_of[:mine] = np.arange(mine)
+        self.class_of[mine:self.held] = [suffix_class(w.encode(), own, self.suffixes) for w in words[mine:]]
+        self.class_of[self.held:] = own + np.arange(self.suffixes)
         self.inside = np.log10(class_tokens + class_words + 1.0)  # log10 of what words of a suffix class are divided by
-        c = np.zeros(HEAD + SUFFIXES)
-        c[:len(words)] = self.counts
+        c = np.zeros(self.held + self.suffixes)
+        c[:self.held] = self.counts
         self.base = np.log10(c + 1) - np.log10(total + distinct + 1.0)
-        self.within = np.zeros(HEAD + SUFFIXES)
-        self.within[own:len(words)] = np.log10(c[own:len(words)] + 1) - self.inside[self.class_of[own:len(words)] - WORDS]
+        self.within = np.zeros(len(c))
+        self.within[mine:] = np.log10(c[mine:] + 1) - self.inside[self.class_of[mine:] - own]  # a rare word's own count is added by the join
         unigram = np.zeros(classes)
-        unigram[:own] = self.counts[:own]
-        unigram[WORDS:] = class_tokens
+        unigram[:mine] = self.counts[:mine]
+        unigram[own:] = class_tokens
         self.unigram = (unigram + 1) / (unigram.sum() + classes)
+        # neighbours in a group of about equal frequency to the others
+        n = int(np.ceil(np.sqrt(classes)))
+        middle = np.cumsum(self.unigram) - self.unigram / 2
+        self.group_of = np.unique((middle * n).astype(np.int64).clip(0, n - 1), return_inverse=True)[1]
+        self.first = np.searchsorted(self.group_of, np.arange(self.group_of[-1] + 2))  # where groups start, and the end
+        self.mass = np.add.reduceat(self.unigram, self.first[:-1])
 
     def lookup(self) -> Lookup:
-        return Lookup({w.encode(): i for i, w in enumerate(self.words)})
+        return Lookup({w.encode(): i for i, w in enumerate(self.words)}, self.suffixes)
 
 
 class Lookup(dict):
     """token -> code, remembering the codes of rare words up to a bound."""
 
-    def __init__(self, head: dict[bytes, int]):
+    def __init__(self, head: dict[bytes, int], suffixes: int):
         super().__init__(head)
-        self.head, self.most = head, len(head) + 300_000
+        self.head, self.suffixes, self.most = head, suffixes, len(head) + 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
             self.clear()
             self.update(self.head)
-        code = self[word] = HEAD + suffix_class(word) - WORDS
+        code = self[word] = suffix_class(word, len(self.head), self.suffixes)
         return code
 
 
 def read_vocabulary(counts: DataFrame) -> Vocabulary:
     """The vocabulary from the table of counts: ``HEAD`` rows and one per suffix class come to the driver."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    suffixes = SUFFIXES
+    while suffixes ** 2 < sums["v"]:
+        suffixes *= 2
     # the least count of the head, from a histogram of bounded size: exact for small counts, 1 % wide above
     octave = F.floor(F.log2("c"))
     coarse = F.when(F.col("c") < 4096, F.col("c")).otherwise((F.floor(F.col("c") / F.pow(F.lit(2.0), octave - 6)) * F.pow(F.lit(2.0), octave - 6)).cast("long"))
@@ -126,80 +145,127 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
 
     @F.pandas_udf("int")
     def kind(words: pd.Series) -> pd.Series:
-        return pd.Series([suffix_class(w.encode()) - WORDS for w in words], dtype=np.int32)
+        return pd.Series([suffix_class(w.encode(), 0, suffixes) for w in words], dtype=np.int32)
 
-    tokens, words = np.zeros(SUFFIXES), np.zeros(SUFFIXES)
+    tokens, words = np.zeros(suffixes), np.zeros(suffixes)
     for r in counts.groupBy(kind("word").alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         tokens[r["k"]], words[r["k"]] = r["n"], r["v"]
-    for r in head[:WORDS]:  # classes of their own
-        k = suffix_class(r["word"].encode()) - WORDS
+    own = max(sum(r["c"] >= LEAST for r in head), min(WORDS, len(head)))
+    for r in head[:own]:  # classes of their own
+        k = suffix_class(r["word"].encode(), 0, suffixes)
         tokens[k] -= r["c"]
         words[k] -= 1
-    return Vocabulary([r["word"] for r in head], [r["c"] for r in head], int(sums["n"]), int(sums["v"]), tokens, words)
+    return Vocabulary([r["word"] for r in head], [r["c"] for r in head], int(sums["n"]), int(sums["v"]), tokens, words, own)
 
 
 class Parameters:
-    """Context vectors, class vectors, place weights and biases, each a row of one matrix (``SIZE`` + 1 columns)."""
+    """Context vectors, class vectors, place weights, group vectors and biases, each a row of one matrix.
+
+    Columns: the vector, the bias, and the sums of squared gradients of both, which set the rates."""
 
     def __init__(self, vocabulary: Vocabulary):
-        n = WORDS + SUFFIXES
-        self.n = n
+        n, groups = len(vocabulary.unigram), len(vocabulary.mass)
+        self.n, self.groups = n, groups
         self.context = np.random.default_rng(3).normal(0, 0.3, (n, SIZE)).astype(np.float32)
-        self.target = np.zeros((n, SIZE), np.float32)
+        self.target, self.group = np.zeros((n, SIZE), np.float32), np.zeros((groups, SIZE), np.float32)
         self.place = np.ones((PLACES, SIZE), np.float32)
-        self.bias = np.log(vocabulary.unigram).astype(np.float32)
+        self.bias = np.log(vocabulary.unigram / vocabulary.mass[vocabulary.group_of]).astype(np.float32)
+        self.group_bias = np.log(vocabulary.mass).astype(np.float32)
+        self.seen = np.full((2 * n + PLACES + groups, 2), 1e-2, np.float32)
+
+    def _parts(self) -> tuple[slice, slice, slice, slice]:
+        n = self.n
+        return slice(0, n), slice(n, 2 * n), slice(2 * n, 2 * n + PLACES), slice(2 * n + PLACES, None)
 
     def rows(self) -> np.ndarray:
-        m = np.zeros((2 * self.n + PLACES, SIZE + 1))
-        m[:self.n, :SIZE], m[self.n:2 * self.n, :SIZE], m[2 * self.n:, :SIZE] = self.context, self.target, self.place
-        m[self.n:2 * self.n, SIZE] = self.bias
+        m = np.zeros((len(self.seen), COLUMNS), np.float32)
+        context, target, place, group = self._parts()
+        m[context, :SIZE], m[target, :SIZE], m[place, :SIZE], m[group, :SIZE] = self.context, self.target, self.place, self.group
+        m[target, SIZE], m[group, SIZE] = self.bias, self.group_bias
+        m[:, SIZE + 1:] = self.seen
         return m
 
     def load(self, m: np.ndarray) -> None:
-        self.context, self.target, self.place = (x.astype(np.float32) for x in (m[:self.n, :SIZE], m[self.n:2 * self.n, :SIZE], m[2 * self.n:, :SIZE]))
-        self.bias = m[self.n:2 * self.n, SIZE].astype(np.float32)
+        m = m.astype(np.float32)
+        self.context, self.target, self.place, self.group = (m[part, :SIZE].copy() for part in self._parts())
+        _, target, _, group = self._parts()
+        self.bias, self.group_bias, self.seen = m[target, SIZE].copy(), m[group, SIZE].copy(), m[:, SIZE + 1:].copy()
 
     def hidden(self, contexts: np.ndarray) -> np.ndarray:
         return sum(self.context[contexts[:, i]] * self.place[i] for i in range(PLACES))
 
 
-class Trainer:
-    """Noise-contrastive estimation with per-parameter rates (AdaGrad)."""
+def summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows`` and the sums of their lines of ``grad``."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+    return rows[starts], np.add.reduceat(grad[order], starts, axis=0)
 
-    def __init__(self, p: Parameters, vocabulary: Vocabulary, seed: int):
-        self.p, self.rng = p, np.random.default_rng(seed)
-        self.noise = np.cumsum(vocabulary.unigram)
-        self.log_noise = np.log(NOISE * vocabulary.unigram).astype(np.float32)
-        self.seen = [np.full(x.shape, 1e-2, np.float32) for x in (p.context, p.target, p.place, p.bias)]
+
+class Trainer:
+    """Noise-contrastive estimation of groups and of classes inside groups, with a rate for each row (AdaGrad)."""
+
+    def __init__(self, p: Parameters, vocabulary: Vocabulary, seed: int | tuple[int, ...]):
+        self.p, self.v, self.rng = p, vocabulary, np.random.default_rng(seed)
+        v = vocabulary
+        self.noise = np.cumsum(v.unigram)
+        self.group_noise = np.cumsum(v.mass)
+        self.log_group = np.log(NOISE * v.mass).astype(np.float32)
+        self.log_inside = np.log(INSIDE * v.unigram / v.mass[v.group_of]).astype(np.float32)
+        self.seen = [p.seen[part] for part in p._parts()]
+
+    def _apply(self, x: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray, n: int) -> None:
+        grad = grad.astype(np.float32) * np.float32(n) ** 0.5
+        s = seen[rows] + (grad * grad if grad.ndim == 1 else np.einsum("ij,ij->i", grad, grad) / SIZE)
+        seen[rows] = s
+        rate = RATE / np.sqrt(s)
+        x[rows] += grad * (rate if grad.ndim == 1 else rate[:, None])
 
     def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
-        p, n = self.p, len(targets)
+        p, v, n = self.p, self.v, len(targets)
         hidden = p.hidden(contexts)
-        drawn = np.minimum(np.searchsorted(self.noise, self.rng.random(NOISE)), p.n - 1)
-        wanted = p.target[targets]
-        real = np.einsum("ij,ij->i", hidden, wanted) + p.bias[targets] - self.log_noise[targets]
-        false = hidden @ p.target[drawn].T + (p.bias[drawn] - self.log_noise[drawn])
-        np.clip(real, -30, 30, out=real)
-        np.clip(false, -30, 30, out=false)
-        up = 1 / (n * (1 + np.exp(real)))          # 1 - probability that the token is real
-        down = -1 / (n * (1 + np.exp(-false)))     # - probability that the noise is real
-        back = up[:, None] * wanted + down @ p.target[drawn]
-        cells = np.arange(SIZE)
-
-        def gathered(rows: np.ndarray, grad: np.ndarray) -> np.ndarray:
-            at = (rows[:, None] * SIZE + cells).ravel()
-            return np.bincount(at, grad.ravel(), p.n * SIZE).reshape(p.n, SIZE)
-
-        target = gathered(targets, hidden * up[:, None])
-        np.add.at(target, drawn, down.T @ hidden)
-        bias = np.bincount(targets, up, p.n)
-        np.add.at(bias, drawn, down.sum(axis=0))
-        context = sum(gathered(contexts[:, i], back * p.place[i]) for i in range(PLACES))
+        groups = v.group_of[targets]
+
+        # the group, against groups shared by the batch
+        drawn = np.minimum(np.searchsorted(self.group_noise, self.rng.random(NOISE)), p.groups - 1)
+        wanted = p.group[groups]
+        real = np.einsum("ij,ij->i", hidden, wanted) + p.group_bias[groups] - self.log_group[groups]
+        false = hidden @ p.group[drawn].T + (p.group_bias[drawn] - self.log_group[drawn])
+        up = 1 / (n * (1 + np.exp(np.clip(real, -30, 30))))          # 1 - probability that the token is real
+        down = -1 / (n * (1 + np.exp(-np.clip(false, -30, 30))))     # - probability that the noise is real
+        back = up[:, None] * wanted + down @ p.group[drawn]
+        group_rows, group = summed(np.concatenate((groups, drawn)), np.concatenate((hidden * up[:, None], down.T @ hidden)))
+        group_bias = summed(np.concatenate((groups, drawn)), np.concatenate((up, down.sum(axis=0))))[1]
+
+        # the class inside the group, against classes of the same group; a group of one has nothing to tell
+        many = np.flatnonzero(v.first[groups + 1] - v.first[groups] > 1)
+        if len(many):
+            own, held, inside = targets[many], hidden[many], groups[many]
+            low, least, most = self.noise[v.first[inside]] - v.unigram[v.first[inside]], v.first[inside], v.first[inside + 1] - 1
+            at = np.searchsorted(self.noise, low[:, None] + v.mass[inside][:, None] * self.rng.random((len(many), INSIDE)))
+            at = np.clip(at, least[:, None], most[:, None])
+            wanted, other = p.target[own], p.target[at]
+            real = np.einsum("ij,ij->i", held, wanted) + p.bias[own] - self.log_inside[own]
+            false = np.einsum("ij,ikj->ik", held, other) + p.bias[at] - self.log_inside[at]
+            up = 1 / (n * (1 + np.exp(np.clip(real, -30, 30))))
+            down = -1 / (n * (1 + np.exp(-np.clip(false, -30, 30))))
+            back[many] += up[:, None] * wanted + np.einsum("ik,ikj->ij", down, other)
+            lines = np.concatenate((own, at.ravel()))
+            weights = np.concatenate((up, down.ravel()))
+            rows, target = summed(lines, np.concatenate((held, np.repeat(held, INSIDE, axis=0))) * weights[:, None])
+            bias = summed(lines, weights)[1]
+
         place = np.stack([(back * p.context[contexts[:, i]]).sum(axis=0) for i in range(PLACES)])
-        for x, g, s in zip((p.context, p.target, p.place, p.bias), (context, target, place, bias), self.seen, strict=True):
-            g = g.astype(np.float32) * np.float32(n) ** 0.5
-            s += g * g
-            x += RATE * g / np.sqrt(s)
+        context_rows, context = summed(contexts.T.ravel(), np.concatenate([back * p.place[i] for i in range(PLACES)]))
+        seen = self.seen
+        self._apply(p.context, seen[0][:, 0], context_rows, context, n)
+        if len(many):
+            self._apply(p.target, seen[1][:, 0], rows, target, n)
+            self._apply(p.bias, seen[1][:, 1], rows, bias, n)
+        self._apply(p.place, seen[2][:, 0], np.arange(PLACES), place, n)
+        self._apply(p.group, seen[3][:, 0], group_rows, group, n)
+        self._apply(p.group_bias, seen[3][:, 1], group_rows, group_bias, n)
 
 
 def contexts_of(classes: np.ndarray, ends: np.ndarray, end_class: int) -> np.ndarray:
@@ -233,45 +299,59 @@ def train(docs: DataFrame, text_col: str, vocabulary: Vocabulary) -> np.ndarray:
                 trainer.step(contexts[part], classes[part])
             tokens += len(classes)
         if tokens:
-            m = p.rows()
-            names = ["place", "weight", *[f"v{i}" for i in range(SIZE + 1)]]
+            m = p.rows().astype(np.float64)
+            names = ["place", "weight", *[f"v{i}" for i in range(COLUMNS)]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(m))), pa.array(np.full(len(m), float(tokens))), *[pa.array(m[:, i] * tokens) for i in range(SIZE + 1)]], names)
+                [pa.array(np.arange(len(m))), pa.array(np.full(len(m), float(tokens))), *[pa.array(m[:, i] * tokens) for i in range(COLUMNS)]], names)
 
-    columns = [f"v{i}" for i in range(SIZE + 1)]
+    columns = [f"v{i}" for i in range(COLUMNS)]
     rows = docs.select(F.col(text_col)).mapInArrow(run, "place long, weight double, " + ", ".join(f"{c} double" for c in columns))
-    got = rows.groupBy("place").agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in columns]).toPandas().sort_values("place")
+    got = rows.groupBy("place").agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in columns]).toArrow().to_pandas().sort_values("place")
     if not len(got):
         return Parameters(vocabulary).rows()
     return got[columns].to_numpy() / got[["weight"]].to_numpy()
 
 
+def log_sums(z: np.ndarray) -> np.ndarray:
+    """log of the rows' sums of exp; ``z`` is overwritten."""
+    top = z.max(axis=1)
+    z -= top[:, None]
+    return top + np.log(np.exp(z, out=z).sum(axis=1))
+
+
 class Scorer:
-    """Normalised log10 probabilities; the softmax sum of a context is computed once per worker."""
+    """Normalised log10 probabilities; the groups' sum of a context is computed once per call, that inside a group once per token."""
 
     def __init__(self, vocabulary: Vocabulary, matrix: np.ndarray):
-        self.p = Parameters(vocabulary)
+        self.v, self.p = vocabulary, Parameters(vocabulary)
         self.p.load(matrix)
-        self.sums = np.full(self.p.n ** PLACES, np.nan, np.float32)
 
     def __call__(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        p = self.p
+        p, v = self.p, self.v
         key = contexts[:, 0]
         for i in range(1, PLACES):
             key = key * p.n + contexts[:, i]
-        unknown = np.flatnonzero(np.isnan(self.sums[key]))
-        new, first = np.unique(key[unknown], return_index=True)
-        new_contexts = contexts[unknown[first]]
-        for at in range(0, len(new), 256):  # blocks that stay in the cache
-            z = p.hidden(new_contexts[at:at + 256]) @ p.target.T + p.bias
-            top = max(0.0, float(z.max()) - 60)  # far below overflow, and the largest of a row is not lost
-            if top:
-                z -= top
-            self.sums[new[at:at + 256]] = top + np.log(np.exp(z, out=z).sum(axis=1))
+        _, first, back = np.unique(key, return_index=True, return_inverse=True)
+        distinct = p.hidden(contexts[first])
+        sums = np.empty(len(first), np.float32)
+        for at in range(0, len(first), 256):  # blocks that stay in the cache
+            sums[at:at + 256] = log_sums(distinct[at:at + 256] @ p.group.T + p.group_bias)
+        groups = v.group_of[classes]
         out = np.empty(len(classes))
         for at in range(0, len(classes), 65_536):
             part = slice(at, at + 65_536)
-            out[part] = np.einsum("ij,ij->i", p.hidden(contexts[part]), p.target[classes[part]]) + p.bias[classes[part]] - self.sums[key[part]]
+            out[part] = np.einsum("ij,ij->i", distinct[back[part]], p.group[groups[part]]) + p.group_bias[groups[part]] - sums[back[part]]
+        order = np.argsort(groups, kind="stable")
+        bounds = np.searchsorted(groups[order], np.arange(p.groups + 1))
+        for g in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(v.first) > 1)):
+            low, high = v.first[g], v.first[g + 1]
+            vectors, bias = np.ascontiguousarray(p.target[low:high].T), p.bias[low:high]
+            block = max(1, 100_000 // (high - low))
+            for at in range(bounds[g], bounds[g + 1], block):
+                rows = order[at:min(at + block, bounds[g + 1])]
+                z = distinct[back[rows]] @ vectors + bias
+                own = z[np.arange(len(rows)), classes[rows] - low]
+                out[rows] += own - log_sums(z)
         return out / np.log(10)
 
 
@@ -304,38 +384,32 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
             if not len(ends):
                 continue
             codes = np.fromiter(map(lookup.__getitem__, chain.from_iterable(texts)), np.int64)
-            classes, rare = v.class_of[codes], codes >= HEAD
+            classes, rare = v.class_of[codes], codes >= v.held
             logs = scorer(contexts_of(classes, ends, end), classes) + v.within[codes]
-            known = ~rare if len(v.words) else np.zeros(len(codes), bool)
+            known = ~rare
             starts = ends - np.array([len(t) for t in texts])
-            base = np.where(rare, 0.0, v.base[codes])
+            base = v.base[codes]
             words, numbers, offsets = [], [], [0]
             for t, a, b in zip(texts, starts, ends, strict=True):
                 found = Counter(compress(t, rare[a:b]))
                 words += found
                 numbers += found.values()
                 offsets.append(len(words))
-            kinds = np.fromiter(map(lookup.__getitem__, words), np.int64, len(words)) - HEAD
-            flat = pa.StructArray.from_arrays([pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(numbers, pa.int64()),
-                                               pa.array(kinds.astype(np.int32))], ["word", "n", "k"])
+            flat = pa.StructArray.from_arrays([pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(numbers, pa.int64())], ["word", "n"])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ends - starts, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                  pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(logs, starts)), lists],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,n:long,k:int>>"
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,n:long>>"
     parts = stored(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lbl-parts")
-    whole = float(np.log10(vocabulary.total + vocabulary.distinct + 1.0))
-    inside = F.array(*[F.lit(float(x)) for x in vocabulary.inside])
-    found = (parts.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n", "x.k").join(counts, "word", "left")
+    found = (parts.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(counts, "word", "left")
              .withColumn("c", F.coalesce("c", F.lit(0))))
-    own = F.log10(F.col("c") + 1)
     sums = found.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known_2"), F.sum(F.col("n") * (own - whole)).alias("base_2"),
-        F.sum(F.col("n") * (own - F.get(inside, F.col("k")))).alias("score_2"))
+        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known_2"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("own"))
     zero = F.lit(0.0)
     return parts.drop("rare").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known_2", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_2", zero)).alias("base_score"), (F.col("score") + F.coalesce("score_2", zero)).alias("score"))
+        (F.col("base") + F.coalesce("own", zero)).alias("base_score"), (F.col("score") + F.coalesce("own", zero)).alias("score"))

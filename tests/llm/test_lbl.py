@@ -124,3 +124,15 @@ def test_no_training_rows_and_empty_table(make):
     got = lbl.score(make([(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert [(r.held_out, r.n_known, r.train_tokens, r.base_score) for r in got] == [(True, 0, 0, 0.0)] * 2
     assert run(make([])).count() == 0
+
+
+def test_classes_grow_with_the_vocabulary(make):
+    rows = [(i, " ".join(f"w{(i * 97 + j) % 3000}" for j in range(120))) for i in range(200)]
+    v = lbl.read_vocabulary(lbl.token_counts(make(rows), "text"))
+    p = lbl.Parameters(v)
+    assert v.own == len(v.words) == v.distinct == 3001 and p.n > 3001 and p.groups >= 50  # every held word has vectors of its own
+    assert len({int(v.class_of[v.lookup()[w.encode()]]) for w in v.words}) == 3001
+    wide = lbl.read_vocabulary(lbl.token_counts(make([(i, " ".join(f"u{i}x{j}" for j in range(200))) for i in range(100)]), "text"))
+    assert wide.suffixes > v.suffixes >= lbl.SUFFIXES
+    scorer = lbl.Scorer(v, np.random.default_rng(2).normal(0, 1, p.rows().shape))
+    assert (10 ** scorer(np.tile([2999, 1500], (p.n, 1)), np.arange(p.n))).sum() == pytest.approx(1, rel=1e-3)
