@@ -8,8 +8,11 @@ the group, each a softmax over products of vectors with the context's (each plac
 sums are computed in full, so probabilities are normalised.  Inside a suffix class a word has the
 probability (count + 1) over the class's tokens, words and one for the unseen.
 
-Training covers all training texts: each task runs stochastic gradient descent over its part from the same start, with noise groups shared in a
-batch so that the work is matrix products and noise words drawn inside each token's group, and the tasks' parameters are averaged by tokens.  Counts of all words are a
+Training covers all training texts.  They are dealt by a hash of id and text into parts of about ``PART`` tokens and, inside a part, into
+``ROUNDS`` rounds.  In a round every part runs stochastic gradient descent over its texts of that round, from the average that all
+parts reached in the round before; so the steps depend on the texts alone, not on the files, partitions or cores they come from.  Noise
+groups are shared in a batch, so that the work is matrix products, and noise words are drawn inside each token's group.  A row of parameters is
+averaged by tokens over the parts that changed it.  Counts of all words are a
 table; only the most frequent ``HEAD`` words are held by the workers, the rare words of each text meet the table in a join.
 """
 
@@ -35,6 +38,10 @@ LEAST = 5
 SIZE, PLACES = 16, 2
 #: Noise groups of a batch, noise words of a token inside its group.
 NOISE, INSIDE, BATCH, RATE = 32, 2, 4096, 0.15
+#: Tokens of a part and rounds of training.  A part trains on a ``ROUNDS``-th of its tokens in each round.
+PART, ROUNDS = 1 << 23, 4
+#: Slabs of the matrix of parameters, each summed by one task.
+SLABS = 32
 #: Columns of the matrix of parameters.
 COLUMNS = SIZE + 3
 #: Distinct words that a counting task holds before it passes its counts on.
@@ -192,15 +199,21 @@ class Parameters:
         self.bias, self.group_bias, self.seen = m[target, SIZE].copy(), m[group, SIZE].copy(), m[:, SIZE + 1:].copy()
 
     def hidden(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.context[contexts[:, i]] * self.place[i] for i in range(PLACES))
+        return sum(self.context.take(contexts[:, i], axis=0) * self.place[i] for i in range(PLACES))
 
 
 def summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` and the sums of their lines of ``grad``."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-    return rows[starts], np.add.reduceat(grad[order], starts, axis=0)
+    order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # short numbers have a faster sort
+    found = rows[order]
+    new = np.concatenate(([True], found[1:] != found[:-1]))
+    place = np.empty(len(rows), np.int64)
+    place[order] = np.cumsum(new) - 1
+    found = found[new]
+    if grad.ndim == 1:
+        return found, np.bincount(place, grad, len(found))
+    cells = (place[:, None] * SIZE + np.arange(SIZE)).ravel()
+    return found, np.bincount(cells, grad.ravel(), len(found) * SIZE).reshape(-1, SIZE)
 
 
 class Trainer:
@@ -209,10 +222,9 @@ class Trainer:
     def __init__(self, p: Parameters, vocabulary: Vocabulary, seed: int | tuple[int, ...]):
         self.p, self.v, self.rng = p, vocabulary, np.random.default_rng(seed)
         v = vocabulary
-        self.noise = np.cumsum(v.unigram)
         self.group_noise = np.cumsum(v.mass)
         self.log_group = np.log(NOISE * v.mass).astype(np.float32)
-        self.log_inside = np.log(INSIDE * v.unigram / v.mass[v.group_of]).astype(np.float32)
+        self.log_inside = np.log(INSIDE / np.diff(v.first)).astype(np.float32)  # noise words of a group are drawn evenly
         self.seen = [p.seen[part] for part in p._parts()]
 
     def _apply(self, x: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray, n: int) -> None:
@@ -242,12 +254,13 @@ class Trainer:
         many = np.flatnonzero(v.first[groups + 1] - v.first[groups] > 1)
         if len(many):
             own, held, inside = targets[many], hidden[many], groups[many]
-            low, least, most = self.noise[v.first[inside]] - v.unigram[v.first[inside]], v.first[inside], v.first[inside + 1] - 1
-            at = np.searchsorted(self.noise, low[:, None] + v.mass[inside][:, None] * self.rng.random((len(many), INSIDE)))
-            at = np.clip(at, least[:, None], most[:, None])
-            wanted, other = p.target[own], p.target[at]
-            real = np.einsum("ij,ij->i", held, wanted) + p.bias[own] - self.log_inside[own]
-            false = np.einsum("ij,ikj->ik", held, other) + p.bias[at] - self.log_inside[at]
+            low, sizes = v.first[inside], v.first[inside + 1] - v.first[inside]
+            at = low[:, None] + (sizes[:, None] * self.rng.random((len(many), INSIDE), np.float32)).astype(np.int64)
+            at = np.minimum(at, (low + sizes - 1)[:, None])
+            noise = self.log_inside[inside]
+            wanted, other = p.target.take(own, axis=0), p.target.take(at, axis=0)
+            real = np.einsum("ij,ij->i", held, wanted) + p.bias[own] - noise
+            false = np.einsum("ij,ikj->ik", held, other) + p.bias[at] - noise[:, None]
             up = 1 / (n * (1 + np.exp(np.clip(real, -30, 30))))
             down = -1 / (n * (1 + np.exp(-np.clip(false, -30, 30))))
             back[many] += up[:, None] * wanted + np.einsum("ik,ikj->ij", down, other)
@@ -256,7 +269,7 @@ class Trainer:
             rows, target = summed(lines, np.concatenate((held, np.repeat(held, INSIDE, axis=0))) * weights[:, None])
             bias = summed(lines, weights)[1]
 
-        place = np.stack([(back * p.context[contexts[:, i]]).sum(axis=0) for i in range(PLACES)])
+        place = np.stack([np.einsum("ij,ij->j", back, p.context.take(contexts[:, i], axis=0)) for i in range(PLACES)])
         context_rows, context = summed(contexts.T.ravel(), np.concatenate([back * p.place[i] for i in range(PLACES)]))
         seen = self.seen
         self._apply(p.context, seen[0][:, 0], context_rows, context, n)
@@ -279,44 +292,93 @@ def contexts_of(classes: np.ndarray, ends: np.ndarray, end_class: int) -> np.nda
     return out
 
 
-def train(docs: DataFrame, text_col: str, vocabulary: Vocabulary) -> np.ndarray:
-    """Parameters averaged over the tasks' passes over all texts; a bounded number of rows comes back."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # HEAD words
+def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary) -> np.ndarray:
+    """Parameters after ``ROUNDS`` rounds over all texts; a bounded number of rows comes back from each."""
+    spark = docs.sparkSession
+    m = Parameters(vocabulary).rows()
+    if not vocabulary.total:
+        return m
+    parts = -(-vocabulary.total // PART)
+    shared = spark.sparkContext.broadcast(vocabulary)  # HEAD words
+    dealt = docs.select(F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias("h"))
+    dealt = dealt.select(F.pmod("h", F.lit(parts)).alias("part"), F.pmod(F.shiftrightunsigned("h", 40), F.lit(ROUNDS)).alias("round"), "h", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        lookup, p, tokens = v.lookup(), Parameters(v), 0
-        trainer = Trainer(p, v, 5)
-        end = int(v.class_of[lookup[b""]])
+        lookup = v.lookup()
         for batch in batches:
-            texts = [tokens_of(t.as_py()) for t in batch.column(0)]
-            ends = np.cumsum([len(t) for t in texts])
-            classes = v.class_of[np.fromiter(map(lookup.__getitem__, chain.from_iterable(texts)), np.int64)]
-            contexts = contexts_of(classes, ends, end)
-            order = trainer.rng.permutation(len(classes))
-            for at in range(0, len(order), BATCH):
-                part = order[at:at + BATCH]
-                trainer.step(contexts[part], classes[part])
-            tokens += len(classes)
-        if tokens:
-            m = p.rows().astype(np.float64)
-            names = ["place", "weight", *[f"v{i}" for i in range(COLUMNS)]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(m))), pa.array(np.full(len(m), float(tokens))), *[pa.array(m[:, i] * tokens) for i in range(COLUMNS)]], names)
-
-    columns = [f"v{i}" for i in range(COLUMNS)]
-    rows = docs.select(F.col(text_col)).mapInArrow(run, "place long, weight double, " + ", ".join(f"{c} double" for c in columns))
-    got = rows.groupBy("place").agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in columns]).toArrow().to_pandas().sort_values("place")
-    if not len(got):
-        return Parameters(vocabulary).rows()
-    return got[columns].to_numpy() / got[["weight"]].to_numpy()
+            texts = [tokens_of(t.as_py()) for t in batch.column(2)]
+            classes = [v.class_of[np.fromiter(map(lookup.__getitem__, t), np.int64, len(t))].astype(np.int32).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes, pa.binary())], ["part", "h", "classes"])
+
+    for turn in range(ROUNDS):
+        start = spark.sparkContext.broadcast(m)
+
+        def trained(batches: Iterator[pa.RecordBatch], turn: int = turn, start=start) -> Iterator[pa.RecordBatch]:
+            v, begun = shared.value, start.value
+            end = int(v.class_of[v.lookup()[b""]])
+
+            def changed(part: int, texts: list[np.ndarray]) -> pa.RecordBatch:
+                p = Parameters(v)
+                p.load(begun)
+                trainer = Trainer(p, v, (5, turn, part))
+                classes, ends = np.concatenate(texts), np.cumsum([len(t) for t in texts])
+                contexts = contexts_of(classes, ends, end)
+                order = trainer.rng.permutation(len(classes))
+                for at in range(0, len(order), BATCH):
+                    now = order[at:at + BATCH]
+                    trainer.step(contexts[now], classes[now].astype(np.int64))
+                now = p.rows()
+                rows = np.flatnonzero((now[:, SIZE + 1:] != begun[:, SIZE + 1:]).any(axis=1))
+                slabs = [rows[rows % SLABS == i] for i in range(SLABS)]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(range(SLABS), pa.int32()), pa.array([part] * SLABS, pa.int64()), pa.array([float(len(classes))] * SLABS, pa.float64()),
+                     pa.array([x.astype(np.int32).tobytes() for x in slabs], pa.binary()), pa.array([(now[x] - begun[x]).tobytes() for x in slabs], pa.binary())],
+                    ["slab", "part", "tokens", "places", "moved"])
+
+            here, held = None, []
+            for batch in batches:  # a part's rows stand together
+                for part, classes in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if part != here and held:
+                        yield changed(here, held)
+                        held = []
+                    here = part
+                    held.append(np.frombuffer(classes.as_py(), np.int32))
+            if held:
+                yield changed(here, held)
+
+        def averaged(batches: Iterator[pa.RecordBatch], high: int = len(m)) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for batch in batches:
+                for slab, tokens, places, moved in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                    if slab not in sums:
+                        size = len(range(slab, high, SLABS))
+                        sums[slab] = np.zeros((size, COLUMNS)), np.zeros(size)
+                    at = np.frombuffer(places, np.int32) // SLABS
+                    sums[slab][0][at] += tokens * np.frombuffer(moved, np.float32).reshape(-1, COLUMNS)
+                    sums[slab][1][at] += tokens
+            for slab, (total, weight) in sums.items():
+                mean = total / np.maximum(weight, 1)[:, None]
+                yield pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["slab", "mean"])
+
+        texts = dealt.filter(F.col("round") == turn).select("part", "h", "text").mapInArrow(coded, "part long, h long, classes binary")
+        texts = texts.repartition(parts, "part").sortWithinPartitions("part", "h").select("part", "classes")
+        moved = texts.mapInArrow(trained, "slab int, part long, tokens double, places binary, moved binary")
+        moved = moved.repartition(min(SLABS, parts), "slab").sortWithinPartitions("slab", "part").drop("part")
+        for r in moved.mapInArrow(averaged, "slab int, mean binary").collect():
+            mean = np.frombuffer(bytes(r["mean"]), np.float32).reshape(-1, COLUMNS)
+            m[r["slab"]::SLABS] += mean
+    return m
 
 
 def log_sums(z: np.ndarray) -> np.ndarray:
     """log of the rows' sums of exp; ``z`` is overwritten."""
+    ones = np.ones(z.shape[1], np.float32)
+    if -60 < z.min() and z.max() < 60:  # no sum can overflow or vanish
+        return np.log(np.exp(z, out=z) @ ones)
     top = z.max(axis=1)
     z -= top[:, None]
-    return top + np.log(np.exp(z, out=z).sum(axis=1))
+    return top + np.log(np.exp(z, out=z) @ ones)
 
 
 class Scorer:
@@ -370,7 +432,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     learned = rows.filter(~F.col("held_out"))
     counts = stored(token_counts(learned, "text"), "lbl-counts")
     vocabulary = read_vocabulary(counts)
-    matrix = train(learned, "text", vocabulary)
+    matrix = train(learned, "doc_id", "text", vocabulary)
     shared = spark.sparkContext.broadcast((vocabulary, matrix))
     kind = rows.schema["doc_id"].dataType.simpleString()
 

@@ -136,3 +136,10 @@ def test_classes_grow_with_the_vocabulary(make):
     assert wide.suffixes > v.suffixes >= lbl.SUFFIXES
     scorer = lbl.Scorer(v, np.random.default_rng(2).normal(0, 1, p.rows().shape))
     assert (10 ** scorer(np.tile([2999, 1500], (p.n, 1)), np.arange(p.n))).sum() == pytest.approx(1, rel=1e-3)
+
+
+def test_scores_do_not_depend_on_the_partitions(make, sample, monkeypatch):
+    monkeypatch.setattr(lbl, "PART", 6000)  # on the driver, which deals the texts: several parts
+    rows = list(zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True))
+    one, many = ({r.doc_id: r.score for r in run(make(rows).repartition(n)).collect()} for n in (1, 40))
+    assert one.keys() == many.keys() and [one[i] for i in one] == pytest.approx([many[i] for i in one], rel=1e-5)
