@@ -50,6 +50,9 @@ SURE = re.compile(
     r"widgets?|menus?|nav|navbar|navigation|breadcrumbs?|crumbs?|footers?|masthead|topbar|toolbar|comments?|commentlist|respond|replies|disqus|"
     r"cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|"
     r"related|recommend\w*|pagination|pager|tagcloud|hidden|paywall)(?=$|[\s_-]|\d)", re.I)
+#: Names of whole blocks of readers' comments, which may be longer than the article.
+READERS = re.compile(
+    r"(?:^|\s)(?:comments?|commentlist|respond|replies|disqus)(?:[-_]?(?:lists?|body|section|area|thread|wrapper|container|content))?(?=$|\s)", re.I)
 LIKELY = re.compile(
     r"(?:^|[\s_-])(?:side|aside|headers?|foot|discussion|tags|skip|disclaimer|copyright|legal|meta|byline|toc|rss|shoutbox|tools)(?=$|[\s_-]|\d)", re.I)
 FINE = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|post|story|text|page|hentry)(?=$|[\s_-]|\d)", re.I)
@@ -58,7 +61,7 @@ SCORED = set("p pre td blockquote dd li".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "up", "parts", "points", "chars", "linked", "odd", "holds", "titled", "paragraphs")
+    __slots__ = ("tag", "attrs", "up", "parts", "points", "chars", "linked", "odd", "holds", "titled", "paragraphs", "length")
 
     def __init__(self, tag: str, attrs: str, up: Node | None):
         self.tag, self.attrs, self.up = tag, attrs, up
@@ -68,6 +71,7 @@ class Node:
         self.holds = tag in ("article", "main")  # it or one of its parts is the article by its tag
         self.titled = tag in ("h1", "h2", "h3")
         self.paragraphs = int(tag == "p")
+        self.length = 0  # of its text and that of its parts, elements that are never part of an article aside
 
 
 def parse(html: str) -> list[Node]:
@@ -125,8 +129,9 @@ def parse(html: str) -> list[Node]:
             here = child
 
 
-def _is_odd(node: Node, inside: bool, most: int) -> bool:
-    """Whether an element is no part of an article; ``inside``: it stands in an <article> or <main>; ``most``: half of the page's paragraphs."""
+def _is_odd(node: Node, inside: bool, most: int, half: float) -> bool:
+    """Whether an element is no part of an article; ``inside``: it stands in an <article> or <main>; ``most``: half of the page's paragraphs;
+    ``half``: half of the page's text, on a page whose article no tag names: what holds more is a frame around it with a layout's words."""
     if node.tag == "header" and inside and node.titled:  # an article's own header holds its title
         return False
     if node.tag in DROPPED or node.tag == "header":
@@ -143,7 +148,9 @@ def _is_odd(node: Node, inside: bool, most: int) -> bool:
     if node.tag in ("a", "b", "i", "em", "strong", "span", "h1"):
         return False
     named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return bool(SURE.search(named)) or bool(LIKELY.search(named)) and not FINE.search(named) and node.paragraphs <= most
+    if SURE.search(named) and (node.length <= half or READERS.search(named)):
+        return True
+    return bool(LIKELY.search(named)) and not FINE.search(named) and node.paragraphs <= most
 
 
 def _measure(nodes: list[Node]) -> list[Node]:
@@ -152,14 +159,19 @@ def _measure(nodes: list[Node]) -> list[Node]:
         node.up.holds |= node.holds
         node.up.titled |= node.titled
         node.up.paragraphs += node.paragraphs
+        node.length += sum(len(x.strip()) for x in node.parts if isinstance(x, str))
+        if node.tag not in DROPPED:
+            node.up.length += node.length
     order, stack, most = [], [(nodes[0], False)], nodes[0].paragraphs // 2
+    page = nodes[0]
+    half = float("inf") if page.holds else (page.length + sum(len(x.strip()) for x in page.parts if isinstance(x, str))) / 2
     while stack:
         node, inside = stack.pop()
         order.append(node)
         within = inside or node.tag in ("article", "main")
         for x in reversed(node.parts):
             if isinstance(x, Node):
-                x.odd = _is_odd(x, within, most)
+                x.odd = _is_odd(x, within, most, half)
                 if not x.odd:
                     stack.append((x, within))
     for node in reversed(order):

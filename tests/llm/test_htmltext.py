@@ -58,3 +58,13 @@ def test_table_of_pages(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert sorted(map(str, ((r.page_id, r.text) for r in extract(df).collect()))) == sorted(map(str, [(1, LONG), (1, LONG), (2, ""), (None, "")]))
     assert extract(df.limit(0)).count() == 0 and extract(df.withColumnRenamed("url", "text")).columns == ["page_id", "text", "html"]
+
+
+@pytest.mark.parametrize("name", ["page right-sidebar", "content sidebar-left", "site-content comments-open", "nav-wrapper"])
+def test_frames_with_layout_words_keep_the_article(name):
+    second = "Second and last paragraph, also of some length, for the reader."
+    side = '<div class="sidebar"><p>Side, text, of, some, length.</p></div><div class="menu"><a href="/">Home</a></div>'
+    readers = "<div class='comments'>" + "<p>Great, article, indeed, says the reader.</p>" * 20 + "</div>"
+    for inner in (f"<p>{LONG}</p><p>{second}</p>", f"<div class='post'><p>{LONG}</p><p>{second}</p></div>{side}"):
+        assert main_text(page(f"<div class='{name}'>{inner}</div>")) == f"{LONG} {second}"
+    assert main_text(page(f"<div class='text'><p>{LONG}</p><p>{second}</p></div>{readers}")) == f"{LONG} {second}"
