@@ -31,23 +31,30 @@ class Rule:
     fails: Column
 
 
-def _letters(kind: str) -> Column:
-    return F.char_length(F.regexp_replace(F.col("text"), rf"[^\p{{{kind}}}]+", ""))
+#: Scripts written without blanks between words.
+UNSPACED = "".join(rf"\p{{Is{x}}}" for x in "Han Hiragana Katakana Thai Lao Khmer Myanmar Tibetan".split())
+
+
+def _letters(*kinds: str) -> Column:
+    return F.char_length(F.regexp_replace(F.col("text"), "[^" + "".join(rf"\p{{{k}}}" for k in kinds) + "]+", ""))
 
 
 def default_rules() -> list[Rule]:
     """Limits in percent; each is far from what running text shows."""
     chars, words = F.col("word_chars"), F.col("n_words")
     signs = F.char_length("text") - F.char_length(F.translate("text", "!?", ""))
-    average = F.aggregate(F.transform("words", lambda w: (w == F.upper(w)).cast("int")), F.lit(0), lambda a, x: a + x)
+    # words of scripts without case, and numbers, equal their upper and their lower form
+    average = F.aggregate(F.transform("words", lambda w: ((w == F.upper(w)) & (w != F.lower(w))).cast("int")), F.lit(0), lambda a, x: a + x)
+    unspaced = F.char_length(F.regexp_replace(F.col("text"), f"[^{UNSPACED}]+", ""))
+    long = (chars > 25 * words) & (chars - unspaced > 25 * words) & (2 * unspaced < chars)  # counted only if the first holds
     return [
         Rule("symbols", 100 * F.col("n_symbols") > 5 * chars),
         Rule("duplicate_lines", 100 * F.col("n_dup_lines") > 50 * F.size(F.split("text", "\n"))),
-        Rule("word_length", (chars > 25 * words) | (chars < 2 * words)),
+        Rule("word_length", long | (chars < 2 * words)),
         Rule("exclamations", 100 * signs > 8 * chars),
         Rule("capitals", 100 * _letters("Lu") > 50 * _letters("L")),
         Rule("capital_words", 100 * average > 60 * words),
-        Rule("letters", 100 * _letters("L") < 50 * chars),
+        Rule("letters", 100 * _letters("L", "M") < 50 * chars),
         Rule("repeated_words", 100 * F.col("n_repeat_words") > 40 * words),
     ]
 

@@ -58,3 +58,16 @@ def test_order_of_rules_follows_rejection_per_cost(make):
 def test_native_plan(spark, capsys):
     quality_rules.judge(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).explain("formatted")
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_clean_texts_of_scripts_without_case_stay(make):
+    pieces = {  # vowel signs are marks, not letters
+        "ar": "كتاب مدينة طريق شجرة بيت نهر جبل مدرسة", "he": "ספר עיר דרך עץ בית נהר הר מדרסה", "hi": "किताब नगर रास्ता पेड़ घर नदी पहाड़ विद्यालय",
+        "ko": "책은 도시의 길에서 나무와 집을 강으로 산까지 학교"}
+    rows = [(i, " ".join(f"{w}{v[(7 * k + j) % len(v)]}" for k in range(8) for j, w in enumerate(v)))
+            for i, v in enumerate([x.split() for x in pieces.values()])]
+    zh, th = ("".join(chr(0x4E00 + (37 * i) % 5000) for i in range(3600)), "".join(chr(0x0E01 + (7 * i + i // 46) % 46) for i in range(3600)))
+    rows += [(10 + k, " ".join(t[60 * i:60 * i + 60] for i in range(60))) for k, t in enumerate((zh, th))]
+    rows += [(20, " ".join(f"LOUD{chr(65 + i % 26)}{chr(65 + i // 26)}" for i in range(60))), (21, " ".join(chr(97 + i % 26) * 40 + str(i) for i in range(60)))]
+    kept = {r.doc_id: r.quality.kept for r in quality_rules.judge(make(rows)).collect()}
+    assert kept == {0: True, 1: True, 2: True, 3: True, 10: True, 11: True, 20: False, 21: False}
