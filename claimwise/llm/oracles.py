@@ -41,3 +41,32 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
     (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
 FROM sums
 """
+
+LEXICAL_SEARCH = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+items AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+wanted AS (SELECT item_id, term, count(*) AS times FROM items GROUP BY item_id, term),
+corpus AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS length FROM docs),
+each AS (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs),
+postings AS (
+    SELECT row, doc_id, n, term, count(*) AS tf FROM each
+    WHERE term IN (SELECT term FROM wanted) GROUP BY row, doc_id, n, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), corpus),
+scores AS (
+    SELECT item_id, row, doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // length))))::BIGINT AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term), corpus
+    GROUP BY item_id, row, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwise.llm import bpe, ctph, filter_audit, htmltext, langid, lbl, minhash, mixing, oracles, quality_rules, sharding, subword
+from claimwise.llm import best_position, bpe, ctph, filter_audit, htmltext, langid, lbl, minhash, mixing, oracles, quality_rules, sharding, subword, suffix_dedup
 from claimwise.llm.common import crc_remainder, read
 
 
@@ -59,16 +59,27 @@ def op10_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bayes_near_dedup, op2_context_fingerprints, op3_log_bilinear, op4_subword_quality, op5_minimax_shards, op6_block_mix,
-    op7_segment_language, op8_quality_cascade, op9_byte_bpe, op10_tree_text, op12_filter_audit)} | {"pipeline": corpus_pipeline.run}
+    op7_segment_language, op8_quality_cascade, op9_byte_bpe, op10_tree_text, op11_bucket_pointer_dedup, op12_filter_audit,
+    op13_best_position_search)} | {"pipeline": corpus_pipeline.run}
 
 #: DuckDB forms of the queries that SQL can express on whole tables; it cannot express models, components, edit distances, tokens,
 #: trees, or shares that depend on hashes and permutations.  ``tests/llm`` holds every query against brute force.
-ORACLES: dict[str, str] = {"op12_filter_audit": oracles.FILTER_AUDIT}
+ORACLES: dict[str, str] = {"op12_filter_audit": oracles.FILTER_AUDIT, "op13_best_position_search": oracles.LEXICAL_SEARCH}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
