@@ -50,9 +50,25 @@ SURE = re.compile(
     r"widgets?|menus?|nav|navbar|navigation|breadcrumbs?|crumbs?|footers?|masthead|topbar|toolbar|comments?|commentlist|respond|replies|disqus|"
     r"cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|"
     r"related|recommend\w*|pagination|pager|tagcloud|hidden|paywall)(?=$|[\s_-]|\d)", re.I)
+#: Those of them that mark such a part wherever they stand in a name; of the others one word in a longer name of the article's own is not enough.
+STRONG = re.compile(
+    r"(?:ads?|adverts?|advert\w*|adsense|adslot|adbox|sponsor\w*|sidebars?|navbar|breadcrumbs?|masthead|commentlist|disqus|cookies?|consent|gdpr|"
+    r"popups?|newsletter|pagination|pager|tagcloud|paywall)\d*", re.I)
+#: Words that add nothing to a name: with a word of SURE they make a part's whole name.
+NEUTRAL = set(
+    "area articles bar block body bottom box button buttons container content count entry form forms icon icons inner item items label left link links list "
+    "main more news outer page pages panel post posts products reading right row section site slot small stories story text thread title top topics unit "
+    "user users video videos wrap wrapper".split())
 #: Names of whole blocks of readers' comments, which may be longer than the article.
 READERS = re.compile(
-    r"(?:^|\s)(?:comments?|commentlist|respond|replies|disqus)(?:[-_]?(?:lists?|body|section|area|thread|wrapper|container|content))?(?=$|\s)", re.I)
+    r"(?:^|\s)(?:(?:user|customer|reader|visitor|guest)s?[-_]?)?(?:comments?|commentlist|respond|replies|disqus|reviews|feedback|responses)"
+    r"(?:[-_]?(?:lists?|body|section|area|thread|wrapper|container|content|block|box|item|entry|text|\d+))*(?=$|\s)", re.I)
+#: Words of class on inline elements that are no part of the text.
+INLINE_SURE = re.compile(r"(?:^|\s)(?:ads?|advert\w*|adslot|adbox|sponsor\w*|promos?|share|sharing|social|newsletter|subscribe|signup|login|hidden)"
+                         r"(?:[-_](?:box|button|buttons|icon|icons|link|links|label|text|unit))*(?=$|\s)", re.I)
+INLINE = set("a b i em strong span small u mark".split())
+#: Elements in which an <article> is a teaser.
+TEASERS = set("nav footer aside dialog menu".split())
 LIKELY = re.compile(
     r"(?:^|[\s_-])(?:side|aside|headers?|foot|discussion|tags|skip|disclaimer|copyright|legal|meta|byline|toc|rss|shoutbox|tools)(?=$|[\s_-]|\d)", re.I)
 FINE = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|post|story|text|page|hentry)(?=$|[\s_-]|\d)", re.I)
@@ -61,17 +77,28 @@ SCORED = set("p pre td blockquote dd li".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "up", "parts", "points", "chars", "linked", "odd", "holds", "titled", "paragraphs", "length")
+    __slots__ = ("tag", "attrs", "up", "parts", "points", "chars", "linked", "odd", "holds", "apart", "titled", "paragraphs", "length", "links")
 
     def __init__(self, tag: str, attrs: str, up: Node | None):
         self.tag, self.attrs, self.up = tag, attrs, up
         self.parts: list[Node | str] = []
         self.points = self.chars = self.linked = 0.0
         self.odd = False
-        self.holds = tag in ("article", "main")  # it or one of its parts is the article by its tag
+        self.holds = False  # it or one of its parts is the article by its tag
+        self.apart = False  # it stands in a block of teasers or readers' comments
         self.titled = tag in ("h1", "h2", "h3")
         self.paragraphs = int(tag == "p")
-        self.length = 0  # of its text and that of its parts, elements that are never part of an article aside
+        self.length = self.links = 0  # of its text and that of its parts, elements that are never part of an article aside; in links
+
+    def named(self) -> str:
+        """Its class and id."""
+        if not self.attrs.strip():
+            return ""
+        attrs = self.attributes()
+        return f"{attrs.get('class', '')} {attrs.get('id', '')}"
+
+    def attributes(self) -> dict[str, str]:
+        return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(self.attrs)}
 
 
 def parse(html: str) -> list[Node]:
@@ -129,51 +156,96 @@ def parse(html: str) -> list[Node]:
             here = child
 
 
+def _wholly(named: str) -> bool:
+    """Whether a class or id names a side part as a whole (``cookie-notice``, ``related-posts``), not by one word of a longer name (``related-work``)."""
+    for token in named.split():
+        words = [w for w in re.split(r"[-_]+", token) if w]
+        side = [bool(SURE.fullmatch(w)) for w in words]
+        if any(STRONG.fullmatch(w) for w in words) or any(side) and all(x or w.lower() in NEUTRAL or w.isdigit() for x, w in zip(side, words, strict=True)):
+            return True
+    return False
+
+
+def _reads_like_side(node: Node) -> bool:
+    """Mostly links, or a scrap without a sentence."""
+    if node.length and node.links >= 0.4 * node.length:
+        return True
+    return node.length < 80 and not re.search(r"[.!?](?:\s|$)", _raw_text(node))
+
+
+def _raw_text(node: Node) -> str:
+    out, stack = [], list(reversed(node.parts))
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            stack.extend(reversed(x.parts))
+    return " ".join(out)
+
+
 def _is_odd(node: Node, inside: bool, most: int, half: float) -> bool:
     """Whether an element is no part of an article; ``inside``: it stands in an <article> or <main>; ``most``: half of the page's paragraphs;
     ``half``: half of the page's text, on a page whose article no tag names: what holds more is a frame around it with a layout's words."""
     if node.tag == "header" and inside and node.titled:  # an article's own header holds its title
         return False
     if node.tag in DROPPED or node.tag == "header":
-        return not node.holds
-    if not node.attrs.strip() or node.tag in ("html", "body", "article", "main"):
+        return node.tag in TEASERS or not node.holds
+    if not node.attrs.strip() or node.tag in ("html", "body"):
         return False
-    attrs = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(node.attrs)}
+    attrs = node.attributes()
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
         return True
     if node.holds:
         return False
+    named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+    if node.tag in ("article", "main"):
+        return bool(READERS.search(named))
     if attrs.get("role", "").lower() in ROLES:
         return True
-    if node.tag in ("a", "b", "i", "em", "strong", "span", "h1"):
+    if node.tag in INLINE:
+        return bool(INLINE_SURE.search(named))
+    if node.tag == "h1":
         return False
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    if SURE.search(named) and (node.length <= half or READERS.search(named)):
+    if READERS.search(named):
         return True
-    return bool(LIKELY.search(named)) and not FINE.search(named) and node.paragraphs <= most
+    if SURE.search(named) and node.length <= half and (not inside or _wholly(named) or _reads_like_side(node)):
+        return True
+    return bool(LIKELY.search(named)) and not FINE.search(named) and node.paragraphs <= most and (not inside or _reads_like_side(node) or node.tag != "section")
 
 
 def _measure(nodes: list[Node]) -> list[Node]:
     """Marks the odd parts and sums text and link lengths without them; the other elements in page order."""
+    for node in nodes[1:]:  # what holds parts before them
+        node.apart = node.up.apart or node.tag in TEASERS or bool(node.attrs) and node.tag not in ("html", "body", *INLINE) and bool(READERS.search(node.named()))
+        node.holds = node.tag in ("article", "main") and not node.apart
     for node in reversed(nodes[1:]):  # parts before what holds them
         node.up.holds |= node.holds
         node.up.titled |= node.titled
         node.up.paragraphs += node.paragraphs
         node.length += sum(len(x.strip()) for x in node.parts if isinstance(x, str))
+        if node.tag == "a":
+            node.links = node.length
         if node.tag not in DROPPED:
             node.up.length += node.length
+            node.up.links += node.links
     order, stack, most = [], [(nodes[0], False)], nodes[0].paragraphs // 2
     page = nodes[0]
     half = float("inf") if page.holds else (page.length + sum(len(x.strip()) for x in page.parts if isinstance(x, str))) / 2
     while stack:
         node, inside = stack.pop()
         order.append(node)
-        within = inside or node.tag in ("article", "main")
+        within = inside or node.tag in ("article", "main") or not page.holds and node.paragraphs > most and bool(FINE.search(node.named()))
+        after: Node | None = None
         for x in reversed(node.parts):
             if isinstance(x, Node):
-                x.odd = _is_odd(x, within, most, half)
+                # a heading right before readers' comments is theirs
+                x.odd = _is_odd(x, within, most, half) or x.tag in ("h2", "h3", "h4", "h5", "h6") and after is not None and after.odd and after.apart and after.tag not in TEASERS
+                after = x
                 if not x.odd:
                     stack.append((x, within))
+            elif x.strip():
+                after = None
     for node in reversed(order):
         for x in node.parts:
             if isinstance(x, str):
@@ -232,14 +304,17 @@ def _kept(nodes: list[Node]) -> list[Node]:
             best = node
     if best.up is None:
         return [best]
-    kept = []
-    for x in best.up.parts:
+    kept, parts = [], [x for x in best.up.parts if isinstance(x, Node)]
+    before = True
+    for x, after in zip(parts, [*parts[1:], None], strict=True):
         if x is best:
             kept.append(x)
-        elif isinstance(x, Node) and not x.odd and x.chars:
+            before = False
+        elif not x.odd and x.chars:
             links = x.linked / x.chars
             good = x.points * (1 - links) >= max(10.0, 0.2 * most) and x.tag == best.tag
-            titled = x.tag in ("h1", "h2") and links < 0.25
+            # a heading belongs to what follows it
+            titled = x.tag in ("h1", "h2") and links < 0.25 and (before and x.tag == "h1" or after is not None and not after.odd and after.chars > 0)
             if good or titled or x.tag == "p" and best.tag not in ("article", "main") and (x.chars > 80 and links < 0.25 or links == 0 and re.search(r"[.!?](?:\s|$)", _own_text(x))):
                 kept.append(x)
     return kept

@@ -68,3 +68,48 @@ def test_frames_with_layout_words_keep_the_article(name):
     for inner in (f"<p>{LONG}</p><p>{second}</p>", f"<div class='post'><p>{LONG}</p><p>{second}</p></div>{side}"):
         assert main_text(page(f"<div class='{name}'>{inner}</div>")) == f"{LONG} {second}"
     assert main_text(page(f"<div class='text'><p>{LONG}</p><p>{second}</p></div>{readers}")) == f"{LONG} {second}"
+
+
+SECOND = "Second and last paragraph, also of some length, for the reader."
+COMMENT = "Great, article, indeed, says the reader, who comments at length here, and more, and more again, so that it is long."
+
+
+@pytest.mark.parametrize("comment", ['article class="comment-body"', 'article id="comment-12" class="comment even"', 'article class="comment"', "article"])
+@pytest.mark.parametrize("block", ['div id="comments"', 'section class="comments-area"', 'div class="comment-list"'])
+@pytest.mark.parametrize("post", ['div class="entry-content"', 'article class="post"', "article", 'div class="text"'])
+def test_readers_comments_in_article_tags(post, block, comment):
+    name, outer = post.split()[0], block.split()[0]
+    comments = "".join(f"<{comment}><p>{COMMENT}</p></article>" for _ in range(4))
+    for heading in ("", "<h2>Comments</h2>", "<h3>4 replies</h3>"):
+        html = page(f"<{post}><p>{LONG}</p><p>{SECOND}</p></{name}><{block}>{heading}{comments}</{outer}>")
+        assert main_text(html) == f"{LONG} {SECOND}"
+        html = page(f"<{post}><p>{LONG}</p><p>{SECOND}</p></{name}>{heading}<{block}>{comments}</{outer}>")
+        assert main_text(html) == f"{LONG} {SECOND}"
+        html = page(f"<{post}><p>{LONG}</p><p>{SECOND}</p>{heading}<{block}>{comments}</{outer}></{name}>")
+        assert main_text(html) == f"{LONG} {SECOND}"
+
+
+@pytest.mark.parametrize("extra", [
+    f'<aside class="related"><article><h3>Teaser, with a title</h3><p>{COMMENT}</p></article></aside>', f"<nav><article><p>{COMMENT}</p></article></nav>",
+    f"<footer><article><p>{COMMENT}</p></article></footer>", f'<section class="user-reviews"><h2>What readers say</h2><p>{COMMENT}</p></section>',
+    f'<div class="reader-comments"><p>{COMMENT}</p></div>', '<span class="advert">Buy now, cheap</span>', '<a class="share" href="/s">Share this, please</a>',
+    '<a class="share-button" href="/s">Share</a>', f'<div class="related-posts"><p>{COMMENT}</p></div>', f'<section class="cookie-notice"><p>{COMMENT}</p></section>',
+    '<div class="search-tools"><a href="/">One</a> <a href="/">Two</a></div>'])
+def test_side_parts_inside_an_article(extra):
+    for at in (f"<p>{LONG}</p>{extra}<p>{SECOND}</p>", f"<p>{LONG}</p><p>{SECOND}</p>{extra}"):
+        assert main_text(page(f"<article>{at}</article>")) == f"{LONG} {SECOND}"
+    assert main_text(page(f"<article><p>{LONG}</p><p>{SECOND}</p></article>{extra}")) == f"{LONG} {SECOND}"
+
+
+@pytest.mark.parametrize("own", ['section id="search-algorithms"', 'div class="related-work"', 'div id="menu-of-the-day"', 'section id="alert-levels"', 'section class="social-history"'])
+def test_sections_of_the_article_with_words_of_side_parts(own):
+    name = own.split()[0]
+    inner = f"<{own}><h2>A section</h2><p>{COMMENT}</p></{name}>"
+    assert main_text(page(f"<article><p>{LONG}</p>{inner}<p>{SECOND}</p></article>")) == f"{LONG} A section {COMMENT} {SECOND}"
+    assert main_text(page(f'<article><p>{LONG}</p><p class="notice-of-terms">{SECOND}</p></article>')) == f"{LONG} {SECOND}"
+
+
+def test_headings_stay_with_their_text():
+    assert main_text(page(f"<div class=content><h1>Title</h1><p>{LONG}</p><h2>Part</h2><p>{SECOND}</p></div>")) == f"Title {LONG} Part {SECOND}"
+    assert main_text(page(f"<h1>Title</h1><div class=share><a href=/>x</a></div><div class=content><p>{LONG}</p></div><h2>More to read</h2><div class=related><a href=/>y</a></div>")) == f"Title {LONG}"
+    assert main_text(page(f"<article><p>{LONG}</p><h2>Part</h2><div class=ad>Buy</div><p>{SECOND}</p></article>")) == f"{LONG} Part {SECOND}"
