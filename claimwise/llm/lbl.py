@@ -8,7 +8,7 @@ the group, each a softmax over products of vectors with the context's (each plac
 sums are computed in full, so probabilities are normalised.  Inside a suffix class a word has the
 probability (count + 1) over the class's tokens, words and one for the unseen.
 
-Training covers all training texts.  They are dealt by a hash of id and text into parts of about ``PART`` tokens and, inside a part, into
+Every text is split and coded once, into a table of class numbers from which rounds and scores are computed.  Training covers all training texts.  They are dealt by a hash of id and text into parts of about ``PART`` tokens and, inside a part, into
 ``ROUNDS`` rounds.  In a round every part runs stochastic gradient descent over its texts of that round, from the average that all
 parts reached in the round before; so the steps depend on the texts alone, not on the files, partitions or cores they come from.  Noise
 groups are shared in a batch, so that the work is matrix products, and noise words are drawn inside each token's group.  A row of parameters is
@@ -40,6 +40,8 @@ SIZE, PLACES = 16, 2
 NOISE, INSIDE, BATCH, RATE = 32, 2, 4096, 0.15
 #: Tokens of a part and rounds of training.  A part trains on a ``ROUNDS``-th of its tokens in each round.
 PART, ROUNDS = 1 << 23, 4
+#: Tokens that are scored at once.
+SCORED = 1 << 19
 #: Slabs of the matrix of parameters, each summed by one task.
 SLABS = 32
 #: Columns of the matrix of parameters.
@@ -198,22 +200,20 @@ class Parameters:
         _, target, _, group = self._parts()
         self.bias, self.group_bias, self.seen = m[target, SIZE].copy(), m[group, SIZE].copy(), m[:, SIZE + 1:].copy()
 
-    def hidden(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.context.take(contexts[:, i], axis=0) * self.place[i] for i in range(PLACES))
+    def before(self, contexts: np.ndarray) -> list[np.ndarray]:
+        """The vectors of the classes in each place."""
+        return [self.context.take(contexts[:, i], axis=0) for i in range(PLACES)]
+
+    def hidden(self, before: list[np.ndarray]) -> np.ndarray:
+        return sum(x * self.place[i] for i, x in enumerate(before))
 
 
 def summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` and the sums of their lines of ``grad``."""
     order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # short numbers have a faster sort
     found = rows[order]
-    new = np.concatenate(([True], found[1:] != found[:-1]))
-    place = np.empty(len(rows), np.int64)
-    place[order] = np.cumsum(new) - 1
-    found = found[new]
-    if grad.ndim == 1:
-        return found, np.bincount(place, grad, len(found))
-    cells = (place[:, None] * SIZE + np.arange(SIZE)).ravel()
-    return found, np.bincount(cells, grad.ravel(), len(found) * SIZE).reshape(-1, SIZE)
+    first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+    return found[first], np.add.reduceat(grad[order], first, axis=0)
 
 
 class Trainer:
@@ -236,7 +236,8 @@ class Trainer:
 
     def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         p, v, n = self.p, self.v, len(targets)
-        hidden = p.hidden(contexts)
+        before = p.before(contexts)
+        hidden = p.hidden(before)
         groups = v.group_of[targets]
 
         # the group, against groups shared by the batch
@@ -269,7 +270,7 @@ class Trainer:
             rows, target = summed(lines, np.concatenate((held, np.repeat(held, INSIDE, axis=0))) * weights[:, None])
             bias = summed(lines, weights)[1]
 
-        place = np.stack([np.einsum("ij,ij->j", back, p.context.take(contexts[:, i], axis=0)) for i in range(PLACES)])
+        place = np.stack([np.einsum("ij,ij->j", back, x) for x in before])
         context_rows, context = summed(contexts.T.ravel(), np.concatenate([back * p.place[i] for i in range(PLACES)]))
         seen = self.seen
         self._apply(p.context, seen[0][:, 0], context_rows, context, n)
@@ -292,31 +293,64 @@ def contexts_of(classes: np.ndarray, ends: np.ndarray, end_class: int) -> np.nda
     return out
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary) -> np.ndarray:
-    """Parameters after ``ROUNDS`` rounds over all texts; a bounded number of rows comes back from each."""
-    spark = docs.sparkSession
+def class_kind(vocabulary: Vocabulary) -> str:
+    """Type of the class numbers in stored texts."""
+    return "<u2" if len(vocabulary.unigram) <= 1 << 16 else "<i4"
+
+
+def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``rows`` (doc_id, held_out, text) as class numbers, each text split once for training and scoring.
+
+    Beside ``classes``: ``h`` (hash of id and text), ``n_tokens`` and, without the words that workers do not hold, ``n_known``, ``base`` and ``within`` (sums
+    over the tokens); those words in ``rare``."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # HEAD words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        lookup, kind = v.lookup(), class_kind(v)
+        for batch in batches:
+            texts = [tokens_of(t.as_py()) for t in batch.column(3)]
+            if not texts:
+                continue
+            ends = np.cumsum([len(t) for t in texts])
+            starts = np.concatenate(([0], ends[:-1]))
+            codes = np.fromiter(map(lookup.__getitem__, chain.from_iterable(texts)), np.int64)
+            classes, rare = v.class_of[codes].astype(kind), codes >= v.held
+            words, numbers, offsets = [], [], [0]
+            for t, a, b in zip(texts, starts, ends, strict=True):
+                found = Counter(compress(t, rare[a:b]))
+                words += found
+                numbers += found.values()
+                offsets.append(len(words))
+            flat = pa.StructArray.from_arrays([pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(numbers, pa.int64())], ["word", "n"])
+            sums = [np.add.reduceat(x, starts) for x in ((~rare).astype(np.int64), v.base[codes], v.within[codes])]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(ends - starts, pa.int64()), *map(pa.array, sums), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
+                 pa.array([classes[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())],
+                ["doc_id", "held_out", "h", "n_tokens", "n_known", "base", "within", "rare", "classes"])
+
+    rows = rows.select("doc_id", "held_out", F.xxhash64("doc_id", "text").alias("h"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, h long, n_tokens long, n_known long, base double, within double, "
+                                "rare array<struct<word:string,n:long>>, classes binary")
+
+
+def train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Parameters after ``ROUNDS`` rounds over all ``texts`` (h, classes); a bounded number of rows comes back from each."""
+    spark = texts.sparkSession
     m = Parameters(vocabulary).rows()
     if not vocabulary.total:
         return m
     parts = -(-vocabulary.total // PART)
     shared = spark.sparkContext.broadcast(vocabulary)  # HEAD words
-    dealt = docs.select(F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias("h"))
-    dealt = dealt.select(F.pmod("h", F.lit(parts)).alias("part"), F.pmod(F.shiftrightunsigned("h", 40), F.lit(ROUNDS)).alias("round"), "h", "text")
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        lookup = v.lookup()
-        for batch in batches:
-            texts = [tokens_of(t.as_py()) for t in batch.column(2)]
-            classes = [v.class_of[np.fromiter(map(lookup.__getitem__, t), np.int64, len(t))].astype(np.int32).tobytes() for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes, pa.binary())], ["part", "h", "classes"])
+    dealt = texts.select(F.pmod("h", F.lit(parts)).cast("int").alias("part"), F.pmod(F.shiftrightunsigned("h", 40), F.lit(ROUNDS)).alias("round"), "h", "classes")
 
     for turn in range(ROUNDS):
         start = spark.sparkContext.broadcast(m)
 
         def trained(batches: Iterator[pa.RecordBatch], turn: int = turn, start=start) -> Iterator[pa.RecordBatch]:
             v, begun = shared.value, start.value
-            end = int(v.class_of[v.lookup()[b""]])
+            kind, end = class_kind(v), int(v.class_of[v.lookup()[b""]])
 
             def changed(part: int, texts: list[np.ndarray]) -> pa.RecordBatch:
                 p = Parameters(v)
@@ -343,7 +377,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary) -
                         yield changed(here, held)
                         held = []
                     here = part
-                    held.append(np.frombuffer(classes.as_py(), np.int32))
+                    held.append(np.frombuffer(classes.as_py(), kind))
             if held:
                 yield changed(here, held)
 
@@ -361,20 +395,20 @@ def train(docs: DataFrame, id_col: str, text_col: str, vocabulary: Vocabulary) -
                 mean = total / np.maximum(weight, 1)[:, None]
                 yield pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["slab", "mean"])
 
-        texts = dealt.filter(F.col("round") == turn).select("part", "h", "text").mapInArrow(coded, "part long, h long, classes binary")
-        texts = texts.repartition(parts, "part").sortWithinPartitions("part", "h").select("part", "classes")
-        moved = texts.mapInArrow(trained, "slab int, part long, tokens double, places binary, moved binary")
-        moved = moved.repartition(min(SLABS, parts), "slab").sortWithinPartitions("slab", "part").drop("part")
+        now = dealt.filter(F.col("round") == turn).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "h").select("part", "classes")
+        moved = now.mapInArrow(trained, "slab int, part long, tokens double, places binary, moved binary")
+        few = min(SLABS, parts)
+        moved = moved.repartitionById(few, F.col("slab") % few).sortWithinPartitions("slab", "part").drop("part")
         for r in moved.mapInArrow(averaged, "slab int, mean binary").collect():
             mean = np.frombuffer(bytes(r["mean"]), np.float32).reshape(-1, COLUMNS)
             m[r["slab"]::SLABS] += mean
     return m
 
 
-def log_sums(z: np.ndarray) -> np.ndarray:
-    """log of the rows' sums of exp; ``z`` is overwritten."""
+def log_sums(z: np.ndarray, small: bool = False) -> np.ndarray:
+    """log of the rows' sums of exp; ``z`` is overwritten.  ``small``: no value is so large or low that a sum can overflow or vanish."""
     ones = np.ones(z.shape[1], np.float32)
-    if -60 < z.min() and z.max() < 60:  # no sum can overflow or vanish
+    if small:
         return np.log(np.exp(z, out=z) @ ones)
     top = z.max(axis=1)
     z -= top[:, None]
@@ -382,11 +416,17 @@ def log_sums(z: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Normalised log10 probabilities; the groups' sum of a context is computed once per call, that inside a group once per token."""
+    """Normalised log10 probabilities; the groups' sum of a context is computed once per call, that inside a group once per token.
+
+    Biases are products too: of a further column of ones of the contexts' vectors."""
 
     def __init__(self, vocabulary: Vocabulary, matrix: np.ndarray):
         self.v, self.p = vocabulary, Parameters(vocabulary)
         self.p.load(matrix)
+        p, v = self.p, vocabulary
+        self.group = np.vstack((p.group.T, p.group_bias)).astype(np.float32)
+        self.inside = [np.vstack((p.target[a:b].T, p.bias[a:b])).astype(np.float32) for a, b in zip(v.first, v.first[1:])]
+        self.longest = max(float(np.sqrt((x * x).sum(axis=0)).max()) for x in (self.group, *self.inside))
 
     def __call__(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
         p, v = self.p, self.v
@@ -394,26 +434,28 @@ class Scorer:
         for i in range(1, PLACES):
             key = key * p.n + contexts[:, i]
         _, first, back = np.unique(key, return_index=True, return_inverse=True)
-        distinct = p.hidden(contexts[first])
+        hidden = p.hidden(p.before(contexts[first]))
+        distinct = np.ones((len(first), SIZE + 1), np.float32)
+        distinct[:, :SIZE] = hidden
+        small = self.longest * float(np.sqrt((distinct * distinct).sum(axis=1).max(initial=0))) < 60
         sums = np.empty(len(first), np.float32)
         for at in range(0, len(first), 256):  # blocks that stay in the cache
-            sums[at:at + 256] = log_sums(distinct[at:at + 256] @ p.group.T + p.group_bias)
+            sums[at:at + 256] = log_sums(distinct[at:at + 256] @ self.group, small)
         groups = v.group_of[classes]
         out = np.empty(len(classes))
         for at in range(0, len(classes), 65_536):
             part = slice(at, at + 65_536)
-            out[part] = np.einsum("ij,ij->i", distinct[back[part]], p.group[groups[part]]) + p.group_bias[groups[part]] - sums[back[part]]
-        order = np.argsort(groups, kind="stable")
+            out[part] = np.einsum("ij,ij->i", hidden[back[part]], p.group[groups[part]]) + p.group_bias[groups[part]] - sums[back[part]]
+        order = np.argsort(groups.astype(np.uint16) if p.groups < 1 << 16 else groups, kind="stable")
         bounds = np.searchsorted(groups[order], np.arange(p.groups + 1))
         for g in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(v.first) > 1)):
             low, high = v.first[g], v.first[g + 1]
-            vectors, bias = np.ascontiguousarray(p.target[low:high].T), p.bias[low:high]
-            block = max(1, 100_000 // (high - low))
+            block = max(1, 60_000 // (high - low))
             for at in range(bounds[g], bounds[g + 1], block):
                 rows = order[at:min(at + block, bounds[g + 1])]
-                z = distinct[back[rows]] @ vectors + bias
+                z = distinct[back[rows]] @ self.inside[g]
                 own = z[np.arange(len(rows)), classes[rows] - low]
-                out[rows] += own - log_sums(z)
+                out[rows] += own - log_sums(z, small)
         return out / np.log(10)
 
 
@@ -432,46 +474,40 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     learned = rows.filter(~F.col("held_out"))
     counts = stored(token_counts(learned, "text"), "lbl-counts")
     vocabulary = read_vocabulary(counts)
-    matrix = train(learned, "doc_id", "text", vocabulary)
+    texts = stored(coded(rows, vocabulary).withColumn("row", F.monotonically_increasing_id()), "lbl-coded")
+    matrix = train(texts.filter(~F.col("held_out")).select("h", "classes"), vocabulary)
     shared = spark.sparkContext.broadcast((vocabulary, matrix))
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, m = shared.value
-        lookup, scorer = v.lookup(), Scorer(v, m)
-        end = int(v.class_of[lookup[b""]])
-        for batch in batches:
-            texts = [tokens_of(t.as_py()) for t in batch.column(2)]
-            ends = np.cumsum([len(t) for t in texts])
-            if not len(ends):
-                continue
-            codes = np.fromiter(map(lookup.__getitem__, chain.from_iterable(texts)), np.int64)
-            classes, rare = v.class_of[codes], codes >= v.held
-            logs = scorer(contexts_of(classes, ends, end), classes) + v.within[codes]
-            known = ~rare
-            starts = ends - np.array([len(t) for t in texts])
-            base = v.base[codes]
-            words, numbers, offsets = [], [], [0]
-            for t, a, b in zip(texts, starts, ends, strict=True):
-                found = Counter(compress(t, rare[a:b]))
-                words += found
-                numbers += found.values()
-                offsets.append(len(words))
-            flat = pa.StructArray.from_arrays([pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(numbers, pa.int64())], ["word", "n"])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ends - starts, pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                 pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(logs, starts)), lists],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
-
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,n:long>>"
-    parts = stored(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lbl-parts")
-    found = (parts.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(counts, "word", "left")
+        scorer, kind = Scorer(v, m), class_kind(v)
+        end = int(v.class_of[v.lookup()[b""]])
+
+        def scored(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            ends = np.cumsum(table["n_tokens"].to_numpy())
+            classes = np.frombuffer(b"".join(table["classes"].to_pylist()), kind).astype(np.int64)
+            logs = scorer(contexts_of(classes, ends, end), classes)
+            return pa.RecordBatch.from_arrays(
+                [table["row"].combine_chunks(), pa.array(np.add.reduceat(logs, np.concatenate(([0], ends[:-1]))))], ["row", "logs"])
+
+        held, tokens = [], 0
+        for batch in batches:  # many texts at once: contexts that repeat are computed once
+            if batch.num_rows:
+                held.append(batch)
+                tokens += int(np.sum(batch.column(1).to_numpy()))
+            if tokens >= SCORED:
+                yield scored(held)
+                held, tokens = [], 0
+        if held:
+            yield scored(held)
+
+    logs = texts.select("row", "n_tokens", "classes").mapInArrow(run, "row long, logs double")
+    found = (texts.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(counts, "word", "left")
              .withColumn("c", F.coalesce("c", F.lit(0))))
     sums = found.groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known_2"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("own"))
-    zero = F.lit(0.0)
-    return parts.drop("rare").join(sums, "row", "left").select(
+    own = F.coalesce("own", F.lit(0.0))
+    return texts.drop("rare", "classes").join(logs, "row").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known_2", F.lit(0))).alias("n_known"),
-        F.lit(vocabulary.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("own", zero)).alias("base_score"), (F.col("score") + F.coalesce("own", zero)).alias("score"))
+        F.lit(vocabulary.total).cast("long").alias("train_tokens"), (F.col("base") + own).alias("base_score"), (F.col("logs") + F.col("within") + own).alias("score"))

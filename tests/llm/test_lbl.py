@@ -41,11 +41,40 @@ def check(got, expected):
 
 
 def test_rare_words_meet_the_table_of_counts(make, sample, monkeypatch):
-    rows = list(zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True))[:80]
-    expected = {r.doc_id: r.score for r in run(make(rows)).collect()}
-    monkeypatch.setattr(lbl, "HEAD", 900)  # on the driver only: what it hands out must say so itself
-    counts = lbl.token_counts(make(rows), "text")
-    assert sum(r.c for r in counts.collect()) == sum(len(tokens(t)) for _, t in rows) and len(expected) == 80
+    """With a small head most words are counted by the join; the counts, base scores and the gain stay."""
+    rows = list(zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True))
+    monkeypatch.setattr(lbl, "HEAD", 300)  # on the driver, which makes the vocabulary
+    got = check(run(make(rows)), brute(rows))
+    words = lbl.read_vocabulary(lbl.token_counts(make(rows), "text"))
+    assert words.held <= 300 < words.distinct
+    held = [r for r in got if r[1]]
+    assert sum(r[6] for r in held) > sum(r[5] for r in held)
+
+
+def test_score_is_the_product_of_class_and_word(make, sample):
+    """The score of a text, added up token by token from full softmax sums."""
+    rows = list(zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True))[:60]
+    docs = make(rows)
+    learned = docs.filter(crc_remainder(F.col("doc_id"), 7) != 2)
+    v = lbl.read_vocabulary(lbl.token_counts(learned, "text"))
+    named = docs.withColumn("held_out", crc_remainder(F.col("doc_id"), 7) == 2).select("doc_id", "held_out", "text")
+    p = lbl.Parameters(v)
+    p.load(lbl.train(lbl.coded(named, v).filter(~F.col("held_out")).select("h", "classes"), v))
+    counts = dict(zip([w.encode() for w in v.words], v.counts, strict=True))
+    got = {r.doc_id: r.score for r in run(docs).collect()}
+    for i, text in rows[:12]:
+        before, total = [b"", b""], 0.0
+        for w in tokens(text):
+            classes = [int(v.class_of[v.lookup()[x]]) for x in (*before, w)]
+            h = sum(p.context[c].astype(float) * p.place[k] for k, c in enumerate(classes[1::-1]))
+            g = int(v.group_of[classes[2]])
+            all_groups = np.exp(p.group.astype(float) @ h + p.group_bias)
+            inside = np.exp(p.target[v.first[g]:v.first[g + 1]].astype(float) @ h + p.bias[v.first[g]:v.first[g + 1]])
+            total += math.log10(all_groups[g] / all_groups.sum() * inside[classes[2] - v.first[g]] / inside.sum())
+            if classes[2] >= v.own:
+                total += math.log10(counts.get(w, 0) + 1) - v.inside[classes[2] - v.own]
+            before = [before[1], w]
+        assert got[i] == pytest.approx(total, rel=1e-4)
 
 
 def test_counts_and_base_match_brute_force(make):
