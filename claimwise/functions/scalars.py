@@ -54,7 +54,7 @@ PHARMACY_OTHER = "00"
 RATIO_HIGH = 1.5
 RATIO_LOW = 0.5
 # Characters a Java String.trim() removes: U+0000 .. U+0020.
-_JAVA_WS = r"[\x00-\x20]"
+_JAVA_WS = "".join(map(chr, range(0x21)))
 
 
 def as_col(c) -> Column:
@@ -68,7 +68,7 @@ def empty_if_null(c) -> Column:
 
 def java_trim(c) -> Column:
     """Strip all characters <= U+0020 from both ends (Spark ``trim`` strips blanks only)."""
-    return F.regexp_replace(as_col(c), rf"^{_JAVA_WS}+|{_JAVA_WS}+\z", "")
+    return F.btrim(as_col(c), F.lit(_JAVA_WS))
 
 
 def clean_value(c) -> Column:

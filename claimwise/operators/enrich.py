@@ -230,40 +230,33 @@ class CatalogueSource:
         return tuple(dict.fromkeys(self.data + self.meta))
 
 
-def _last_wins(src: CatalogueSource) -> DataFrame:
-    f = src.frame.withColumn(src.key, pad_zeros(F.col(src.key), PZN_WIDTH))
-    # without line numbers the largest row of a key is kept: a key never has two
-    order = F.struct(*[c for c in ("_file", "_line") if c in f.columns] or list(src.labels) or [src.key])
-    best = F.max_by(F.struct(*[F.col(c) for c in src.labels]), order)
-    return (f.groupBy(F.col(src.key).alias("_key")).agg(best.alias("_r"))
-            .select("_key", *[F.col(f"_r.{c}").alias(c) for c in src.labels]))
-
-
 def consolidate(sources: list[CatalogueSource]) -> DataFrame:
     """Merge sources per key: for every label, the last source that defines the label
     and contains the key wins, also when its value is empty.
 
     Result columns: ``_key``, one column per label (NULL = undefined for the key),
-    ``_in0`` (key in the main source) and ``_in{i}`` flags."""
-    frames = []
-    for i, s in enumerate(sources):
-        f = _last_wins(s)
-        frames.append(f.select("_key", F.lit(True).alias(f"_in{i}"),
-                               *[F.col(c).alias(f"_s{i}_{c}") for c in s.labels]))
-    merged = reduce(lambda a, b: a.join(b, "_key", "full_outer"), frames)
+    ``_in0`` (key in the main source) and ``_in{i}`` flags.
+
+    The lines of all sources meet in one aggregation by key: a label takes the latest line, by source and place in it, of the
+    sources that define it.  Without line numbers the largest row of a source's key counts as its last."""
     labels = list(dict.fromkeys(lbl for s in sources for lbl in s.labels))
-    cols = [F.col("_key")]
-    for i in range(len(sources)):
-        cols.append(F.coalesce(F.col(f"_in{i}"), F.lit(False)).alias(f"_in{i}"))
-    for lbl in labels:
-        expr = None
-        for i, s in enumerate(sources):
-            if lbl in s.labels:
-                v = F.col(f"_s{i}_{lbl}")
-                flag = F.coalesce(F.col(f"_in{i}"), F.lit(False))
-                expr = F.when(flag, v) if expr is None else F.when(flag, v).otherwise(expr)
-        cols.append(expr.alias(lbl))
-    return merged.select(*cols)
+    tagged = []
+    for i, s in enumerate(sources):
+        f = s.frame
+        place = F.struct(
+            F.lit(i).alias("i"), (F.col("_file") if "_file" in f.columns else F.lit("")).alias("file"),
+            (F.col("_line") if "_line" in f.columns else F.lit(0)).cast("long").alias("line"),
+            F.array(*[F.col(c).cast("string") for c in s.labels or (s.key,)]).alias("row"))
+        tagged.append(f.select(
+            pad_zeros(F.col(s.key), PZN_WIDTH).alias("_key"), F.lit(i).alias("_i"), place.alias("_at"),
+            *[(F.col(c) if c in s.labels else F.lit(None)).cast("string").alias(c) for c in labels]))
+    lines = reduce(DataFrame.unionByName, tagged)
+
+    def latest(label: str):
+        defining = F.col("_i").isin([i for i, s in enumerate(sources) if label in s.labels])
+        return F.max_by(F.col(label), F.when(defining, F.col("_at"))).alias(label)
+
+    return lines.groupBy("_key").agg(*[F.max(F.col("_i") == i).alias(f"_in{i}") for i in range(len(sources))], *map(latest, labels))
 
 
 def supplement_only_keys(sources: list[CatalogueSource]) -> DataFrame:

@@ -69,7 +69,7 @@ class JoinSpec:
     how: str = "inner"
     columns: tuple[str, ...] | None = None  # None = all columns of the joined frame
     exclude: tuple[str, ...] = ()
-    where: tuple[Where, ...] = ()           # conditions on the joined frame, before the join
+    where: tuple[Where, ...] = ()           # conditions on the joined frame; rows without a match fail them
 
     def __post_init__(self):
         if self.how not in ("inner", "left"):
@@ -185,15 +185,16 @@ def project(df: DataFrame, columns=None, exclude=()) -> DataFrame:
 def join_views(df: DataFrame, joins) -> DataFrame:
     """Equi joins on shared column names; the join key is kept once.
 
-    The joined frame's conditions come first, then its column list and excludes.  A joined column whose name is
-    taken gets the join's number: ``name_1`` from the first join."""
+    A joined view's conditions stand beside those of the base view, after the join: a row of a left join that finds no
+    partner fails them, so such a join keeps matched rows only, and the conditions are pushed to the joined scan.  Then follow its column
+    list and excludes.  A joined column whose name is taken gets the join's number: ``name_1`` from the first join."""
     for n, j in enumerate(joins, 1):
         right = project(apply_where(j.frame, j.where), None, tuple(c for c in j.exclude if c not in j.on))
         if j.columns:
             right = right.select(*dict.fromkeys(list(j.on) + list(j.columns)))
         taken = set(df.columns) - set(j.on)
         right = right.toDF(*[f"{c}_{n}" if c in taken else c for c in right.columns])
-        df = df.join(right, list(j.on), j.how)
+        df = df.join(right, list(j.on), "inner" if j.where else j.how)
     return df
 
 

@@ -20,6 +20,8 @@ fingerprint).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +95,60 @@ def fingerprints(base: DataFrame, region: DataFrame, icd: DataFrame, pzn: DataFr
     return canonical_text(base, region, icd, pzn).select("pid", F.sha2("text", 256).alias("fingerprint"))
 
 
+def year_states(base: DataFrame, region: DataFrame, icd: DataFrame, pzn: DataFrame, year: str = "bezugsjahr") -> DataFrame:
+    """What each year tells of a person, mergeable over years: (pid, year, in_base, dob, dod, gender, min_kgs, max_kgs, icd, pzn).
+
+    ``icd`` and ``pzn`` are the year's codes in order with their numbers, so a state is bounded by the code vocabulary, however
+    many rows a person has.  All four frames have a ``year``; codes are counted on the mappers, then all meet in one aggregation."""
+    def counted(facts: DataFrame, into: str) -> DataFrame:
+        rows = facts.groupBy(F.col("pid"), F.col(year).cast("int").alias("year"), F.col("code").cast("string").alias("c")).agg(F.count("*").cast("int").alias("n"))
+        return rows.select("pid", "year", F.struct("c", "n").alias(into))
+
+    g = F.substring(empty_if_null("geschlecht"), 1, 1)
+    k = empty_if_null("kgs")
+    persons = base.select("pid", F.col(year).cast("int").alias("year"), F.lit(True).alias("in_base"), iso_date("geburtsdatum").alias("dob"),
+                          iso_date("sterbedatum").alias("dod"), F.when((g != "") & (g < GENDER_CEILING), F.ascii(g)).alias("gender"))
+    regions = region.select("pid", F.col(year).cast("int").alias("year"), F.when((k != "") & (k < KGS_MIN_CEILING), k).alias("min_kgs"),
+                            F.when(k > KGS_MAX_FLOOR, k).alias("max_kgs"))
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [persons, regions, counted(icd, "icd"), counted(pzn, "pzn")])
+    return every.groupBy("pid", "year").agg(
+        F.coalesce(F.max("in_base"), F.lit(False)).alias("in_base"), F.min("dob").alias("dob"), F.min("dod").alias("dod"), F.min("gender").alias("gender"),
+        F.min("min_kgs").alias("min_kgs"), F.max("max_kgs").alias("max_kgs"), *[F.sort_array(F.collect_list(c)).alias(c) for c in ("icd", "pzn")])
+
+
+def merged_fingerprints(states: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """(pid, fingerprint) from the states of the years within the bounds; equal to ``fingerprints`` over the rows of those years."""
+    if first_year is not None:
+        states = states.filter(F.col("year") >= first_year)
+    if last_year is not None:
+        states = states.filter(F.col("year") <= last_year)
+    lists = [F.sort_array(F.collect_list(F.when(F.size(c) > 0, F.struct("year", c)))).alias(f"_{c}") for c in ("icd", "pzn")]
+    persons = states.groupBy("pid").agg(
+        F.max("in_base").alias("in_base"), F.min("dob").alias("dob"), F.min("dod").alias("dod"), F.min("gender").alias("gender"),
+        F.min("min_kgs").alias("min_kgs"), F.max("max_kgs").alias("max_kgs"), *lists).filter("in_base")
+
+    def tokens(c: str, none: str):
+        years = F.transform(f"_{c}", lambda s: F.array_join(F.transform(s[c], lambda x: F.array_join(F.array_repeat(x["c"], x["n"]), "_")), "_"))
+        return F.when(F.size(f"_{c}") > 0, F.array_join(years, "_")).otherwise(none)
+
+    text = F.concat_ws(
+        "_", F.coalesce(F.col("dob").cast("string"), F.lit(DEFAULT_DOB)), F.coalesce(F.col("dod").cast("string"), F.lit(DEFAULT_DOD)),
+        F.when(F.col("gender").isNotNull(), F.chr("gender")).otherwise(DEFAULT_GENDER), F.coalesce("min_kgs", F.lit(DEFAULT_KGS)),
+        F.coalesce("max_kgs", F.lit(DEFAULT_KGS)), tokens("icd", NO_ICD), tokens("pzn", NO_PZN))
+    return persons.select("pid", F.sha2(text, 256).alias("fingerprint"))
+
+
+def save_states(states: DataFrame, path: str) -> None:
+    """Write states by year: the years among them are replaced, others stay as they are."""
+    states.hint("rebalance", "year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+
+
+def add_years(base: DataFrame, region: DataFrame, icd: DataFrame, pzn: DataFrame, years: list[int], path: str, year: str = "bezugsjahr") -> None:
+    """Compute the states of some years alone and put them to the others below ``path``."""
+    of = [df.filter(F.col(year).cast("int").isin(years)) for df in (base, region, icd, pzn)]
+    save_states(year_states(*of, year=year), path)
+
+
 def person_summary(base: DataFrame, region: DataFrame) -> DataFrame:
     """Person min/max values with defaults (pid, dob, dod, gender, min_kgs, max_kgs)."""
     j = person_base(base).join(person_kgs(region), "pid", "left")

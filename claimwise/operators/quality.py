@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from claimwise.operators.enrich import LookupColumns
@@ -65,11 +65,8 @@ def map_ids(df: DataFrame, mapping: DataFrame, source_key: str, target_key: str)
     return LookupColumns(m, (source_key,))(df, FrameMeta())
 
 
-def malformed_counts(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """How many values of each column are neither empty nor of its kind: (column, kind, n_values, n_malformed).
-
-    ``kinds``: column -> ``int`` (digits with a sign, 32 bits, no blanks), ``float`` or ``date`` (yyyy-MM-dd).  One pass over
-    the rows, a partial aggregate per column."""
+def _malformed_aggregates(kinds: dict[str, str]) -> list[Column]:
+    """For the i-th column: ``v{i}`` (filled values) and ``m{i}`` (those not of its kind)."""
     aggs = []
     for i, (column, kind) in enumerate(kinds.items()):
         c = F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -81,6 +78,34 @@ def malformed_counts(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
             good = c.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & F.try_to_date(c, "yyyy-MM-dd").isNotNull()
         filled = c != ""
         aggs += [F.count(F.when(filled, 1)).alias(f"v{i}"), F.count(F.when(filled & ~good, 1)).alias(f"m{i}")]
+    return aggs
+
+
+def malformed_counts(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """How many values of each column are neither empty nor of its kind: (column, kind, n_values, n_malformed).
+
+    ``kinds``: column -> ``int`` (digits with a sign, 32 bits, no blanks), ``float`` or ``date`` (yyyy-MM-dd).  One pass over
+    the rows, a partial aggregate per column."""
     rows = F.array(*[F.struct(F.lit(column).alias("column"), F.lit(kind).alias("kind"), F.col(f"v{i}").alias("n_values"),
                               F.col(f"m{i}").alias("n_malformed")) for i, (column, kind) in enumerate(kinds.items())])
-    return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+    return df.agg(*_malformed_aggregates(kinds)).select(F.explode(rows).alias("r")).select("r.*")
+
+
+class MalformedCount:
+    """Counts of malformed values taken while a frame is written, without a pass of their own.
+
+    ``watch`` returns the frame to write; after the write, ``counts`` has (column, kind, n_values, n_malformed).  Columns that
+    the frame lacks are not counted.  One count serves one write."""
+
+    def __init__(self, kinds: dict[str, str]):
+        self.kinds, self.seen = kinds, Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self.kinds = {c: k for c, k in self.kinds.items() if c in df.columns}
+        return df.observe(self.seen, *_malformed_aggregates(self.kinds)) if self.kinds else df
+
+    def counts(self) -> list[tuple[str, str, int, int]]:
+        if not self.kinds:
+            return []
+        got = self.seen.get
+        return [(column, kind, got[f"v{i}"], got[f"m{i}"]) for i, (column, kind) in enumerate(self.kinds.items())]

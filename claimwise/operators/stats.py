@@ -18,9 +18,12 @@ Scale notes
 
 from __future__ import annotations
 
+import datetime as _dt
+from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import (as_col, concat_key, is_contract, out_of_tolerance, quarter_index,
@@ -76,6 +79,74 @@ def daily_distinct_per_quarter(df: DataFrame, year, date, *key_parts) -> DataFra
     return per_day.groupBy("year", "quarter").agg(F.sum("_n").cast("long").alias("cnt"))
 
 
+# --- all configured data sets at once ---------------------------------------------------
+
+@dataclass(frozen=True)
+class DataSet:
+    """A configured data set: rows of its insurers or, without those, rows whose ``flag_<flag>`` is 1; its slices and years."""
+
+    name: str
+    start_year: int
+    end_year: int
+    views: tuple[str, ...]
+    insurers: tuple[str, ...] | None = None
+    flag: str | None = None
+
+    def __post_init__(self):
+        if (self.insurers is None) == (self.flag is None):
+            raise ValueError(f"data set {self.name}: give exactly one of insurers or flag")
+
+
+@dataclass(frozen=True)
+class Measure:
+    """What one slice counts: distinct ``key`` per (year, quarter), per day as well if ``day`` is given, of the rows where ``where`` holds."""
+
+    slice: str
+    key: Column
+    year: Column
+    quarter: Column
+    day: Column | None = None
+    where: Column | None = None
+
+
+def counts_by_dataset(df: DataFrame, datasets: list[DataSet], measures: list[Measure], insurer: str = "h2ik") -> DataFrame:
+    """(dataset, slice, year, quarter, cnt) of all data sets and of all measures of one table, in one scan and one aggregation.
+
+    A row becomes one entry for each measure it counts in and each data set that has the row and the measure's slice: at most data sets
+    times measures, both configured.  Entries are made distinct on the mappers, so a hot insurer or key
+    sends each of its keys once per task.  NULL keys count nothing; only the years of the data set count."""
+    entries = []
+    for s in datasets:
+        member = F.col(insurer).isin(list(s.insurers)) if s.insurers is not None else F.col(f"flag_{s.flag}").cast("int") == 1
+        for m in measures:
+            if m.slice in s.views:
+                wanted = member & m.year.between(s.start_year, s.end_year) & m.key.isNotNull()
+                if m.where is not None:
+                    wanted = wanted & m.where
+                entries.append(F.when(wanted, F.struct(
+                    F.lit(s.name).alias("dataset"), F.lit(m.slice).alias("slice"), m.year.cast("int").alias("year"), m.quarter.cast("int").alias("quarter"),
+                    (m.day if m.day is not None else F.lit(None)).cast("date").alias("day"), m.key.cast("string").alias("key"))))
+    kind = "array<struct<dataset:string,slice:string,year:int,quarter:int,day:date,key:string>>"
+    each = df.select(F.explode(F.array_compact(F.array(*entries)) if entries else F.lit(None).cast(kind)).alias("e")).select("e.*")
+    return each.distinct().groupBy("dataset", "slice", "year", "quarter").agg(F.count("*").alias("cnt"))
+
+
+def overview_by_dataset(counts: list[DataFrame], datasets: list[DataSet]) -> DataFrame:
+    """Overview (dataset, slice, year, quarter, cnt, ratio, out_of_tolerance) of all data sets, each over its own years and slices.
+
+    ``counts``: frames of ``counts_by_dataset``, which share no slice."""
+    every = reduce(DataFrame.unionByName, counts)
+    spark = every.sparkSession
+    calendar = spark.createDataFrame([(s.name, v, s.start_year, s.end_year) for s in datasets for v in s.views], "dataset string, slice string, a int, b int")
+    calendar = (calendar.select("dataset", "slice", F.explode(F.sequence("a", "b")).alias("year"))
+                .select("*", F.explode(F.array(*map(F.lit, range(1, 5)))).alias("quarter")))
+    keys = ["dataset", "slice", "year", "quarter"]
+    # at most a row per quarter of the calendar, which is made of parameters
+    padded = calendar.join(F.broadcast(every.filter(F.col("quarter").between(1, 4))), keys, "left").select(
+        *keys, F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("cnt"))
+    return year_on_year(padded)
+
+
 # --- WIN4 / WIN3 / SCL15: padding, ratios, tolerance ----------------------------------
 
 def quarter_calendar(spark, lower_year: int, upper_year: int, slices: list[str] | None = None) -> DataFrame:
@@ -102,7 +173,7 @@ def year_on_year(padded: DataFrame, lower_year: int | None = None) -> DataFrame:
 
     ``out_of_tolerance`` flags ratios outside [0.5, 1.5], except on the first four
     quarters of the series (nothing to compare with)."""
-    part = ["slice"] if "slice" in padded.columns else []
+    part = [c for c in ("dataset", "slice") if c in padded.columns]
     w = Window.partitionBy(*part).orderBy("year", "quarter")
     prev = F.lag("cnt", 4).over(w)
     ratio = F.when(prev.isNull() | (prev == 0), F.lit(0.0)).otherwise(F.col("cnt") / prev.cast("double"))
@@ -133,8 +204,9 @@ def overview(slices: dict[str, DataFrame], lower_year: int, upper_year: int) ->
 
 
 def overview_pivot(long: DataFrame, slices: list[str]) -> DataFrame:
-    """Report table: one row per (year, quarter), one count column per slice (SNK7)."""
-    return (long.groupBy("year", "quarter").pivot("slice", slices)
+    """Report table: one row per (data set, if any, year, quarter), one count column per slice (SNK7)."""
+    by = [c for c in ("dataset",) if c in long.columns]
+    return (long.groupBy(*by, "year", "quarter").pivot("slice", slices)
             .agg(F.first("cnt")))
 
 
@@ -172,34 +244,34 @@ def region_lookup_filter(lookup: DataFrame) -> DataFrame:
 def regional_ratio(cases: DataFrame, lookup: DataFrame, ref: DataFrame,
                    year="year", quarter="quarter", case_id="case_id", region="kv",
                    contract_col="contract", contract: str = "KV",
-                   regions: DataFrame | None = None, region_key: str | None = None) -> DataFrame:
+                   regions: DataFrame | None = None, region_key: str | None = None, date_column: str | None = None) -> DataFrame:
     """Per region: distinct cases in the reference quarter and in the same quarter a
     year before; ratio = ref / prev when prev > 0 else 0.0.
 
-    The two quarters are literals taken from the one-row ``ref`` frame (broadcast,
-    bounded to one row), so the scan is a filter and the pairing of rows becomes one
+    ``ref`` (one row at most) is computed first; its two quarters are literals for the cases, and with ``date_column``, the stored date that
+    year and quarter come from, two date ranges for their scan.  So the pairing of rows becomes one
     distinct and a conditional count per region.  With ``regions`` (``region_key``, ``region``)
     the cases get their region only after that filter.  Every region of the filtered
-    lookup appears, with zero counts when it has no cases."""
+    lookup appears, with zero counts when it has no cases; without a reference quarter there are no rows."""
+    at = ref.first()
+    ry, rq = (at["year"], at["quarter"]) if at else (0, 0)
     y, q = as_col(year).cast("int"), as_col(quarter).cast("int")
-    r = F.broadcast(ref.select(F.col("year").alias("_ry"), F.col("quarter").alias("_rq")))
     place = as_col(region if regions is None else region_key)
-    scoped = (cases.filter(is_contract(contract_col, contract))
-              .select(y.alias("_y"), q.alias("_q"), place.alias("kv"), as_col(case_id).alias("_id"))
-              .join(r, (F.col("_q") == F.col("_rq")) &
-                    ((F.col("_y") == F.col("_ry")) | (F.col("_y") == F.col("_ry") - 1))))
+    scoped = cases.filter(is_contract(contract_col, contract) & (q == rq) & y.isin(ry, ry - 1))
+    if date_column:
+        d = F.col(date_column)
+        spans = [(_dt.date(x, 3 * rq - 2, 1), _dt.date(x + rq // 4, 3 * rq % 12 + 1, 1)) for x in (ry, ry - 1)] if at else []
+        scoped = scoped.filter(reduce(or_, [(d >= F.lit(a)) & (d < F.lit(b)) for a, b in spans], F.lit(False)))
+    scoped = scoped.select(place.alias("kv"), as_col(case_id).alias("_id"), (y == ry).alias("_now"))
     if regions is not None:
         of = regions.select(as_col(region_key).alias("_rk"), as_col(region).alias("_region"))
         scoped = scoped.join(of, F.col("kv") == F.col("_rk")).drop("kv", "_rk").withColumnRenamed("_region", "kv")
-    once = scoped.select("kv", "_id", (F.col("_y") == F.col("_ry")).alias("_now")).distinct()
-    per_region = once.filter("_id IS NOT NULL").groupBy("kv").agg(
+    per_region = scoped.filter("_id IS NOT NULL").distinct().groupBy("kv").agg(
         F.count(F.when(F.col("_now"), 1)).alias("cnt"), F.count(F.when(~F.col("_now"), 1)).alias("prev_cnt"))
-    lk = region_lookup_filter(lookup).select("kv", "kv_name")
-    out = (with_one_row(lk.join(per_region, "kv", "left"), r)
-           .select("kv", "kv_name",
-                   F.col("_ry").alias("year"), F.col("_rq").alias("quarter"),
-                   F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"),
-                   F.coalesce("prev_cnt", F.lit(0)).cast("long").alias("prev_cnt")))
+    lk = region_lookup_filter(lookup).select("kv", "kv_name").filter(F.lit(at is not None))
+    out = lk.join(per_region, "kv", "left").select(
+        "kv", "kv_name", F.lit(ry).cast("int").alias("year"), F.lit(rq).cast("int").alias("quarter"),
+        F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"), F.coalesce("prev_cnt", F.lit(0)).cast("long").alias("prev_cnt"))
     out = out.withColumn(
         "ratio", F.when(F.col("prev_cnt") > 0, F.col("cnt") / F.col("prev_cnt").cast("double"))
         .otherwise(F.lit(0.0)))

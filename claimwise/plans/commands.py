@@ -1,7 +1,7 @@
 """The six jobs a user runs, composed from the operators and sinks.
 
 export          one view: conditions, year slice, row filters, enrichment chain -> slice files
-merge           slices of one table -> one table (by column name)
+merge           slices of one table -> one table (by column name); merge_views: of all configured views of a slice tree
 stats           overview (long + report table), reference quarter, regional ratios
 makedecode      id rows -> exclusion list -> decoded mapping (+ loss frame) -> decode file
 fingerprint     master / region / diagnosis / drug frames -> fingerprints -> master with pid_hash
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwise.functions.scalars import clean_value
@@ -25,7 +25,9 @@ from claimwise.operators import score as SC
 from claimwise.operators import stats as ST
 from claimwise.operators.enrich import FingerprintColumn, run_chain
 from claimwise.operators.extract import ExtractSpec, extract, lower_columns
+from claimwise.operators.quality import MalformedCount
 from claimwise.operators.rowfilters import FrameMeta, apply_filters, certain_diagnoses
+from claimwise.sources import layout as L
 from claimwise.sources import sinks as W
 
 
@@ -38,13 +40,16 @@ def clean_frame(df: DataFrame) -> DataFrame:
 
 def export(view: DataFrame, spec: ExtractSpec, meta: FrameMeta, filters=(), steps=(),
            root: str | None = None, dataset: str = "default", slice_col: str | None = None,
-           fmt: str = "csv") -> DataFrame:
+           fmt: str = "csv", malformed: MalformedCount | None = None) -> DataFrame:
     """Export one view; when ``root`` is given, write it in the slice layout
     ``<root>/<db short>/<dataset>/<table>/<slice_col>=<year>/``.
 
-    Column names are lowered and string values cleaned before the filters and steps see them."""
-    df = clean_frame(extract(view, spec))
-    df = run_chain(apply_filters(df, list(filters), meta), list(steps), meta)
+    Column names are lowered and string values cleaned before the filters and steps see them.  ``malformed`` counts values that
+    the steps cannot read, among the rows that passed the filters, while the slices are written."""
+    df = apply_filters(clean_frame(extract(view, spec)), list(filters), meta)
+    if malformed is not None:
+        df = malformed.watch(df)
+    df = run_chain(df, list(steps), meta)
     if root:
         W.write_slices(df, W.slice_path(root, meta.db, dataset, meta.table), slice_col, fmt=fmt)
     return df
@@ -58,6 +63,11 @@ def merge(slices: list[DataFrame], out: str | None = None, allow_missing: bool =
     return merged
 
 
+def merge_views(spark: SparkSession, conf: dict, root: str, out: str, allow_missing: bool = False) -> list[L.Merged]:
+    """Merge all configured views of the slice layout below ``root`` into one table each below ``out``."""
+    return L.merge_configured(spark, conf, root, out, allow_missing)
+
+
 @dataclass(frozen=True)
 class StatsResult:
     overview: DataFrame

@@ -6,8 +6,12 @@ An export configuration names a database, a year slice, conditions for all views
      "where": [{"column": "h2ik", "operator": "EQUAL", "columnType": "STRING", "values": ["1"]}],
      "views": [{"name": "AVK_X", "columns": [...], "excludeColumns": [...], "where": [...],
                 "joins": [{"name": "AVK_Y", "joinType": "LEFT", "onColumns": [...], "columns": [...], "excludeColumns": [...], "where": [...]}]}],
+     "filters": [{"name": "staff", "column": "pid", "database": "ACC_ADB", "table": "AVK_X", "filterStrategy": {"type": "EMPLOYEE_PIDS"}, "mode": "EXCLUDE"}],
      "transformers": [{"mode": "STATIC", ...}, ...]}
 
+Several such sources may stand under ``sources``; filters and transformers stand beside it and hold for all.  A filter's strategy is
+built by its type from ``STRATEGIES``, to which ``register_strategy`` adds a user's own.  Unknown keys, strategies and filter modes are errors.
+
 Without a year slice, or with ``{"previousYears": n}``, the slice is the ``as_of`` year and the n (3) before it.
 A transformer of an unknown mode or without its mandatory fields becomes a step that does nothing and says why.
 """
@@ -21,8 +25,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from claimwise.operators import enrich as E
+from claimwise.operators import rowfilters as RF
+from claimwise.operators.decode import Decoding
 from claimwise.operators.extract import ExtractSpec, JoinSpec, Where, YearSlice
 from claimwise.operators.rowfilters import FrameMeta
+from claimwise.operators.stats import DataSet
 from claimwise.plans.commands import export
 from claimwise.sources.readers import read_by_index, read_mapping, read_value_list
 
@@ -114,17 +121,108 @@ def step_of(spark: SparkSession, conf: dict):
     return step
 
 
+#: View of the persons with their staff cards and numbers, unless a strategy names another.
+STAFF_VIEW = "AVK_ADB_PID_AKTUELL"
+
+
+def _pattern(spark: SparkSession, c: dict, frames: dict[str, DataFrame]):
+    return RF.RegexStrategy(c["regexPattern"])
+
+
+def _values(spark: SparkSession, c: dict, frames: dict[str, DataFrame]):
+    if c.get("valueFile"):
+        return RF.FrameSetStrategy(read_value_list(spark, c["valueFile"]))
+    return RF.SetStrategy(tuple(str(v) for v in c.get("values", ())))
+
+
+def _employees(spark: SparkSession, c: dict, frames: dict[str, DataFrame]):
+    return RF.FrameSetStrategy(RF.employee_ids(frames[c.get("view", STAFF_VIEW)]))
+
+
+#: type -> builder(spark, strategy configuration, views by name).  A strategy has ``predicate(column)`` or is a ``FrameSetStrategy``.
+STRATEGIES: dict[str, Callable] = {"PATTERN": _pattern, "UNIQUE_SET": _values, "EMPLOYEE_PIDS": _employees}
+
+
+def register_strategy(kind: str, build: Callable) -> None:
+    """Make a user's filter strategy known under a type; a known type is not replaced."""
+    if kind in STRATEGIES:
+        raise ValueError(f"filter strategy {kind} is known already")
+    STRATEGIES[kind] = build
+
+
+def filter_of(spark: SparkSession, conf: dict, frames: dict[str, DataFrame]) -> RF.RowFilter:
+    """The row filter of one configuration."""
+    _known(conf, ("name", "database", "table", "column", "filterStrategy", "mode"), "filter")
+    strategy = conf.get("filterStrategy") or {}
+    if strategy.get("type") not in STRATEGIES:
+        raise ValueError(f"unknown filter strategy {strategy.get('type')}")
+    if conf.get("mode") not in ("INCLUDE", "EXCLUDE"):
+        raise ValueError(f"unknown filter mode {conf.get('mode')}")
+    if not conf.get("column"):
+        raise ValueError("a filter needs a column")
+    return RF.RowFilter(conf["column"], STRATEGIES[strategy["type"]](spark, strategy, frames), conf["mode"], conf.get("database"), conf.get("table"))
+
+
+def datasets_of(conf: str | dict) -> list[DataSet]:
+    """The data sets of the statistics section: ``{"statistics": {"datasets": [{"db", "dataset", "views", "h2iks" or "flag", "startYear", "endYear"}]}}``."""
+    out = []
+    for c in load(conf)["statistics"]["datasets"]:
+        _known(c, ("db", "dataset", "views", "h2iks", "flag", "startYear", "endYear"), "data set")
+        out.append(DataSet(c["dataset"], int(c["startYear"]), int(c["endYear"]), tuple(c["views"]),
+                           tuple(str(x) for x in c["h2iks"]) if c.get("h2iks") is not None else None, c.get("flag")))
+    if len({s.name for s in out}) < len(out):
+        raise ValueError("a data set is configured twice")
+    return out
+
+
+def decodings_of(conf: str | dict) -> list[Decoding]:
+    """The decode section: ``{"decode": [{"name", "h2iks"}]}``."""
+    out = []
+    for c in load(conf)["decode"]:
+        _known(c, ("name", "h2iks"), "decoding")
+        out.append(Decoding(c["name"], tuple(str(x) for x in c["h2iks"])))
+    if len({x.name for x in out}) < len(out):
+        raise ValueError("a decoding is configured twice")
+    return out
+
+
+SOURCE_KEYS = ("db", "datasetName", "yearSlice", "where", "views")
+#: Sections of a configuration that other commands read.
+OTHER_COMMANDS = ("statistics", "decode", "hashing", "cci")
+
+
+def _known(conf: dict, keys, what: str) -> None:
+    if odd := set(conf) - set(keys):
+        raise ValueError(f"unknown keys of a {what}: {', '.join(sorted(odd))}")
+
+
+def sources_of(conf: dict) -> list[dict]:
+    """The sources of a configuration; a configuration of one source may be that source itself."""
+    if "sources" in conf:
+        _known(conf, ("sources", "filters", "transformers", *OTHER_COMMANDS), "configuration")
+        for source in conf["sources"]:
+            _known(source, SOURCE_KEYS, "source")
+        return conf["sources"]
+    _known(conf, (*SOURCE_KEYS, "filters", "transformers", *OTHER_COMMANDS), "configuration")
+    return [conf]
+
+
 def export_from_config(spark: SparkSession, conf: str | dict, frames: dict[str, DataFrame], as_of: str | None = None,
                        root: str | None = None, filters=()) -> dict[str, DataFrame]:
-    """Export every configured view; returns the exported frames by view name."""
+    """Export every configured view; returns the exported frames by view name.
+
+    The configured filters come after those given as ``filters``, in their order."""
     conf = load(conf)
-    slice_ = slice_of(conf.get("yearSlice"), as_of)
+    sources = sources_of(conf)
+    filters = [*filters, *(filter_of(spark, c, frames) for c in conf.get("filters", ()))]
     steps = [step_of(spark, c) for c in conf.get("transformers", ())]
     out = {}
-    for view in conf.get("views", ()):
-        base = frames[view["name"]]
-        spec = spec_of(spark, view, frames, conf.get("where", ()), slice_)
-        sliced = slice_ is not None and slice_.column in (view.get("columns") or base.columns)
-        out[view["name"]] = export(base, spec, FrameMeta(conf["db"], view["name"]), filters, steps, root,
-                                   conf.get("datasetName", "default"), slice_.column if sliced else None)
+    for source in sources:
+        slice_ = slice_of(source.get("yearSlice"), as_of)
+        for view in source.get("views", ()):
+            base = frames[view["name"]]
+            spec = spec_of(spark, view, frames, source.get("where", ()), slice_)
+            sliced = slice_ is not None and slice_.column in (view.get("columns") or base.columns)
+            out[view["name"]] = export(base, spec, FrameMeta(source["db"], view["name"]), filters, steps, root,
+                                       source.get("datasetName", "default"), slice_.column if sliced else None)
     return out

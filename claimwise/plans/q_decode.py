@@ -35,7 +35,10 @@ def membership(spark, d):
             .agg(F.max(valid_to).alias("max_gueltig_bis")))
 
 
-_SQL_IDS = """
+def _decode_sql(insurers, all_rows=True):
+    """Oracle: id rows, exclusion list of the insurers' cards, three first-wins passes (``s0b`` to ``s3``)."""
+    own = "(" + ", ".join(f"'{x}'" for x in insurers) + ")"
+    return f"""
 ids AS (
   SELECT CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE substr(o_orderpriority, 1, 1) END AS h2ik,
     CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'E' || CAST(o_orderkey % 2000 AS VARCHAR) END AS egk_nr,
@@ -43,36 +46,33 @@ ids AS (
     CASE WHEN o_orderkey % 89 = 0 THEN '' ELSE CAST(o_custkey + 10000 AS VARCHAR) END AS pid,
     CAST(o_orderdate AS DATE) AS seen, o_orderkey AS row_id, o_totalprice
   FROM orders),
-ma AS (
-  SELECT h2ik, egk_nr, pid AS k_mensch_id,
-    max(CASE WHEN row_id % 7 <> 0 THEN seen + CAST(CAST(trunc(o_totalprice) AS BIGINT) % 400 AS INTEGER) END)
-      AS max_gueltig_bis
-  FROM ids GROUP BY 1, 2, 3),
-dup AS (
-  SELECT egk_nr FROM ids WHERE h2ik IN ('1', '2', '3', '4') AND egk_nr <> '' GROUP BY 1 HAVING count(*) > 1),
-ds AS (
-  SELECT d.h2ik, d.egk_nr, d.pid, ma.max_gueltig_bis
-  FROM (SELECT pid, egk_nr, h2ik FROM ids WHERE egk_nr IN (SELECT egk_nr FROM dup) AND h2ik IN ('1', '2', '3', '4')) d
-  LEFT JOIN ma ON d.h2ik = ma.h2ik AND d.egk_nr = ma.egk_nr AND d.pid = ma.k_mensch_id),
-ranked AS (
-  SELECT pid FROM ds QUALIFY rank() OVER (PARTITION BY egk_nr ORDER BY max_gueltig_bis ASC NULLS FIRST) = 1),
+ends AS (
+  SELECT h2ik, egk_nr, pid, max(CASE WHEN row_id % 7 <> 0 THEN seen + CAST(CAST(trunc(o_totalprice) AS BIGINT) % 400 AS INTEGER) END) AS until
+  FROM ids GROUP BY ALL),
+holders AS (
+  SELECT DISTINCT a.egk_nr, a.pid, COALESCE(ends.until, DATE '0001-01-01') AS until
+  FROM ids a LEFT JOIN ends ON ends.h2ik = a.h2ik AND ends.egk_nr = a.egk_nr AND ends.pid = a.pid
+  WHERE a.h2ik IN {own} AND a.egk_nr <> ''
+    AND EXISTS (SELECT 1 FROM ids b WHERE b.egk_nr = a.egk_nr AND b.h2ik IN {own} AND b.row_id <> a.row_id)),
+earliest AS (SELECT egk_nr, min(until) AS until FROM holders GROUP BY egk_nr),
 unwanted AS (
-  SELECT DISTINCT CASE WHEN length(pid) BETWEEN 5 AND 9 THEN lpad(pid, 10, '0') END AS pid FROM ranked),
-s0 AS (
-  SELECT h2ik, egk_nr, kv_nummer, CASE WHEN length(pid) < 10 THEN lpad(pid, 10, '0') ELSE pid END AS pid, seen, row_id
-  FROM ids WHERE h2ik <> '' AND pid <> ''),
+  SELECT DISTINCT CASE WHEN length(pid) BETWEEN 5 AND 9 THEN lpad(pid, 10, '0') END AS pid
+  FROM holders JOIN earliest USING (egk_nr, until)),
 s0b AS (
-  SELECT * FROM s0 WHERE NOT EXISTS (SELECT 1 FROM unwanted u WHERE u.pid = s0.pid)),
-s1 AS (SELECT * FROM s0b QUALIFY row_number() OVER (PARTITION BY pid ORDER BY seen, row_id) = 1),
-s2 AS (SELECT * FROM s1 WHERE egk_nr = ''
-       UNION ALL SELECT * FROM (SELECT * FROM s1 WHERE egk_nr <> ''
-                                QUALIFY row_number() OVER (PARTITION BY egk_nr ORDER BY seen, row_id) = 1)),
-s3 AS (SELECT * FROM s2 WHERE kv_nummer = ''
-       UNION ALL SELECT * FROM (SELECT * FROM s2 WHERE kv_nummer <> ''
-                                QUALIFY row_number() OVER (PARTITION BY kv_nummer ORDER BY seen, row_id) = 1))
+  SELECT h2ik, egk_nr, kv_nummer, CASE WHEN length(pid) < 10 THEN lpad(pid, 10, '0') ELSE pid END AS pid, seen, row_id
+  FROM ids WHERE h2ik <> '' AND pid <> '' AND {"true" if all_rows else "h2ik IN " + own}
+    AND NOT EXISTS (SELECT 1 FROM unwanted u WHERE u.pid = CASE WHEN length(ids.pid) < 10 THEN lpad(ids.pid, 10, '0') ELSE ids.pid END)),
+s1 AS (SELECT a.* FROM s0b a JOIN (SELECT pid, min((seen, row_id)) AS f FROM s0b GROUP BY pid) m ON m.pid = a.pid AND m.f = (a.seen, a.row_id)),
+s2 AS (SELECT a.* FROM s1 a LEFT JOIN (SELECT egk_nr, min((seen, row_id)) AS f FROM s1 GROUP BY egk_nr) m USING (egk_nr)
+       WHERE a.egk_nr = '' OR m.f = (a.seen, a.row_id)),
+s3 AS (SELECT a.* FROM s2 a LEFT JOIN (SELECT kv_nummer, min((seen, row_id)) AS f FROM s2 GROUP BY kv_nummer) m USING (kv_nummer)
+       WHERE a.kv_nummer = '' OR m.f = (a.seen, a.row_id))
 """
 
 
+_SQL_IDS = _decode_sql(INSURERS)
+
+
 def _unwanted(spark, d):
     return D.outdated_card_holders(id_rows(spark, d), membership(spark, d), INSURERS)
 
@@ -90,6 +90,19 @@ def decode_clean(spark, d):
     return D.clean_ids(id_rows(spark, d), _unwanted(spark, d), ["seen", "row_id"])
 
 
+DECODINGS = [{"name": "first", "h2iks": ["1", "2", "3"]}, {"name": "second", "h2iks": ["3", "5"]}, {"name": "none", "h2iks": ["9"]}]
+
+
+@register("decode_all_datasets", ["WIN1", "WIN2", "AGG7", "JON9", "JON10", "JON11", "SCL19"], " UNION ALL ".join(
+    f"SELECT * FROM (WITH {_decode_sql(x['h2iks'], False)} SELECT '{x['name']}' AS dataset, h2ik, egk_nr, "
+    "CASE WHEN egk_nr = '' THEN kv_nummer ELSE '' END AS kv_nummer, pid FROM s3)" for x in DECODINGS))
+def decode_all_datasets(spark, d):
+    """The decode files of three configured data sets, which share an insurer, in one run."""
+    from claimwise.plans.config import decodings_of
+
+    return D.decode_all(id_rows(spark, d), membership(spark, d), decodings_of({"decode": DECODINGS}), ["seen", "row_id"])
+
+
 @register("decode_loss", ["AGG16"], "WITH " + _SQL_IDS + """
 SELECT n_input, n_valid, n_input - n_valid AS n_duplicates,
   CASE WHEN n_valid > 0 THEN (n_input - n_valid) / CAST(n_valid AS DOUBLE) END AS loss,

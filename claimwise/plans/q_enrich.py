@@ -14,11 +14,11 @@ ARZT_FALL = FrameMeta("ACC_ADB", "AVK_ADB_T_ARZT_FALL")
 VERS_STAMM = FrameMeta("ACC_ADB", "AVK_ADB_T_VERS_STAMM")
 
 
-def prescriptions(spark, d):
-    """AM_EVO stand-in (export layer: strings)."""
+def prescriptions(spark, d, stored=()):
+    """AM_EVO stand-in (export layer: strings); ``stored``: columns of the table that stay beside."""
     li = S.table(spark, d, "lineitem")
     return li.select(
-        "l_orderkey", "l_linenumber",
+        "l_orderkey", "l_linenumber", *stored,
         F.when(F.col("l_linenumber") == 7, F.col("l_partkey").cast("string"))
         .otherwise(F.lpad(F.col("l_partkey").cast("string"), 8, "0")).alias("pzn"),
         F.col("l_quantity").cast("string").alias("anzahl_packungen"),
@@ -290,8 +290,8 @@ def export_chain(spark, d):
     from claimwise.operators import rowfilters as RF
     from claimwise.operators.extract import ExtractSpec, YearSlice, extract
 
-    rx = prescriptions(spark, d).withColumn("bezugsjahr", F.year(F.col("verordnungsdatum").cast("date")))
-    view = extract(rx, ExtractSpec(year_slice=YearSlice("bezugsjahr", 1996, 2000)))
+    rx = prescriptions(spark, d, ("l_shipdate",)).withColumn("bezugsjahr", F.year("l_shipdate"))
+    view = extract(rx, ExtractSpec(year_slice=YearSlice("bezugsjahr", 1996, 2000, date_column="l_shipdate"), exclude=("l_shipdate",)))
     view = RF.apply_filters(view, [RF.RowFilter("pzn", RF.RegexStrategy("0000[0-9]{2}"), "EXCLUDE")], AM_EVO)
     steps = [
         E.StaticColumn("h2ik", "101575519", first=True, table="am_evo"),
@@ -307,35 +307,38 @@ def export_chain(spark, d):
 
 
 @register("catalogue_by_index_file", ["SRC5", "ENR2", "JON5"], """
-SELECT l.l_orderkey, l.l_linenumber, lpad(CAST(l.l_partkey AS VARCHAR), 8, '0') AS pzn,
-  COALESCE(CASE WHEN p.p_partkey % 5 = 0 THEN p.p_type ELSE p.p_brand END, '') AS "WARENZ"
-FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND p.p_partkey % 7 <> 0""")
+SELECT l.l_orderkey, l.l_linenumber,
+  CASE WHEN l.l_returnflag = 'R' THEN 'R' || CAST(l.l_partkey AS VARCHAR) ELSE lpad(CAST(l.l_partkey AS VARCHAR), 8, '0') END AS pzn,
+  COALESCE(CASE WHEN p.p_size < 10 THEN p.p_type ELSE p.p_brand END, '') AS "WARENZ"
+FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND l.l_returnflag <> 'R'""")
 def catalogue_by_index_file(spark, d):
-    """A headerless catalogue file whose keys repeat (the last line of a key wins), read by position and appended."""
+    """A headerless catalogue of several files whose keys repeat (the last line of a key wins), read by position and
+    appended; the package ids of returned lines are unknown to it."""
     from claimwise.plans.config import step_of
     from claimwise.session import scratch_path
 
-    part = S.table(spark, d, "part").filter("p_partkey % 7 <> 0")
+    part = S.table(spark, d, "part")
     first = part.select(F.lit(0).alias("no"), "p_partkey", F.concat_ws(";", F.lit("x"), "p_partkey", "p_brand").alias("value"))
-    again = part.filter("p_partkey % 5 = 0").select(F.lit(1).alias("no"), "p_partkey", F.concat_ws(";", F.lit("y"), "p_partkey", "p_type").alias("value"))
+    again = part.filter("p_size < 10").select(F.lit(1).alias("no"), "p_partkey", F.concat_ws(";", F.lit("y"), "p_partkey", "p_type").alias("value"))
     path = scratch_path(spark, "catalogue")
-    # a catalogue is one file with an order of lines
-    first.unionByName(again).repartition(1).sortWithinPartitions("no", "p_partkey").select("value").write.text(path)
+    # the order of lines is that of the files' names and of the lines in them
+    first.unionByName(again).repartitionByRange("no", "p_partkey").sortWithinPartitions("no", "p_partkey").select("value").write.text(path)
     step = step_of(spark, {"mode": "DDD", "targetTable": "am_evo", "keyColumn": "pzn", "sources": [
         {"file": path, "keyColumnIndex": 1, "columns": [{"index": 2, "column": "WARENZ"}]}]})
-    rx = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("pzn"))
+    pzn = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("R"), F.col("l_partkey").cast("string"))).otherwise(F.lpad(F.col("l_partkey").cast("string"), 8, "0"))
+    rx = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", pzn.alias("pzn"))
     return E.run_chain(rx, [step], FrameMeta("ACC_ADB", "AVK_ADB_T_AM_EVO"))
 
 
 @register("export_from_config", ["ENR1", "ENR10", "SRC6", "FLT5", "FLT8", "JON2"], """
-SELECT 'D1' AS dataset, o.o_orderkey, CAST(o.o_custkey AS VARCHAR) AS o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS bezugsjahr, c.c_name,
-  COALESCE(CASE WHEN m.c_custkey % 3 <> 0 THEN m.c_mktsegment END, '') AS segment
-FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = o.o_custkey
-LEFT JOIN customer m ON m.c_custkey = o.o_custkey
-WHERE year(o.o_orderdate) BETWEEN 1996 AND 1998 AND o.o_orderstatus IN ('F', 'O')""")
+SELECT 'D1' AS dataset, o.o_orderkey, CASE WHEN o.o_orderpriority = '5-LOW' THEN 'x' ELSE CAST(o.o_custkey AS VARCHAR) END AS mapped,
+  CAST(o.o_custkey AS VARCHAR) AS o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS bezugsjahr, c.c_name, COALESCE(m.c_mktsegment, '') AS segment
+FROM orders o LEFT OUTER JOIN customer c ON c.c_custkey = o.o_custkey
+LEFT OUTER JOIN customer m ON m.c_custkey = o.o_custkey AND o.o_orderpriority <> '5-LOW'
+WHERE c.c_acctbal > 0 AND year(o.o_orderdate) BETWEEN 1996 AND 1998 AND o.o_orderstatus IN ('F', 'O')""")
 def export_from_config(spark, d):
-    """A whole export from one configuration text: slice, conditions, join, static column, mapping file, and steps without
-    effect (unknown mode, catalogue without sources)."""
+    """A whole export from one configuration text: slice, conditions (of the joined view too), join, static column, mapping file
+    with keys that miss, and steps without effect (unknown mode, catalogue without sources)."""
     import json
 
     from claimwise.plans.config import export_from_config as run
@@ -343,18 +346,52 @@ def export_from_config(spark, d):
 
     path = scratch_path(spark, "mapping")
     customer = S.table(spark, d, "customer")
-    (customer.filter("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    (customer.select(F.col("c_custkey").cast("string").alias("mapped"), F.col("c_mktsegment").alias("segment"))
      .write.option("header", True).option("sep", ";").csv(path))
-    frames = {
-        "ORDERS": S.table(spark, d, "orders").withColumn("bezugsjahr", F.year("o_orderdate")).withColumn("o_custkey", F.col("o_custkey").cast("string")),
-        "CUSTOMER": customer.withColumn("o_custkey", F.col("c_custkey").cast("string"))}
+    key = F.col("o_custkey").cast("string")
+    orders = S.table(spark, d, "orders").withColumn("bezugsjahr", F.year("o_orderdate")).withColumns(
+        {"mapped": F.when(F.col("o_orderpriority") == "5-LOW", "x").otherwise(key), "o_custkey": key})
+    frames = {"ORDERS": orders, "CUSTOMER": customer.withColumn("o_custkey", F.col("c_custkey").cast("string"))}
     conf = {
         "db": "ACC_ADB", "datasetName": "d1", "yearSlice": {"column": "bezugsjahr", "startYear": 1996, "endYear": 1998, "dateColumn": "o_orderdate"},
         "where": [{"column": "o_orderstatus", "operator": "EQUAL", "columnType": "STRING", "values": ["F", "O"]}],
-        "views": [{"name": "ORDERS", "columns": ["o_orderkey", "o_custkey", "bezugsjahr", "c_name"], "joins": [
+        "views": [{"name": "ORDERS", "columns": ["o_orderkey", "mapped", "o_custkey", "bezugsjahr", "c_name"], "joins": [
             {"name": "CUSTOMER", "joinType": "LEFT", "onColumns": ["o_custkey"], "excludeColumns": ["c_custkey"],
              "where": [{"column": "c_acctbal", "operator": "GREATER", "columnType": "NUMERIC", "values": ["0"]}]}]}],
         "transformers": [{"mode": "STATIC", "valueName": "dataset", "value": "D1", "order": "FIRST", "targetTable": "ORDERS"},
-                         {"mode": "DYNAMIC", "file": path, "keyColumns": ["o_custkey"]}, {"mode": "SOMETHING"}, {"mode": "DDD", "keyColumn": "pzn"}]}
-    out = run(spark, json.dumps(conf), frames)["ORDERS"]
-    return out.withColumn("c_name", F.when(F.col("c_name") != "", F.col("c_name")))
+                         {"mode": "DYNAMIC", "file": path, "keyColumns": ["mapped"]}, {"mode": "SOMETHING"}, {"mode": "DDD", "keyColumn": "pzn"}]}
+    return run(spark, json.dumps(conf), frames)["ORDERS"]
+
+
+class _Prefix:
+    """A user's own strategy: values that start with a text."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+    def predicate(self, c):
+        return c.startswith(self.text)
+
+
+@register("export_filters_from_config", ["FLT11", "FLT12", "FLT13", "FLT14", "ENR1"], """
+SELECT o_orderkey, o_orderpriority, o_orderstatus, lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS pid FROM orders
+WHERE regexp_full_match(o_orderpriority, '[1-4]-.*') AND o_orderstatus NOT IN ('P') AND NOT starts_with(o_orderpriority, '4')
+  AND lpad(CAST(o_custkey AS VARCHAR), 10, '0') NOT IN (
+    SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') FROM customer WHERE c_mktsegment = 'MACHINERY' OR c_acctbal < 0)""")
+def export_filters_from_config(spark, d):
+    """Configured filters: a pattern, a value set, staff ids and a user's own strategy; one names another database and does not apply."""
+    from claimwise.functions.scalars import pad_zeros
+    from claimwise.plans import config as C
+    from claimwise.plans.q_extract import _person_ids
+
+    if "STARTS_WITH" not in C.STRATEGIES:
+        C.register_strategy("STARTS_WITH", lambda spark, c, frames: _Prefix(c["text"]))
+    orders = S.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", pad_zeros("o_custkey", 10).alias("pid"))
+    frames = {"T_ORDERS": orders, "T_PERSONS": _person_ids(spark, d)}
+    conf = {"sources": [{"db": "ACC_ADB", "views": [{"name": "T_ORDERS"}]}], "filters": [
+        {"name": "urgent", "column": "o_orderpriority", "filterStrategy": {"type": "PATTERN", "regexPattern": "[1-4]-.*"}, "mode": "INCLUDE"},
+        {"name": "open", "column": "o_orderstatus", "table": "t_orders", "filterStrategy": {"type": "UNIQUE_SET", "values": ["P"]}, "mode": "EXCLUDE"},
+        {"name": "staff", "column": "pid", "database": "ACC_ADB", "filterStrategy": {"type": "EMPLOYEE_PIDS", "view": "T_PERSONS"}, "mode": "EXCLUDE"},
+        {"name": "own", "column": "o_orderpriority", "filterStrategy": {"type": "STARTS_WITH", "text": "4"}, "mode": "EXCLUDE"},
+        {"name": "elsewhere", "column": "o_orderstatus", "database": "ACC_FDB", "filterStrategy": {"type": "UNIQUE_SET"}, "mode": "INCLUDE"}]}
+    return C.export_from_config(spark, conf, frames)["T_ORDERS"]

@@ -122,12 +122,12 @@ def extract_join_left(spark, d):
 
 
 @register("extract_join_where", ["JON1", "JON2", "FLT2"], """
-SELECT o.o_custkey, o.o_orderkey, o.o_totalprice, c.c_name, c.c_nationkey, c.o_orderkey AS o_orderkey_1
-FROM orders o LEFT JOIN (
-  SELECT c_custkey, c_name, c_nationkey, CAST(c_custkey AS BIGINT) + 1 AS o_orderkey FROM customer
-  WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 100.5) c ON c.c_custkey = o.o_custkey""")
+SELECT o.o_custkey, o.o_orderkey, o.o_totalprice, c.c_name, c.c_nationkey, CAST(c.c_custkey AS BIGINT) + 1 AS o_orderkey_1
+FROM orders o LEFT OUTER JOIN customer c ON c.c_custkey = o.o_custkey
+WHERE (c.c_mktsegment = 'BUILDING') AND (c.c_acctbal > 100.5)""")
 def extract_join_where(spark, d):
-    """Conditions and excluded columns on the joined frame; a shared column name is numbered."""
+    """Conditions and excluded columns on the joined frame of a left join, whose rows without a match fail the
+    conditions; a shared column name is numbered."""
     cust = (S.table(spark, d, "customer").withColumn("o_orderkey", F.col("c_custkey") + 1)
             .withColumnRenamed("c_custkey", "o_custkey"))
     join = JoinSpec(cust, ("o_custkey",), "left", exclude=("c_mktsegment", "c_acctbal"),
@@ -153,6 +153,26 @@ def extract_like_values_from_file(spark, d):
     return extract(S.table(spark, d, "part"), spec)
 
 
+@register("extract_like_infix_from_file", ["JON6", "FLT7", "SRC7"], """
+SELECT p_partkey, p_name, p_brand FROM part p WHERE EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT '%' || substr(c_name, 5, 6) || '%' AS v FROM customer
+                 UNION ALL SELECT DISTINCT '%' || substr(p_name, 2, 4) || '_' || substr(p_name, 7, 2) || '%' FROM part WHERE p_size < 20
+                 UNION ALL SELECT '_' || substr(p_name, 2, 3) || '%z_' FROM part WHERE p_size = 7
+                 UNION ALL SELECT '%q%' UNION ALL SELECT '____') x
+  WHERE p.p_name LIKE x.v)""")
+def extract_like_infix_from_file(spark, d):
+    """Hundreds of patterns without a literal end from a file: each probes the grams of the names by its rarest."""
+    path = scratch_path(spark, "patterns")
+    part = S.table(spark, d, "part")
+    c = S.table(spark, d, "customer").selectExpr("'%' || substr(c_name, 5, 6) || '%' AS value").distinct()
+    inside = part.filter("p_size < 20").selectExpr("'%' || substr(p_name, 2, 4) || '_' || substr(p_name, 7, 2) || '%' AS value").distinct()
+    late = part.filter("p_size = 7").selectExpr("'_' || substr(p_name, 2, 3) || '%z_' AS value")
+    fixed = spark.createDataFrame([("%q%",), ("____",)], "value string")
+    c.unionAll(inside).unionAll(late).unionAll(fixed).write.text(path)
+    spec = ExtractSpec(columns=("p_partkey", "p_name", "p_brand"), where=(Where("p_name", op="like", value_frame=read_value_list(spark, path)),))
+    return extract(part, spec)
+
+
 _BIG = "(CAST(o_orderkey AS BIGINT) + 9007199254740992)"
 
 

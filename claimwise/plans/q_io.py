@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimwise.operators import quality as Q
@@ -10,6 +13,7 @@ from claimwise.plans.q_decode import _SQL_IDS, _unwanted, id_rows
 from claimwise.operators import decode as D
 from claimwise.plans.registry import register
 from claimwise.session import scratch_path
+from claimwise.sources import layout as L
 from claimwise.sources import readers as R
 from claimwise.sources import sinks as W
 
@@ -91,6 +95,27 @@ def merge_slices(spark, d):
     return merged.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", "o_orderdate")
 
 
+@register("merge_configured_views", ["SNK3", "SNK2", "SRC4", "SET2"], """
+SELECT 'T_ORDERS' AS view, CAST(o_orderkey AS BIGINT) AS key, o_orderpriority AS label, CAST(year(o_orderdate) AS INTEGER) AS slice FROM orders
+UNION ALL SELECT 'T_CUSTOMER', CAST(c_custkey AS BIGINT), c_mktsegment, NULL FROM customer""")
+def merge_configured_views(spark, d):
+    """A slice tree of three views, one of them not configured; the orders have another column order from 1996 on."""
+    root, out = scratch_path(spark, "cache"), scratch_path(spark, "production")
+    o = _orders_export(spark, d)
+    orders = W.slice_path(root, "ACC_ADB", "d1", "T_ORDERS")
+    W.write_slices(o.filter("bezugsjahr < 1996"), orders, "bezugsjahr")
+    W.write_slices(o.filter("bezugsjahr >= 1996").select("o_orderdate", "bezugsjahr", "o_orderpriority", "o_orderkey"), orders, "bezugsjahr", mode="append")
+    customer = S.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_mktsegment")
+    W.write_slices(customer, W.slice_path(root, "ACC_ADB", "d2", "T_CUSTOMER"))
+    W.write_slices(customer, W.slice_path(root, "ACC_ADB", "d2", "T_OTHER"))
+    conf = {"sources": [{"db": "ACC_ADB", "views": [{"name": "T_ORDERS"}, {"name": "T_CUSTOMER"}, {"name": "T_ABSENT"}]}]}
+    merged = {m.table.name: R.read_slices(spark, m.path) for m in L.merge_configured(spark, conf, root, out)}
+    kinds = {"T_ORDERS": ("o_orderkey", "o_orderpriority", F.col("bezugsjahr")), "T_CUSTOMER": ("c_custkey", "c_mktsegment", F.lit(None))}
+    parts = [df.select(F.lit(name).alias("view"), F.col(kinds[name][0]).cast("long").alias("key"), F.col(kinds[name][1]).alias("label"),
+                       kinds[name][2].cast("int").alias("slice")) for name, df in merged.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
 # Cleaning rules (fixed configuration values): the ANY rule keeps letters, digits,
 # whitespace, ();,./\ umlauts, sharp s, section sign, euro sign, [ ] _ -.
 ANY_EXCLUDE = r"[^A-Za-z0-9 \t\n\x0B\f\r();,./\\äöüß§€\[\]_-]"
@@ -139,6 +164,32 @@ def malformed_counts(spark, d):
     return Q.malformed_counts(li, {"packages": "int", "day": "date", "amount": "float"})
 
 
+@register("strict_read_rejects", ["SRC3", "D13"], """
+WITH t AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderpriority AS p,
+  CASE WHEN o_orderstatus = 'P' THEN 'a;b' WHEN o_orderstatus = 'O' AND o_totalprice > 250000 THEN NULL ELSE o_clerk END AS c
+  FROM (SELECT *, 'c' || CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders)),
+l AS (SELECT k, p, c, CASE WHEN c IS NULL THEN 2 WHEN c = 'a;b' THEN 4 ELSE 3 END AS n FROM t)
+SELECT CASE WHEN n = 3 THEN k END AS key, CASE WHEN n = 3 THEN p END AS priority, CASE WHEN n = 3 THEN c END AS clerk,
+  CASE WHEN n <> 3 THEN k || ';' || p || COALESCE(';' || c, '') END AS line,
+  CASE WHEN n <> 3 THEN CAST(n AS VARCHAR) || ' fields instead of 3' END AS reason,
+  (SELECT count(*) FROM l WHERE n = 3) + 1 AS n_rows, (SELECT count(*) FROM l WHERE n <> 3) AS n_rejects
+FROM l
+UNION ALL SELECT 'key', 'priority', 'clerk', NULL, NULL, (SELECT count(*) FROM l WHERE n = 3) + 1, (SELECT count(*) FROM l WHERE n <> 3)""")
+def strict_read_rejects(spark, d):
+    """Files with lines of too few and too many fields and a data line that equals the header: rows, rejects and counts of one scan."""
+    clerk = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    odd = F.when(F.col("o_orderstatus") == "P", "a;b").when((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 250000), F.lit(None)).otherwise(clerk)
+    lines = S.table(spark, d, "orders").select(F.concat_ws(";", F.col("o_orderkey").cast("string"), "o_orderpriority", odd).alias("key;priority;clerk"))
+    lines = lines.unionAll(spark.createDataFrame([("key;priority;clerk",)], "line string"))
+    path = scratch_path(spark, "strict")
+    lines.write.option("header", True).option("sep", R.NO_SEP).option("quote", "\u0000").csv(path)
+    read = R.read_delimited_once(spark, path, ["key", "priority", "clerk"], scratch_path(spark, "strict-read"))
+    none = F.lit(None).cast("string")
+    both = read.rows.select("key", "priority", "clerk", none.alias("line"), none.alias("reason")).unionAll(
+        read.rejects.select(none, none, none, "_text", "_reason"))
+    return both.withColumns({"n_rows": F.lit(read.n_rows).cast("long"), "n_rejects": F.lit(read.n_rejects).cast("long")})
+
+
 @register("code_page_roundtrip", ["DOC5"], """
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || ' – „' || p_brand || '“ ' || CAST(p_size AS VARCHAR) || ' € äöüß' AS label FROM part""")
 def code_page_roundtrip(spark, d):

@@ -12,11 +12,11 @@ from claimwise.plans import standins as S
 from claimwise.plans.registry import register
 
 
-def base_rows(spark, d):
-    """Vers_Stamm stand-in: one row per customer plus extra rows from pending orders."""
+def customer_rows(spark, d):
+    """Vers_Stamm stand-in: one row per customer."""
     c = S.table(spark, d, "customer")
     k = F.col("c_custkey")
-    cust = c.select(
+    return c.select(
         S.pid_of("c_custkey").alias("pid"),
         F.when(k % 11 == 0, F.lit("")).when(k % 13 == 0, F.lit("unknown"))
         .otherwise(F.date_format(F.date_add(F.lit("1930-01-01").cast("date"), ((k * 37) % 25000).cast("int")), "yyyy-MM-dd"))
@@ -28,12 +28,16 @@ def base_rows(spark, d):
         .when(F.col("c_mktsegment") == "MACHINERY", F.lit(""))
         .when(F.col("c_mktsegment") == "FURNITURE", F.lit("W"))
         .otherwise(F.lit("2x")).alias("geschlecht"))
+
+
+def base_rows(spark, d):
+    """All rows of Vers_Stamm: those of the customers and extra rows from pending orders."""
     o = S.table(spark, d, "orders").filter(F.col("o_orderstatus") == "P")
     extra = o.select(
         S.pid_of("o_custkey").alias("pid"),
         F.date_format(F.add_months(F.to_date("o_orderdate"), -720), "yyyy-MM-dd").alias("geburtsdatum"),
         F.lit("").alias("sterbedatum"), F.lit("1").alias("geschlecht"))
-    return cust.unionByName(extra)
+    return customer_rows(spark, d).unionByName(extra)
 
 
 def region_rows(spark, d):
@@ -147,6 +151,54 @@ def fingerprint_append(spark, d):
     return spark.read.parquet(path)
 
 
+def _yearly(spark, d):
+    """The four frames with a year each; customers stand in the first one."""
+    extra = S.table(spark, d, "orders").filter(F.col("o_orderstatus") == "P").select(
+        S.pid_of("o_custkey").alias("pid"), F.date_format(F.add_months(F.to_date("o_orderdate"), -720), "yyyy-MM-dd").alias("geburtsdatum"),
+        F.lit("").alias("sterbedatum"), F.lit("1").alias("geschlecht"), F.year("o_orderdate").alias("bezugsjahr"))
+    base = customer_rows(spark, d).withColumn("bezugsjahr", F.lit(FIRST_YEAR)).unionByName(extra)
+    return base, region_rows(spark, d), certain_diagnoses(diagnosis_rows(spark, d)), drug_rows(spark, d)
+
+
+#: First and last year of the data, and the last year that is there before the others are added.
+FIRST_YEAR, LAST_YEAR, KNOWN_YEAR = 1992, 2010, 1997
+
+
+@register("fingerprint_incremental", ["AGG8", "AGG9", "AGG10", "AGG11", "JON12", "D6"],
+          "WITH " + _SQL_ROWS + "SELECT pid, fingerprint FROM fp")
+def fingerprint_incremental(spark, d):
+    """States of the years up to 1997 are stored, later years are added, one year is computed again; the merged fingerprints."""
+    from claimwise.session import scratch_path
+
+    path = scratch_path(spark, "states")
+    frames = _yearly(spark, d)
+    FP.add_years(*frames, list(range(FIRST_YEAR, KNOWN_YEAR + 1)), path)
+    FP.add_years(*frames, list(range(KNOWN_YEAR, LAST_YEAR + 1)), path)
+    return FP.merged_fingerprints(spark.read.parquet(path), FIRST_YEAR, LAST_YEAR)
+
+
+@register("master_versions", ["SNK5", "ENR11"], """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS pid, c_name, CAST(c_nationkey AS INTEGER) AS region,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN '' WHEN c_nationkey < 4 THEN sha256(c_name || '2') ELSE sha256(c_name) END AS pid_hash,
+  CASE WHEN c_nationkey < 4 THEN 3 ELSE 2 END AS written
+FROM customer""")
+def master_versions(spark, d):
+    """A master table by region in three versions: created, a column added, the column changed for some regions' persons."""
+    from claimwise.session import scratch_path
+    from claimwise.sources import versions as V
+
+    base = scratch_path(spark, "master")
+    c = S.table(spark, d, "customer")
+    V.create(c.select(S.pid_of("c_custkey").alias("pid"), "c_name", F.col("c_nationkey").alias("region")), base, "region")
+    wanted = c.filter("c_mktsegment <> 'MACHINERY'")
+    for text in (F.col("c_name"), F.when(F.col("c_nationkey") < 4, F.concat("c_name", F.lit("2"))).otherwise(F.col("c_name"))):
+        V.update_column(spark, base, wanted.select(S.pid_of("c_custkey").alias("pid"), F.sha2(text, 256).alias("pid_hash")), "pid", "pid_hash")
+    last = V.newest(spark, base)
+    written = {s: int(p.split("/v=")[1].split("-")[0]) for s, p in last.paths.items()}
+    by_slice = spark.createDataFrame([(int(s), n) for s, n in written.items()], "region int, written int")
+    return V.read(spark, base, last).join(by_slice, "region").select("pid", "c_name", "region", "pid_hash", "written")
+
+
 @register("distinct_union_sentinel", ["SET1", "SET3"], "WITH " + _SQL_ROWS + """
 SELECT DISTINCT pid, c AS code FROM diag
 UNION

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from claimwise.operators import stats
@@ -11,10 +13,16 @@ from claimwise.plans.registry import register
 Y0, Y1 = S.STAT_YEARS
 
 
-def _slices(spark, d):
-    li = S.table(spark, d, "lineitem")
-    o = S.table(spark, d, "orders")
-    cases = S.outpatient_cases(spark, d)
+def _years(df, column, bounded):
+    """Rows of the configured years, by the stored date: the bounds reach the scan."""
+    c = F.col(column)
+    return df.filter((c >= F.lit(dt.date(Y0, 1, 1))) & (c < F.lit(dt.date(Y1 + 1, 1, 1)))) if bounded else df
+
+
+def _slices(spark, d, bounded=False):
+    li = _years(S.table(spark, d, "lineitem"), "l_shipdate", bounded)
+    o = _years(S.table(spark, d, "orders"), "o_orderdate", bounded)
+    cases = _years(S.outpatient_cases(spark, d), "o_orderdate", bounded)
     ship = F.to_date("l_shipdate")
     odate = F.to_date("o_orderdate")
     return {
@@ -103,7 +111,7 @@ r AS (
           _OVERVIEW_SQL + "SELECT slice, year, quarter, cnt, ratio, "
                           "(pos > 4 AND (ratio > 1.5 OR ratio < 0.5)) AS out_of_tolerance FROM r")
 def overview_ratio(spark, d):
-    return stats.overview(_slices(spark, d), Y0, Y1)
+    return stats.overview(_slices(spark, d, True), Y0, Y1)
 
 
 @register("overview_pivot", ["SNK7"],
@@ -111,7 +119,7 @@ def overview_ratio(spark, d):
           + ", ".join(f"max(CASE WHEN slice = '{n}' THEN cnt END) AS {n}" for n in _SLICE_NAMES)
           + " FROM r GROUP BY year, quarter")
 def overview_pivot(spark, d):
-    return stats.overview_pivot(stats.overview(_slices(spark, d), Y0, Y1), _SLICE_NAMES)
+    return stats.overview_pivot(stats.overview(_slices(spark, d, True), Y0, Y1), _SLICE_NAMES)
 
 
 _REF_SQL = f"""SELECT year, quarter FROM ({_COUNTS_SQL['outpatient']}) c
@@ -120,7 +128,7 @@ WHERE cnt > 0 AND year BETWEEN {Y0} AND {Y1} ORDER BY year DESC, quarter DESC LI
 
 @register("reference_quarter", ["AGG15", "SRT2"], _REF_SQL)
 def reference_quarter(spark, d):
-    return stats.reference_quarter(_slices(spark, d)["outpatient"], Y0, Y1)
+    return stats.reference_quarter(_slices(spark, d, True)["outpatient"], Y0, Y1)
 
 
 @register("regional_ratio", ["AGG6", "JON7", "JON8", "WIN6", "FLT17", "SRT1", "D3", "D16"], f"""
@@ -149,12 +157,71 @@ FROM lk LEFT JOIN a ON a.kv = lk.kv CROSS JOIN ref
 WHERE lk.km6_id <> '' AND (lk.hinweis IS NULL OR lk.hinweis LIKE '%ab%')
 """)
 def regional_ratio(spark, d):
-    slices = _slices(spark, d)
-    ref = stats.reference_quarter(slices["outpatient"], Y0, Y1)
+    ref = stats.reference_quarter(_slices(spark, d, True)["outpatient"], Y0, Y1)
     return stats.regional_ratio(S.outpatient_cases(spark, d), S.region_lookup(spark, d), ref,
                                 year="bezugsjahr", quarter="behandl_quartal", case_id="efn_id",
                                 region="kv", contract_col="vertrags_id",
-                                regions=S.person_regions(spark, d), region_key="o_custkey")
+                                regions=S.person_regions(spark, d), region_key="o_custkey", date_column="o_orderdate")
+
+
+_SETS = {"statistics": {"datasets": [
+    {"db": "ADB", "dataset": "first", "views": ["remedies", "prescriptions", "hospital", "outpatient", "sick_leave"], "h2iks": ["A", "N", "1-URGENT", "2-HIGH"], "startYear": 1995, "endYear": 1998},
+    {"db": "ADB", "dataset": "wide", "views": ["remedies", "hospital", "outpatient"], "h2iks": ["R", "A", "1-URGENT", "5-LOW"], "startYear": 1993, "endYear": 2001},
+    {"db": "FDB", "dataset": "flagged", "views": ["prescriptions", "outpatient"], "flag": "large", "startYear": 1996, "endYear": 1999}]}}
+
+
+def _set_counts(slice_, key, year, quarter, table, insurer, flag, day="NULL", where="true"):
+    """Oracle: the counts of one slice, one query per data set."""
+    parts = []
+    for s in _SETS["statistics"]["datasets"]:
+        if slice_ in s["views"]:
+            member = f"{flag}" if s.get("flag") else f"{insurer} IN ({', '.join(repr(x) for x in s['h2iks'])})"
+            parts.append(f"""SELECT '{s['dataset']}' AS dataset, '{slice_}' AS slice, CAST({year} AS INTEGER) AS year, CAST({quarter} AS INTEGER) AS quarter,
+              COUNT(DISTINCT (COALESCE(CAST({day} AS VARCHAR), '') || '|' || CAST({key} AS VARCHAR))) AS cnt
+              FROM {table} WHERE {member} AND {year} BETWEEN {s['startYear']} AND {s['endYear']} AND {where} GROUP BY ALL""")
+    return " UNION ALL ".join(parts)
+
+
+_LINE = ("year(l_shipdate)", "quarter(l_shipdate)", "lineitem", "l_returnflag", "l_quantity > 25")
+_ORDER = ("year(o_orderdate)", "quarter(o_orderdate)", "orders", "o_orderpriority", "o_totalprice > 150000")
+_BY_SET_SQL = "WITH counts AS (" + " UNION ALL ".join([
+    _set_counts("remedies", "l_orderkey", *_LINE),
+    _set_counts("prescriptions", "CAST(l_orderkey AS VARCHAR) || CAST(l_partkey AS VARCHAR) || CAST(l_suppkey AS VARCHAR)", *_LINE, day="CAST(l_shipdate AS DATE)"),
+    _set_counts("hospital", "o_orderkey", *_ORDER), _set_counts("outpatient", "o_orderkey", *_ORDER, where="o_orderstatus IN ('F', 'O')"),
+    _set_counts("sick_leave", "lpad(CAST(o_custkey AS VARCHAR), 10, '0') || CAST(CAST(o_orderdate AS DATE) AS VARCHAR)", *_ORDER)]) + "),\ncal AS (" + " UNION ALL ".join(
+    f"SELECT '{s['dataset']}' AS dataset, v AS slice, CAST(y AS INTEGER) AS year, CAST(q AS INTEGER) AS quarter "
+    f"FROM (SELECT unnest({s['views']}) AS v), range({s['startYear']}, {s['endYear'] + 1}) t(y), range(1, 5) u(q)" for s in _SETS["statistics"]["datasets"]) + """),
+padded AS (SELECT cal.*, COALESCE(c.cnt, 0) AS cnt FROM cal LEFT JOIN counts c USING (dataset, slice, year, quarter)),
+r AS (SELECT *, lag(cnt, 4) OVER w AS before, row_number() OVER w AS pos FROM padded WINDOW w AS (PARTITION BY dataset, slice ORDER BY year, quarter)),
+x AS (SELECT *, CASE WHEN COALESCE(before, 0) = 0 THEN CAST(0 AS DOUBLE) ELSE cnt / CAST(before AS DOUBLE) END AS ratio FROM r)
+SELECT dataset, slice, year, quarter, cnt, ratio, (pos > 4 AND (ratio > 1.5 OR ratio < 0.5)) AS out_of_tolerance FROM x"""
+
+
+def _counts_of_all_sets(spark, d, sets):
+    """One frame of counts for each table, which is scanned once."""
+    li, o = S.table(spark, d, "lineitem"), S.table(spark, d, "orders")
+    ship, day = F.to_date("l_shipdate"), F.to_date("o_orderdate")
+    lines = li.select("l_orderkey", "l_partkey", "l_suppkey", ship.alias("ship"), F.col("l_returnflag").alias("h2ik"), (F.col("l_quantity") > 25).alias("flag_large"))
+    cases = o.select("o_orderkey", S.pid_of("o_custkey").alias("pid"), day.alias("day"), F.col("o_orderpriority").alias("h2ik"),
+                     F.col("o_orderstatus").isin("F", "O").alias("kv"), (F.col("o_totalprice") > 150000).alias("flag_large"))
+    at = (F.year("ship"), F.quarter("ship"))
+    of = (F.year("day"), F.quarter("day"))
+    return [stats.counts_by_dataset(lines, sets, [
+        stats.Measure("remedies", F.col("l_orderkey").cast("string"), *at),
+        stats.Measure("prescriptions", F.concat(*[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey")]), *at, day=F.col("ship"))]),
+        stats.counts_by_dataset(cases, sets, [
+            stats.Measure("hospital", F.col("o_orderkey").cast("string"), *of),
+            stats.Measure("outpatient", F.col("o_orderkey").cast("string"), *of, where=F.col("kv")),
+            stats.Measure("sick_leave", F.concat("pid", F.col("day").cast("string")), *of)])]
+
+
+@register("overview_all_datasets", ["SNK7", "AGG1", "AGG2", "AGG3", "AGG4", "AGG5", "FLT15", "WIN3", "WIN4", "SCL15"], _BY_SET_SQL)
+def overview_all_datasets(spark, d):
+    """The overviews of three configured data sets that share insurers and have their own slices and years."""
+    from claimwise.plans.config import datasets_of
+
+    sets = datasets_of(_SETS)
+    return stats.overview_by_dataset(_counts_of_all_sets(spark, d, sets), sets)
 
 
 _REPORT_SQL = """

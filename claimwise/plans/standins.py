@@ -42,6 +42,7 @@ def outpatient_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("efn_id"),
         F.col("o_custkey"),
+        F.col("o_orderdate"),  # the stored date, on which bounds reach the scan
         pid_of("o_custkey").alias("pid"),
         F.year(d).alias("bezugsjahr"),
         F.quarter(d).alias("behandl_quartal"),

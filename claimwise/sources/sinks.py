@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimwise.sources.readers import allow_charset
@@ -44,12 +44,17 @@ def slice_path(root: str, db: str, dataset: str, table: str) -> str:
 def write_slices(df: DataFrame, path: str, slice_col: str | None = None,
                  fmt: str = "csv", compression: str = "gzip", mode: str = "overwrite",
                  encoding: str = "UTF-8") -> None:
-    """One directory per slice value; empty slices produce no files.
+    """One directory per slice value; empty slices produce no files, and an empty result without slices no folder: the
+    rows are counted while they are written.
 
     ``fmt='csv'`` writes raw ``;`` text with a header (gzip); ``'parquet'`` keeps types."""
     if fmt == "csv":
         allow_charset(df.sparkSession, encoding)
         df = file_values(df)
+    seen = None
+    if not slice_col:
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if slice_col:
         # rows of a slice meet in few tasks (a large slice in several): few files per directory
         df = df.hint("rebalance", slice_col)
@@ -60,6 +65,14 @@ def write_slices(df: DataFrame, path: str, slice_col: str | None = None,
         w.options(**RAW_CSV).option("compression", compression).option("encoding", encoding).csv(path)
     else:
         w.option("compression", "zstd" if compression == "gzip" else compression).parquet(path)
+    if seen is not None and not seen.get["rows"] and mode == "overwrite" and fmt == "csv":
+        _remove(df.sparkSession, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that was just written without rows (a header alone)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def read_slices_parquet(spark: SparkSession, path: str) -> DataFrame:

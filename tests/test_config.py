@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from claimwise.operators import enrich as E
 from claimwise.plans import config as C
@@ -35,3 +36,57 @@ def test_slices():
 def test_unknown_operator(spark):
     with pytest.raises(ValueError, match="operator"):
         C.where_of(spark, {"column": "a", "operator": "NEAR", "values": ["1"]})
+
+
+def orders(spark):
+    return spark.createDataFrame([("1", "23"), ("2", "{23"), ("3", ""), ("4", None), ("5", "2")], "pid string, code string")
+
+
+def export(spark, *filters, **more):
+    conf = {"db": "ADB", "views": [{"name": "T"}], "filters": list(filters)}
+    return rows(C.export_from_config(spark, conf, {"T": orders(spark), **more})["T"], "pid")
+
+
+def test_configured_filters(spark, tmp_path):
+    pattern = {"column": "code", "filterStrategy": {"type": "PATTERN", "regexPattern": "^$|[0-9]{2}"}}
+    assert export(spark, {**pattern, "mode": "INCLUDE"}) == [("1",), ("3",), ("4",)]
+    assert export(spark, {**pattern, "mode": "EXCLUDE"}) == [("2",), ("5",)]
+    assert export(spark, {**pattern, "mode": "EXCLUDE", "table": "other"}) == export(spark) and len(export(spark)) == 5
+    (tmp_path / "v.txt").write_text("1\n5\n")
+    listed = {"column": "pid", "mode": "INCLUDE"}
+    for strategy in ({"type": "UNIQUE_SET", "values": [1, 5]}, {"type": "UNIQUE_SET", "valueFile": str(tmp_path / "v.txt")}):
+        assert export(spark, {**listed, "filterStrategy": strategy}) == [("1",), ("5",)]
+    assert export(spark, {**listed, "filterStrategy": {"type": "UNIQUE_SET"}}) == []  # a filter that must drop every row does
+    persons = spark.createDataFrame([("1", "M", ""), ("2", "", "")], "pid string, egk_nr_ma string, kv_nummer_ma string")
+    padded = orders(spark).selectExpr("lpad(pid, 10, '0') AS pid", "code")
+    staff = {"column": "pid", "mode": "EXCLUDE", "filterStrategy": {"type": "EMPLOYEE_PIDS"}}
+    conf = {"sources": [{"db": "ADB", "views": [{"name": "T"}]}], "filters": [staff]}
+    got = C.export_from_config(spark, conf, {"T": padded, C.STAFF_VIEW: persons})["T"]
+    assert [r.pid for r in got.orderBy("pid").collect()] == ["0000000002", "0000000003", "0000000004", "0000000005"]
+
+
+def test_own_strategies(spark, monkeypatch):
+    class Short:
+        def predicate(self, c):
+            return F.length(c) < 2
+
+    monkeypatch.setattr(C, "STRATEGIES", dict(C.STRATEGIES))
+    C.register_strategy("SHORT", lambda spark, conf, frames: Short())
+    assert export(spark, {"column": "code", "mode": "INCLUDE", "filterStrategy": {"type": "SHORT"}}) == [("3",), ("4",), ("5",)]
+    with pytest.raises(ValueError, match="known already"):
+        C.register_strategy("PATTERN", None)
+
+
+@pytest.mark.parametrize("bad, said", [
+    ({"column": "pid", "mode": "INCLUDE", "filterStrategy": {"type": "NEW"}}, "strategy"), ({"column": "pid", "mode": "INCLUDE"}, "strategy"),
+    ({"column": "pid", "filterStrategy": {"type": "UNIQUE_SET"}}, "mode"), ({"mode": "INCLUDE", "filterStrategy": {"type": "UNIQUE_SET"}}, "column"),
+    ({"column": "pid", "mode": "INCLUDE", "filterStrategy": {"type": "UNIQUE_SET"}, "colunm": "x"}, "colunm")])
+def test_wrong_filters_are_errors(spark, bad, said):
+    with pytest.raises(ValueError, match=said):
+        export(spark, bad)
+
+
+def test_unknown_keys_are_errors(spark):
+    for conf in ({"db": "A", "view": []}, {"sources": [{"db": "A", "vews": []}]}, {"sources": [], "db": "A"}):
+        with pytest.raises(ValueError, match="unknown keys"):
+            C.export_from_config(spark, conf, {})

@@ -89,3 +89,21 @@ def test_first_ranked_with_hot_key(spark):
                   key=str)
     assert sorted((tuple(r) for r in plain.collect()), key=str) == want
     assert sorted((tuple(r) for r in salted.collect()), key=str) == want
+
+
+def test_all_decodings_at_once_are_those_one_by_one(spark):
+    rng = random.Random(5)
+    data = [(rng.choice(["1", "2", "3", ""]), rng.choice(["", "E1", "E2", "E3", "E4"]), rng.choice(["", "K1", "K2", "K3"]),
+             str(10000 + rng.randrange(25)), i) for i in range(150)]
+    ids = spark.createDataFrame(data, "h2ik string, egk_nr string, kv_nummer string, pid string, n int")
+    members = ids.groupBy("h2ik", "egk_nr", F.col("pid").alias("k_mensch_id")).agg(F.max("n").alias("max_gueltig_bis"))
+    sets = [D.Decoding("a", ("1", "2")), D.Decoding("b", ("2", "3")), D.Decoding("none", ("7",))]
+    got = {}
+    for r in D.decode_all(ids, members, sets, ["n"]).collect():
+        got.setdefault(r.dataset, []).append(tuple(r)[1:])
+    for s in sets:
+        own = ids.filter(F.col("h2ik").isin(list(s.insurers)))
+        alone = D.clean_ids(own, D.outdated_card_holders(ids, members, list(s.insurers)), ["n"])
+        assert sorted(got.get(s.name, [])) == sorted(map(tuple, alone.collect()))
+    assert len(got["a"]) >= 3 and "none" not in got
+    assert D.decode_all(ids, members, [], ["n"]).count() == 0

@@ -122,7 +122,11 @@ def test_joins_with_shared_names_conditions_and_excludes(spark):
     spec = ExtractSpec(joins=(JoinSpec(right, ("id",), "left", exclude=("secret",), where=(Where("n", (4,), ">", "NUMERIC"),)),))
     out = extract(left, spec)
     assert out.columns == ["id", "name", "name_1", "n"]
-    assert rows(out.na.fill({"name_1": "", "n": 0})) == [(1, "a", "x", 5), (1, "a", "y", 9), (2, "b", "", 0)]
+    assert rows(out) == [(1, "a", "x", 5), (1, "a", "y", 9)]  # id 2 has no partner that meets the condition
+    free = extract(left, ExtractSpec(joins=(JoinSpec(right.filter("n > 4"), ("id",), "left", exclude=("secret",)),)))
+    assert rows(free.na.fill({"name_1": "", "n": 0})) == [(1, "a", "x", 5), (1, "a", "y", 9), (2, "b", "", 0)]
+    none = ExtractSpec(joins=(JoinSpec(right, ("id",), "left", where=(Where("n", ()),)),))
+    assert rows(extract(left, none)) == []  # an empty list is met by no row
 
 
 def test_numeric_operands_keep_their_digits(spark):
@@ -150,3 +154,31 @@ def test_like_patterns_of_any_number_take_one_equi_join(spark, capsys):
     assert rows(got) == sorted([("p1234x", "p1%x"), ("p1234x", "p1234%x"), ("p1234x", "p123%x"), ("p1234x", "p12%x"), ("p77_x", "p77%x"), ("p77_x", "p7%x")])
     got.explain()
     assert "NestedLoop" not in capsys.readouterr().out
+
+
+def test_infix_patterns_probe_by_their_rarest_gram(spark, capsys):
+    import random
+
+    from claimwise.operators import lookup as L
+
+    rng = random.Random(4)
+
+    def word(kinds, n):
+        return "".join(rng.choice(kinds) for _ in range(rng.randint(0, n)))
+
+    words = sorted({word("abcé%_\\", 9) for _ in range(300)})
+    patterns = {w + rng.choice(["%", "_", "%_", ""]) + word("ab%_c", 5) for w in (rng.choice("%_") + word("abc%_é", 6) for _ in range(400))}
+    patterns = sorted(patterns | {"%", "_", "__", "%_%", "%\\%%", "_\\_%", "%a\\%b%", "%\\\\%", "%é%", "%absent%", "%ab%bc%"})
+    values, pats = spark.createDataFrame([(w,) for w in words], "v string"), spark.createDataFrame([(p,) for p in patterns], "p string")
+    values.createOrReplaceTempView("infix_v")
+    pats.createOrReplaceTempView("infix_p")
+    expected = spark.sql("SELECT v, p FROM infix_v, infix_p WHERE v LIKE p")
+    got = L.like_matches(values, pats)
+    assert rows(got) == rows(expected) and got.count() > 1000
+    got.explain()
+    assert "NestedLoop" not in capsys.readouterr().out
+
+    # a pattern meets only the values of its rarest gram
+    many = spark.range(20_000).selectExpr("concat('common ', id, ' tail') AS v").unionAll(spark.createDataFrame([("common xqz tail",)], "v string"))
+    found = L.like_matches(many, spark.createDataFrame([("%mon xqz t%",), ("_ommon 77 %il",)], "p string"))
+    assert rows(found) == [("common 77 tail", "_ommon 77 %il"), ("common xqz tail", "%mon xqz t%")]

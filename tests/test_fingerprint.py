@@ -3,6 +3,7 @@
 import hashlib
 
 from claimwise.operators import fingerprint as FP
+from conftest import rows
 
 
 BASE = [("p1", "1950-02-03", "", "2"), ("p1", "1949-12-31", "bad", "1"), ("p2", "", "", ""),
@@ -67,3 +68,35 @@ def test_the_year_does_not_separate_equal_lists(spark):
     none = spark.createDataFrame([], "pid string, kgs string")
     prints = {r["pid"]: r["fingerprint"] for r in FP.fingerprints(base, none, codes, codes).collect()}
     assert prints["a"] == prints["b"]
+
+
+def yearly(spark):
+    base = spark.createDataFrame([
+        ("1", "1950-01-01", "", "2x", 2015), ("1", "1949-05-05", "2017-01-01", "1", 2016), ("2", "bad", "", "", 2016), ("3", "1960-02-02", "", "W", 2017)],
+        "pid string, geburtsdatum string, sterbedatum string, geschlecht string, bezugsjahr int")
+    region = spark.createDataFrame([("1", "00123", 2016), ("1", "99999", 2015), ("2", "", 2015), ("2", "1234567", 2017), ("9", "00001", 2015)],
+                                   "pid string, kgs string, bezugsjahr int")
+    icd = spark.createDataFrame([("1", "B", 2016), ("1", "A", 2016), ("1", "C", 2015), ("1", "A", 2016), ("2", "Z", 2017), ("9", "A", 2015)], "pid string, code string, bezugsjahr int")
+    pzn = spark.createDataFrame([("3", "7", 2017), ("3", "7", 2015), ("1", "5", 2017)], "pid string, code string, bezugsjahr int")
+    return base, region, icd, pzn
+
+
+def test_years_added_give_the_fingerprints_from_scratch(spark, tmp_path):
+    frames, path = yearly(spark), str(tmp_path / "states")
+    whole = rows(FP.fingerprints(*frames))
+    assert rows(FP.merged_fingerprints(FP.year_states(*frames))) == whole and len(whole) == 3
+    FP.add_years(*frames, [2015, 2016], path)
+    early = [df.filter("bezugsjahr < 2017") for df in frames]
+    assert rows(FP.merged_fingerprints(spark.read.parquet(path))) == rows(FP.fingerprints(*early))
+    FP.add_years(*frames, [2017], path)
+    assert rows(FP.merged_fingerprints(spark.read.parquet(path))) == whole
+    late = [df.filter("bezugsjahr > 2015") for df in frames]
+    assert rows(FP.merged_fingerprints(spark.read.parquet(path), 2016, 2017)) == rows(FP.fingerprints(*late))
+
+
+def test_a_year_is_replaced_and_the_others_stay(spark, tmp_path):
+    frames, path = yearly(spark), str(tmp_path / "states")
+    FP.add_years(*frames, [2015, 2016, 2017], path)
+    other = [frames[0], frames[1], frames[2].replace("B", "Q", "code"), frames[3]]
+    FP.add_years(*other, [2016], path)
+    assert rows(FP.merged_fingerprints(spark.read.parquet(path))) == rows(FP.fingerprints(*other)) != rows(FP.fingerprints(*frames))

@@ -1,5 +1,7 @@
 """Readers and writers: strict delimited read, by-index read, slice round trip, merge."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +145,50 @@ def test_unset_shared_folder_is_an_error_off_a_local_master():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_rejects_come_back_and_the_header_is_known_by_its_place(spark, tmp_path):
+    one, two = tmp_path / "in" / "a.csv", tmp_path / "in" / "b.csv"
+    one.parent.mkdir()
+    one.write_text('a;b\n1; x "q" \na;b\n\n2\n3;y;z\n;\n')
+    two.write_text("a;b\n4;w\n")
+    read = R.read_delimited_once(spark, str(one.parent), ["a", "b"], str(tmp_path / "out"))
+    assert rows(read.rows) == [("", ""), ("1", ' x "q" '), ("4", "w"), ("a", "b")]  # a data line like the header is data
+    assert sorted((r._file.rsplit("/", 1)[1], r._text, r._reason) for r in read.rejects.collect()) == [
+        ("a.csv", "2", "1 fields instead of 2"), ("a.csv", "3;y;z", "3 fields instead of 2")]
+    assert (read.n_rows, read.n_rejects) == (4, 2)
+    assert rows(R.read_delimited_strict(spark, str(one.parent), ["a", "b"])) == rows(read.rows)
+    assert R.read_delimited_strict(spark, str(one.parent), ["a", "b"]).count() == 4  # under column pruning too
+    assert rows(R.read_delimited_strict(spark, str(two), ["a", "b"], header=False)) == [("4", "w"), ("a", "b")]
+
+
+def test_another_header_is_refused(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b;a\n1;2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        R.read_delimited_strict(spark, str(tmp_path / "x.csv"), ["a", "b"]).collect()
+
+
+def test_malformed_values_are_counted_while_the_export_is_written(spark, tmp_path):
+    from claimwise.operators.extract import ExtractSpec, Where
+    from claimwise.operators.quality import MalformedCount, malformed_counts
+    from claimwise.operators.rowfilters import FrameMeta
+    from claimwise.plans import commands as C
+
+    df = spark.createDataFrame([("1", "2015-01-01", "x"), ("a", "", "x"), ("", "01.01.2015", "x"), ("zz", "zz", "gone")], "N string, day string, k string")
+    seen = MalformedCount({"n": "int", "day": "date", "absent": "int"})
+    spec = ExtractSpec(where=(Where("k", ("x",)),))
+    out = C.export(df, spec, FrameMeta("ACC_ADB", "T"), root=str(tmp_path), malformed=seen)
+    assert seen.counts() == [("n", "int", 2, 1), ("day", "date", 2, 1)]
+    assert rows(malformed_counts(out, {"n": "int", "day": "date"})) == sorted(seen.counts())
+    assert rows(R.read_slices(spark, W.slice_path(str(tmp_path), "ACC_ADB", "default", "T")), "n") == [("",), ("1",), ("a",)]
+
+
+def test_an_empty_result_leaves_no_file(spark, tmp_path):
+    empty = spark.createDataFrame([], "a string, y int")
+    for slice_col in (None, "y"):
+        W.write_slices(empty, str(tmp_path / f"t{slice_col}"), slice_col)
+        left = [f for _, _, names in os.walk(tmp_path / f"t{slice_col}") for f in names if f.startswith("part-")]
+        assert left == []
+    assert not (tmp_path / "tNone").exists()
+    W.write_slices(spark.createDataFrame([("x", 1)], "a string, y int"), str(tmp_path / "full"))
+    assert rows(R.read_slices(spark, str(tmp_path / "full"))) == [("x", "1")]

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from claimwise.operators import stats
+from claimwise.operators import stats as ST
 from conftest import rows
 
 
@@ -101,3 +102,46 @@ def test_distinct_counts(spark):
     assert rows(concat) == [(2010, 1, 1), (2010, 2, 1)]
     daily = stats.daily_distinct_per_quarter(df, "y", "d", "a", "b")
     assert rows(daily) == [(2010, 1, 2), (2010, 2, 1)]
+
+
+def test_all_datasets_are_those_one_by_one(spark):
+    import random
+
+    rng = random.Random(1)
+    data = [(rng.choice("123"), rng.randrange(2), f"{rng.choice([2014, 2015, 2016, 2017])}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 4):02d}",
+             rng.choice(["a", "b", "c", "d", None]), rng.choice("xyz")) for _ in range(600)]
+    df = spark.createDataFrame(data, "h2ik string, flag_x int, day string, key string, kind string").withColumn("day", F.to_date("day"))
+    year, quarter = F.year("day"), F.quarter("day")
+    measures = [ST.Measure("cases", F.col("key"), year, quarter), ST.Measure("daily", F.col("key"), year, quarter, day=F.col("day")),
+                ST.Measure("some", F.col("key"), year, quarter, where=F.col("kind") == "x")]
+    sets = [ST.DataSet("one", 2014, 2016, ("cases", "daily"), ("1", "2")), ST.DataSet("two", 2015, 2017, ("cases", "some"), ("2", "3")),
+            ST.DataSet("flag", 2016, 2017, ("daily",), flag="x"), ST.DataSet("none", 2015, 2015, ("cases",), ())]
+    counts = ST.counts_by_dataset(df, sets, measures)
+    got = {tuple(r)[:4]: r.cnt for r in counts.collect()}
+    expected = {}
+    for s in sets:
+        own = df.filter(F.col("h2ik").isin(list(s.insurers))) if s.insurers is not None else df.filter("flag_x = 1")
+        own = own.filter(year.between(s.start_year, s.end_year))
+        one_by_one = {"cases": ST.cases_per_quarter(own, year, quarter, "key"), "daily": ST.daily_distinct_per_quarter(own, year, "day", "key"),
+                      "some": ST.cases_per_quarter(own.filter("kind = 'x'"), year, quarter, "key")}
+        for v in s.views:
+            expected |= {(s.name, v, r.year, r.quarter): r.cnt for r in one_by_one[v].collect() if r.cnt}
+    assert got == expected and len(got) > 30
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1  # the table is read once
+    out = ST.overview_by_dataset([counts], sets).collect()
+    assert len(out) == sum(len(s.views) * 4 * (s.end_year - s.start_year + 1) for s in sets)
+    for r in out:
+        before = got.get((r.dataset, r.slice, r.year - 1, r.quarter), 0)
+        assert r.cnt == got.get((r.dataset, r.slice, r.year, r.quarter), 0)
+        first = next(s.start_year for s in sets if s.name == r.dataset)
+        assert r.ratio == (r.cnt / before if before and r.year > first else 0.0)
+
+
+def test_a_dataset_has_insurers_or_a_flag():
+    import pytest
+
+    with pytest.raises(ValueError):
+        ST.DataSet("x", 2015, 2016, (), ("1",), "f")
+    with pytest.raises(ValueError):
+        ST.DataSet("x", 2015, 2016, ())
