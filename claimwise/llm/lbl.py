@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -68,8 +68,7 @@ def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(c: Counter) -> pa.RecordBatch:
-            words = pa.array([w.decode("utf-8", "replace") for w in c], pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(list(c.values()), pa.int64())], ["word", "c"])
+            return pa.RecordBatch.from_arrays([_strings(list(c)), pa.array(list(c.values()), pa.int64())], ["word", "c"])
 
         found: Counter = Counter()
         for batch in batches:
@@ -119,21 +118,37 @@ class Vocabulary:
         return Lookup({w.encode(): i for i, w in enumerate(self.words)}, self.suffixes)
 
 
-class Lookup(dict):
-    """token -> code, remembering the codes of rare words up to a bound."""
+class Suffixes(dict):
+    """Last bytes of a word -> code of its suffix class."""
 
-    def __init__(self, head: dict[bytes, int], suffixes: int):
-        super().__init__(head)
-        self.head, self.suffixes, self.most = head, suffixes, len(head) + 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-            self.update(self.head)
-        code = self[word] = suffix_class(word, len(self.head), self.suffixes)
+    def __init__(self, held: int, suffixes: int):
+        super().__init__()
+        self.held, self.suffixes = held, suffixes
+
+    def __missing__(self, end: bytes) -> int:
+        code = self[end] = suffix_class(end, self.held, self.suffixes)
         return code
 
 
+class Lookup:
+    """Codes of tokens: those held by their rank, the others by their last three bytes."""
+
+    def __init__(self, head: dict[bytes, int], suffixes: int):
+        self.head, self.ends = head, Suffixes(len(head), suffixes)
+
+    def __getitem__(self, word: bytes) -> int:
+        code = self.head.get(word)
+        return self.ends[word[-3:]] if code is None else code
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Codes of many tokens; where those not held stand, and what they are."""
+        codes = np.fromiter(map(self.head.get, words, repeat(-1)), np.int64, len(words))
+        at = np.flatnonzero(codes < 0)
+        rare = [words[i] for i in at.tolist()]
+        codes[at] = np.fromiter(map(self.ends.__getitem__, [w[-3:] for w in rare]), np.int64, len(rare))
+        return codes, at, rare
+
+
 def read_vocabulary(counts: DataFrame) -> Vocabulary:
     """The vocabulary from the table of counts: ``HEAD`` rows and one per suffix class come to the driver."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -208,12 +223,26 @@ class Parameters:
         return sum(x * self.place[i] for i, x in enumerate(before))
 
 
-def summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``rows`` and the sums of their lines of ``grad``."""
-    order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # short numbers have a faster sort
-    found = rows[order]
-    first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-    return found[first], np.add.reduceat(grad[order], first, axis=0)
+class Segments:
+    """Equal rows brought together, to sum what belongs to each."""
+
+    def __init__(self, rows: np.ndarray):
+        self.order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # short numbers have a faster sort
+        found = rows[self.order]
+        self.first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        self.rows = found[self.first]
+
+    def sums(self, grad: np.ndarray) -> np.ndarray:
+        """Sums of the lines of ``grad`` by row."""
+        return np.add.reduceat(grad.take(self.order, axis=0), self.first, axis=0)
+
+
+def real_share(z: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(z)); ``z`` is overwritten."""
+    with np.errstate(over="ignore"):
+        np.exp(z, out=z)
+    z += 1
+    return np.reciprocal(z, out=z)
 
 
 class Trainer:
@@ -228,11 +257,12 @@ class Trainer:
         self.seen = [p.seen[part] for part in p._parts()]
 
     def _apply(self, x: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray, n: int) -> None:
-        grad = grad.astype(np.float32) * np.float32(n) ** 0.5
-        s = seen[rows] + (grad * grad if grad.ndim == 1 else np.einsum("ij,ij->i", grad, grad) / SIZE)
+        grad = grad.astype(np.float32, copy=False) * np.float32(n ** 0.5)
+        s = seen.take(rows) + (grad * grad if grad.ndim == 1 else np.einsum("ij,ij->i", grad, grad) / SIZE)
         seen[rows] = s
-        rate = RATE / np.sqrt(s)
-        x[rows] += grad * (rate if grad.ndim == 1 else rate[:, None])
+        rate = np.float32(RATE) / np.sqrt(s)
+        grad *= rate if grad.ndim == 1 else rate[:, None]
+        x[rows] = x.take(rows, axis=0) + grad
 
     def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         p, v, n = self.p, self.v, len(targets)
@@ -245,11 +275,12 @@ class Trainer:
         wanted = p.group[groups]
         real = np.einsum("ij,ij->i", hidden, wanted) + p.group_bias[groups] - self.log_group[groups]
         false = hidden @ p.group[drawn].T + (p.group_bias[drawn] - self.log_group[drawn])
-        up = 1 / (n * (1 + np.exp(np.clip(real, -30, 30))))          # 1 - probability that the token is real
-        down = -1 / (n * (1 + np.exp(-np.clip(false, -30, 30))))     # - probability that the noise is real
+        up = real_share(real) / np.float32(n)                                   # 1 - probability that the token is real
+        down = real_share(np.negative(false, out=false)) / np.float32(-n)      # - probability that the noise is real
         back = up[:, None] * wanted + down @ p.group[drawn]
-        group_rows, group = summed(np.concatenate((groups, drawn)), np.concatenate((hidden * up[:, None], down.T @ hidden)))
-        group_bias = summed(np.concatenate((groups, drawn)), np.concatenate((up, down.sum(axis=0))))[1]
+        by_group = Segments(np.concatenate((groups, drawn)))
+        group = by_group.sums(np.concatenate((hidden * up[:, None], down.T @ hidden)))
+        group_bias = by_group.sums(np.concatenate((up, down.sum(axis=0))))
 
         # the class inside the group, against classes of the same group; a group of one has nothing to tell
         many = np.flatnonzero(v.first[groups + 1] - v.first[groups] > 1)
@@ -262,24 +293,26 @@ class Trainer:
             wanted, other = p.target.take(own, axis=0), p.target.take(at, axis=0)
             real = np.einsum("ij,ij->i", held, wanted) + p.bias[own] - noise
             false = np.einsum("ij,ikj->ik", held, other) + p.bias[at] - noise[:, None]
-            up = 1 / (n * (1 + np.exp(np.clip(real, -30, 30))))
-            down = -1 / (n * (1 + np.exp(-np.clip(false, -30, 30))))
+            up = real_share(real) / np.float32(n)
+            down = real_share(np.negative(false, out=false)) / np.float32(-n)
             back[many] += up[:, None] * wanted + np.einsum("ik,ikj->ij", down, other)
             lines = np.concatenate((own, at.ravel()))
             weights = np.concatenate((up, down.ravel()))
-            rows, target = summed(lines, np.concatenate((held, np.repeat(held, INSIDE, axis=0))) * weights[:, None])
-            bias = summed(lines, weights)[1]
+            by_class = Segments(lines)
+            target = by_class.sums(np.concatenate((held, np.repeat(held, INSIDE, axis=0))) * weights[:, None])
+            bias = by_class.sums(weights)
 
         place = np.stack([np.einsum("ij,ij->j", back, x) for x in before])
-        context_rows, context = summed(contexts.T.ravel(), np.concatenate([back * p.place[i] for i in range(PLACES)]))
+        by_context = Segments(contexts.T.ravel())
+        context = by_context.sums(np.concatenate([back * p.place[i] for i in range(PLACES)]))
         seen = self.seen
-        self._apply(p.context, seen[0][:, 0], context_rows, context, n)
+        self._apply(p.context, seen[0][:, 0], by_context.rows, context, n)
         if len(many):
-            self._apply(p.target, seen[1][:, 0], rows, target, n)
-            self._apply(p.bias, seen[1][:, 1], rows, bias, n)
+            self._apply(p.target, seen[1][:, 0], by_class.rows, target, n)
+            self._apply(p.bias, seen[1][:, 1], by_class.rows, bias, n)
         self._apply(p.place, seen[2][:, 0], np.arange(PLACES), place, n)
-        self._apply(p.group, seen[3][:, 0], group_rows, group, n)
-        self._apply(p.group_bias, seen[3][:, 1], group_rows, group_bias, n)
+        self._apply(p.group, seen[3][:, 0], by_group.rows, group, n)
+        self._apply(p.group_bias, seen[3][:, 1], by_group.rows, group_bias, n)
 
 
 def contexts_of(classes: np.ndarray, ends: np.ndarray, end_class: int) -> np.ndarray:
@@ -293,6 +326,14 @@ def contexts_of(classes: np.ndarray, ends: np.ndarray, end_class: int) -> np.nda
     return out
 
 
+def _strings(words: list[bytes]) -> pa.Array:
+    """Words as strings; what is no UTF-8 becomes U+FFFD."""
+    try:
+        return pa.array(words, pa.string())
+    except (pa.ArrowInvalid, UnicodeDecodeError):
+        return pa.array([w.decode("utf-8", "replace") for w in words], pa.string())
+
+
 def class_kind(vocabulary: Vocabulary) -> str:
     """Type of the class numbers in stored texts."""
     return "<u2" if len(vocabulary.unigram) <= 1 << 16 else "<i4"
@@ -302,7 +343,7 @@ def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``rows`` (doc_id, held_out, text) as class numbers, each text split once for training and scoring.
 
     Beside ``classes``: ``h`` (hash of id and text), ``n_tokens`` and, without the words that workers do not hold, ``n_known``, ``base`` and ``within`` (sums
-    over the tokens); those words in ``rare``."""
+    over the tokens); those words, with their repeats, in ``rare``."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # HEAD words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,25 +355,19 @@ def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 continue
             ends = np.cumsum([len(t) for t in texts])
             starts = np.concatenate(([0], ends[:-1]))
-            codes = np.fromiter(map(lookup.__getitem__, chain.from_iterable(texts)), np.int64)
-            classes, rare = v.class_of[codes].astype(kind), codes >= v.held
-            words, numbers, offsets = [], [], [0]
-            for t, a, b in zip(texts, starts, ends, strict=True):
-                found = Counter(compress(t, rare[a:b]))
-                words += found
-                numbers += found.values()
-                offsets.append(len(words))
-            flat = pa.StructArray.from_arrays([pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(numbers, pa.int64())], ["word", "n"])
-            sums = [np.add.reduceat(x, starts) for x in ((~rare).astype(np.int64), v.base[codes], v.within[codes])]
+            codes, at, rare = lookup.of(list(chain.from_iterable(texts)))
+            classes = v.class_of[codes].astype(kind)
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(at, np.concatenate(([0], ends))), pa.int32()), _strings(rare))
+            sums = [np.add.reduceat(x, starts) for x in ((codes < v.held).astype(np.int64), v.base[codes], v.within[codes])]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(ends - starts, pa.int64()), *map(pa.array, sums), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
+                [*batch.columns[:3], pa.array(ends - starts, pa.int64()), *map(pa.array, sums), lists,
                  pa.array([classes[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())],
                 ["doc_id", "held_out", "h", "n_tokens", "n_known", "base", "within", "rare", "classes"])
 
     rows = rows.select("doc_id", "held_out", F.xxhash64("doc_id", "text").alias("h"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, h long, n_tokens long, n_known long, base double, within double, "
-                                "rare array<struct<word:string,n:long>>, classes binary")
+                                "rare array<string>, classes binary")
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
@@ -426,26 +461,34 @@ class Scorer:
         p, v = self.p, vocabulary
         self.group = np.vstack((p.group.T, p.group_bias)).astype(np.float32)
         self.inside = [np.vstack((p.target[a:b].T, p.bias[a:b])).astype(np.float32) for a, b in zip(v.first, v.first[1:])]
-        self.longest = max(float(np.sqrt((x * x).sum(axis=0)).max()) for x in (self.group, *self.inside))
+        vectors = np.concatenate((p.group, p.target))
+        self.longest = float(np.sqrt((vectors * vectors).sum(axis=1)).max())
+        self.highest = np.array([p.group_bias.max(), *(p.bias[a:b].max() for a, b in zip(v.first, v.first[1:]))])  # of the groups, and inside each
 
     def __call__(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
         p, v = self.p, self.v
         key = contexts[:, 0]
         for i in range(1, PLACES):
             key = key * p.n + contexts[:, i]
-        _, first, back = np.unique(key, return_index=True, return_inverse=True)
+        order = np.argsort(key)
+        new = np.ones(len(key), bool)
+        new[1:] = key[order][1:] != key[order][:-1]
+        first, back = order[new], np.empty(len(key), np.int64)
+        back[order] = np.cumsum(new) - 1
         hidden = p.hidden(p.before(contexts[first]))
         distinct = np.ones((len(first), SIZE + 1), np.float32)
         distinct[:, :SIZE] = hidden
-        small = self.longest * float(np.sqrt((distinct * distinct).sum(axis=1).max(initial=0))) < 60
+        # products lie within this of the biases; so the largest of a row lies near the highest bias, and sums neither overflow nor vanish
+        reach = self.longest * float(np.sqrt((hidden * hidden).sum(axis=1).max(initial=0)))
+        small = np.abs(self.highest) + reach < 75
         sums = np.empty(len(first), np.float32)
         for at in range(0, len(first), 256):  # blocks that stay in the cache
-            sums[at:at + 256] = log_sums(distinct[at:at + 256] @ self.group, small)
+            sums[at:at + 256] = log_sums(distinct[at:at + 256] @ self.group, small[0])
         groups = v.group_of[classes]
         out = np.empty(len(classes))
         for at in range(0, len(classes), 65_536):
             part = slice(at, at + 65_536)
-            out[part] = np.einsum("ij,ij->i", hidden[back[part]], p.group[groups[part]]) + p.group_bias[groups[part]] - sums[back[part]]
+            out[part] = np.einsum("ij,ij->i", hidden.take(back[part], axis=0), p.group.take(groups[part], axis=0)) + p.group_bias[groups[part]] - sums[back[part]]
         order = np.argsort(groups.astype(np.uint16) if p.groups < 1 << 16 else groups, kind="stable")
         bounds = np.searchsorted(groups[order], np.arange(p.groups + 1))
         for g in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(v.first) > 1)):
@@ -453,9 +496,9 @@ class Scorer:
             block = max(1, 60_000 // (high - low))
             for at in range(bounds[g], bounds[g + 1], block):
                 rows = order[at:min(at + block, bounds[g + 1])]
-                z = distinct[back[rows]] @ self.inside[g]
+                z = distinct.take(back[rows], axis=0) @ self.inside[g]
                 own = z[np.arange(len(rows)), classes[rows] - low]
-                out[rows] += own - log_sums(z, small)
+                out[rows] += own - log_sums(z, small[g + 1])
         return out / np.log(10)
 
 
@@ -503,10 +546,8 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
             yield scored(held)
 
     logs = texts.select("row", "n_tokens", "classes").mapInArrow(run, "row long, logs double")
-    found = (texts.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(counts, "word", "left")
-             .withColumn("c", F.coalesce("c", F.lit(0))))
-    sums = found.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known_2"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("own"))
+    found = texts.select("row", F.explode("rare").alias("word")).join(counts, "word")  # a word that was not counted adds nothing
+    sums = found.groupBy("row").agg(F.count("*").alias("known_2"), F.sum(F.log10(F.col("c") + 1)).alias("own"))
     own = F.coalesce("own", F.lit(0.0))
     return texts.drop("rare", "classes").join(logs, "row").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known_2", F.lit(0))).alias("n_known"),

@@ -172,3 +172,13 @@ def test_scores_do_not_depend_on_the_partitions(make, sample, monkeypatch):
     rows = list(zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True))
     one, many = ({r.doc_id: r.score for r in run(make(rows).repartition(n)).collect()} for n in (1, 40))
     assert one.keys() == many.keys() and [one[i] for i in one] == pytest.approx([many[i] for i in one], rel=1e-5)
+
+
+def test_clashing_columns_and_rows_without_id(make):
+    rows = [(i, f"alpha beta gamma {i % 3} delta") for i in range(30)] + [(None, "alpha beta"), (None, None)]
+    docs = make(rows)
+    training = F.coalesce(crc_remainder(F.col("doc_id"), 7), F.lit(0)) != 2
+    got = sorted(map(str, map(tuple, lbl.score(docs, training).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens").collect())))
+    assert len(got) == 32 and any(x.startswith("(None, False, 3") for x in got)
+    clash = docs.withColumns({c: F.lit("x") for c in ("h", "row", "held_out", "word", "c", "classes", "rare", "own", "part", "round")})
+    assert sorted(map(str, map(tuple, lbl.score(clash, training).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens").collect()))) == got
