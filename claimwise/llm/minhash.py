@@ -1,7 +1,8 @@
 """Near-duplicate groups: banded MinHash, sequential Bayesian verification, exact confirmation.
 
-1. Every document becomes the set of its shingles' hashes.  Documents of one set form a class, named by its smallest id.
-2. The classes' signatures are banded.  Every member of a bucket is a candidate with the bucket's smallest id.
+1. Every document becomes the set of its shingles' hashes.  Documents of one set form a class, numbered in the order of their smallest ids.
+2. The classes' signatures are banded, in as many bands as the threshold and ``MISS`` ask for.  Every member of a bucket is a candidate with
+   the bucket's smallest class.
 3. Candidates are verified: batches of the signatures are compared and a pair is pruned once the posterior probability (uniform
    prior) that its similarity reaches the threshold falls below ``MISS``; the survivors are confirmed on their full sets.
 4. The links found so far make components.  A bucket that lies in one component needs nothing more.  In another one, all pairs
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from claimwise.llm.common import WordHashes, mixed, short_batches, stored, words_of
 from claimwise.llm.components import components
 
+#: Values of a band; bands come in steps of as many, so that their values fill whole batches.
 ROWS = 5
-BANDS = 25
 #: Values compared at once in the Bayesian test, and the probability of losing a pair at the threshold that it may take.
 BATCH = 25
 MISS = 1e-6
@@ -41,12 +42,17 @@ SKETCH_BITS, SKETCH_CHUNK = 18, 1024
 SHINGLE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _multipliers() -> np.ndarray:
-    rng = np.random.default_rng(51)
-    return rng.integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+@lru_cache(maxsize=16)
+def bands_for(percent: int, miss: float = MISS) -> int:
+    """Bands with which a pair at the threshold shares no bucket with a probability of ``miss`` at most."""
+    needed = math.log(miss) / math.log1p(-min(percent / 100, 1 - 1e-9) ** ROWS)
+    return -(-math.ceil(needed) // ROWS) * ROWS
 
 
-MULTIPLIERS = _multipliers()
+@lru_cache(maxsize=16)
+def multipliers(bands: int) -> np.ndarray:
+    rng = np.random.default_rng(51)
+    return rng.integers(0, 1 << 63, ROWS * bands, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
@@ -61,26 +67,28 @@ def shingles(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(mixed(x))
 
 
-def signature(x: np.ndarray) -> np.ndarray:
+def signature(x: np.ndarray, bands: int) -> np.ndarray:
     """Smallest values of the set under each multiplier (their upper halves)."""
-    low = np.full(len(MULTIPLIERS), np.iinfo(np.uint64).max, np.uint64)
+    by = multipliers(bands)
+    low = np.full(len(by), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(x), 2048):
-        np.minimum(low, (x[None, at:at + 2048] * MULTIPLIERS[:, None]).min(axis=1), out=low)
+        np.minimum(low, (x[None, at:at + 2048] * by[:, None]).min(axis=1), out=low)
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
 @lru_cache(maxsize=16)
-def least_matches(percent: int, total: int = ROWS * BANDS, batch: int = BATCH, miss: float = MISS) -> tuple[int, ...]:
+def least_matches(percent: int, total: int, batch: int = BATCH, miss: float = MISS) -> tuple[int, ...]:
     """For each number of compared values (a batch, two, ...) the fewest matches that keep a pair.
 
     With a uniform prior, after m matches of n the similarity has the posterior Beta(m + 1, n - m + 1); its mass above t is the
     chance of at most m successes in n + 1 trials of probability t."""
-    t, out = percent / 100, []
+    t, out = min(percent / 100, 1 - 1e-9), []
     for n in range(batch, total + 1, batch):
         mass, m = 0.0, -1
         while m < n:
             m += 1
-            mass += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
+            ways = math.lgamma(n + 2) - math.lgamma(m + 1) - math.lgamma(n + 2 - m)
+            mass += math.exp(ways + m * math.log(t) + (n + 1 - m) * math.log1p(-t))
             if mass >= miss:
                 break
         out.append(m)
@@ -90,7 +98,7 @@ def least_matches(percent: int, total: int = ROWS * BANDS, batch: int = BATCH, m
 def likely(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Which rows of two signature matrices survive all batches; later batches compare survivors only."""
     alive, matches = np.arange(len(a)), np.zeros(len(a), np.int64)
-    for k, least in enumerate(least_matches(percent)):
+    for k, least in enumerate(least_matches(percent, a.shape[1])):
         part = slice(k * BATCH, (k + 1) * BATCH)
         matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
         alive = alive[matches[alive] >= least]
@@ -99,31 +107,31 @@ def likely(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return out
 
 
-def _signed(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null: empty set), signature."""
+def _signed(rows: DataFrame, k: int, bands: int) -> DataFrame:
+    """doc_id, text_id, n_shingles, digest of the set (null: empty set), signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sizes, digests, signs = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 x = shingles(text.as_py(), k, hashes)
                 sizes.append(len(x))
                 digests.append(xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None)
-                signs.append(signature(x).tobytes() if len(x) else None)
+                signs.append(signature(x, bands).tobytes() if len(x) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "signature"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
+                ["doc_id", "text_id", "n_shingles", "digest", "signature"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    return rows.mapInArrow(run, "doc_id long, text_id binary, n_shingles long, digest binary, signature binary")
 
 
 def _buckets(signs: pd.Series) -> pd.Series:
     """The bucket of each signature in every band, as one hash of band and values."""
     if not len(signs):
         return pd.Series([], dtype=object)
-    m = np.frombuffer(b"".join(signs), np.uint32).reshape(len(signs), BANDS, ROWS).astype(np.uint64)
-    x = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), m.shape[:2]).copy()
+    m = np.frombuffer(b"".join(signs), np.uint32).reshape(len(signs), -1, ROWS).astype(np.uint64)
+    x = np.broadcast_to(np.arange(1, m.shape[1] + 1, dtype=np.uint64), m.shape[:2]).copy()
     for r in range(ROWS):
         x = mixed(x * SHINGLE + m[:, :, r])
     return pd.Series(list(x.view(np.int64)))
@@ -225,29 +233,31 @@ def _prefix_pairs(members: DataFrame, k: int, percent: int) -> DataFrame:
     return met.select(F.least("id", "id_l").alias("a"), F.greatest("id", "id_l").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """Groups of documents linked by similar shingle sets: ``100 * intersection >= percent * union``.
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_id (128 bits of the text), text: what tells rows of one id, or without one, apart."""
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("text_id"), text.alias("text"))
 
-    Words are runs without ASCII white space, A-Z lower-cased; a document's set has its distinct ``k``-word shingles, with fewer
-    words the whole sequence.  Per row: ``doc_id``, ``n_shingles`` (set size), ``component_id`` (smallest id reachable over
-    links, its own included), ``kept`` (doc_id = component_id).
 
-    Null, empty and blank texts have an empty set and are linked with nothing, not even each other.  Rows without an id cannot be
-    named: component_id null, not kept.  Repeated rows get equal results.  Ids are integers.  An empty table gives an empty result.
-    Other columns are not read."""
+def _components(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """Per row: doc_id, text_id, n_shingles, digest, ``component`` (number of a component, null for an empty set) and ``component_id`` (smallest doc_id in it)."""
     spark = docs.sparkSession
     short_batches(spark)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    signed = stored(_signed(rows, k), "dedup-signed")
-    classes = stored(
-        signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")), "dedup-classes")
+    rows = _rows(docs, id_col, text_col)
+    signed = stored(_signed(rows, k, bands_for(percent)), "dedup-signed")
+    # rising numbers in the order of the smallest ids, rows without an id last: the smallest number of a component has its smallest id
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("least")
+    classes = (signed.filter("digest IS NOT NULL").groupBy("digest")
+               .agg(first, F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+               .orderBy("least", "digest").select(F.monotonically_increasing_id().alias("id"), "digest", "least.doc_id", "least.text_id", "n_shingles", "signature"))
+    classes = stored(classes, "dedup-classes")
 
     banded = classes.select("id", F.explode(F.pandas_udf(_buckets, "array<long>")("signature")).alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     members = stored(banded.join(hubs, "bucket"), "dedup-members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = stored(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "text"), "dedup-texts")
+    wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("i"), F.col("text_id").alias("t"))
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_id") == F.col("t"))
+    texts = stored(rows.join(wanted, same).select("id", "text").dropDuplicates(["id"]), "dedup-texts")
 
     stars = stored(members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "dedup-stars")
     links = _confirmed(stars, classes, texts, k, percent)
@@ -264,19 +274,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = few.unionAll(_prefix_pairs(many, k, percent)).distinct().join(stars, ["a", "b"], "left_anti")
     links = links.unionAll(_confirmed(rest, classes, texts, k, percent))
 
-    named = (classes.select("digest", "id").join(components(links), F.col("id") == F.col("node"), "left")
-             .select("digest", F.coalesce("component", "id").alias("component")))
-    out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    own = classes.select("id", "digest").join(components(links), F.col("id") == F.col("node"), "left").select(
+        "digest", F.coalesce("component", "id").alias("component"))
+    named = own.join(classes.select(F.col("id").alias("component"), F.col("doc_id").alias("component_id")), "component")
+    return signed.select("doc_id", "text_id", "n_shingles", "digest").join(named, "digest", "left")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """Groups of documents linked by similar shingle sets: ``100 * intersection >= percent * union``.
+
+    Words are runs without ASCII white space, A-Z lower-cased; a document's set has its distinct ``k``-word shingles, with fewer
+    words the whole sequence.  Per row: ``doc_id``, ``n_shingles`` (set size), ``component_id`` (smallest id reachable over
+    links, its own included), ``kept`` (doc_id = component_id).
+
+    Null, empty and blank texts have an empty set and are linked with nothing, not even each other.  A row without an id belongs to
+    its group, whose smallest id it gets, null if there is none; it is not kept.  Different texts under one id are rows of their own, each
+    linked by its own text.  Repeated rows get equal results.  Ids are integers.  An empty table gives an empty result.
+    Other columns are not read."""
+    out = _components(docs, id_col, text_col, k, percent)
+    component = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, the one of the smallest id.
-
-    Rows of one id are copies: one of them stays.  Rows without an id go.  See ``near_duplicates`` for the other cases."""
-    kept = near_duplicates(docs, id_col, text_col, k, percent).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    whole = docs.select(F.col(f"`{id_col}`").cast("long").alias("kept_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    first = F.row_number().over(Window.partitionBy("kept_id").orderBy(F.xxhash64(F.col(f"row.`{text_col}`"))))
-    whole = whole.join(kept, "kept_id", "left_semi").withColumn("copy", first).filter("copy = 1")
-    return whole.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    """``docs`` with one row of each group of near-duplicates: the one of the smallest id, of rows without an id any one if the group has no other.
+
+    Different texts under one id, and texts of rows without an id, stay unless they are duplicates of what is kept.  Texts without a word
+    are duplicates of nothing and stay.  Of repeated rows one stays (those that differ in other columns count as repeated if id
+    and text are equal).  See ``near_duplicates`` for the other cases."""
+    found = _components(docs, id_col, text_col, k, percent).filter("component IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("first")
+    kept = found.groupBy("component").agg(first).select(F.col("first.doc_id").alias("i"), F.col("first.text_id").alias("t"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    named = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.unhex(F.md5(text)).alias("t"), whole, text.rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    order = F.row_number().over(Window.partitionBy("i", "t").orderBy(F.xxhash64("row")))
+    one = (named.filter("worded").join(kept.withColumnsRenamed({"i": "ki", "t": "kt"}), F.col("i").eqNullSafe(F.col("ki")) & (F.col("t") == F.col("kt")), "left_semi")
+           .withColumn("copy", order).filter("copy = 1").select("row"))
+    return one.unionAll(named.filter("NOT worded").select("row")).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -66,8 +66,29 @@ def test_hard_rows(make):
 
 def test_rows_without_id_and_empty_table(make):
     got = minhash.near_duplicates(make([(None, "a b c"), (3, "a b c")]), k=3, percent=85)
-    assert sorted(map(tuple, got.collect()), key=str) == [(3, 1, 3, True), (None, 1, None, False)]
+    assert sorted(map(tuple, got.collect()), key=str) == [(3, 1, 3, True), (None, 1, 3, False)]
     assert minhash.near_duplicates(make([])).count() == 0
+    assert minhash.deduplicated(make([])).count() == 0
+
+
+def test_nothing_but_duplicates_is_lost(make):
+    """Rows without an id and different texts under one id stay, unless they are duplicates of what is kept."""
+    a, b, c = ("a b c d e f g h", "one two three four five six", "x y z x y z q")
+    rows = [(None, a), (None, b), (4, c), (4, "quite another text under this id"), (7, a), (None, c), (None, None), (None, ""), (9, " "), (4, c), (None, b), (11, b + " ")]
+    docs = make(rows)
+    out = sorted(((r.doc_id, (r.text or "").strip()) for r in minhash.deduplicated(docs, k=3, percent=85).collect()), key=str)
+    assert out == sorted([(7, a), (11, b), (4, c), (4, "quite another text under this id"), (None, ""), (None, ""), (9, "")], key=str)
+    only = minhash.deduplicated(make([(None, a), (None, a), (None, a + " z"), (None, b)]), k=3, percent=50)
+    assert sorted(r.text[:5] for r in only.collect()) == [a[:5], b[:5]]
+    linked = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(docs, k=3, percent=85).collect()}
+    assert linked[7, 6] == linked[None, 6] == 7
+
+
+def test_bands_follow_the_threshold():
+    for percent in (50, 80, 85, 95, 100):
+        n = minhash.bands_for(percent)
+        assert (1 - min(percent / 100, 1 - 1e-9) ** minhash.ROWS) ** n <= minhash.MISS and n * minhash.ROWS % minhash.BATCH == 0
+    assert minhash.bands_for(85) == 25 and minhash.bands_for(80) == 35
 
 
 def test_deduplicated_keeps_one_of_each_group_and_all_columns(make):
@@ -87,10 +108,10 @@ def test_extra_and_clashing_columns(make):
 
 
 def test_bayesian_bounds():
-    least = minhash.least_matches(85)
+    n = minhash.ROWS * minhash.bands_for(85)
+    least = minhash.least_matches(85, n)
     assert list(least) == sorted(least) and least[0] < 0.85 * minhash.BATCH
     rng = np.random.default_rng(0)
-    n = minhash.ROWS * minhash.BANDS
     a = rng.integers(0, 2**32, (2000, n), dtype=np.uint32)
     for similarity, low, high in ((0.85, 0.999, 1.0), (0.4, 0.0, 0.01)):
         b = np.where(rng.random(a.shape) < similarity, a, a + np.uint32(1))
@@ -101,7 +122,7 @@ def test_signatures_estimate_similarity():
     words = minhash.WordHashes()
     x = minhash.shingles(" ".join(f"a{i}" for i in range(3000)), 3, words)
     y = minhash.shingles(" ".join(f"a{i}" for i in range(600, 3000)), 3, words)
-    assert abs((minhash.signature(x) == minhash.signature(y)).mean() - len(y) / len(x)) < 0.15
+    assert abs((minhash.signature(x, 25) == minhash.signature(y, 25)).mean() - len(y) / len(x)) < 0.15
     assert len(minhash.shingles("one two", 3, words)) == 1 and not len(minhash.shingles(None, 3, words))
 
 
