@@ -25,12 +25,14 @@ from claimwise.llm.common import LETTERS, mixed, short_batches, stored
 SAMPLE_DOCS = 1500
 #: Rounds of expectation maximisation.
 ROUNDS = 3
-#: Distinct words kept from one language's sample, the most frequent first.
-SAMPLE_WORDS = 60_000
-#: Letter runs longer than this are cut, each part a word of its own (no letter is left out).
-WORD_CHARS = 40
+#: Words up to this length are summed in plain numbers, many at once, longer ones one by one in logarithms (plain products would vanish).
+PLAIN_CHARS = 40
+#: Characters of a long word whose pieces are looked up at once.
+LONG_BLOCK = 1 << 16
 #: Words whose log probabilities a task remembers.
 KNOWN_WORDS = 450_000
+#: Least log probability a letter by which a text may fall short of its language's median, and the further room of short texts in usual deviations.
+ROOM, SHORT = 1.5, 8.0
 MARK = "▁"
 UNKNOWN = 1e-7
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -50,7 +52,7 @@ def split_words(text: str | None) -> list[str]:
     out = []
     for w in LETTERS.findall(text.lower()) if text else ():
         if w.isalpha():  # marks and numbers that count as word characters are no letters
-            out += [w] if len(w) <= WORD_CHARS else [w[i:i + WORD_CHARS] for i in range(0, len(w), WORD_CHARS)]
+            out.append(w)
         else:
             out += split_words("".join(c if c.isalpha() else " " for c in w))
     return out
@@ -125,9 +127,48 @@ class Pieces:
                 ends.append(found)
             yield rows, width, ends
 
+    def ending(self, word: str, low: int, high: int) -> np.ndarray:
+        """Pieces of a marked word that end at its places ``low`` < end <= ``high``: numbers by (length - 1, end - low - 1), -1 where there is none."""
+        begin = max(0, low - self.longest)
+        chars = np.frombuffer(word[begin:high].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        out = np.full((self.longest, high - low), -1, np.int32)
+        rolling = np.zeros(len(chars), np.uint64)
+        for length in range(1, self.longest + 1):
+            # hash of the ``length`` characters that end at each place
+            rolling = chars.copy() if length == 1 else np.concatenate([np.zeros(1, np.uint64), rolling[:-1]]) * BASE + chars
+            ids = self.find(rolling)
+            ids[:length - 1] = -1
+            if length == 1:
+                ids[ids < 0] = self.n
+            out[length - 1] = ids[low - begin:]
+        return out
+
+    def long_forward(self, word: str, log_prob: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of a word of any length, for each place of its end: log probability of what stands before under each language, pieces that end there."""
+        word = MARK + word
+        before = np.zeros((1, log_prob.shape[1]))  # of the last places, the nearest last
+        for low in range(0, len(word), LONG_BLOCK):
+            found = self.ending(word, low, min(len(word), low + LONG_BLOCK))
+            for ids in found.T:
+                lengths = np.flatnonzero(ids >= 0)
+                each = before[-1 - lengths] + log_prob[ids[lengths]]
+                top = each.max(axis=0)
+                now = top + np.log(np.exp(each - top).sum(axis=0))
+                before = np.vstack((before[-self.longest + 1:], now))
+                yield now, ids
+
     def forward(self, words: list[str], prob: np.ndarray) -> np.ndarray:
         """log probability of each word (rows) under each language (columns); prob: pieces + 1 by languages."""
         out = np.empty((len(words), prob.shape[1]))
+        short = [i for i, w in enumerate(words) if len(w) <= PLAIN_CHARS]
+        if len(short) < len(words):
+            log_prob = np.log(prob)
+            for i in sorted(set(range(len(words))).difference(short)):
+                for now, _ in self.long_forward(words[i], log_prob):
+                    pass
+                out[i] = now
+            out[short] = self.forward([words[i] for i in short], prob)
+            return out
         last = np.array([len(w) + 1 for w in words], np.int64)
         for rows, width, ends in self.edges(words, 5):  # fewer, larger arrays; what follows a word's end is not read
             alpha = np.zeros((width + 1, len(rows), prob.shape[1]))
@@ -138,9 +179,29 @@ class Pieces:
             out[rows] = np.log(alpha[last[rows], np.arange(len(rows))])
         return out
 
+    def long_expected(self, word: str, weight: float, prob: np.ndarray) -> np.ndarray:
+        """Expected piece counts of one long word, in logarithms."""
+        counts, log_prob = np.zeros(self.n + 1), np.log(prob)
+        steps = list(self.long_forward(word, log_prob))
+        alpha = np.concatenate([[0.0], [float(now[0]) for now, _ in steps]])
+        beta = np.full(len(alpha), -np.inf)
+        beta[-1] = 0.0
+        for end in range(len(steps), 0, -1):
+            ids = steps[end - 1][1]
+            lengths = np.flatnonzero(ids >= 0) + 1
+            through = log_prob[ids[lengths - 1], 0] + beta[end]
+            beta[end - lengths] = np.logaddexp(beta[end - lengths], through)
+            counts[ids[lengths - 1]] += weight * np.exp(alpha[end - lengths] + through - alpha[-1])
+        return counts
+
     def expected(self, words: list[str], weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
         """Expected piece counts of one language's words under its probabilities (forward and backward)."""
         counts = np.zeros(self.n + 1)
+        short = [i for i, w in enumerate(words) if len(w) <= PLAIN_CHARS]
+        if len(short) < len(words):
+            for i in sorted(set(range(len(words))).difference(short)):
+                counts += self.long_expected(words[i], float(weight[i]), prob)
+            words, weight = [words[i] for i in short], weight[short]
         p = prob[:, 0]
         for rows, width, ends in self.edges(words):
             alpha = np.zeros((width + 1, len(rows)))
@@ -184,18 +245,20 @@ class Scorer:
             self.number.update(zip(part, range(n, n + len(part)), strict=True))
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
-    def __call__(self, words: list[str]) -> tuple[str, float]:
-        """Language and posterior of a text's words; ('und', 0.0) without a letter or without languages."""
+    def __call__(self, words: list[str]) -> tuple[str, float, float, int]:
+        """Language, its posterior, log probability a character and number of characters of a text's words; ('und', 0.0, 0.0, 0) without a letter or without languages."""
         if not words or not self.model.langs:
-            return "und", 0.0
-        total = self.model.prior.copy()
+            return "und", 0.0, 0.0, 0
+        total = np.zeros(len(self.model.langs))
         for at in range(0, len(words), KNOWN_WORDS // 4):
             total += self.logs[self._numbers(words[at:at + KNOWN_WORDS // 4])].sum(axis=0)
-        share = np.exp(total - total.max())
-        best = int(np.argmax(total))  # ties: the first language in order
-        return self.model.langs[best], float(share[best] / share.sum())
+        chars = sum(map(len, words))
+        likely = total + self.model.prior
+        share = np.exp(likely - likely.max())
+        best = int(np.argmax(likely))  # ties: the first language in order
+        return self.model.langs[best], float(share[best] / share.sum()), float(total[best] / chars), chars
 
-    def many(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
+    def many(self, texts: list[str | None]) -> Iterator[tuple[str, float, float, int]]:
         """Scores of a batch; its new words are scored at once, as long as the batch and they can be remembered."""
         split, held, words = [], 0, set()
         for t in texts:
@@ -235,7 +298,7 @@ def fit(docs: DataFrame, lang: Column, text: Column, key: Column, vocabulary: st
     table = Pieces(pieces)
     columns = []
     for name in langs:
-        own = words.filter(F.col("lang") == name).orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).toPandas()
+        own = words.filter(F.col("lang") == name).toPandas().sort_values(["n", "word"], ascending=[False, True])  # the words of the sample
         own_words, weight = own["word"].tolist(), own["n"].to_numpy(float)
         # start from uniform pieces, so that short cuts are not preferred beforehand
         prob = np.full((table.n + 1, 1), 1.0 / table.n)
@@ -250,18 +313,42 @@ def fit(docs: DataFrame, lang: Column, text: Column, key: Column, vocabulary: st
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", into: str = "language") -> DataFrame:
-    """``docs`` with one added struct column ``into``: ``lang_pred`` and ``score``.
+    """``docs`` with one added struct column ``into``: ``lang_pred``, ``score``, ``fit`` and ``n_letters``.
 
     ``lang_pred`` is a learned language, or 'und' with score 0.0 for a null text and one without a letter (empty and blank
-    ones among them); ``score`` is the posterior of the language, from 0 to 1.  Ties go to the first language in order.  Texts are
+    ones among them); ``score`` is the posterior of the language, from 0 to 1, among the learned ones; ``fit`` the log probability a letter under it, over
+    all ``n_letters``, which is low for other languages and for no language.  Ties go to the first language in order.  Texts are
     read whole; a row's result depends on its text alone, so repeated rows agree; an empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # pieces x languages numbers
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, fit double, n_letters bigint")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for texts in batches:
-            yield pd.DataFrame(list(scorer.many([t if isinstance(t, str) else None for t in texts])), columns=["lang_pred", "score"])
+            yield pd.DataFrame(list(scorer.many([t if isinstance(t, str) else None for t in texts])), columns=["lang_pred", "score", "fit", "n_letters"])
 
     short_batches(docs.sparkSession)
     return docs.withColumn(into, run(F.col(f"`{text_col}`")))
+
+
+def usual_fit(found: DataFrame, lang: Column, into: str = "language") -> dict[str, tuple[float, float, float]]:
+    """Per language, over all rows of ``found`` that are labelled and predicted with it: the median of their fits; how far below it a
+    long text may lie, twice as far as all but a thousandth do, ``ROOM`` at least; and the usual deviation times the root of the number of letters."""
+    rows = found.select(lang.alias("lang"), F.col(f"{into}.*")).filter("lang = lang_pred AND n_letters > 0")
+    low = {r["lang"]: r["q"] for r in rows.groupBy("lang").agg(F.percentile_approx("fit", [0.5, 0.001], 10_000).alias("q")).collect()}
+    if not low:
+        return {}
+    centre = F.create_map(*[F.lit(x) for name, q in low.items() for x in (name, q[0])])[F.col("lang")]
+    off = F.abs(F.col("fit") - centre) * F.sqrt("n_letters")
+    spread = {r["lang"]: r["s"] for r in rows.groupBy("lang").agg(F.percentile_approx(off, 0.5, 10_000).alias("s")).collect()}
+    return {name: (middle, max(ROOM, 2 * (middle - least)), spread[name]) for name, (middle, least) in low.items()}
+
+
+def fits(usual: dict[str, tuple[float, float, float]], into: str = "language") -> Column:
+    """Whether a text lies in the range of its predicted language: texts of a language not learned, or of none, lie far below.  Short texts
+    have more room."""
+    out = F.lit(False)
+    for name, (middle, room, spread) in usual.items():
+        least = F.lit(middle - room) - SHORT * spread / F.sqrt(f"{into}.n_letters")
+        out = F.when(F.col(f"{into}.lang_pred") == name, F.col(f"{into}.fit") >= least).otherwise(out)
+    return out

@@ -27,7 +27,7 @@ def test_hard_rows(fitted, make):
     _, model = fitted
     got = {(r.doc_id): r.language for r in langid.predict(make(HARD), model).collect()}
     for i in (1, 2, 3, 10):  # null, empty, blank, no letter
-        assert tuple(got[i]) == ("und", 0.0)
+        assert tuple(got[i]) == ("und", 0.0, 0.0, 0)
     assert got[4] == got[5] and got[7].lang_pred in model.langs and all(0 <= v.score <= 1 for v in got.values())
     assert langid.predict(make([]), model).count() == 0
 
@@ -35,7 +35,7 @@ def test_hard_rows(fitted, make):
 def test_nothing_to_learn_from(make):
     docs = make([(1, "abc", None), (2, None, "en")])
     model = langid.fit(docs, F.col("lang"), F.col("text"), F.col("doc_id"), VOCABULARY)
-    assert [tuple(r.language) for r in langid.predict(docs, model).collect()] == [("und", 0.0)] * 2
+    assert [tuple(r.language) for r in langid.predict(docs, model).collect()] == [("und", 0.0, 0.0, 0)] * 2
 
 
 def segmentations(word, pieces, prob):
@@ -72,7 +72,36 @@ def test_expected_counts_are_the_derivative():
         assert got[i] == pytest.approx(slope, rel=1e-3, abs=1e-6)
 
 
+def test_long_words_are_summed_whole(monkeypatch):
+    """One by one in logarithms gives what the plain sums give, over block borders too, and longer words do not vanish."""
+    rng = np.random.default_rng(3)
+    pieces = [langid.MARK, langid.MARK + "a", "a", "b", "ab", "ba", "bab", "abab"]
+    table, prob = langid.Pieces(pieces), rng.random((len(pieces) + 1, 3)) / 5
+    words = ["".join(rng.choice(list("abxé"), n)) for n in (1, 2, 7, 30, 39, 40)]
+    weight = rng.random(len(words))
+    plain, counts = table.forward(words, prob), table.expected(words, weight, prob[:, :1])
+    numbers = {p: i for i, p in enumerate(pieces)}
+    assert np.exp(plain[:3]) == pytest.approx(np.array([segmentations(langid.MARK + w, numbers, prob) for w in words[:3]]))
+    for block in (langid.LONG_BLOCK, 3):
+        monkeypatch.setattr(langid, "PLAIN_CHARS", 0)
+        monkeypatch.setattr(langid, "LONG_BLOCK", block)
+        assert table.forward(words, prob) == pytest.approx(plain)
+        assert table.expected(words, weight, prob[:, :1]) == pytest.approx(counts)
+    monkeypatch.undo()
+    long = "".join(rng.choice(list("ab"), 5000))
+    whole = table.forward([long, long[:2500]], prob)
+    assert np.isfinite(whole).all() and (whole[0] < whole[1]).all()
+
+
 def test_words_of_a_text():
     assert langid.split_words("The 3 cats, l'été!\nA_b") == ["the", "cats", "l", "été", "a", "b"]
     long = "x" * 101
-    assert "".join(langid.split_words(long)) == long and langid.split_words(None) == []
+    assert langid.split_words(long) == [long] and langid.split_words(None) == []
+
+
+def test_clashing_columns(fitted, make):
+    _, model = fitted
+    docs = make(HARD)
+    clash = docs.withColumns({c: F.lit("x") for c in ("lang_pred", "score", "fit", "word", "n", "key")})
+    got = [sorted((r.doc_id, tuple(r.language)) for r in langid.predict(x, model).collect()) for x in (docs, clash)]
+    assert got[0] == got[1]
