@@ -134,7 +134,8 @@ def failures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{part_col}`").cast("string"), F.lit("")).alias("part"), F.col(f"`{text_col}`"))
     rows = stored(rows.mapInArrow(run, "doc_id long, part string, n_words long, n_distinct long, flags int, digest binary"), "audit-flags")
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
+    # a table of its own: a text that a third of the rows share is then split by the join, which an aggregate right below it would prevent
+    first = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"), "audit-first")
     return (rows.join(first, "digest", "left")
             .select("doc_id", "part", "n_words", "n_distinct", (F.col("flags") + F.when(F.col("doc_id") > F.col("least"), 16).otherwise(0)).alias("fails")))
 
