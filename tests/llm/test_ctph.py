@@ -67,3 +67,87 @@ def test_fingerprints_keep_columns(make):
     got = {r.doc_id: r.fingerprint for r in out.collect()}
     assert got[1] == got[2] and got[3] == "0::" and out.columns[:2] == ["doc_id", "text"]
     assert len(ctph.fingerprint("a" * 200_000)) < 200  # one byte's repeats have no boundaries, or all of them
+
+
+WORD64 = 2**64
+
+
+def plain_mix(x):
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> 33)) * factor % WORD64
+    return x ^ (x >> 33)
+
+
+def plain_fingerprint(text):
+    """The method byte by byte: rolling hash over seven bytes, cuts by trailing zeros, a character a chunk at two block sizes."""
+    data = [b + 1 for b in (text or "").encode()]
+    if not data:
+        return "0::"
+    levels = []
+    for i in range(len(data)):
+        h = plain_mix(sum(data[i - k] * pow(0x100000001B3, k + 1, WORD64) for k in range(min(7, i + 1))) % WORD64)
+        levels.append((h & -h).bit_length() - 1 if h else 48)
+    levels[-1] = 99  # the last chunk ends with the text
+    k = next(k for k in range(100) if sum(x >= k for x in levels) <= 64)
+
+    def signature(level):
+        out, chunk = "", []
+        for b, x in zip(data, levels, strict=True):
+            chunk.append(b)
+            if x >= level:
+                value = 0
+                for c in chunk:
+                    value = (value * 0x5851F42D4C957F2D + c) % WORD64
+                out += "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[plain_mix(value ^ len(chunk)) >> 58]
+                chunk = []
+        return out
+
+    return f"{k}:{signature(k)}:{signature(k + 1)}"
+
+
+def plain_likeness(a, b):
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            new = [i]
+            for j, d in enumerate(y, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return row[-1]
+
+    if a == b:
+        return 1.0
+    (ka, *sa), (kb, *sb) = a.split(":"), b.split(":")
+    common = {int(ka) + i: s for i, s in enumerate(sa)}
+    scores = [0.0]
+    for i, s in enumerate(sb):
+        other = common.get(int(kb) + i)
+        if other is not None and max(len(s), len(other)):
+            scores.append(1 - distance(s, other) / max(len(s), len(other)))
+    return max(scores)
+
+
+def test_fingerprints_and_likeness_against_the_plain_method(make, sample):
+    rows = [(i, t) for i, t in zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True) if len(t) < 4000][:40]
+    rows += [(10**6 + i, t) for i, t in enumerate(["", "a", "abc", "é\U0001f600" * 9, "word " * 300, None])]
+    walk = [(i, t or "") for i, t in sorted(rows)]
+    expected = []
+    for n, (i, t) in enumerate(walk):
+        following = walk[(n + 1) % len(walk)][1]
+        q = len(t) // 4
+        new = t[:len(t) - q] + following[:q]
+        a, b, c = map(plain_fingerprint, (t, new, following))
+        expected.append((i, len(t), hashlib.sha256(new.encode()).hexdigest(), a, b, plain_likeness(a, b), plain_likeness(a, c)))
+    docs = make(rows)
+    got = sorted(map(tuple, ctph.compare_with_edits(docs).collect()))
+    assert [r[:5] for r in got] == [r[:5] for r in expected]
+    assert [x for r in got for x in r[5:]] == [round(x, 12) or 0.0 for r in expected for x in r[5:]] or all(
+        abs(x - y) < 1e-12 for r, e in zip(got, expected, strict=True) for x, y in zip(r[5:], e[5:], strict=True))
+    clash = docs.withColumns({c: F.lit("x") for c in ("task", "head", "tail", "fingerprint", "next_fingerprint", "end", "edited_sha256")})
+    assert sorted(map(tuple, ctph.compare_with_edits(clash).collect())) == got
+
+
+def test_rows_without_id_come_first(make):
+    got = ctph.compare_with_edits(make([(2, "efgh" * 9), (None, "abcd" * 9)])).collect()
+    new = {r.doc_id: r.edited_sha256 for r in got}
+    assert new[None] == hashlib.sha256(("abcd" * 9)[:27].encode() + b"efghefghe").hexdigest() and new[2] == hashlib.sha256(("efgh" * 9)[:27].encode() + b"abcdabcda").hexdigest()

@@ -81,3 +81,51 @@ def test_draws_add_up(slots, shards):
     got = mixing.draw(np.array(slots), shards, 3)
     assert (got >= 0).all() and got.sum(axis=0).tolist() == slots
     assert got.sum(axis=1).max() - got.sum(axis=1).min() <= 1
+
+
+def plain_permutation(index, size, key):
+    """Four Feistel rounds on the next even number of bits, walked until inside, one number at a time."""
+    half, mask = max(1, ((max(size, 2) - 1).bit_length() + 1) // 2), 2**64 - 1
+    x = index
+    while True:
+        a, b = x >> half, x & ((1 << half) - 1)
+        for r in range(4):
+            f = ((b + r + 1) * 0x9E3779B97F4A7C15 + key * 0xD1B54A32D192ED03) & mask
+            f = ((f ^ (f >> 29)) * 0xBF58476D1CE4E5B9) & mask
+            a, b = b, a ^ ((f ^ (f >> 32)) & ((1 << half) - 1))
+        x = a << half | b
+        if x < size:
+            return x
+
+
+def test_taken_words_against_blocks_filled_by_hand(make):
+    from pyspark.sql import functions as F
+
+    rows = [(i, " ".join(["w"] * (3 + i * 13 % 70)), "en", [None, "a", "b", "é", "b", "b"][i % 6]) for i in range(90)] + [(None, "x y z", "en", "a"), (7, None, "en", "a")]
+    docs, block, shards, seed = make(rows), 8, 5, 20
+    got = sorted(((r.doc_id, r.source, r.size, r.taken) for r in mixing.mix(docs, block=block, shards=shards, seed=seed).collect()), key=str)
+    mark = F.xxhash64("text", "source")
+    places = docs.select("doc_id", "source", "text", mark.alias("mark"), F.pmod(F.xxhash64("doc_id", mark), F.lit(mixing.CELLS)).alias("cell")).collect()
+    names = sorted({r.source for r in places}, key=lambda s: (s is None, s or ""))
+    laid = {s: sorted((r for r in places if r.source == s), key=lambda r: (r.cell, r.doc_id is not None, r.doc_id or 0, r.mark)) for s in names}
+    sizes = [sum(words(r.text) for r in laid[s]) for s in names]
+    blocks = [-(-n // block) for n in sizes]
+    wanted = mixing.targets(sizes, mixing.cycling_weights(names))
+    slots = [min(3 * b, round(t * b / n)) for n, b, t in zip(sizes, blocks, wanted, strict=True)]
+    counts = mixing.draw(np.array(slots), shards, seed)
+    expected = []
+    for i, s in enumerate(names):
+        times, slot = defaultdict(int), 0
+        for shard in range(shards):
+            for _ in range(int(counts[shard, i])):
+                n = blocks[i]
+                times[plain_permutation(slot % n, n, i * 1_000_003 + slot // n * 7919 + seed)] += 1
+                slot += 1
+        at = 0
+        for r in laid[s]:
+            n = words(r.text)
+            expected.append((r.doc_id, s, n, sum(times[w // block] for w in range(at, at + n))))
+            at += n
+    assert got == sorted(expected, key=str)
+    clash = docs.withColumns({c: F.lit("x") for c in ("mark", "cell", "size", "block", "slot", "times", "start", "end", "number", "target")})
+    assert sorted(((r.doc_id, r.source, r.size, r.taken) for r in mixing.mix(clash, block=block, shards=shards, seed=seed).collect()), key=str) == got

@@ -42,3 +42,20 @@ def test_stages_survive_hard_rows_and_empty_tables(spark, make):
         for name, stage in pipeline.STAGES:
             out = stage(spark, docs, "")
             assert out.count() <= 3 * len(rows) and (name == "tokens" or out.columns == docs.columns)
+
+
+SWAHILI = ("Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu. Kila mtu anastahili "
+           "kuwa na haki zote na uhuru wote ambao umeelezwa katika taarifa hii bila ya ubaguzi wo wote, kama vile wa rangi, taifa, wanaume na wanawake.")
+RUSSIAN = ("Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении "
+           "друг друга в духе братства. Каждый человек должен обладать всеми правами и всеми свободами без какого бы то ни было различия.")
+NONSENSE = "xqzv kjwq zzxv qqpk vwxz jqkx wvzq pqxj zkvw qxzj kkqz vjxw zqpv xwkj qvzx jzkq wqxv zvkp qjxz vkwz xzqp jvkq zxwv qkzj pvxq wzkj"
+
+
+def test_unlearned_languages_and_nonsense_go_and_learned_ones_stay(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(10**6 + i, t, None, "x", len(t)) for i, t in enumerate([SWAHILI, RUSSIAN, NONSENSE, SWAHILI * 20, NONSENSE * 20, "12 34 !!", ""])]
+    rows += [(None, NONSENSE, None, "x", 1)]
+    planted = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    left = [r.doc_id for r in pipeline.language(spark, planted, sf_dir).select("doc_id").collect()]
+    assert sorted(left) == sorted(r.doc_id for r in docs.select("doc_id").collect())

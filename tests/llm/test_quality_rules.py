@@ -71,3 +71,31 @@ def test_clean_texts_of_scripts_without_case_stay(make):
     rows += [(20, " ".join(f"LOUD{chr(65 + i % 26)}{chr(65 + i // 26)}" for i in range(60))), (21, " ".join(chr(97 + i % 26) * 40 + str(i) for i in range(60)))]
     kept = {r.doc_id: r.quality.kept for r in quality_rules.judge(make(rows)).collect()}
     assert kept == {0: True, 1: True, 2: True, 3: True, 10: True, 11: True, 20: False, 21: False}
+
+
+def kept_plainly(text):
+    """Base and all eight rules over the text, in any order."""
+    import unicodedata
+
+    text = text or ""
+    n, chars, symbols, dup, again, base = brute(text)
+    if base:
+        return False
+    words, lines = WORD.findall(text), text.split("\n")
+
+    def kind(*kinds):
+        return sum(unicodedata.category(c).startswith(kinds) for c in text)
+
+    return not (
+        100 * symbols > 5 * chars or 100 * dup > 50 * len(lines) or chars > 25 * n or chars < 2 * n or 100 * sum(c in "!?" for c in text) > 8 * chars
+        or 100 * kind("Lu") > 50 * kind("L") or 100 * sum(w == w.upper() != w.lower() for w in words) > 60 * n or 100 * kind("L", "M") < 50 * chars
+        or 100 * again > 40 * n)
+
+
+def test_verdicts_match_the_rules_one_by_one(make, sample):
+    varied = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80))
+    texts = sample["text"].tolist() + [None, "", varied, varied.upper(), varied + "#" * 40, varied.replace(" ", "! ") + "!!!!", varied + " 12345678901234567890" * 40,
+                                       "\n".join(["same line"] * 20 + [varied]), " ".join("a" for _ in range(3)) + " " + varied, " ".join(f"{i}" for i in range(90)),
+                                       " ".join(f"w{'x' * 30}{i}" for i in range(60)), varied + " " + " ".join(["one two three"] * 12)]
+    got = {r.doc_id: r.quality.kept for r in quality_rules.judge(make(list(enumerate(texts)))).collect()}
+    assert got == {i: kept_plainly(t) for i, t in enumerate(texts)} and 20 < sum(got.values()) < len(texts)

@@ -55,3 +55,39 @@ def test_folded_layer_equals_the_softmax():
     z = weights @ m.vectors[ids] @ m.layer + m.bias
     assert abs((z[1] - z[0]) - (bias + w[words].mean() + c[chars].mean())) < 1e-4
     assert subword.SAME in words  # a repeated word
+
+
+def test_scores_are_the_softmax_over_plain_features(make):
+    """Features counted by hand: words, pairs and byte n-grams of each text, their buckets' vectors averaged, then the softmax."""
+    import xxhash
+
+    m = subword.Model()
+    rng = np.random.default_rng(4)
+    m.layer, m.bias = rng.normal(size=m.layer.shape).astype(np.float32), np.array([0.3, -0.2])
+    mask = 2**64 - 1
+
+    def finish(x):
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ (x >> 33)) * factor & mask
+        return x ^ (x >> 33)
+
+    def score(text):
+        data = (text or "").encode()
+        h = [xxhash.xxh3_64_intdigest(w) for w in data.split()]
+        words = [finish(x) >> 50 for x in h] + [0 if a == b else finish(a * 0xD6E8FEB86659FD93 + b & mask) >> 50 for a, b in zip(h, h[1:])]
+        chars = [(int.from_bytes(bytes([n]) + data[i:i + n], "big") * 0x9E3779B97F4A7C15 & mask) >> 50 for n in (3, 4) for i in range(len(data) - n + 1)]
+        hidden = np.zeros(subword.SIZE)
+        for ids, first in ((words, 0), (chars, subword.WORD_BUCKETS)):
+            if ids:
+                hidden += np.mean([m.vectors[first + i].astype(float) for i in ids], axis=0)
+        z = hidden @ m.layer + m.bias
+        return float(np.exp(z[1]) / np.exp(z).sum())
+
+    rows = [*[r for r in HARD if r[0] not in (7, 8)], (20, "some words words and more, some more"), (21, "é\x00ab")]
+    docs = make(rows)
+    got = sorted((r.doc_id, r.quality.score) for r in subword.score(docs, m.folded()).collect())
+    expected = sorted((r[0], score(r[1])) for r in rows)
+    assert [i for i, _ in got] == [i for i, _ in expected]
+    assert np.allclose([s for _, s in got], [s for _, s in expected], atol=1e-5)
+    clash = docs.withColumns({c: F.lit("x") for c in ("score", "predicted", "ids", "words", "label", "class")})
+    assert sorted((r.doc_id, r.quality.score) for r in subword.score(clash, m.folded()).collect()) == got
