@@ -18,11 +18,14 @@ SURE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without a letter and those between languages go."""
-    learned = docs.filter(crc_remainder(F.col("doc_id"), 3) != 1)
-    model = langid.fit(learned, F.col("lang"), F.col("text"), F.col("doc_id"), public_tokenizers.path("piece_bpe_32k.model"))
-    found = langid.predict(docs, model, into="__language")
-    return found.filter((F.col("__language.lang_pred") != "und") & (F.col("__language.score") >= SURE)).select(*docs.columns)
+    """Documents in a learned language: those without a letter, between languages, and far from what the labelled texts of their
+    language look like (other languages, no language) go."""
+    fold = crc_remainder(F.col("doc_id"), 3) != 1
+    model = langid.fit(docs.filter(fold), F.col("lang"), F.col("text"), F.col("doc_id"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = stored(langid.predict(docs, model, into="__language"), "pipeline-languages")
+    usual = langid.usual_fit(found.filter(fold), F.col("lang"), into="__language")
+    told = (F.col("__language.lang_pred") != "und") & (F.col("__language.score") >= SURE)
+    return found.filter(told & langid.fits(usual, into="__language")).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
