@@ -2,8 +2,7 @@
 
 A chain is ``functools.reduce`` over steps; every step decides once per frame
 (from ``FrameMeta`` and the frame's columns) whether it applies, never per row.
-Lookups are joins: broadcast when their row count is proven small
-by the planner's statistics, shuffle joins otherwise (AQE splits skewed keys).
+Lookups are plain joins: the planner's statistics and adaptive execution choose how they run.
 """
 
 from __future__ import annotations
@@ -14,8 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimwise.functions.scalars import (clean_package_name, empty_if_null, is_classified,
-                                         java_trim, main_region, pad_zeros, pharmacy_type,
+from claimwise.functions.scalars import (clean_package_name, computed_amount, daily_doses,
+                                         empty_if_null, is_classified, java_trim, main_region, pad_zeros, pharmacy_type,
                                          quarter_begin_text, quarter_end_text, sha256_hex,
                                          strict_int)
 from claimwise.operators.rowfilters import FrameMeta, targets
@@ -350,11 +349,11 @@ class DrugCatalogue:
         for c in appended:
             v = F.coalesce(F.col(f"_c_{c}"), F.lit(""))
             if c == DDD:
-                v = F.when(v != "", gate(strict_int(v) / F.lit(1000.0) * pk)).cast("double")
+                v = F.when(v != "", gate(daily_doses(v, pk))).cast("double")
             out_cols.append(v.alias(c))
         if self._pack_size_is_meta():
             ps = F.coalesce(F.col(f"_c_{PACK_SIZE}"), F.lit(""))
-            amount = F.when(ps != "", gate(strict_int(ps) / F.lit(10.0) * pk)).cast("double")
+            amount = F.when(ps != "", gate(computed_amount(ps, pk))).cast("double")
         else:
             amount = F.lit(None).cast("double")
         out_cols.append(amount.alias(AMOUNT))

@@ -160,15 +160,7 @@ def quarter_calendar(spark, lower_year: int, upper_year: int, slices: list[str]
     return cal.select(F.explode(F.array(*[F.lit(s) for s in slices])).alias("slice"), "year", "quarter")
 
 
-def pad_to_years(counts: DataFrame, lower_year: int, upper_year: int) -> DataFrame:
-    """Left join one slice's counts onto the whole-year calendar, zero for gaps."""
-    cal = quarter_calendar(counts.sparkSession, lower_year, upper_year)
-    bounded = counts.filter(F.col("year").between(lower_year, upper_year) & F.col("quarter").between(1, 4))
-    return (cal.join(F.broadcast(bounded), ["year", "quarter"], "left")
-            .select("year", "quarter", F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("cnt")))
-
-
-def year_on_year(padded: DataFrame, lower_year: int | None = None) -> DataFrame:
+def year_on_year(padded: DataFrame) -> DataFrame:
     """ratio = cnt / cnt four quarters earlier; 0.0 when the earlier count is 0 or absent.
 
     ``out_of_tolerance`` flags ratios outside [0.5, 1.5], except on the first four

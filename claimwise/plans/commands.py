@@ -29,6 +29,7 @@ from claimwise.operators.quality import MalformedCount
 from claimwise.operators.rowfilters import FrameMeta, apply_filters, certain_diagnoses
 from claimwise.sources import layout as L
 from claimwise.sources import sinks as W
+from claimwise.sources import versions as V
 
 
 def clean_frame(df: DataFrame) -> DataFrame:
@@ -99,14 +100,19 @@ def makedecode(ids: DataFrame, membership: DataFrame, insurers: list[str], order
 
 def fingerprint(master: DataFrame, region: DataFrame, diagnoses: DataFrame, drugs: DataFrame,
                 meta: FrameMeta = FrameMeta("ADB", "Vers_Stamm"), out: str | None = None,
-                version: str = "1") -> DataFrame:
-    """Fingerprints of the master persons, appended to the master table as ``pid_hash``
-    (written as a new version when ``out``)."""
+                slice_col: str = "bezugsjahr") -> DataFrame:
+    """Fingerprints of the master persons, appended to the master table as ``pid_hash``.
+
+    With ``out`` the table there gets a new version (``sources.versions``; its first rows are the master's), in which only slices with changed
+    persons are written."""
+    spark = master.sparkSession
     fps = FP.fingerprints(master, region, certain_diagnoses(diagnoses), drugs)
-    updated = run_chain(master, [FingerprintColumn(fps)], meta)
     if out:
-        W.write_new_version(updated, out, version)
-    return updated
+        if V.newest(spark, out) is None:
+            V.create(master.drop("pid_hash"), out, slice_col)
+        V.update_column(spark, out, fps.withColumnRenamed("fingerprint", "pid_hash"), "pid", "pid_hash")
+        return V.read(spark, out)
+    return run_chain(master, [FingerprintColumn(fps)], meta)
 
 
 def scores(facts: DataFrame, patterns: DataFrame, start_year: int, end_year: int, as_of: str,

@@ -143,12 +143,13 @@ def fingerprint_append(spark, d):
         F.lit("stale").alias("pid_hash"))
     step = E.FingerprintColumn(_fingerprints(spark, d))
     updated = E.run_chain(master, [step], FrameMeta("ACC_ADB", "AVK_ADB_T_VERS_STAMM"))
-    # the updated master table is written as a new version next to the old one
+    # the updated master table is a new version next to the old one
     from claimwise.session import scratch_path
-    from claimwise.sources.sinks import write_new_version
+    from claimwise.sources import versions as V
 
-    path = write_new_version(updated, scratch_path(spark, "vers_stamm"), "1")
-    return spark.read.parquet(path)
+    base = scratch_path(spark, "vers_stamm")
+    V.create(updated.withColumn("region", F.substring("pid", -1, 1)), base, "region")
+    return V.read(spark, base).drop("region")
 
 
 def _yearly(spark, d):

@@ -6,6 +6,7 @@ the operators with ``try_*`` casts.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -105,6 +106,24 @@ def _regex_quote(sep: str) -> str:
     return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
 
 
+def year_predicates(column: str, first_year: int, last_year: int, conditions: tuple[str, ...] = ()) -> list[str]:
+    """One condition for each year of a closed range, so that every year of a warehouse table is read by a task of its own; none
+    overlap and no year is left out.  ``conditions`` are added to each."""
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_$]*", column):
+        raise ValueError(f"not a column name: {column}")
+    if first_year > last_year:
+        raise ValueError(f"no years from {first_year} to {last_year}")
+    return [" AND ".join([f"{column} = {year}", *(f"({c})" for c in conditions)]) for year in range(first_year, last_year + 1)]
+
+
+def read_relational(spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str | None = None,
+                    first_year: int | None = None, last_year: int | None = None, conditions: tuple[str, ...] = ()) -> DataFrame:
+    """A warehouse view over JDBC: one query per year of ``column``, or one query without it."""
+    if column is None:
+        return spark.read.jdbc(url, table, predicates=[" AND ".join(f"({c})" for c in conditions) or "1 = 1"], properties=properties)
+    return spark.read.jdbc(url, table, predicates=year_predicates(column, first_year, last_year, conditions), properties=properties)
+
+
 def read_by_index(spark: SparkSession, path: str, columns: dict[str, int], key_index: int,
                   key_name: str = "key", key_width: int | None = None,
                   sep: str = SLICE_SEP) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Writers: slice files, slice merge, decode file, versioned column update."""
+"""Writers: slice files, slice merge, decode file, score files."""
 
 from __future__ import annotations
 
@@ -75,10 +75,6 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def read_slices_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def merge_slices(frames: list[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Concatenate year slices of one table by column name.
 
@@ -95,19 +91,7 @@ def write_decode_file(df: DataFrame, path: str) -> None:
     file_values(df.select("h2ik", "egk_nr", "kv_nummer", "pid")).write.mode("overwrite").options(**RAW_CSV).csv(path)
 
 
-def write_new_version(df: DataFrame, base: str, version: str, slice_col: str | None = None) -> str:
-    """Write an updated table as a new version directory (never overwrite the input
-    being read); readers switch to the returned path."""
-    path = f"{base.rstrip('/')}/_v={version}"
-    write_slices(df, path, slice_col, fmt="parquet")
-    return path
-
-
 def write_scores(df: DataFrame, path: str) -> None:
     """Score rows partitioned by source table and window start."""
     (df.hint("rebalance", "source_table", "window_start").write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS)
      .partitionBy("source_table", "window_start").parquet(path))
-
-
-def with_slice(df: DataFrame, year_col: str, name: str = "slice") -> DataFrame:
-    return df.withColumn(name, F.col(year_col).cast("int"))

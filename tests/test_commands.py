@@ -56,3 +56,16 @@ def test_scores_command(spark):
     facts = q_score.diagnosis_facts(spark, SF0001)
     got = C.scores(facts, q_score.patterns(spark), 1995, 2001, S.AS_OF, insurers=q_score.INSURERS)
     assert rows(got) == rows(q_score.score_sliding(spark, SF0001))
+
+
+def test_fingerprint_command_writes_versions(spark):
+    from claimwise.sources import versions as V
+
+    master = q_person.customer_rows(spark, SF0001).withColumn("bezugsjahr", F.lit(2015))
+    frames = (q_person.region_rows(spark, SF0001), q_person.diagnosis_rows(spark, SF0001), q_person.drug_rows(spark, SF0001))
+    out = scratch_path(spark, "master")
+    first = C.fingerprint(master, *frames, out=out)
+    assert rows(first, "pid", "pid_hash") == rows(C.fingerprint(master, *frames), "pid", "pid_hash")
+    assert V.newest(spark, out).number == 2
+    C.fingerprint(master, *frames, out=out)
+    assert V.newest(spark, out).number == 2  # nothing changed

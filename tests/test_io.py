@@ -192,3 +192,14 @@ def test_an_empty_result_leaves_no_file(spark, tmp_path):
     assert not (tmp_path / "tNone").exists()
     W.write_slices(spark.createDataFrame([("x", 1)], "a string, y int"), str(tmp_path / "full"))
     assert rows(R.read_slices(spark, str(tmp_path / "full"))) == [("x", "1")]
+
+
+def test_predicates_cut_a_table_into_its_years(spark):
+    got = R.year_predicates("bezugsjahr", 2014, 2016, ("h2ik IN ('1', '2')",))
+    assert got == [f"bezugsjahr = {y} AND (h2ik IN ('1', '2'))" for y in (2014, 2015, 2016)]
+    df = spark.createDataFrame([(h, y) for h in "123" for y in range(2012, 2019)], "h2ik string, bezugsjahr int")
+    parts = [df.filter(p).count() for p in got]
+    assert parts == [2, 2, 2] and df.filter(" OR ".join(f"({p})" for p in got)).count() == sum(parts)
+    for bad in (("a b", 2014, 2015), ("x = 1 OR y", 2014, 2015), ("y", 2016, 2015)):
+        with pytest.raises(ValueError):
+            R.year_predicates(*bad)
