@@ -219,13 +219,14 @@ def _prefix_pairs(members: DataFrame, k: int, percent: int) -> DataFrame:
     rows = stored(_prefixes(members, k, percent), "dedup-prefix")
     # overlap that sizes n and m need for the threshold t: t / (1 + t) * (n + m), rounded up
     needed = f"ceil({percent} * ({{}} + {{}}) / {100 + percent}D - 1e-9)"
-    least = rows.groupBy("token").agg(F.min("n").alias("least"), F.count("*").alias("count")).filter("count > 1")
+    least = stored(rows.groupBy("token").agg(F.min("n").alias("least"), F.count("*").alias("count")).filter("count > 1"), "dedup-tokens")
     smallest = f"greatest(least, ceil({percent} * n / 100D - 1e-9))"
     rows = rows.join(least, "token").filter(f"n - place >= {needed.format('n', smallest)}").drop("least", "count")
     by_component = rows.groupBy("token", "component").agg(F.count("*").alias("count"))
     # all but the largest component of a token look for partners: a group that is linked already is not paired with itself
     major = (by_component.groupBy("token").agg(F.max_by("component", F.struct("count", "component")).alias("major"), F.count("*").alias("kinds"))
              .filter("kinds > 1").drop("kinds"))
+    major = stored(major, "dedup-major")
     rows = stored(rows.join(major, "token"), "dedup-postings")
     left = rows.filter("component != major").select("token", *[F.col(c).alias(f"{c}_l") for c in ("id", "component", "place", "n")])
     met = left.join(rows, "token").filter(
@@ -253,7 +254,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, percent: in
     classes = stored(classes, "dedup-classes")
 
     banded = classes.select("id", F.explode(F.pandas_udf(_buckets, "array<long>")("signature")).alias("bucket"))
-    hubs = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
+    # aggregates that rows are joined with are tables of their own: right below a join they would keep it from splitting a hot bucket or token
+    hubs = stored(banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1"), "dedup-hubs")
     members = stored(banded.join(hubs, "bucket"), "dedup-members")
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("i"), F.col("text_id").alias("t"))
     same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_id") == F.col("t"))
@@ -266,6 +268,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, percent: in
     labelled = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     labelled = stored(labelled, "dedup-labelled")
     open_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
+    open_buckets = stored(open_buckets, "dedup-open-buckets")
     unresolved = stored(labelled.join(open_buckets, "bucket"), "dedup-open")
     small = unresolved.filter(F.col("members") <= SMALL).select("bucket", "id", "component")
     other = small.select("bucket", F.col("id").alias("id_2"), F.col("component").alias("component_2"))
