@@ -95,12 +95,12 @@ def ordered(docs: DataFrame, text_col: str, rules: list[Rule]) -> list[tuple[Rul
 
     The sample only decides the order, never a verdict; it is bounded by ``SAMPLE_ROWS``."""
     texts = docs.select(F.col(f"`{text_col}`").alias("sample_text")).filter(F.col("sample_text").isNotNull())
-    rows = texts.sample(0.05, 1).take(SAMPLE_ROWS)
-    rows = rows if len(rows) >= 50 else texts.take(SAMPLE_ROWS)
-    if not rows:
+    rows = stored(texts.sample(0.05, 1).limit(SAMPLE_ROWS), "rule-texts")  # texts of any length: they stay where they are
+    if rows.count() < 50:
+        rows = stored(texts.limit(SAMPLE_ROWS), "rule-texts")
+    if rows.isEmpty():
         return [(r, 0.0, 0.0) for r in rules]
-    spark = docs.sparkSession
-    base = measured(spark.createDataFrame([(r["sample_text"],) for r in rows], "sample_text string"), "sample_text").drop("row")
+    base = measured(rows, "sample_text").drop("row")
     base = base.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(SAMPLE_REPEATS)))).drop("copy")
     sample = stored(base.repartition(2), "rule-sample")
 
