@@ -13,7 +13,7 @@ Every text is split and coded once, into a table of class numbers from which rou
 parts reached in the round before; so the steps depend on the texts alone, not on the files, partitions or cores they come from.  Noise
 groups are shared in a batch, so that the work is matrix products, and noise words are drawn inside each token's group.  A row of parameters is
 averaged by tokens over the parts that changed it.  Counts of all words are a
-table; only the most frequent ``HEAD`` words are held by the workers, the rare words of each text meet the table in a join.
+table; the counts of the ``COUNTED`` most frequent words are held by the workers, the rare words of each text meet the table in a join.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from claimwise.llm.common import short_batches, stored, words_of
 
-#: Least numbers of own words (the end among them) and of suffix classes, and most words that workers hold.
-WORDS, SUFFIXES, HEAD = 800, 64, 50_000
+#: Least numbers of own words (the end among them) and of suffix classes, most words with vectors of their own, and most words whose counts workers hold.
+WORDS, SUFFIXES, HEAD, COUNTED = 800, 64, 50_000, 250_000
 #: Occurrences from which a word's own vectors can be learned.
 LEAST = 5
 SIZE, PLACES = 16, 2
@@ -150,18 +150,18 @@ class Lookup:
 
 
 def read_vocabulary(counts: DataFrame) -> Vocabulary:
-    """The vocabulary from the table of counts: ``HEAD`` rows and one per suffix class come to the driver."""
+    """The vocabulary from the table of counts: ``COUNTED`` rows and one per suffix class come to the driver."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     suffixes = SUFFIXES
     while suffixes ** 2 < sums["v"]:
         suffixes *= 2
-    # the least count of the head, from a histogram of bounded size: exact for small counts, 1 % wide above
+    # the least count of the words held, from a histogram of bounded size: exact for small counts, 1 % wide above
     octave = F.floor(F.log2("c"))
     coarse = F.when(F.col("c") < 4096, F.col("c")).otherwise((F.floor(F.col("c") / F.pow(F.lit(2.0), octave - 6)) * F.pow(F.lit(2.0), octave - 6)).cast("long"))
     least, above = None, 0  # None: more words than the head holds share the largest count
     for r in sorted(counts.groupBy(coarse.alias("c")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["c"]):
         above += r["n"]
-        if above > HEAD:
+        if above > COUNTED:
             break
         least = r["c"]
     rows = [] if least is None else counts.filter(F.col("c") >= least).collect()
@@ -174,7 +174,7 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
     tokens, words = np.zeros(suffixes), np.zeros(suffixes)
     for r in counts.groupBy(kind("word").alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         tokens[r["k"]], words[r["k"]] = r["n"], r["v"]
-    own = max(sum(r["c"] >= LEAST for r in head), min(WORDS, len(head)))
+    own = min(HEAD, max(sum(r["c"] >= LEAST for r in head), min(WORDS, len(head))))
     for r in head[:own]:  # classes of their own
         k = suffix_class(r["word"].encode(), 0, suffixes)
         tokens[k] -= r["c"]
@@ -227,14 +227,21 @@ class Segments:
     """Equal rows brought together, to sum what belongs to each."""
 
     def __init__(self, rows: np.ndarray):
-        self.order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # short numbers have a faster sort
-        found = rows[self.order]
-        self.first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-        self.rows = found[self.first]
+        order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # short numbers have a faster sort
+        found = rows[order]
+        first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        sizes = np.diff(first, append=len(rows))
+        self.rows, self.one = found[first], order[first]
+        self.many = np.flatnonzero(sizes > 1)  # most rows stand alone and need no sum
+        self.lines = order[np.repeat(sizes > 1, sizes)]
+        self.starts = np.cumsum(sizes[self.many]) - sizes[self.many]
 
     def sums(self, grad: np.ndarray) -> np.ndarray:
         """Sums of the lines of ``grad`` by row."""
-        return np.add.reduceat(grad.take(self.order, axis=0), self.first, axis=0)
+        out = grad.take(self.one, axis=0)
+        if len(self.many):
+            out[self.many] = np.add.reduceat(grad.take(self.lines, axis=0), self.starts, axis=0)
+        return out
 
 
 def real_share(z: np.ndarray) -> np.ndarray:
@@ -344,7 +351,7 @@ def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     Beside ``classes``: ``h`` (hash of id and text), ``n_tokens`` and, without the words that workers do not hold, ``n_known``, ``base`` and ``within`` (sums
     over the tokens); those words, with their repeats, in ``rare``."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # HEAD words
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # COUNTED words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
@@ -377,7 +384,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     if not vocabulary.total:
         return m
     parts = -(-vocabulary.total // PART)
-    shared = spark.sparkContext.broadcast(vocabulary)  # HEAD words
+    shared = spark.sparkContext.broadcast(vocabulary)  # COUNTED words
     dealt = texts.select(F.pmod("h", F.lit(parts)).cast("int").alias("part"), F.pmod(F.shiftrightunsigned("h", 40), F.lit(ROUNDS)).alias("round"), "h", "classes")
 
     for turn in range(ROUNDS):

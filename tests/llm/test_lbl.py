@@ -43,10 +43,11 @@ def check(got, expected):
 def test_rare_words_meet_the_table_of_counts(make, sample, monkeypatch):
     """With a small head most words are counted by the join; the counts, base scores and the gain stay."""
     rows = list(zip(sample["doc_id"].tolist(), sample["text"].tolist(), strict=True))
-    monkeypatch.setattr(lbl, "HEAD", 300)  # on the driver, which makes the vocabulary
+    monkeypatch.setattr(lbl, "HEAD", 200)  # on the driver, which makes the vocabulary
+    monkeypatch.setattr(lbl, "COUNTED", 300)
     got = check(run(make(rows)), brute(rows))
     words = lbl.read_vocabulary(lbl.token_counts(make(rows), "text"))
-    assert words.held <= 300 < words.distinct
+    assert words.own <= 200 < words.held <= 300 < words.distinct
     held = [r for r in got if r[1]]
     assert sum(r[6] for r in held) > sum(r[5] for r in held)
 
@@ -141,10 +142,10 @@ def test_contexts_stop_at_text_borders():
 
 
 def test_head_stays_within_its_bound(make, monkeypatch):
-    monkeypatch.setattr(lbl, "HEAD", 3)
+    monkeypatch.setattr(lbl, "COUNTED", 3)
     table = lbl.token_counts(make([(1, "a a a b b c d"), (2, "a b e")]), "text")
     assert lbl.read_vocabulary(table).words == ["a", "b", ""] and lbl.read_vocabulary(table).distinct == 6
-    monkeypatch.setattr(lbl, "HEAD", 2)
+    monkeypatch.setattr(lbl, "COUNTED", 2)
     even = lbl.token_counts(make([(1, "a b c")]), "text")
     assert lbl.read_vocabulary(even).words == []
 
