@@ -47,8 +47,8 @@ def pattern_join(facts: DataFrame, patterns: DataFrame, code: str = "icd_code",
 def sliding_scores(facts: DataFrame, start_year: int, end_year: int, as_of: str,
                    pid: str = "pid", source: str = "source_table", year: str = "year",
                    quarter: str = "quarter", cls: str = "disease_class", weight: str = "cci_weight",
-                   insurer: str = "h2ik", insurers: list[str] | None = None) -> DataFrame:
-    """Score per (source, pid, window start) — see the module doc.
+                   insurer: str = "h2ik", insurers: list[str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Score per (source, pid, window start) — see the module doc; with ``by`` (columns of the facts) per value of those too.
 
     ``insurers`` is the configured insurer list of the score sources: facts of other
     insurers are dropped, and the insurer is carried as its position in the sorted
@@ -64,25 +64,25 @@ def sliding_scores(facts: DataFrame, start_year: int, end_year: int, as_of: str,
         codes = F.array(*[F.lit(v) for v in sorted(set(insurers))])
         facts = facts.filter(ins.isin(list(insurers)))
         ins = F.array_position(codes, ins).cast("int")
-    reduced = (facts.select(F.col(source).alias("source_table"), F.col(pid).alias("pid"), q.alias("_q"),
+    reduced = (facts.select(*by, F.col(source).alias("source_table"), F.col(pid).alias("pid"), q.alias("_q"),
                             F.col(cls).alias("_cls"), F.col(weight).cast("int").alias("_w"),
                             ins.alias("_ins"))
                .filter((F.col("_q") >= first_start) & (F.col("_q") <= F.least(F.lit(last_start + 3), F.lit(cap))))
-               .groupBy("source_table", "pid", "_q", "_cls")
+               .groupBy(*by, "source_table", "pid", "_q", "_cls")
                .agg(F.max("_w").alias("_w"), F.min("_ins").alias("_ins")))
     lo = F.greatest(F.col("_q") - 3, F.lit(first_start))
     hi = F.least(F.col("_q"), F.lit(last_start))
     windows = (reduced.filter(lo <= hi)
                .withColumn("_start", F.explode(F.sequence(lo, hi))))
-    per_class = (windows.groupBy("source_table", "pid", "_start", "_cls")
+    per_class = (windows.groupBy(*by, "source_table", "pid", "_start", "_cls")
                  .agg(F.max("_w").alias("_w"), F.min("_ins").alias("_ins")))
-    scores = per_class.groupBy("source_table", "pid", "_start").agg(
+    scores = per_class.groupBy(*by, "source_table", "pid", "_start").agg(
         F.sum("_w").cast("int").alias("weight"), F.min("_ins").alias("h2ik"))
     end = F.least(F.col("_start") + 3, F.lit(cap))
     if insurers is not None:
         scores = scores.withColumn("h2ik", F.element_at(codes, F.col("h2ik")))
     return scores.select(
-        "source_table", "pid",
+        *by, "source_table", "pid",
         quarter_begin_text(year_of_index(F.col("_start")), quarter_of_index(F.col("_start"))).alias("window_start"),
         quarter_end_text(year_of_index(end), quarter_of_index(end)).alias("window_end"),
         "weight", "h2ik")

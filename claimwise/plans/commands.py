@@ -27,6 +27,7 @@ from claimwise.operators.enrich import FingerprintColumn, run_chain
 from claimwise.operators.extract import ExtractSpec, extract, lower_columns
 from claimwise.operators.quality import MalformedCount
 from claimwise.operators.rowfilters import FrameMeta, apply_filters, certain_diagnoses
+from claimwise.session import written
 from claimwise.sources import layout as L
 from claimwise.sources import sinks as W
 from claimwise.sources import versions as V
@@ -90,7 +91,7 @@ def stats(slices: dict[str, DataFrame], lower_year: int, upper_year: int, refere
 def makedecode(ids: DataFrame, membership: DataFrame, insurers: list[str], order_cols: list[str],
                out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Decoded mapping and its loss frame; the mapping is written as a decode file when ``out``."""
-    unwanted = D.outdated_card_holders(ids, membership, insurers)
+    unwanted = written(D.outdated_card_holders(ids, membership, insurers), "unwanted")  # for the mapping and for its loss
     scoped = ids.filter(ids["h2ik"].isin(insurers))
     mapping = D.clean_ids(scoped, unwanted, order_cols)
     if out:

@@ -23,15 +23,20 @@ import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimwise.operators import enrich as E
+from claimwise.operators import fingerprint as FP
 from claimwise.operators import rowfilters as RF
+from claimwise.operators import score as SC
 from claimwise.operators.decode import Decoding
 from claimwise.operators.extract import ExtractSpec, JoinSpec, Where, YearSlice
 from claimwise.operators.rowfilters import FrameMeta
 from claimwise.operators.stats import DataSet
 from claimwise.plans.commands import export
-from claimwise.sources.readers import read_by_index, read_mapping, read_value_list
+from claimwise.sources import versions as V
+from claimwise.sources.readers import read_by_index, read_mapping, read_score_patterns, read_value_list
+from claimwise.sources.sinks import write_scores
 
 LOG = logging.getLogger(__name__)
 OPERATORS = {"EQUAL": "=", "LESSER": "<", "LESS": "<", "GREATER": ">", "LARGER": ">", "LIKE": "like", "=": "=", "<": "<", ">": ">"}
@@ -186,6 +191,48 @@ def decodings_of(conf: str | dict) -> list[Decoding]:
     return out
 
 
+def scores_from_config(spark: SparkSession, conf: str | dict, facts: DataFrame, as_of: str, out: str | None = None) -> DataFrame:
+    """Scores of all sources of the score section, by ``dataset``: ``{"cci": {"cciFile", "startYear", "endYear", "sources": [{"db", "dataset", "iks" or "flag"}]}}``.
+
+    The facts meet the patterns once; then each counts in every source that has its insurer or flag, in one run of the windows.  The insurer of a
+    row is the smallest of its facts."""
+    c = load(conf)["cci"]
+    _known(c, ("cciFile", "startYear", "endYear", "sources", "tempDb"), "score section")
+    members = []
+    for source in c["sources"]:
+        _known(source, ("db", "dataset", "iks", "flag"), "score source")
+        if (source.get("iks") is None) == (source.get("flag") is None):
+            raise ValueError(f"score source {source['dataset']}: give exactly one of iks or flag")
+        held = F.col("h2ik").isin([str(x) for x in source["iks"]]) if source.get("iks") is not None else F.col(f"flag_{source['flag']}").cast("int") == 1
+        members.append(F.when(held, F.lit(source["dataset"])))
+    matched = SC.pattern_join(facts, read_score_patterns(spark, c["cciFile"]))
+    sets = F.array_compact(F.array(*members)) if members else F.array().cast("array<string>")
+    scores = SC.sliding_scores(matched.withColumn("dataset", F.explode(sets)), int(c["startYear"]), int(c["endYear"]), as_of, by=("dataset",))
+    if out:
+        write_scores(scores, out)
+    return scores
+
+
+def fingerprints_from_config(conf: str | dict, base: DataFrame, region: DataFrame, diagnoses: DataFrame, drugs: DataFrame,
+                             states: str | None = None) -> DataFrame:
+    """Fingerprints over the years of the hashing section (``{"hashing": {"minYear", "maxYear"}}``), of which ``fileDescriptors`` is not needed.
+
+    With ``states`` (a folder) the years' states are stored there; years it has already are not computed again."""
+    c = load(conf)["hashing"]
+    _known(c, ("minYear", "maxYear", "fileDescriptors"), "hashing section")
+    first, last = int(c["minYear"]), int(c["maxYear"])
+    frames = (base, region, RF.certain_diagnoses(diagnoses), drugs)
+    wanted = range(first, last + 1)
+    if states is None:
+        bounded = [df.filter(F.col("bezugsjahr").between(first, last)) for df in frames]
+        return FP.merged_fingerprints(FP.year_states(*bounded), first, last)
+    spark = base.sparkSession
+    known = {r[0] for r in spark.read.parquet(states).select("year").distinct().collect()} if V.exists(spark, states) else set()  # years are few
+    if new := [y for y in wanted if y not in known]:
+        FP.add_years(*frames, new, states)
+    return FP.merged_fingerprints(spark.read.parquet(states), first, last)
+
+
 SOURCE_KEYS = ("db", "datasetName", "yearSlice", "where", "views")
 #: Sections of a configuration that other commands read.
 OTHER_COMMANDS = ("statistics", "decode", "hashing", "cci")

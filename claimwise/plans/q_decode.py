@@ -77,6 +77,14 @@ def _unwanted(spark, d):
     return D.outdated_card_holders(id_rows(spark, d), membership(spark, d), INSURERS)
 
 
+def _ids_and_unwanted(spark, d):
+    """The id rows and the exclusion list, each computed once for all that reads them."""
+    from claimwise.session import written
+
+    ids = written(id_rows(spark, d), "ids")
+    return ids, written(D.outdated_card_holders(ids, membership(spark, d), INSURERS), "unwanted")
+
+
 @register("duplicate_cards_rank", ["AGG7", "JON9", "JON10", "WIN1", "SCL3", "SET3"],
           "WITH " + _SQL_IDS + "SELECT pid FROM unwanted WHERE pid IS NOT NULL")
 def duplicate_cards_rank(spark, d):
@@ -109,7 +117,7 @@ SELECT n_input, n_valid, n_input - n_valid AS n_duplicates,
   (CASE WHEN n_valid > 0 THEN (n_input - n_valid) / CAST(n_valid AS DOUBLE) END) > 0.05 AS warn
 FROM (SELECT (SELECT count(*) FROM s0b) AS n_input, (SELECT count(*) FROM s3) AS n_valid) x""")
 def decode_loss(spark, d):
-    ids, unwanted = id_rows(spark, d), _unwanted(spark, d)
+    ids, unwanted = _ids_and_unwanted(spark, d)
     mapping = D.clean_ids(ids, unwanted, ["seen", "row_id"])
     return D.loss_ratio(D.decode_input(ids, unwanted), mapping)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimwise.operators import quality as Q
 from claimwise.plans import standins as S
-from claimwise.plans.q_decode import _SQL_IDS, _unwanted, id_rows
+from claimwise.plans.q_decode import _SQL_IDS, _ids_and_unwanted
 from claimwise.operators import decode as D
 from claimwise.plans.registry import register
 from claimwise.session import scratch_path
@@ -140,8 +140,8 @@ mp AS (SELECT egk_nr, pid FROM s3 WHERE egk_nr <> '')
 SELECT ids.row_id, ids.egk_nr, COALESCE(mp.pid, '') AS pid
 FROM ids LEFT JOIN mp ON mp.egk_nr = ids.egk_nr""")
 def id_mapping(spark, d):
-    ids = id_rows(spark, d)
-    decoded = D.clean_ids(ids, _unwanted(spark, d), ["seen", "row_id"])
+    ids, unwanted = _ids_and_unwanted(spark, d)
+    decoded = D.clean_ids(ids, unwanted, ["seen", "row_id"])
     egk2pid = decoded.filter(F.col("egk_nr") != "").select("egk_nr", "pid")
     target = ids.select("row_id", "egk_nr")
     return Q.map_ids(target, egk2pid, "egk_nr", "pid")

@@ -178,6 +178,24 @@ def fingerprint_incremental(spark, d):
     return FP.merged_fingerprints(spark.read.parquet(path), FIRST_YEAR, LAST_YEAR)
 
 
+@register("fingerprint_from_config", ["AGG8", "AGG9", "AGG10", "AGG11", "JON12"], "WITH " + _SQL_ROWS
+          .replace("FROM customer\n  UNION ALL", "FROM customer WHERE false\n  UNION ALL")
+          .replace("FROM orders WHERE o_orderstatus = 'P')", "FROM orders WHERE o_orderstatus = 'P' AND year(o_orderdate) BETWEEN 1996 AND 1998)")
+          .replace("AS kgs\n  FROM orders)", "AS kgs\n  FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998)")
+          .replace("AND o_orderkey % 2 = 0)", "AND o_orderkey % 2 = 0 AND year(o_orderdate) BETWEEN 1996 AND 1998)")
+          .replace("ON o.o_orderkey = l.l_orderkey)", "ON o.o_orderkey = l.l_orderkey WHERE year(l.l_shipdate) BETWEEN 1996 AND 1998)")
+          + "SELECT pid, fingerprint FROM fp")
+def fingerprint_from_config(spark, d):
+    """Fingerprints over the configured years alone, from stored states of which one year is there before."""
+    from claimwise.plans.config import fingerprints_from_config as run
+    from claimwise.session import scratch_path
+
+    base, region, _, drugs = _yearly(spark, d)
+    states = scratch_path(spark, "states")
+    FP.add_years(base, region, certain_diagnoses(diagnosis_rows(spark, d)), drugs, [1997], states)
+    return run({"hashing": {"minYear": 1996, "maxYear": 1998}}, base, region, diagnosis_rows(spark, d), drugs, states)
+
+
 @register("master_versions", ["SNK5", "ENR11"], """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS pid, c_name, CAST(c_nationkey AS INTEGER) AS region,
   CASE WHEN c_mktsegment = 'MACHINERY' THEN '' WHEN c_nationkey < 4 THEN sha256(c_name || '2') ELSE sha256(c_name) END AS pid_hash,

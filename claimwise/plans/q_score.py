@@ -26,8 +26,8 @@ def patterns(spark):
     return spark.createDataFrame(PATTERNS, "icd_code string, disease_class string, cci_weight int")
 
 
-def diagnosis_facts(spark, d):
-    """Diagnosis facts from lineitem: person = supplier, code from flags, line and part."""
+def diagnosis_facts(spark, d, *more):
+    """Diagnosis facts from lineitem: person = supplier, code from flags, line and part; ``more``: further columns."""
     li = S.table(spark, d, "lineitem")
     ship = F.to_date("l_shipdate")
     return li.select(
@@ -37,7 +37,7 @@ def diagnosis_facts(spark, d):
         F.year(ship).alias("year"), F.quarter(ship).alias("quarter"),
         F.concat("l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string"),
                  (F.col("l_partkey") % 10).cast("string")).alias("icd_code"),
-        (F.col("l_orderkey") % 3).cast("string").alias("h2ik"))
+        (F.col("l_orderkey") % 3).cast("string").alias("h2ik"), *more)
 
 
 _PATS_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}', {c})" for a, b, c in PATTERNS) + \
@@ -124,3 +124,30 @@ def score_files(spark, d):
     back = spark.read.parquet(path)
     return back.select("source_table", "pid", F.col("window_start").cast("string").alias("window_start"),
                        "window_end", "weight", "h2ik")
+
+
+_SOURCES = [{"db": "ADB", "dataset": "first", "iks": ["0", "1"]}, {"db": "ADB", "dataset": "second", "iks": ["1", "2"]}, {"db": "FDB", "dataset": "flagged", "flag": "large"}]
+_MEMBERS = {"first": "h2ik IN ('0', '1')", "second": "h2ik IN ('1', '2')", "flagged": "flag_large"}
+
+
+@register("scores_from_config", ["WIN5", "AGG12", "JON6", "SRC8", "SCL14", "FLT15"], "WITH " + _FACTS_SQL.replace("AS h2ik\n", "AS h2ik, l_quantity > 25 AS flag_large\n") + f""",
+s AS ({" UNION ALL ".join(f"SELECT '{n}' AS dataset, * FROM m WHERE {w}" for n, w in _MEMBERS.items())}),
+red AS (
+  SELECT dataset, source_table, pid, year * 4 + quarter - 1 AS qi, disease_class, max(cci_weight) AS w, min(h2ik) AS ins
+  FROM s WHERE year * 4 + quarter - 1 BETWEEN {_FIRST} AND least({_LAST + 3}, {_CAP}) GROUP BY ALL),
+win AS (SELECT CAST(s AS BIGINT) AS st FROM range({_FIRST}, {_LAST + 1}) t(s)),
+x AS (SELECT red.*, win.st FROM red JOIN win ON red.qi BETWEEN win.st AND least(win.st + 3, {_CAP})),
+pc AS (SELECT dataset, source_table, pid, st, disease_class, max(w) AS w, min(ins) AS ins FROM x GROUP BY ALL),
+sc AS (SELECT dataset, source_table, pid, st, CAST(sum(w) AS INTEGER) AS weight, min(ins) AS h2ik FROM pc GROUP BY ALL)
+SELECT dataset, source_table, pid, {_qtext('st', True)} AS window_start, {_qtext(f'least(st + 3, {_CAP})', False)} AS window_end,
+  weight, h2ik FROM sc""")
+def scores_from_config(spark, d):
+    """Scores of three configured sources, two of which share an insurer and one goes by a flag, with patterns from a file."""
+    from claimwise.plans.config import scores_from_config as run
+    from claimwise.session import scratch_path
+
+    path = scratch_path(spark, "patterns")
+    patterns(spark).write.option("header", True).option("sep", ";").csv(path)
+    facts = diagnosis_facts(spark, d, (F.col("l_quantity") > 25).alias("flag_large"))
+    conf = {"cci": {"cciFile": path, "startYear": _Y0, "endYear": _Y1, "sources": _SOURCES}}
+    return run(spark, conf, facts, S.AS_OF)

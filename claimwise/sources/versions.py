@@ -28,14 +28,15 @@ class Version:
     paths: dict[str, str]  # slice -> folder
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def newest(spark: SparkSession, base: str) -> Version | None:
     """The newest version of a table, from its manifests (a row per slice and version)."""
-    if not _exists(spark, f"{base}/versions"):
+    if not exists(spark, f"{base}/versions"):
         return None
     every = spark.read.schema(MANIFEST).option("recursiveFileLookup", "true").parquet(f"{base}/versions")
     last = every.agg(F.max("version")).first()[0]
@@ -55,7 +56,7 @@ def _write(df: DataFrame, base: str, number: int, slice_column: str) -> dict[str
     """Write rows by slice; the folders by slice."""
     path = f"{base}/data/v={number}-{uuid.uuid4().hex[:12]}"
     df.hint("rebalance", slice_column).write.partitionBy(slice_column).parquet(path)
-    if not _exists(df.sparkSession, f"{path}/_SUCCESS"):
+    if not exists(df.sparkSession, f"{path}/_SUCCESS"):
         raise RuntimeError(f"{path} was not written whole")
     written = df.sparkSession.read.schema(f"`{slice_column}` string").parquet(path).select(slice_column).distinct()
     return {r[0]: f"{path}/{slice_column}={r[0]}" for r in written.collect()}  # slices are few

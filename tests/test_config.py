@@ -90,3 +90,17 @@ def test_unknown_keys_are_errors(spark):
     for conf in ({"db": "A", "view": []}, {"sources": [{"db": "A", "vews": []}]}, {"sources": [], "db": "A"}):
         with pytest.raises(ValueError, match="unknown keys"):
             C.export_from_config(spark, conf, {})
+
+
+def test_sections_of_the_other_commands(spark):
+    conf = {"statistics": {"datasets": [{"db": "ADB", "dataset": "a", "views": ["x"], "h2iks": [1, 2], "startYear": "2014", "endYear": 2016},
+                                        {"db": "FDB", "dataset": "b", "views": ["x", "y"], "flag": "f", "startYear": 2015, "endYear": 2016}]},
+            "decode": [{"name": "a", "h2iks": [1]}, {"name": "b", "h2iks": ["2"]}]}
+    one, two = C.datasets_of(conf)
+    assert (one.insurers, one.start_year, two.flag, two.views) == (("1", "2"), 2014, "f", ("x", "y"))
+    assert [(d.name, d.insurers) for d in C.decodings_of(conf)] == [("a", ("1",)), ("b", ("2",))]
+    for bad in ({"decode": [{"name": "a", "h2iks": [1]}, {"name": "a", "h2iks": [2]}]}, {"decode": [{"name": "a", "iks": [1]}]}):
+        with pytest.raises(ValueError):
+            C.decodings_of(bad)
+    with pytest.raises(ValueError, match="exactly one"):
+        C.scores_from_config(spark, {"cci": {"cciFile": "x", "startYear": 1, "endYear": 2, "sources": [{"db": "A", "dataset": "a"}]}}, spark.range(1), "2015-01-01")
