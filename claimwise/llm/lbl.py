@@ -447,14 +447,21 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     return m
 
 
-def log_sums(z: np.ndarray, small: bool = False) -> np.ndarray:
-    """log of the rows' sums of exp; ``z`` is overwritten.  ``small``: no value is so large or low that a sum can overflow or vanish."""
+def log_sums(z: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """log of the rows' sums of exp of ``z`` = ``left`` @ ``right``; ``z`` is overwritten.
+
+    Rows whose plain sum overflows or nearly vanishes are computed once more below their maximum."""
     ones = np.ones(z.shape[1], np.float32)
-    if small:
-        return np.log(np.exp(z, out=z) @ ones)
-    top = z.max(axis=1)
-    z -= top[:, None]
-    return top + np.log(np.exp(z, out=z) @ ones)
+    with np.errstate(over="ignore", divide="ignore"):
+        sums = np.exp(z, out=z) @ ones
+        out = np.log(sums)
+    bad = np.flatnonzero(~((sums > 1e-30) & (sums < 1e38)))
+    if len(bad):
+        z = left[bad] @ right
+        top = z.max(axis=1)
+        z -= top[:, None]
+        out[bad] = top + np.log(np.exp(z, out=z) @ ones)
+    return out
 
 
 class Scorer:
@@ -468,9 +475,6 @@ class Scorer:
         p, v = self.p, vocabulary
         self.group = np.vstack((p.group.T, p.group_bias)).astype(np.float32)
         self.inside = [np.vstack((p.target[a:b].T, p.bias[a:b])).astype(np.float32) for a, b in zip(v.first, v.first[1:])]
-        vectors = np.concatenate((p.group, p.target))
-        self.longest = float(np.sqrt((vectors * vectors).sum(axis=1)).max())
-        self.highest = np.array([p.group_bias.max(), *(p.bias[a:b].max() for a, b in zip(v.first, v.first[1:]))])  # of the groups, and inside each
 
     def __call__(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
         p, v = self.p, self.v
@@ -485,12 +489,10 @@ class Scorer:
         hidden = p.hidden(p.before(contexts[first]))
         distinct = np.ones((len(first), SIZE + 1), np.float32)
         distinct[:, :SIZE] = hidden
-        # products lie within this of the biases; so the largest of a row lies near the highest bias, and sums neither overflow nor vanish
-        reach = self.longest * float(np.sqrt((hidden * hidden).sum(axis=1).max(initial=0)))
-        small = np.abs(self.highest) + reach < 75
         sums = np.empty(len(first), np.float32)
         for at in range(0, len(first), 256):  # blocks that stay in the cache
-            sums[at:at + 256] = log_sums(distinct[at:at + 256] @ self.group, small[0])
+            held = distinct[at:at + 256]
+            sums[at:at + 256] = log_sums(held @ self.group, held, self.group)
         groups = v.group_of[classes]
         out = np.empty(len(classes))
         for at in range(0, len(classes), 65_536):
@@ -503,9 +505,10 @@ class Scorer:
             block = max(1, 60_000 // (high - low))
             for at in range(bounds[g], bounds[g + 1], block):
                 rows = order[at:min(at + block, bounds[g + 1])]
-                z = distinct.take(back[rows], axis=0) @ self.inside[g]
+                held = distinct.take(back[rows], axis=0)
+                z = held @ self.inside[g]
                 own = z[np.arange(len(rows)), classes[rows] - low]
-                out[rows] += own - log_sums(z, small[g + 1])
+                out[rows] += own - log_sums(z, held, self.inside[g])
         return out / np.log(10)
 
 

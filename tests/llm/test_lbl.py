@@ -183,3 +183,14 @@ def test_clashing_columns_and_rows_without_id(make):
     assert len(got) == 32 and any(x.startswith("(None, False, 3") for x in got)
     clash = docs.withColumns({c: F.lit("x") for c in ("h", "row", "held_out", "word", "c", "classes", "rare", "own", "part", "round")})
     assert sorted(map(str, map(tuple, lbl.score(clash, training).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens").collect()))) == got
+
+
+def test_sums_that_overflow_or_vanish_are_computed_again():
+    rng = np.random.default_rng(6)
+    left, right = rng.normal(0, 1, (40, 5)).astype(np.float32), rng.uniform(0.5, 2, (5, 30)).astype(np.float32)
+    left[3], left[4], left[5] = 90, -90, 0
+    exact = left.astype(float) @ right.astype(float)
+    top = exact.max(axis=1)
+    expected = top + np.log(np.exp(exact - top[:, None]).sum(axis=1))
+    assert lbl.log_sums(left @ right, left, right) == pytest.approx(expected, rel=1e-4, abs=1e-3)
+    assert expected.max() > 150 and expected.min() < -150
