@@ -87,3 +87,25 @@ def test_many_wildcard_patterns_take_the_same_path(spark, capsys):
     got.explain()
     assert "NestedLoop" not in capsys.readouterr().out
 
+
+
+def test_parts_grow_with_the_facts_and_scores_stay(spark, monkeypatch):
+    """Facts are dealt to parts of a bounded number of rows, and the scores do not depend on it."""
+    data = [(f"p{i % 7}", "t", 2009 + i % 3, i % 4 + 1, "abc"[i % 3], i % 5, str(i % 2)) for i in range(400)] + [("hot", "t", 2010, 1, "a", 3, None)] * 100
+    frame = spark.createDataFrame(data, "pid string, source_table string, year int, quarter int, disease_class string, cci_weight int, h2ik string").cache()
+    whole = SC.sliding_scores(frame, 2009, 2011, "2015-06-30")
+    monkeypatch.setattr(SC, "PART_ROWS", 50)
+    dealt = SC.sliding_scores(frame, 2009, 2011, "2015-06-30")
+    assert (whole.rdd.getNumPartitions(), dealt.rdd.getNumPartitions()) == (1, 10)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, dealt.collect()))
+    assert {r["h2ik"] for r in dealt.filter("pid = 'hot'").collect()} == {None}
+
+
+def test_facts_join_the_matches_where_they_are(spark, capsys):
+    """Codes are few: parts by code would hold ever more facts."""
+    data = spark.range(1000).selectExpr("concat('A', id % 9) AS icd_code", "id")
+    pats = spark.createDataFrame([("A1", "a", 1), ("A%2", "b", 2)], "icd_code string, disease_class string, cci_weight int")
+    out = SC.pattern_join(data, pats)
+    out.explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    assert out.count() == 222
