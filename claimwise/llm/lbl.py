@@ -18,18 +18,18 @@ table; the counts of the ``COUNTED`` most frequent words are held by the workers
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from itertools import chain, repeat
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwise.llm.common import short_batches, stored, words_of
+from claimwise.llm.common import short_batches, stored
 
 #: Least numbers of own words (the end among them) and of suffix classes, most words with vectors of their own, and most words whose counts workers hold.
 WORDS, SUFFIXES, HEAD, COUNTED = 800, 64, 50_000, 250_000
@@ -57,28 +57,33 @@ def suffix_class(word: bytes, own: int = WORDS, suffixes: int = SUFFIXES) -> int
     return own + xxhash.xxh32_intdigest(word[-3:]) % suffixes
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    out = words_of(text)
-    out.append(b"")
-    return out
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Tokens of all texts, the empty end of each among them, and where the texts start in them (and the last one ends)."""
+    texts = pc.ascii_ltrim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(texts, "", " "))  # after the last blank stands the end
+    lists = pc.ascii_split_whitespace(texts)
+    return lists.offsets.to_numpy(), lists.values
 
 
 def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, c): occurrences of each token in all texts, ends included as ``END``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(c: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([_strings(list(c)), pa.array(list(c.values()), pa.int64())], ["word", "c"])
+        def summed(held: list[pa.RecordBatch]) -> pa.Table:
+            return pa.Table.from_batches(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
 
-        found: Counter = Counter()
+        held, rows = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                found.update(tokens_of(text.as_py()))
-            if len(found) > HELD:
-                yield out(found)
-                found = Counter()
-        if found:
-            yield out(found)
+            held.append(pa.RecordBatch.from_arrays(pc.value_counts(tokens_of(batch.column(0))[1]).flatten(), ["word", "c"]))
+            rows += held[-1].num_rows
+            if rows > HELD:
+                found = summed(held)
+                held, rows = found.to_batches(), found.num_rows
+                if rows > HELD // 2:
+                    yield from held
+                    held, rows = [], 0
+        if held:
+            yield from summed(held).to_batches()
 
     return docs.select(F.col(text_col)).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -140,13 +145,12 @@ class Lookup:
         code = self.head.get(word)
         return self.ends[word[-3:]] if code is None else code
 
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Codes of many tokens; where those not held stand, and what they are."""
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Codes of many tokens."""
         codes = np.fromiter(map(self.head.get, words, repeat(-1)), np.int64, len(words))
         at = np.flatnonzero(codes < 0)
-        rare = [words[i] for i in at.tolist()]
-        codes[at] = np.fromiter(map(self.ends.__getitem__, [w[-3:] for w in rare]), np.int64, len(rare))
-        return codes, at, rare
+        codes[at] = np.fromiter(map(self.ends.__getitem__, [words[i][-3:] for i in at.tolist()]), np.int64, len(at))
+        return codes
 
 
 def read_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -238,9 +242,22 @@ class Segments:
 
     def sums(self, grad: np.ndarray) -> np.ndarray:
         """Sums of the lines of ``grad`` by row."""
-        out = grad.take(self.one, axis=0)
+        return self._sums(lambda lines: grad.take(lines, axis=0))
+
+    def weighted(self, x: np.ndarray, of_line: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Sums by row of lines that are a row of ``x`` each, times a weight."""
+
+        def products(lines: np.ndarray) -> np.ndarray:
+            out = x.take(of_line.take(lines), axis=0)
+            out *= weights.take(lines)[:, None]
+            return out
+
+        return self._sums(products)
+
+    def _sums(self, grad: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        out = grad(self.one)
         if len(self.many):
-            out[self.many] = np.add.reduceat(grad.take(self.lines, axis=0), self.starts, axis=0)
+            out[self.many] = np.add.reduceat(grad(self.lines), self.starts, axis=0)
         return out
 
 
@@ -264,8 +281,8 @@ class Trainer:
         self.seen = [p.seen[part] for part in p._parts()]
 
     def _apply(self, x: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray, n: int) -> None:
-        grad = grad.astype(np.float32, copy=False) * np.float32(n ** 0.5)
-        s = seen.take(rows) + (grad * grad if grad.ndim == 1 else np.einsum("ij,ij->i", grad, grad) / SIZE)
+        grad = grad * np.float32(n ** 0.5)
+        s = seen[rows] + (grad * grad if grad.ndim == 1 else np.einsum("ij,ij->i", grad, grad) / SIZE)
         seen[rows] = s
         rate = np.float32(RATE) / np.sqrt(s)
         grad *= rate if grad.ndim == 1 else rate[:, None]
@@ -306,12 +323,16 @@ class Trainer:
             lines = np.concatenate((own, at.ravel()))
             weights = np.concatenate((up, down.ravel()))
             by_class = Segments(lines)
-            target = by_class.sums(np.concatenate((held, np.repeat(held, INSIDE, axis=0))) * weights[:, None])
+            of_line = np.arange(len(many))
+            target = by_class.weighted(held, np.concatenate((of_line, np.repeat(of_line, INSIDE))), weights)
             bias = by_class.sums(weights)
 
         place = np.stack([np.einsum("ij,ij->j", back, x) for x in before])
         by_context = Segments(contexts.T.ravel())
-        context = by_context.sums(np.concatenate([back * p.place[i] for i in range(PLACES)]))
+        grad = np.empty((PLACES, n, SIZE), np.float32)
+        for i in range(PLACES):
+            np.multiply(back, p.place[i], out=grad[i])
+        context = by_context.sums(grad.reshape(-1, SIZE))
         seen = self.seen
         self._apply(p.context, seen[0][:, 0], by_context.rows, context, n)
         if len(many):
@@ -333,14 +354,6 @@ def contexts_of(classes: np.ndarray, ends: np.ndarray, end_class: int) -> np.nda
     return out
 
 
-def _strings(words: list[bytes]) -> pa.Array:
-    """Words as strings; what is no UTF-8 becomes U+FFFD."""
-    try:
-        return pa.array(words, pa.string())
-    except (pa.ArrowInvalid, UnicodeDecodeError):
-        return pa.array([w.decode("utf-8", "replace") for w in words], pa.string())
-
-
 def class_kind(vocabulary: Vocabulary) -> str:
     """Type of the class numbers in stored texts."""
     return "<u2" if len(vocabulary.unigram) <= 1 << 16 else "<i4"
@@ -357,17 +370,19 @@ def coded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         v = shared.value
         lookup, kind = v.lookup(), class_kind(v)
         for batch in batches:
-            texts = [tokens_of(t.as_py()) for t in batch.column(3)]
-            if not texts:
+            if not batch.num_rows:
                 continue
-            ends = np.cumsum([len(t) for t in texts])
-            starts = np.concatenate(([0], ends[:-1]))
-            codes, at, rare = lookup.of(list(chain.from_iterable(texts)))
+            bounds, words = tokens_of(batch.column(3))
+            starts, ends = bounds[:-1], bounds[1:]
+            found = words.dictionary_encode()
+            of_word = found.indices.to_numpy()
+            codes = lookup.of(found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())[of_word]
+            at = np.flatnonzero(codes >= v.held)
             classes = v.class_of[codes].astype(kind)
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(at, np.concatenate(([0], ends))), pa.int32()), _strings(rare))
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(at, bounds), pa.int32()), found.dictionary.take(pa.array(of_word[at])))
             sums = [np.add.reduceat(x, starts) for x in ((codes < v.held).astype(np.int64), v.base[codes], v.within[codes])]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(ends - starts, pa.int64()), *map(pa.array, sums), lists,
+                [*batch.columns[:3], pa.array((ends - starts).astype(np.int64)), *map(pa.array, sums), lists,
                  pa.array([classes[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())],
                 ["doc_id", "held_out", "h", "n_tokens", "n_known", "base", "within", "rare", "classes"])
 
@@ -475,6 +490,43 @@ class Scorer:
         p, v = self.p, vocabulary
         self.group = np.vstack((p.group.T, p.group_bias)).astype(np.float32)
         self.inside = [np.vstack((p.target[a:b].T, p.bias[a:b])).astype(np.float32) for a, b in zip(v.first, v.first[1:])]
+        self.later = [self.factors(i, np.arange(p.n)) for i in range(1, PLACES)]
+        self.products = np.empty(60_000, np.float32)  # used again by every block, so that its pages are not asked for anew
+
+    def factors(self, place: int, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What classes in a place give to each group's exp of product, as a share of the largest, and the log of that."""
+        p = self.p
+        tops, shares = np.empty(len(classes), np.float32), np.empty((len(classes), p.groups), np.float32)
+        for at in range(0, len(classes), 512):
+            part = slice(at, at + 512)
+            z = np.matmul(p.context.take(classes[part], axis=0) * p.place[place], p.group.T, out=shares[part])
+            if not place:
+                z += p.group_bias
+            tops[part] = z.max(axis=1)
+            z -= tops[part, None]
+            np.exp(z, out=z)
+        return tops, shares
+
+    def group_sums(self, contexts: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """log of the contexts' sums over groups: exp of a sum over places is a product, so few exponentials are taken for many contexts.
+
+        Sums that nearly vanish (places that favour other groups) are computed once more from ``held``, the contexts' vectors."""
+        new = np.ones(len(contexts), bool)
+        new[1:] = contexts[1:, 0] != contexts[:-1, 0]  # contexts come in order
+        line = np.cumsum(new) - 1
+        tops, shares = self.factors(0, contexts[new, 0])
+        out, shares = tops[line], shares.take(line, axis=0)
+        for i, (tops, later) in enumerate(self.later[:-1], 1):
+            out += tops[contexts[:, i]]
+            shares *= later.take(contexts[:, i], axis=0)
+        tops, later = self.later[-1]
+        sums = np.einsum("ij,ij->i", shares, later.take(contexts[:, -1], axis=0))
+        with np.errstate(divide="ignore"):
+            out += tops[contexts[:, -1]] + np.log(sums)
+        bad = np.flatnonzero(~(sums > 1e-30))
+        if len(bad):
+            out[bad] = log_sums(held[bad] @ self.group, held[bad], self.group)
+        return out
 
     def __call__(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
         p, v = self.p, self.v
@@ -482,33 +534,41 @@ class Scorer:
         for i in range(1, PLACES):
             key = key * p.n + contexts[:, i]
         order = np.argsort(key)
+        key = key[order]
         new = np.ones(len(key), bool)
-        new[1:] = key[order][1:] != key[order][:-1]
-        first, back = order[new], np.empty(len(key), np.int64)
-        back[order] = np.cumsum(new) - 1
-        hidden = p.hidden(p.before(contexts[first]))
-        distinct = np.ones((len(first), SIZE + 1), np.float32)
-        distinct[:, :SIZE] = hidden
-        sums = np.empty(len(first), np.float32)
-        for at in range(0, len(first), 256):  # blocks that stay in the cache
-            held = distinct[at:at + 256]
-            sums[at:at + 256] = log_sums(held @ self.group, held, self.group)
-        groups = v.group_of[classes]
-        out = np.empty(len(classes))
-        for at in range(0, len(classes), 65_536):
-            part = slice(at, at + 65_536)
-            out[part] = np.einsum("ij,ij->i", hidden.take(back[part], axis=0), p.group.take(groups[part], axis=0)) + p.group_bias[groups[part]] - sums[back[part]]
-        order = np.argsort(groups.astype(np.uint16) if p.groups < 1 << 16 else groups, kind="stable")
-        bounds = np.searchsorted(groups[order], np.arange(p.groups + 1))
+        new[1:] = key[1:] != key[:-1]
+        first = contexts[order[new]]
+        # tokens by group and, inside a group, by context: equal pairs stand together
+        groups = v.group_of[classes[order]]
+        by_group = np.argsort(groups.astype(np.uint16) if p.groups < 1 << 16 else groups, kind="stable")
+        groups, back, order = groups[by_group], (np.cumsum(new) - 1)[by_group], order[by_group]
+        classes = classes[order]
+        distinct, sums = np.ones((len(first), SIZE + 1), np.float32), np.empty(len(first), np.float32)
+        for at in range(0, len(first), 512):  # blocks that stay in the cache
+            part = slice(at, at + 512)
+            distinct[part, :SIZE] = p.hidden(p.before(first[part]))
+            sums[part] = self.group_sums(first[part], distinct[part])
+        logs = np.empty(len(classes))
+        for at in range(0, len(classes), 4096):
+            part = slice(at, at + 4096)
+            hidden = distinct.take(back[part], axis=0)[:, :SIZE]
+            logs[part] = np.einsum("ij,ij->i", hidden, p.group.take(groups[part], axis=0)) + p.group_bias[groups[part]] - sums[back[part]]
+        new[1:] = (back[1:] != back[:-1]) | (groups[1:] != groups[:-1])
+        pair, starts = np.cumsum(new) - 1, np.append(np.flatnonzero(new), len(new))  # pairs of tokens, first tokens of pairs
+        bounds = np.searchsorted(groups[starts[:-1]], np.arange(p.groups + 1))
         for g in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(v.first) > 1)):
-            low, high = v.first[g], v.first[g + 1]
-            block = max(1, 60_000 // (high - low))
+            low, size = v.first[g], v.first[g + 1] - v.first[g]
+            block = max(1, len(self.products) // size)
             for at in range(bounds[g], bounds[g + 1], block):
-                rows = order[at:min(at + block, bounds[g + 1])]
-                held = distinct.take(back[rows], axis=0)
-                z = held @ self.inside[g]
-                own = z[np.arange(len(rows)), classes[rows] - low]
-                out[rows] += own - log_sums(z, held, self.inside[g])
+                end = min(at + block, bounds[g + 1])
+                part = slice(starts[at], starts[end])
+                held, line = distinct.take(back[starts[at:end]], axis=0), pair[part] - at
+                z = self.products[:(end - at) * size].reshape(-1, size) if size <= len(self.products) else None
+                z = np.matmul(held, self.inside[g], out=z)
+                own = z.ravel().take(line * size + (classes[part] - low))
+                logs[part] += own - log_sums(z, held, self.inside[g])[line]
+        out = np.empty(len(classes))
+        out[order] = logs
         return out / np.log(10)
 
 
