@@ -490,16 +490,16 @@ class Scorer:
         p, v = self.p, vocabulary
         self.group = np.vstack((p.group.T, p.group_bias)).astype(np.float32)
         self.inside = [np.vstack((p.target[a:b].T, p.bias[a:b])).astype(np.float32) for a, b in zip(v.first, v.first[1:])]
-        self.later = [self.factors(i, np.arange(p.n)) for i in range(1, PLACES)]
+        self.shares = [self.factors(i) for i in range(PLACES)]
         self.products = np.empty(60_000, np.float32)  # used again by every block, so that its pages are not asked for anew
 
-    def factors(self, place: int, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What classes in a place give to each group's exp of product, as a share of the largest, and the log of that."""
+    def factors(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        """What each class in a place gives to each group's exp of product, as a share of the largest, and the log of that."""
         p = self.p
-        tops, shares = np.empty(len(classes), np.float32), np.empty((len(classes), p.groups), np.float32)
-        for at in range(0, len(classes), 512):
+        tops, shares = np.empty(p.n, np.float32), np.empty((p.n, p.groups), np.float32)
+        for at in range(0, p.n, 512):
             part = slice(at, at + 512)
-            z = np.matmul(p.context.take(classes[part], axis=0) * p.place[place], p.group.T, out=shares[part])
+            z = np.matmul(p.context[part] * p.place[place], p.group.T, out=shares[part])
             if not place:
                 z += p.group_bias
             tops[part] = z.max(axis=1)
@@ -508,21 +508,18 @@ class Scorer:
         return tops, shares
 
     def group_sums(self, contexts: np.ndarray, held: np.ndarray) -> np.ndarray:
-        """log of the contexts' sums over groups: exp of a sum over places is a product, so few exponentials are taken for many contexts.
+        """log of the contexts' sums over groups: exp of a sum over places is a product, so exponentials are taken by class, not by context.
 
         Sums that nearly vanish (places that favour other groups) are computed once more from ``held``, the contexts' vectors."""
-        new = np.ones(len(contexts), bool)
-        new[1:] = contexts[1:, 0] != contexts[:-1, 0]  # contexts come in order
-        line = np.cumsum(new) - 1
-        tops, shares = self.factors(0, contexts[new, 0])
-        out, shares = tops[line], shares.take(line, axis=0)
-        for i, (tops, later) in enumerate(self.later[:-1], 1):
+        ones = np.ones(self.p.groups, np.float32)
+        tops, shares = self.shares[0]
+        out, product = tops[contexts[:, 0]], shares.take(contexts[:, 0], axis=0)
+        for i, (tops, shares) in enumerate(self.shares[1:], 1):
             out += tops[contexts[:, i]]
-            shares *= later.take(contexts[:, i], axis=0)
-        tops, later = self.later[-1]
-        sums = np.einsum("ij,ij->i", shares, later.take(contexts[:, -1], axis=0))
+            product *= shares.take(contexts[:, i], axis=0)
+        sums = product @ ones
         with np.errstate(divide="ignore"):
-            out += tops[contexts[:, -1]] + np.log(sums)
+            out += np.log(sums)
         bad = np.flatnonzero(~(sums > 1e-30))
         if len(bad):
             out[bad] = log_sums(held[bad] @ self.group, held[bad], self.group)

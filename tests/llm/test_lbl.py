@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import HARD, make, sample  # noqa: F401
 from pyspark.sql import functions as F
@@ -194,3 +195,37 @@ def test_sums_that_overflow_or_vanish_are_computed_again():
     expected = top + np.log(np.exp(exact - top[:, None]).sum(axis=1))
     assert lbl.log_sums(left @ right, left, right) == pytest.approx(expected, rel=1e-4, abs=1e-3)
     assert expected.max() > 150 and expected.min() < -150
+
+
+def test_tokens_of_odd_texts():
+    texts = [None, "", " ", "  a  B ", "a", "\x0b\x0c", "\u00c9 a b\x1cc\x00 d\t", "A\r\nB\x85c", "\u00a0x", "\u2003y z"]
+    bounds, words = lbl.tokens_of(pa.array(texts))
+    words = [w.as_py().encode() for w in words]
+    assert [words[a:b] for a, b in zip(bounds, bounds[1:], strict=False)] == [tokens(t) for t in texts]
+
+
+def test_few_exponentials_for_contexts_that_repeat(sample, monkeypatch):
+    """Groups cost an exponential per class and place, not per context; classes of a group one per context, not per token."""
+    v = small_vocabulary(Counter(w for t in sample["text"] for w in tokens(t)))
+    p = lbl.Parameters(v)
+    rng = np.random.default_rng(4)
+    p.target, p.group = rng.normal(0, 1, p.target.shape).astype(np.float32), rng.normal(0, 1, p.group.shape).astype(np.float32)
+    p.group[0], p.group[1], p.context[100], p.context[101] = 9, -9, 9, -9  # 100 and 101 favour other groups, so strongly that products of shares vanish
+    scorer = lbl.Scorer(v, p.rows())
+    contexts = rng.integers(0, 60, (40_000, 2))
+    contexts[:2] = (100, 101), (101, 100)
+    classes = rng.integers(0, p.n, len(contexts))
+    exp, taken = np.exp, []
+    monkeypatch.setattr(lbl.np, "exp", lambda x, **out: (taken.append(np.size(x)), exp(x, **out))[1])
+    got = scorer(contexts, classes)
+    monkeypatch.undo()
+    pairs = np.unique(np.column_stack((contexts, v.group_of[classes])), axis=0)[:, 2]
+    assert sum(taken) < np.diff(v.first)[pairs].sum() + 600 * p.groups  # before: once per token, and 3,600 contexts
+    hidden = sum(p.context[contexts[:, i]].astype(float) * p.place[i] for i in range(2))
+    for j in range(200):
+        g = v.group_of[classes[j]]
+        logs = []
+        for z, own in ((p.group.astype(float) @ hidden[j] + p.group_bias, g),
+                       (p.target[v.first[g]:v.first[g + 1]].astype(float) @ hidden[j] + p.bias[v.first[g]:v.first[g + 1]], classes[j] - v.first[g])):
+            logs.append(z[own] - z.max() - np.log(exp(z - z.max()).sum()))
+        assert got[j] == pytest.approx(sum(logs) / math.log(10), rel=1e-4, abs=1e-3)
